@@ -62,7 +62,8 @@ def rows_at(df: DataFrame, manifest: DataFrame, positions: DataFrame | Sequence[
     ``positions`` is a list, or a DataFrame ``(pos, at)`` where ``pos`` orders
     the result and ``at`` is the manifest position.
     """
-    if not isinstance(positions, DataFrame):
+    listed = not isinstance(positions, DataFrame)
+    if listed:
         values = list(positions)
         if any(isinstance(v, bool) or not isinstance(v, int) for v in values):
             raise ValueError("positions must be integers")
@@ -73,12 +74,13 @@ def rows_at(df: DataFrame, manifest: DataFrame, positions: DataFrame | Sequence[
         positions = df.sparkSession.createDataFrame(
             [(i + 1, v) for i, v in enumerate(values)], "pos bigint, at bigint")
     lookup = manifest.select(F.col(POS).alias("at"), F.col(quoted(id_column)))
-    request = left_join_unique(positions, lookup, ["at"], F.col(POS))
+    request = (positions.join(lookup, "at", "left") if listed else
+               left_join_unique(positions, lookup, ["at"], F.col(POS), small=False))
     request = request.select(
         F.when(F.col(quoted(id_column)).isNotNull(), F.col(POS)).otherwise(
             F.raise_error(F.concat(F.lit("position is out of range: "), F.col("at").cast("string"))).cast("bigint")
         ).alias(POS), F.col(quoted(id_column)))
-    return take_ids(df, request, id_column, columns, keep_pos=True, check_duplicates=False)
+    return take_ids(df, request, id_column, columns, keep_pos=True)
 
 
 def batches(df: DataFrame, batchsize: int = 32, id_column: str = "id", columns: Sequence[str] | None = None,
@@ -90,6 +92,7 @@ def batches(df: DataFrame, batchsize: int = 32, id_column: str = "id", columns:
     """
     check_count(batchsize, "batchsize", 1)
     names = projection(df.schema, id_column, columns)
+    given = manifest is not None
     if manifest is None or shuffle:
         manifest = id_manifest(df, id_column, None if manifest is None else manifest.select(F.col(quoted(id_column))),
                                seed if shuffle else None, check=manifest is None)
@@ -100,7 +103,14 @@ def batches(df: DataFrame, batchsize: int = 32, id_column: str = "id", columns:
     if names == [id_column]:
         return numbered.select("batch_id", POS, F.col(quoted(id_column)))
     wide = df.select(*[F.col(quoted(n)) for n in dict.fromkeys([id_column, *names])])
-    return numbered.join(wide, id_column).select("batch_id", POS, *[F.col(quoted(n)) for n in names])
+    if given:
+        # ids named by the caller must exist
+        wide = wide.withColumn("_stored", F.lit(True))
+        joined = numbered.join(wide, id_column, "left").withColumn(POS, F.when(F.col("_stored"), F.col(POS)).otherwise(
+            F.raise_error(F.concat(F.lit("id is not stored: "), F.col(quoted(id_column)).cast("string"))).cast("bigint")))
+    else:
+        joined = numbered.join(wide, id_column)
+    return joined.select("batch_id", POS, *[F.col(quoted(n)) for n in names])
 
 
 def transform_batches(batched: DataFrame, transform: Callable[[pd.DataFrame], pd.DataFrame],

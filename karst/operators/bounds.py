@@ -54,28 +54,34 @@ def with_salt(df: DataFrame, keys: Sequence[str], salt: Column, hot_rows: int =
     if hot.isEmpty():
         hot.unpersist()
         return df.withColumn("_salt", F.lit(0)), None
-    small = F.broadcast(hot) if fits_broadcast(hot) else hot
-    salted = (df.join(small, list(keys), "left")
-              .withColumn("_salt", F.coalesce(F.pmod(salt, F.col("_splits")), F.lit(0)).cast("int"))
+    splits = F.broadcast(hot) if fits_broadcast(hot) else hot
+    unmatched = F.lit(False)
+    for name in names:
+        unmatched = unmatched | name.isNull()
+    # rows with a null key match nothing, so they may go anywhere
+    spread = F.when(unmatched, F.pmod(salt, F.lit(4096))).otherwise(F.pmod(salt, F.col("_splits")))
+    salted = (df.join(splits, list(keys), "left")
+              .withColumn("_salt", F.coalesce(spread, F.lit(0)).cast("int"))
               .drop("_splits"))
     return salted, hot
 
 
 def left_join_unique(left: DataFrame, right: DataFrame, keys: Sequence[str], salt: Column,
-                     how: str = "left", hot_rows: int = HOT_ROWS) -> DataFrame:
+                     how: str = "left", hot_rows: int = HOT_ROWS, small: bool | None = None) -> DataFrame:
     """``left JOIN right USING keys`` where ``right`` has at most one row per key.
 
-    A measured-small right side is broadcast.  Otherwise both sides shuffle on
-    the key, and keys that are hot on the left are split into salted parts,
-    with the one matching right row repeated once per part.
+    ``small`` tells whether the right side was measured to fit a broadcast; None
+    measures it here.  Otherwise both sides shuffle on the key, and keys that
+    are hot on the left are split into salted parts, with the one matching
+    right row repeated once per part.
     """
-    if fits_broadcast(right):
+    if fits_broadcast(right) if small is None else small:
         return left.join(F.broadcast(right), list(keys), how)
     salted, hot = with_salt(left, keys, salt, hot_rows)
     if hot is None:
         return left.join(right, list(keys), how)
-    small = F.broadcast(hot) if fits_broadcast(hot) else hot
-    spread = (right.join(small, list(keys), "left")
+    splits = F.broadcast(hot) if fits_broadcast(hot) else hot
+    spread = (right.join(splits, list(keys), "left")
               .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_splits"), F.lit(1)) - 1)))
               .drop("_splits"))
     return salted.join(spread, [*keys, "_salt"], how).drop("_salt")

@@ -6,8 +6,7 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from karst.operators.bounds import left_join_unique, quoted
-from karst.operators.mutate import DuplicateKeys
+from karst.operators.bounds import HOT_ROWS, left_join_unique, quoted
 from karst.schema import is_integral
 
 POS = "pos"
@@ -58,7 +57,7 @@ def projection(schema: T.StructType, id_column: str, columns: Sequence[str] | No
     return names
 
 
-def touched_duplicates(df: DataFrame, request: DataFrame, id_column: str = "id") -> DataFrame:
+def stored_duplicates(df: DataFrame, request: DataFrame, id_column: str = "id") -> DataFrame:
     """Requested ids that are stored more than once, with their count."""
     wanted = request.select(F.col(quoted(id_column))).distinct()
     return (df.select(F.col(quoted(id_column))).join(wanted, id_column, "left_semi")
@@ -67,38 +66,44 @@ def touched_duplicates(df: DataFrame, request: DataFrame, id_column: str = "id")
 
 def take_ids(df: DataFrame, request: DataFrame | Iterable, id_column: str = "id",
              columns: Sequence[str] | None = None, on_missing: str = "error",
-             ordered: bool = True, keep_pos: bool = False, check_duplicates: bool = True) -> DataFrame:
+             ordered: bool = True, keep_pos: bool = False, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Stored rows for a request ``(pos, id)``, in request order, repeats included.
 
-    A stored id that occurs twice raises.  An id that is not stored raises when
-    the result is computed, or is left out with ``on_missing="skip"``.  A long
-    list of ids should arrive as a DataFrame; each distinct id is fetched once.
+    A requested id that is stored twice raises when the result is computed, and
+    so does an id that is not stored, unless ``on_missing="skip"`` leaves it out.
+    A long list of ids should arrive as a DataFrame.  Each distinct id is
+    fetched once, and an id that fills much of the request is split over tasks.
     """
     if on_missing not in ("error", "skip"):
         raise ValueError("on_missing must be 'error' or 'skip'")
     dtype = _id_type(df.schema, id_column)
     names = projection(df.schema, id_column, columns)
-    if not isinstance(request, DataFrame):
+    listed = not isinstance(request, DataFrame)
+    if listed:
         request = request_frame(df.sparkSession, request, id_column)
     have = request.schema[id_column].dataType
     if isinstance(have, T.StringType) != isinstance(dtype, T.StringType) or not (
             is_integral(have) or isinstance(have, T.StringType)):
         raise ValueError(f"requested ids are {have.simpleString()}, the column is {dtype.simpleString()}")
-    request = request.select(F.col(POS), F.col(quoted(id_column)))
-    if check_duplicates:
-        found = touched_duplicates(df, request, id_column).first()
-        if found is not None:
-            raise DuplicateKeys(f"duplicate stored id: {found[0]}")
-    wanted = request.select(F.col(quoted(id_column))).distinct()
-    rows = (df.select(*[F.col(quoted(n)) for n in dict.fromkeys([id_column, *names])])
-            .join(wanted, id_column, "left_semi").withColumn("_stored", F.lit(True)))
-    joined = left_join_unique(request, rows, [id_column], F.col(POS), "left" if on_missing == "error" else "inner")
-    if on_missing == "error":
-        message = F.concat(F.lit("id is not stored: "), F.coalesce(F.col(quoted(id_column)).cast("string"), F.lit("null")))
-        joined = joined.withColumn(POS, F.when(F.col("_stored"), F.col(POS)).otherwise(
-            F.raise_error(message).cast("bigint")))
-        # the check must survive column pruning when pos is not returned
-        joined = joined.filter(F.col(POS).isNotNull())
+    key = F.col(quoted(id_column))
+    request = request.select(F.col(POS), key)
+    # one row per id, combined on the map side; a second copy is an error
+    stored = (df.select(key, F.struct(*[F.col(quoted(n)) for n in names]).alias("_row"))
+              .join(request.select(key).distinct(), id_column, "left_semi")
+              .groupBy(key).agg(F.any_value("_row").alias("_row"), F.count("*").alias("_copies")))
+    if listed:
+        joined = request.join(stored, id_column, "left")
+    else:
+        joined = left_join_unique(request, stored, [id_column], F.col(POS), hot_rows=hot_rows, small=False)
+    shown = F.coalesce(key.cast("string"), F.lit("null"))
+    if on_missing == "skip":
+        joined = joined.filter(F.col("_copies").isNotNull())
+    checked = (F.when(F.col("_copies") == 1, F.col(POS))
+               .when(F.col("_copies") > 1, F.raise_error(F.concat(F.lit("duplicate stored id: "), shown)).cast("bigint"))
+               .otherwise(F.raise_error(F.concat(F.lit("id is not stored: "), shown)).cast("bigint")))
+    # the filter keeps the check alive when pos itself is not returned
+    joined = joined.withColumn(POS, checked).filter(F.col(POS).isNotNull())
     if ordered:
         joined = joined.orderBy(POS)
-    return joined.select(*([POS] if keep_pos else []), *[F.col(quoted(n)) for n in names])
+    return joined.select(*([POS] if keep_pos else []),
+                         *[F.col(f"_row.{quoted(n)}").alias(n, metadata=df.schema[n].metadata or {}) for n in names])

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from karst.operators.bounds import left_join_unique, quoted
+from karst.operators.bounds import HOT_ROWS, fits_broadcast, left_join_unique, quoted
 from karst.schema import SchemaMismatch, conform
 
 
@@ -41,7 +41,7 @@ def check_unique(df: DataFrame, keys: Sequence[str], what: str) -> None:
 
 def merge_insert(target: DataFrame, source: DataFrame, on: str | Sequence[str], *,
                  update: bool = True, insert: bool = True, condition: str | Column | None = None,
-                 check_source: bool = True) -> DataFrame:
+                 check_source: bool = True, hot_rows: int = HOT_ROWS, small: bool | None = None) -> DataFrame:
     """Upsert ``source`` into ``target`` on the key columns ``on``.
 
     A matching row takes every column of its source row, if ``update`` is set
@@ -62,29 +62,26 @@ def merge_insert(target: DataFrame, source: DataFrame, on: str | Sequence[str],
     source = conform(source, target.schema)
     if check_source:
         check_unique(source, keys, "merge source")
-    rest = [c for c in target.columns if c not in keys]
+    key_columns = [F.col(quoted(k)) for k in keys]
+    if small is None:
+        small = fits_broadcast(source)
     result = target
     if update:
         row = F.struct(*[F.col(quoted(c)) for c in source.columns]).alias("source")
-        matches = (source.dropna(subset=keys)
-                   .select(*[F.col(quoted(k)) for k in keys], row, F.lit(True).alias("_hit")))
-        salt = F.abs(F.xxhash64(*[F.col(quoted(c)) for c in target.columns]) % 1_000_000)
-        packed = target.select(*[F.col(quoted(k)) for k in keys],
-                               F.struct(*[F.col(quoted(c)) for c in target.columns]).alias("target")) \
-            if condition is not None else target
-        if condition is not None:
-            salt = F.abs(F.xxhash64("target") % 1_000_000)
-        joined = left_join_unique(packed, matches, keys, salt)
+        matches = source.dropna(subset=keys).select(*key_columns, row, F.lit(True).alias("_hit"))
+        whole = F.struct(*[F.col(quoted(c)) for c in target.columns])
+        packed = target.select(*key_columns, whole.alias("target"))
+        joined = left_join_unique(packed, matches, keys, F.xxhash64("target"), hot_rows=hot_rows, small=small)
         take = F.coalesce(F.col("_hit"), F.lit(False))
         if condition is not None:
             take = take & F.coalesce(as_predicate(condition), F.lit(False))
-        old = (lambda c: F.col(f"target.{quoted(c)}")) if condition is not None else (lambda c: F.col(quoted(c)))
         result = joined.select(*[
-            (F.col(quoted(c)) if c in keys else
-             F.when(take, F.col(f"source.{quoted(c)}")).otherwise(old(c))).alias(
+            F.when(take, F.col(f"source.{quoted(c)}")).otherwise(F.col(f"target.{quoted(c)}")).alias(
                 c, metadata=target.schema[c].metadata or {})
             for c in target.columns])
     if insert:
-        known = target.select(*[F.col(quoted(k)) for k in keys]).dropna(subset=keys).distinct()
-        result = result.unionByName(source.join(known, keys, "left_anti").select(*target.columns))
+        known = target.select(*key_columns).dropna(subset=keys)
+        if small:
+            known = known.join(F.broadcast(source.select(*key_columns)), keys, "left_semi")
+        result = result.unionByName(source.join(known.distinct(), keys, "left_anti").select(*target.columns))
     return result
