@@ -1,0 +1,10 @@
+"""karst: vector and multimodal tables as plain PySpark jobs.
+
+Every operator takes DataFrames and returns DataFrames, so Spark plans,
+partitions and shuffles the work.  ``karst.plans.store`` adds named, versioned
+tables (Parquet segments plus one small commit record per write) on top.
+"""
+
+from karst.plans.store import Database, Table, connect
+
+__all__ = ["Database", "Table", "connect"]

@@ -24,6 +24,8 @@ from karst.operators.scan import where as apply_where
 from karst.operators.search import DISTANCE, knn
 
 CELL, BUCKET, ROW, CODE = "_cell", "_bucket", "_row", "_code"
+FRAGMENT = "_fragment"           # numbers the separate writes of one index; _row is unique within it
+LAYOUT_COLUMNS = (CELL, BUCKET, ROW, CODE, FRAGMENT)
 MAX_CELLS = 65_536
 MAX_CENTRE_BYTES = 64 << 20      # centres are broadcast, so their size is bounded here
 MAX_DIRECTORIES = 1024
@@ -141,7 +143,7 @@ def assign_cells(df: DataFrame, column: str, cells: Cells) -> DataFrame:
     return df.filter(vector.isNotNull()).withColumn(CELL, nearest(vector))
 
 
-def write_cells(assigned: DataFrame, cells: Cells, path: str) -> None:
+def write_cells(assigned: DataFrame, cells: Cells, path: str, fragment: int = 0) -> None:
     """Write rows clustered by cell, one directory per bucket of cells.
 
     Rows of one cell go to one task, except that a cell expected to hold more
@@ -161,7 +163,7 @@ def write_cells(assigned: DataFrame, cells: Cells, path: str) -> None:
         salted = salted.repartition(parts, CELL)
     bucket = F.floor(F.col(CELL) / F.lit(cells.width)).cast("int")
     (salted.drop("_spread").withColumn(BUCKET, bucket).sortWithinPartitions(BUCKET, CELL)
-     .withColumn(ROW, F.monotonically_increasing_id())
+     .withColumn(ROW, F.monotonically_increasing_id()).withColumn(FRAGMENT, F.lit(fragment))
      .write.partitionBy(BUCKET).parquet(path))
 
 
@@ -348,7 +350,7 @@ def code_search(layout: DataFrame, cells: Cells, codec: ProductCodes | ScalarCod
     """
     target = query_vector(query)
     order = [] if key is None else [key] if isinstance(key, str) else list(key)
-    names = [c for c in (select or [c for c in layout.columns if c not in (CELL, BUCKET, ROW, CODE)]) if c != DISTANCE]
+    names = [c for c in (select or [c for c in layout.columns if c not in LAYOUT_COLUMNS]) if c != DISTANCE]
     if refine_factor is not None and refine_factor < 1:
         raise ValueError("refine_factor must be positive")
     rows = probed(layout, cells, target, nprobes)
@@ -356,7 +358,7 @@ def code_search(layout: DataFrame, cells: Cells, codec: ProductCodes | ScalarCod
         rows = apply_where(rows, where)
     wanted = (k + offset) * (refine_factor or 1)
     shared = layout.sparkSession.sparkContext.broadcast((cells, codec))
-    carried = list(dict.fromkeys([ROW, BUCKET, CELL, *order]))
+    carried = list(dict.fromkeys([FRAGMENT, ROW, BUCKET, CELL, *order]))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, quantiser = shared.value
@@ -380,8 +382,8 @@ def code_search(layout: DataFrame, cells: Cells, codec: ProductCodes | ScalarCod
     found = (rows.select(*[F.col(quoted(c)) for c in dict.fromkeys([*carried, CODE])]).mapInArrow(scan, schema)
              .orderBy(DISTANCE, *tie).limit(wanted))
     # full rows only for the candidates: the join carries k * factor row numbers
-    picked = found.select(ROW, BUCKET, CELL, F.col(DISTANCE).alias("_approximate"))
-    full = rows.join(picked, [ROW, BUCKET, CELL])
+    picked = found.select(FRAGMENT, ROW, BUCKET, CELL, F.col(DISTANCE).alias("_approximate"))
+    full = rows.join(picked, [FRAGMENT, ROW, BUCKET, CELL])
     if refine_factor:
         result = knn(full.drop("_approximate"), target, k, column, metric=cells.metric, key=key, select=names,
                      offset=offset, where=None if prefilter else where, prefilter=prefilter)

@@ -80,8 +80,18 @@ def merge_insert(target: DataFrame, source: DataFrame, on: str | Sequence[str],
                 c, metadata=target.schema[c].metadata or {})
             for c in target.columns])
     if insert:
-        known = target.select(*key_columns).dropna(subset=keys)
-        if small:
-            known = known.join(F.broadcast(source.select(*key_columns)), keys, "left_semi")
-        result = result.unionByName(source.join(known.distinct(), keys, "left_anti").select(*target.columns))
+        result = result.unionByName(unmatched(target, source, keys, small))
     return result
+
+
+def unmatched(target: DataFrame, source: DataFrame, keys: Sequence[str], small: bool | None = None) -> DataFrame:
+    """Source rows whose key is not in the target.
+
+    Target keys are made distinct first; a source that fits a broadcast also
+    restricts them to its own keys, so the target is not shuffled.
+    """
+    names = [F.col(quoted(k)) for k in keys]
+    known = target.select(*names).dropna(subset=list(keys))
+    if fits_broadcast(source) if small is None else small:
+        known = known.join(F.broadcast(source.select(*names)), list(keys), "left_semi")
+    return source.join(known.distinct(), list(keys), "left_anti").select(*[F.col(quoted(c)) for c in target.columns])
