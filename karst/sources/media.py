@@ -6,7 +6,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 def read_media(spark: SparkSession, path: str | list[str], pattern: str | None = None, recursive: bool = False) -> DataFrame:
-    """(path, length, content) of files, optionally those matching a glob pattern."""
+    """(path, length, content) of files, optionally those matching a glob pattern.
+
+    Spark's file reader leaves out files of zero bytes; an empty value can
+    still be stored in a binary column.
+    """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", recursive)
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
