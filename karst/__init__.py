@@ -5,6 +5,12 @@ partitions and shuffles the work.  ``karst.plans.store`` adds named, versioned
 tables (Parquet segments plus one small commit record per write) on top.
 """
 
-from karst.plans.store import Database, Table, connect
-
 __all__ = ["Database", "Table", "connect"]
+
+
+def __getattr__(name: str):
+    # loaded on demand, so a worker that only needs a kernel stays light
+    if name in __all__:
+        from karst.plans import store
+        return getattr(store, name)
+    raise AttributeError(name)

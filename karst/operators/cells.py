@@ -22,6 +22,7 @@ from karst.functions.metrics import check_metric, query_vector
 from karst.operators.bounds import quoted
 from karst.operators.scan import where as apply_where
 from karst.operators.search import DISTANCE, knn
+from karst.schema import VECTOR_DIM
 
 CELL, BUCKET, ROW, CODE = "_cell", "_bucket", "_row", "_code"
 FRAGMENT = "_fragment"           # numbers the separate writes of one index; _row is unique within it
@@ -93,11 +94,15 @@ def train_cells(df: DataFrame, column: str, metric: str = "l2", num_partitions:
         raise ValueError("sample_rate must be between 0 and 1")
     vector = F.col(quoted(column))
     vectors = df.select(vector.alias("v")).filter("v IS NOT NULL")
-    rows, low, dim = vectors.agg(F.count("*"), F.min(F.size("v")), F.max(F.size("v"))).first()
+    dim = (df.schema[column].metadata or {}).get(VECTOR_DIM)
+    if dim is not None:
+        rows = df.count()        # checked when it was stored; file footers give the count
+    else:
+        rows, low, dim = vectors.agg(F.count("*"), F.min(F.size("v")), F.max(F.size("v"))).first()
+        if rows and (low != dim or not dim):
+            raise ValueError("vectors need one positive dimension")
     if not rows:
         raise ValueError("no vectors to train on")
-    if low != dim or not dim:
-        raise ValueError("vectors need one positive dimension")
     cells = cell_count(rows, dim, num_partitions)
     rate = sample_rate if sample_rate else min(1.0, TRAIN_PER_CELL * cells / rows)
     sample = vectors if rate >= 1.0 else vectors.sample(False, rate, seed)
@@ -158,9 +163,9 @@ def write_cells(assigned: DataFrame, cells: Cells, path: str, fragment: int = 0)
         table = spark.createDataFrame(splits, "_cell int, _splits int")
         salted = salted.join(F.broadcast(table), CELL, "left")
         salted = salted.withColumn("_salt", F.coalesce(F.pmod(F.xxhash64("_spread"), F.col("_splits")), F.lit(0)))
-        salted = salted.repartition(parts, CELL, "_salt").drop("_splits", "_salt")
+        salted = salted.repartition(CELL, "_salt").drop("_splits", "_salt")
     else:
-        salted = salted.repartition(parts, CELL)
+        salted = salted.repartition(CELL)
     bucket = F.floor(F.col(CELL) / F.lit(cells.width)).cast("int")
     (salted.drop("_spread").withColumn(BUCKET, bucket).sortWithinPartitions(BUCKET, CELL)
      .withColumn(ROW, F.monotonically_increasing_id()).withColumn(FRAGMENT, F.lit(fragment))

@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from karst.operators.bounds import quoted
 from karst.operators.scan import check_count
 from karst.operators.search import knn
-from karst.schema import declare_vectors
-from karst.session import materialise
+from karst.schema import declare_vectors, unchecked_vectors, vector_aggregates
+from karst.session import materialise_observed
 
 
 def encode_batch(encoder: Callable, inputs: list) -> np.ndarray:
@@ -102,7 +102,8 @@ def with_embeddings(df: DataFrame, source: str, encoder: Callable, column: str =
     encoded = feed.mapInArrow(run, schema)
     if not check:
         return encoded
-    return declare_vectors(materialise(encoded, "embeddings"), [column])
+    written, facts = materialise_observed(encoded, "embeddings", vector_aggregates(unchecked_vectors(schema)))
+    return declare_vectors(written, [column], facts)
 
 
 def embedding_search(df: DataFrame, value, encoder: Callable, k: int, column: str = "embedding", **options) -> DataFrame:

@@ -106,13 +106,13 @@ def check_text_options(columns: Sequence[str], max_token_length: int, language:
 def text_postings(df: DataFrame, columns: str | Sequence[str], key: str, tokenizer: str = "simple",
                   language: str = "English", lowercase: bool = True, stem: bool = False,
                   remove_stop_words: bool = False, ascii_folding: bool = False, max_token_length: int = -1,
-                  words: Sequence[str] | None = None) -> DataFrame:
+                  words: Sequence[str] | None = None, carry: Sequence[str] = ()) -> DataFrame:
     """Postings ``(field, term, key, tf)`` of text columns.
 
     Tokens are counted per document before anything is folded or stemmed, so
     Python sees each (document, term) pair once.  ``words`` replaces the stop
     words of ``language``.  Longer tokens than ``max_token_length`` are left
-    out; -1 keeps all.
+    out; -1 keeps all.  ``carry`` names further columns fixed by the key.
     """
     names = [columns] if isinstance(columns, str) else list(columns)
     check_text_options(names, max_token_length, language, stem)
@@ -120,7 +120,7 @@ def text_postings(df: DataFrame, columns: str | Sequence[str], key: str, tokeniz
     for name in names:
         if name not in df.columns or not isinstance(df.schema[name].dataType, T.StringType):
             raise ValueError(f"text column does not exist or is not a string: {name}")
-        parts.append(df.select(F.lit(name).alias("field"), F.col(quoted(key)),
+        parts.append(df.select(F.lit(name).alias("field"), F.col(quoted(key)), *carry,
                                F.explode(tokens(F.col(quoted(name)), tokenizer, lowercase)).alias("term")))
     found = parts[0]
     for part in parts[1:]:
@@ -130,7 +130,7 @@ def text_postings(df: DataFrame, columns: str | Sequence[str], key: str, tokeniz
     if remove_stop_words:
         listed = list(words) if words is not None else stop_words(language)
         found = found.filter(~F.lower("term").isin([w.lower() for w in listed]))
-    keys = [F.col("field"), F.col("term"), F.col(quoted(key))]
+    keys = [F.col("field"), F.col("term"), F.col(quoted(key)), *[F.col(c) for c in carry]]
     counted = found.groupBy(*keys).agg(F.count("*").alias("tf"))
     if ascii_folding or stem:
         counted = (counted.withColumn("term", normaliser(ascii_folding, stem)(F.col("term")))

@@ -10,6 +10,7 @@ from karst.operators.bounds import HOT_ROWS, left_join_unique, quoted
 from karst.schema import is_integral
 
 POS = "pos"
+LITERAL_IDS = 1000
 
 
 def _id_type(schema: T.StructType, id_column: str) -> T.DataType:
@@ -79,14 +80,20 @@ def take_ids(df: DataFrame, request: DataFrame | Iterable, id_column: str = "id"
     dtype = _id_type(df.schema, id_column)
     names = projection(df.schema, id_column, columns)
     listed = not isinstance(request, DataFrame)
+    literal = None
     if listed:
-        request = request_frame(df.sparkSession, request, id_column)
+        values = check_ids(request)
+        literal = list(dict.fromkeys(values)) if len(values) <= LITERAL_IDS else None
+        request = request_frame(df.sparkSession, values, id_column)
     have = request.schema[id_column].dataType
     if isinstance(have, T.StringType) != isinstance(dtype, T.StringType) or not (
             is_integral(have) or isinstance(have, T.StringType)):
         raise ValueError(f"requested ids are {have.simpleString()}, the column is {dtype.simpleString()}")
     key = F.col(quoted(id_column))
     request = request.select(F.col(POS), key)
+    if literal:
+        # ids written in the call reach the Parquet scan as a filter
+        df = df.filter(key.isin(literal))
     # one row per id, combined on the map side; a second copy is an error
     stored = (df.select(key, F.struct(*[F.col(quoted(n)) for n in names]).alias("_row"))
               .join(request.select(key).distinct(), id_column, "left_semi")

@@ -9,11 +9,9 @@ from pyspark.sql import DataFrame, Window, functions as F
 from karst.operators.bounds import quoted
 from karst.session import materialise
 
-ROWS_PER_PARTITION = 2_000_000
-
 
 def number_rows(df: DataFrame, order: Sequence[str], name: str = "pos", start: int = 1,
-                keep: Sequence[str] | None = None, rows: int | None = None) -> DataFrame:
+                keep: Sequence[str] | None = None) -> DataFrame:
     """``df`` with a dense position ``name`` in the order of the ``order`` columns.
 
     One range shuffle sorts the rows into ordered partitions.  The position
@@ -21,13 +19,9 @@ def number_rows(df: DataFrame, order: Sequence[str], name: str = "pos", start: i
     of rows per partition (a handful of integers) then gives each partition its
     starting point.  ``order`` should end with a unique column.
     """
-    spark = df.sparkSession
     columns = [F.col(quoted(c)) for c in order]
-    if rows is None:
-        partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    else:
-        partitions = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // ROWS_PER_PARTITION)))
-    ordered = df.repartitionByRange(partitions, *columns).sortWithinPartitions(*columns)
+    # no partition count: adaptive execution merges small neighbours, which keeps their order
+    ordered = df.repartitionByRange(*columns).sortWithinPartitions(*columns)
     kept = [F.col(quoted(c)) for c in (keep if keep is not None else df.columns)]
     slots = ordered.select(*kept, F.monotonically_increasing_id().alias("_slot"))
     written = materialise(slots, "numbering")

@@ -202,12 +202,8 @@ class Indexes:
              .filter("label IS NOT NULL").repartitionByRange("label", key).sortWithinPartitions("label")
              .write.parquet(path))
         else:
-            postings = None
-            for segment in segments:
-                part = L.text_postings(self.table.segments_frame([segment]), record.columns, **record.options)
-                part = part.withColumn(SEGMENT, F.lit(segment))
-                postings = part if postings is None else postings.unionByName(part)
             key = record.options["key"]
+            postings = L.text_postings(rows, record.columns, **record.options, carry=[SEGMENT])
             postings.repartitionByRange("term", key).sortWithinPartitions("term").write.parquet(path)
         record.fragments.append(fragment)
 

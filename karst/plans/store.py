@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from karst.operators import mutate
+from karst.operators.bounds import fits_broadcast
 from karst.operators.batches import batches, id_manifest, rows_at, sample_rows, transform_batches
 from karst.operators.lookup import POS, projection, take_ids
 from karst.operators.scan import check_count
@@ -24,7 +25,9 @@ from karst.plans.commits import Commit, CommitLog, Segment
 from karst.plans.indexes import (SEGMENT, Indexes, IndexStats, create_fts_index, create_scalar_index,
                                  create_vector_index)
 from karst.plans.query import ScanQuery, VectorQuery
-from karst.schema import VECTOR_DIM, SchemaMismatch, check_supported, conform, declare_vectors, describe_schema
+from karst.schema import (SchemaMismatch, check_supported, conform, declare_vectors, describe_schema,
+                          unchecked_vectors, vector_aggregates)
+from karst.session import materialise, ship, write_observed
 
 COMPACT_BYTES = 256 << 20
 OPTIMIZE = ("all", "compact", "prune", "index")
@@ -84,6 +87,7 @@ class Database:
 
     def __init__(self, spark: SparkSession, uri: str):
         self.spark, self.uri = spark, uri.rstrip("/")
+        ship(spark)
 
     def _path(self, name: str, namespace: str | None = None) -> str:
         return "/".join([self.uri, *([_check_name(namespace)] if namespace else []), _check_name(name)])
@@ -108,9 +112,9 @@ class Database:
         if schema is not None:
             frame = conform(frame, schema)
         check_supported(frame.schema)
-        segment = table._write(frame)
+        segment, facts = table._write(frame)
         try:
-            written = declare_vectors(table._read([segment.name], frame.schema), vector_columns)
+            written = declare_vectors(table._read([segment.name], frame.schema), vector_columns, facts)
             table._commit("create", written.schema, [segment] if segment.rows else [])
         except Exception:
             table._discard(segment)
@@ -242,20 +246,24 @@ class Table:
 
     def take_ids(self, ids, id_column: str = "id", columns: Sequence[str] | None = None,
                  on_missing: str = "error") -> DataFrame:
-        return take_ids(self.to_df(), ids, id_column, columns, on_missing)
+        """Rows in request order; a range index on the id column narrows what is read."""
+        name = f"{id_column}_idx"
+        indexed = name in self.list_indices() and self.indexes.read(name).kind == "btree"
+        return take_ids(self.indexes.scan(name) if indexed else self.to_df(), ids, id_column, columns, on_missing)
 
     def dataset(self, id_column: str = "id", ids=None, columns: Sequence[str] | None = None) -> "IdDataset":
         return IdDataset(self, id_column, ids, columns)
 
     # ----------------------------------------------------------------- writes
 
-    def _write(self, frame: DataFrame) -> Segment:
+    def _write(self, frame: DataFrame) -> tuple[Segment, dict]:
+        """Write rows as a new segment; vector facts are observed on the way."""
         name = f"seg-{uuid.uuid4().hex}"
         path = f"{self.path}/{name}"
-        frame.write.parquet(path)
+        facts = write_observed(frame, path, vector_aggregates(unchecked_vectors(frame.schema)))
         parts = [n for n, is_dir, _ in files.children(self.spark, path) if not is_dir and n.endswith(".parquet")]
         rows = self.spark.read.schema(frame.schema).parquet(path).count() if parts else 0
-        return Segment(name, rows, len(parts))
+        return Segment(name, rows, len(parts)), facts
 
     def _discard(self, segment: Segment) -> None:
         files.delete(self.spark, f"{self.path}/{segment.name}")
@@ -282,9 +290,9 @@ class Table:
             return self
         schema = _schema_of(last)
         frame = conform(as_frame(self.spark, data), schema)
-        segment = self._write(frame)
+        segment, facts = self._write(frame)
         try:
-            self._check_vectors(segment, schema)
+            self._check_vectors(segment, schema, facts)
             tokens = {**last.tokens, token[0]: token[1]} if token is not None else None
             self._commit("append", schema, [*last.segments, segment], tokens=tokens, added=segment.rows)
         except Exception:
@@ -292,9 +300,9 @@ class Table:
             raise
         return self
 
-    def _check_vectors(self, segment: Segment, schema: T.StructType) -> None:
-        if segment.rows and any(VECTOR_DIM in (f.metadata or {}) for f in schema.fields):
-            declare_vectors(self._read([segment.name], schema), [])
+    def _check_vectors(self, segment: Segment, schema: T.StructType, facts: dict) -> None:
+        if segment.rows:
+            declare_vectors(self._read([segment.name], schema), [], facts)
 
     def append_partitions(self, frames: Iterable) -> "Table":
         """Append several inputs, one commit each; earlier ones stay if a later one fails."""
@@ -306,13 +314,13 @@ class Table:
         """Replace the touched segments by ``frame`` and keep the others."""
         kept = [s for s in last.segments if s.name not in touched]
         schema = _schema_of(last)
-        fresh = []
+        fresh, facts = [], {}
         if frame is not None:
-            segment = self._write(frame.select(*[f"`{n}`" for n in schema.names]))
+            segment, facts = self._write(frame.select(*[f"`{n}`" for n in schema.names]))
             fresh = [segment]
         try:
             for segment in fresh:
-                self._check_vectors(segment, schema)
+                self._check_vectors(segment, schema, facts)
             self._commit(operation, schema, kept + fresh, **summary)
         except Exception:
             for segment in fresh:
@@ -343,19 +351,21 @@ class Table:
         for key in keys:
             if key not in schema.names:
                 raise SchemaMismatch(f"merge key does not exist: {key}")
-        source = conform(as_frame(self.spark, data), schema)
+        # the source is used several times below, so it is computed once
+        source = materialise(conform(as_frame(self.spark, data), schema), "merge")
         mutate.check_unique(source, keys, "merge source")
+        small = fits_broadcast(source)
         columns = [F.col(f"`{k}`") for k in keys]
         rows = self.segments_frame([s.name for s in last.segments], with_segment=True)
         touched = [] if not update or not last.segments else [
             r[0] for r in rows.select(*columns, SEGMENT).join(source.select(*columns), keys, "left_semi")
             .select(SEGMENT).distinct().collect()]
         changed = mutate.merge_insert(self._read(touched, schema), source, keys, insert=False, condition=condition,
-                                      check_source=False) if touched else None
+                                      check_source=False, small=small) if touched else None
         if insert:
             # after the match above, keys can only be stored in the touched segments
             base = self._read(touched if update else [s.name for s in last.segments], schema)
-            fresh = mutate.unmatched(base, source, keys)
+            fresh = mutate.unmatched(base, source, keys, small)
             changed = fresh if changed is None else changed.unionByName(fresh)
         if changed is None:
             self._commit("merge", schema, list(last.segments))
@@ -439,7 +449,7 @@ class Table:
         return self
 
     def _compact(self) -> None:
-        """Rewrite all small segments as one; segments that are already big are left alone."""
+        """Rewrite all small segments as one, without a shuffle; segments that are already big are left alone."""
         last = self.commit()
         sizes = {s.name: files.tree_bytes(self.spark, f"{self.path}/{s.name}") for s in last.segments}
         small = [s for s in last.segments if sizes[s.name] < COMPACT_BYTES or s.files * COMPACT_BYTES > 4 * sizes[s.name]]
@@ -448,7 +458,7 @@ class Table:
         if not small:
             return
         target = max(1, -(-sum(sizes[s.name] for s in small) // COMPACT_BYTES))
-        frame = self._read([s.name for s in small], _schema_of(last)).repartition(target)
+        frame = self._read([s.name for s in small], _schema_of(last)).coalesce(target)
         self._rewrite("compact", last, {s.name for s in small}, frame)
 
     def _prune(self, keep_versions: int) -> None:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 VECTOR_DIM = "vector_dim"
 
@@ -88,23 +88,32 @@ def check_supported(schema: T.StructType) -> None:
         walk(field.dataType, field.name)
 
 
-def measure_vectors(df: DataFrame, columns: Sequence[str]) -> dict[str, dict]:
-    """Row count, length range and finiteness of vector columns in one aggregate."""
-    aggregates = []
+def vector_aggregates(columns: Sequence[str]) -> list[Column]:
+    """Aggregates that say whether columns hold finite vectors of one length.
+
+    All of them stay right if a row is counted twice, so they can also be
+    observed while the rows are written.
+    """
+    out = []
     for i, name in enumerate(columns):
         value = F.col(_quoted(name))
-        finite = F.forall(value, lambda x: x.isNotNull() & ~F.isnan(x)
-                          & (F.abs(x) != F.lit(float("inf"))))
-        aggregates += [F.count(value).alias(f"n{i}"), F.min(F.size(value)).alias(f"lo{i}"),
-                       F.max(F.size(value)).alias(f"hi{i}"), F.min(finite).alias(f"ok{i}")]
-    row = df.agg(*aggregates).first()
-    return {name: {"rows": row[f"n{i}"], "min": row[f"lo{i}"], "max": row[f"hi{i}"], "finite": row[f"ok{i}"]}
-            for i, name in enumerate(columns)}
+        finite = F.forall(value, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != F.lit(float("inf"))))
+        out += [F.count(value).alias(f"n{i}"), F.min(F.size(value)).alias(f"lo{i}"),
+                F.max(F.size(value)).alias(f"hi{i}"), F.min(finite).alias(f"ok{i}")]
+    return out
+
 
+def unchecked_vectors(schema: T.StructType) -> list[str]:
+    """Columns whose vectors need a look: declared ones and other float arrays."""
+    return [f.name for f in schema.fields if is_vector_type(f.dataType)]
 
-def declare_vectors(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+
+def declare_vectors(df: DataFrame, columns: Sequence[str] | None = None, facts: dict | None = None) -> DataFrame:
     """Attach the dimension to vector columns after checking every row.
 
+    ``facts`` are the ``vector_aggregates`` of ``unchecked_vectors(df.schema)``
+    if they were observed already; otherwise one aggregate computes them.
+
     ``columns=None`` looks at all float arrays and declares those whose
     non-null values share one positive length; other arrays stay lists.  Named
     columns must qualify.
@@ -122,7 +131,13 @@ def declare_vectors(df: DataFrame, columns: Sequence[str] | None = None) -> Data
     measured = list(dict.fromkeys([*names, *declared]))
     if not measured:
         return df
-    found = measure_vectors(df, measured)
+    if facts is None:
+        looked = measured
+        facts = df.agg(*vector_aggregates(looked)).first().asDict()
+    else:
+        looked = unchecked_vectors(schema)
+    found = {name: {"rows": facts.get(f"n{i}"), "min": facts.get(f"lo{i}"), "max": facts.get(f"hi{i}"),
+                    "finite": facts.get(f"ok{i}")} for i, name in enumerate(looked)}
     for name in measured:
         stats = found[name]
         if name in declared:

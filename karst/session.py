@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import pathlib
 import tempfile
 import uuid
+import zipfile
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 _local_roots: dict[str, str] = {}
+_shipped: set[str] = set()
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -50,13 +55,46 @@ def posix_path(path: str) -> str:
     return path
 
 
+def write_observed(df: DataFrame, path: str, aggregates: Sequence[Column]) -> dict:
+    """Write Parquet and return aggregates of the written rows, in the same pass."""
+    if not aggregates:
+        df.write.parquet(path)
+        return {}
+    observation = Observation()
+    df.observe(observation, *aggregates).write.parquet(path)
+    return observation.get
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the scratch folder and read it back.
 
     Later actions start from the written table: nothing upstream is computed
     twice, and a lost executor costs only a re-read.
     """
+    return materialise_observed(df, label, [])[0]
+
+
+def materialise_observed(df: DataFrame, label: str, aggregates: Sequence[Column]) -> tuple[DataFrame, dict]:
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    facts = write_observed(df, path, aggregates)
+    return spark.read.schema(df.schema).parquet(path), facts
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application.
+
+    Needed where it is not installed on the workers; the same as ``--py-files``.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    root = pathlib.Path(__file__).parent
+    folder = pathlib.Path(tempfile.mkdtemp(prefix="karst-pkg-"))
+    archive = folder / "karst.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as bundle:
+        for source in sorted(root.rglob("*.py")):
+            bundle.write(source, str(source.relative_to(root.parent)))
+    # addPyFile copies the archive from the driver to every executor
+    context.addPyFile(str(archive))
+    _shipped.add(context.applicationId)
