@@ -10,8 +10,6 @@ from pyspark.sql import Column, functions as F
 
 from karst.functions.expressions import lit
 
-_NUMBER = "^(BIGINT|DECIMAL.*|DOUBLE|FLOAT)$"
-
 
 def json_path(*keys: str) -> str:
     """``$["k1"]["k2"]`` for a sequence of object keys."""
@@ -36,29 +34,39 @@ def _at(expr: Column, path) -> Column:
     return F.try_variant_get(F.try_parse_json(expr), json_path(*_flatten(path)), "variant")
 
 
-def _typed(expr: Column, path, kinds: str, target: str) -> Column:
+def _typed(expr: Column, path, is_kind, target: str) -> Column:
+    """Value at the path if its JSON kind fits.
+
+    Indexing a one-element array keeps both parts unconditional, so the text
+    is parsed once per row; a CASE would parse it a second time.
+    """
     value = _at(expr, path)
-    return F.when(F.schema_of_variant(value).rlike(kinds), F.try_variant_get(value, "$", target))
+    return F.get(F.array(F.try_variant_get(value, "$", target)),
+                 F.when(is_kind(F.schema_of_variant(value)), F.lit(0)))
+
+
+def _is_number(kind: Column) -> Column:
+    return kind.isin("BIGINT", "DOUBLE", "FLOAT") | kind.startswith("DECIMAL")
 
 
 def json_get_str(expr: Column, *path) -> Column:
     """String at a key path."""
-    return _typed(expr, path, "^STRING$", "string")
+    return _typed(expr, path, lambda kind: kind == "STRING", "string")
 
 
 def json_get_int(expr: Column, *path) -> Column:
     """64-bit integer at a key path."""
-    return _typed(expr, path, "^BIGINT$", "bigint")
+    return _typed(expr, path, lambda kind: kind == "BIGINT", "bigint")
 
 
 def json_get_float(expr: Column, *path) -> Column:
     """Double at a key path; integers widen."""
-    return _typed(expr, path, _NUMBER, "double")
+    return _typed(expr, path, _is_number, "double")
 
 
 def json_get_bool(expr: Column, *path) -> Column:
     """Boolean at a key path."""
-    return _typed(expr, path, "^BOOLEAN$", "boolean")
+    return _typed(expr, path, lambda kind: kind == "BOOLEAN", "boolean")
 
 
 def json_contains(expr: Column, *path) -> Column:

@@ -28,11 +28,7 @@ def write_range_layout(df: DataFrame, columns: Sequence[str], path: str, partiti
     spread = df.withColumn("_spread", F.xxhash64(F.monotonically_increasing_id()))
     cut = [*keys, F.col("_spread")]
     ranged = spread.repartitionByRange(partitions, *cut) if partitions else spread.repartitionByRange(*cut)
-    writer = ranged.sortWithinPartitions(*keys).drop("_spread").write
-    for name in columns:
-        writer = (writer.option(f"parquet.bloom.filter.enabled#{name}", "true")
-                  .option("parquet.bloom.filter.adaptive.enabled", "true"))
-    writer.parquet(path)
+    ranged.sortWithinPartitions(*keys).drop("_spread").write.parquet(path)
 
 
 def write_value_layout(df: DataFrame, column: str, path: str, rows_per_task: int = 5_000_000) -> None:

@@ -19,15 +19,17 @@ _LINES = (".jsonl", ".ndjson")
 # Hint types an imported column can take.
 _SCALARS = (T.BooleanType, T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.StringType)
 
-# Kinds of a JSON value, from the type name its variant reports.
+# Kinds of a JSON value, from the type name its variant reports.  Integers
+# beyond 64 bits arrive as decimals of at least 19 digits without a fraction.
 _KIND = """
-CASE WHEN {s} = 'VOID' THEN 'null'
-     WHEN {s} = 'BOOLEAN' THEN 'bool'
-     WHEN {s} = 'BIGINT' THEN 'int'
-     WHEN {s} = 'STRING' THEN 'string'
-     WHEN {s} LIKE 'ARRAY%' THEN 'list'
-     WHEN {s} LIKE 'OBJECT%' THEN 'object'
-     WHEN {s} LIKE 'DECIMAL%' AND to_json({v}) RLIKE '^-?[0-9]+$' AND length(to_json({v})) >= 18 THEN 'bigint'
+CASE WHEN s = 'BIGINT' THEN 'int'
+     WHEN s = 'STRING' THEN 'string'
+     WHEN s = 'VOID' THEN 'null'
+     WHEN s = 'BOOLEAN' THEN 'bool'
+     WHEN s LIKE 'ARRAY%' THEN 'list'
+     WHEN s LIKE 'OBJECT%' THEN 'object'
+     WHEN s = 'NOT_OBJECT' THEN 'not_object'
+     WHEN s RLIKE '^DECIMAL[(](19|2[0-9]|3[0-8]),0[)]$' THEN 'bigint'
      ELSE 'float' END"""
 
 
@@ -35,17 +37,18 @@ class JsonImportError(ValueError):
     pass
 
 
-def documents(spark: SparkSession, path: str | list[str], jsonlines: bool | None = None) -> DataFrame:
-    """One variant ``v`` per document: a line of JSON Lines (splittable), or a whole file."""
-    first = path if isinstance(path, str) else path[0]
-    if jsonlines is None:
-        jsonlines = first.rstrip("/").endswith(_LINES)
-    text = spark.read.text(path) if jsonlines else spark.read.text(path, wholetext=True)
-    if jsonlines:
-        text = text.filter(F.trim("value") != "")
+def parse(text: DataFrame) -> DataFrame:
+    """One variant ``v`` per document of a text column ``value``."""
     return text.select(F.parse_json("value").alias("v"))
 
 
+def document_text(spark: SparkSession, path: str | list[str], jsonlines: bool) -> DataFrame:
+    """Lines of JSON Lines files (splittable), or one row per whole file."""
+    if jsonlines:
+        return spark.read.text(path).filter(F.trim("value") != "")
+    return spark.read.text(path, wholetext=True)
+
+
 def _explode(df: DataFrame, variant: str, *names: str) -> DataFrame:
     """(key, value) pairs or items of a variant object or array, next to the kept columns."""
     return df.lateralJoin(
@@ -55,45 +58,49 @@ def _explode(df: DataFrame, variant: str, *names: str) -> DataFrame:
 
 def row_objects(docs: DataFrame, jsonlines: bool = False) -> DataFrame:
     """One row object per row (column ``r``), from lines or arrays of objects."""
-    kind = F.schema_of_variant("v")
     if jsonlines:
         return docs.select(F.col("v").alias("r"))
-    guarded = docs.select(F.when(kind.startswith("ARRAY"), F.col("v")).otherwise(
-        F.raise_error(F.lit("expected an array of row objects")).cast("variant")).alias("v"))
-    return _explode(guarded, "v", "_pos", "_key", "r").select("r")
+    # an empty array has no rows; the outer explode gives it one without a position
+    return _explode(docs, "v", "_pos", "_key", "r").filter("_pos IS NOT NULL").select("r")
 
 
-def _number_of(kind: str, value: str) -> str:
-    """Facts about numbers, for promotion and conversion checks."""
-    double = f"try_variant_get({value}, '$', 'double')"
-    whole = f"try_variant_get({value}, '$', 'bigint')"
-    return (f"count_if({kind} = 'int' AND {whole} NOT IN (9223372036854775807) "
-            f"AND CAST({double} AS DECIMAL(38,0)) <> CAST({whole} AS DECIMAL(38,0)))")
+def _with_items(pairs: DataFrame) -> DataFrame:
+    """(name, item, value): every value, and for a list its items as well, in one pass."""
+    own = F.array(F.struct(F.lit(False).alias("item"), F.col("value")))
+    inside = F.transform(F.try_variant_get("value", "$", "array<variant>"),
+                         lambda x: F.struct(F.lit(True).alias("item"), x.alias("value")))
+    return (pairs.select(*[c for c in pairs.columns if c != "value"],
+                         F.explode(F.concat(own, F.coalesce(inside, F.array().cast(
+                             "array<struct<item:boolean,value:variant>>")))).alias("x"))
+            .select("*", "x.item", "x.value").drop("x"))
 
 
 def type_audit(objects: DataFrame) -> DataFrame:
     """Kinds of values per column: one row per (column, list item?, kind).
 
-    ``inexact`` counts integers a double cannot hold.  Counts combine on the
-    map side, so the shuffle carries a few rows per task.
+    ``inexact`` counts integers a double cannot hold, ``fractions`` numbers
+    that are not whole.  Counts combine on the map side, so the shuffle carries
+    a few rows per task.
     """
-    pairs = _explode(objects.select("r"), "r", "_pos", "name", "value").select("name", "value")
-    scalar = pairs.select("name", F.lit(False).alias("item"), "value", F.schema_of_variant("value").alias("s"))
-    lists = scalar.filter(F.col("s").startswith("ARRAY"))
-    items = (_explode(lists, "value", "_pos", "_key", "element")
-             .filter("_pos IS NOT NULL")
-             .select("name", F.lit(True).alias("item"), F.col("element").alias("value"),
-                     F.schema_of_variant("element").alias("s")))
-    return _count_kinds(scalar.unionByName(items))
+    pairs = _explode(objects.select("r"), "r", "_pos", "name", "value")
+    # rows that are no objects come out without a name, and so do empty objects
+    whole = F.when(F.col("name").isNull(), F.when(F.schema_of_variant("r").startswith("OBJECT"), "VOID")
+                   .otherwise("NOT_OBJECT"))
+    values = _with_items(pairs.select("name", whole.alias("whole"), "value"))
+    return _count_kinds(values.select("name", "item", "value", F.coalesce("whole", F.schema_of_variant("value")).alias("s")))
 
 
 def _count_kinds(values: DataFrame) -> DataFrame:
     """Counts per (name, item, kind) of columns (name, item, value, s)."""
-    kinds = values.withColumn("kind", F.expr(_KIND.format(s="s", v="value")))
+    kinds = values.withColumn("kind", F.expr(_KIND))
+    # CASE keeps the casts away from values of other kinds, where they would fail slowly
+    whole = "variant_get(value, '$', 'bigint')"
+    number = "variant_get(value, '$', 'double')"
     return kinds.groupBy("name", "item", "kind").agg(
-        F.count("*").alias("n"), F.expr(_number_of("kind", "value")).alias("inexact"),
-        F.expr("count_if(kind = 'float' AND try_variant_get(value, '$', 'double') <> "
-               "floor(try_variant_get(value, '$', 'double')))").alias("fractions"))
+        F.count("*").alias("n"),
+        F.expr(f"count_if(CASE WHEN kind = 'int' THEN CAST({number} AS DECIMAL(38,0)) <> CAST({whole} AS DECIMAL(38,0)) "
+               "ELSE false END)").alias("inexact"),
+        F.expr(f"count_if(CASE WHEN kind = 'float' THEN {number} <> floor({number}) ELSE false END)").alias("fractions"))
 
 
 def _scalar_type(name: str, kinds: Mapping[str, Mapping], hint: T.DataType | None) -> T.DataType:
@@ -148,26 +155,19 @@ def read_json(spark: SparkSession, path: str | list[str], jsonlines: bool | None
     """
     first = path if isinstance(path, str) else path[0]
     lines = first.rstrip("/").endswith(_LINES) if jsonlines is None else jsonlines
-    docs = documents(spark, path, lines)
-    if lines:
-        objects = row_objects(docs, True)
-    else:
-        kinds = [r[0] for r in docs.select(F.expr(
-            "CASE WHEN schema_of_variant(v) LIKE 'ARRAY%' THEN 'rows' "
-            "WHEN schema_of_variant(v) LIKE 'OBJECT%' THEN 'columns' ELSE 'other' END")).distinct().collect()]
-        if kinds == ["columns"]:
-            return _from_columns(docs, types, vector_columns)
-        if kinds != ["rows"]:
+    text = document_text(spark, path, lines)
+    if not lines:
+        # the first character tells the form, so nothing is parsed for this
+        openings = {r[0] for r in text.select(F.regexp_extract("value", r"\S", 0)).distinct().collect()}
+        if openings == {"{"}:
+            return _from_columns(parse(text), types, vector_columns)
+        if openings != {"["}:
             raise JsonImportError("expected an array of row objects or an object of column arrays")
-        objects = row_objects(docs)
-    return typed_rows(objects, types, vector_columns)
+    return typed_rows(row_objects(parse(text), lines), types, vector_columns)
 
 
 def typed_rows(objects: DataFrame, types=None, vector_columns: Sequence[str] = ()) -> DataFrame:
     """Audit row objects (column ``r``) and cast them to one schema."""
-    bad = objects.filter(~F.coalesce(F.schema_of_variant("r").startswith("OBJECT"), F.lit(False)))
-    if bad.first() is not None:
-        raise JsonImportError("JSON rows must be objects")
     schema = _plan(type_audit(objects), types, vector_columns)
     columns = [_cast(F.col("r"), name, dtype).alias(name) for name, dtype in schema.items()]
     return _check_vectors(objects.select(*columns), vector_columns)
@@ -179,7 +179,9 @@ def _plan(audit: DataFrame, types, vector_columns: Sequence[str]) -> dict[str, T
     found: dict[str, dict[bool, dict[str, dict]]] = {}
     for row in audit.collect():
         found.setdefault(row["name"], {False: {}, True: {}})[row["item"]][row["kind"]] = row.asDict()
-    found.pop(None, None)
+    nameless = found.pop(None, None)
+    if nameless and "not_object" in nameless[False]:
+        raise JsonImportError("JSON rows must be objects")
     if not found:
         if not hints:
             raise JsonImportError("the JSON has no columns; give types for an empty array")
@@ -262,16 +264,11 @@ def _from_columns(docs: DataFrame, types, vector_columns: Sequence[str]) -> Data
 
 
 def _audit_cells(cells: DataFrame, parts: DataFrame) -> DataFrame:
-    scalar = cells.select("name", F.lit(False).alias("item"), F.col("cell").alias("value"),
-                          F.schema_of_variant("cell").alias("s"))
-    items = (_explode(scalar.filter(F.col("s").startswith("ARRAY")), "value", "_pos", "_key", "element")
-             .filter("_pos IS NOT NULL")
-             .select("name", F.lit(True).alias("item"), F.col("element").alias("value"),
-                     F.schema_of_variant("element").alias("s")))
     # a column with no rows still has a name
     named = parts.select("name", F.lit(False).alias("item"), F.expr("parse_json('null')").alias("value"),
                          F.lit("VOID").alias("s"))
-    return _count_kinds(scalar.unionByName(items).unionByName(named))
+    values = _with_items(cells.select("name", F.col("cell").alias("value")))
+    return _count_kinds(values.withColumn("s", F.schema_of_variant("value")).unionByName(named))
 
 
 def audit_report(objects: DataFrame) -> DataFrame:
