@@ -11,14 +11,12 @@ from collections.abc import Callable, Iterable, Sequence
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from karst.operators import numbering
 from karst.operators.bounds import left_join_unique, quoted
 from karst.operators.lookup import POS, _id_type, check_ids, projection, request_frame, take_ids
 from karst.operators.mutate import check_unique
-from karst.operators.numbering import number_rows
 from karst.operators.scan import check_count
 
-TOP_N = 100_000
-
 
 def shuffle_key(seed: int, value: Column) -> Column:
     """Pseudo-random sort key that depends on the seed and the id only, so any
@@ -50,9 +48,9 @@ def id_manifest(df: DataFrame, id_column: str = "id", ids: DataFrame | Iterable
     if seed is None:
         if POS in base.columns:
             return base.select(POS, F.col(quoted(id_column)))
-        return number_rows(base.select(F.col(quoted(id_column))), [id_column], POS)
+        return numbering.number_rows(base.select(F.col(quoted(id_column))), [id_column], POS)
     keyed = base.select(F.col(quoted(id_column)), shuffle_key(seed, F.col(quoted(id_column))).alias("_key"))
-    return number_rows(keyed, ["_key", id_column], POS, keep=[id_column])
+    return numbering.number_rows(keyed, ["_key", id_column], POS, keep=[id_column])
 
 
 def rows_at(df: DataFrame, manifest: DataFrame, positions: DataFrame | Sequence[int], id_column: str = "id",
@@ -147,13 +145,10 @@ def sample_rows(df: DataFrame, n: int, id_column: str = "id", replace: bool = Fa
     if not replace:
         if n > size:
             raise ValueError("the sample exceeds the dataset; use replace=True")
-        if n <= TOP_N:
-            chosen = (base.select(key, shuffle_key(seed, key).alias("_key"))
-                      .orderBy("_key", key).limit(n).select(key))
-        else:
-            chosen = id_manifest(df, id_column, base, seed, check=False).filter(F.col(POS) <= n).select(key)
+        keyed = base.select(key, shuffle_key(seed, key).alias("_key"))
+        chosen = numbering.smallest(keyed, ["_key", id_column], n).select(key)
         wide = df.select(*[F.col(quoted(c)) for c in dict.fromkeys([id_column, *names])])
-        small = F.broadcast(chosen) if n <= TOP_N else chosen
+        small = F.broadcast(chosen) if n <= numbering.TOP_N else chosen
         return wide.join(small, id_column, "left_semi").select(*[F.col(quoted(c)) for c in names])
     if manifest is None:
         manifest = id_manifest(df, id_column, check=False)

@@ -20,6 +20,7 @@ from karst.functions import kernels
 from karst.functions.codes import CODE_WORDS, Cells, ProductCodes, ScalarCodes, lloyd
 from karst.functions.metrics import check_metric, query_vector
 from karst.operators.bounds import quoted
+from karst.operators.numbering import TOP_N, smallest
 from karst.operators.scan import where as apply_where
 from karst.operators.search import DISTANCE, knn
 from karst.schema import VECTOR_DIM
@@ -273,15 +274,17 @@ def code_search(layout: DataFrame, cells: Cells, codec: ProductCodes | ScalarCod
             near = kernels.candidates(values, max(wanted, 1))
             part = pa.Table.from_batches([batch.select(carried)]).take(pa.array(near))
             part = part.append_column(DISTANCE, pa.array((values[near] + 0.0).astype(np.float32)))
+            if wanted > TOP_N:
+                yield from part.combine_chunks().to_batches()
+                continue
             best = part if best is None else pa.concat_tables([best, part])
             best = best.take(_order(best, order)[:max(wanted, 1)])
         if best is not None:
             yield from best.combine_chunks().to_batches()
 
     schema = T.StructType([layout.schema[c] for c in carried] + [T.StructField(DISTANCE, T.FloatType())])
-    tie = [F.col(quoted(c)) for c in order]
-    found = (rows.select(*[F.col(quoted(c)) for c in dict.fromkeys([*carried, CODE])]).mapInArrow(scan, schema)
-             .orderBy(DISTANCE, *tie).limit(wanted))
+    scored = rows.select(*[F.col(quoted(c)) for c in dict.fromkeys([*carried, CODE])]).mapInArrow(scan, schema)
+    found = smallest(scored, [DISTANCE, *order], wanted)
     # full rows only for the candidates: the join carries k * factor row numbers
     picked = found.select(FRAGMENT, ROW, BUCKET, CELL, F.col(DISTANCE).alias("_approximate"))
     full = rows.join(picked, [FRAGMENT, ROW, BUCKET, CELL])
@@ -289,8 +292,7 @@ def code_search(layout: DataFrame, cells: Cells, codec: ProductCodes | ScalarCod
         result = knn(full.drop("_approximate"), target, k, column, metric=cells.metric, key=key, select=names,
                      offset=offset, where=None if prefilter else where, prefilter=prefilter)
         return result
-    top = full.withColumnRenamed("_approximate", DISTANCE).orderBy(DISTANCE, *tie)
-    top = top.offset(offset).limit(k) if offset else top.limit(k)
+    top = smallest(full.withColumnRenamed("_approximate", DISTANCE), [DISTANCE, *order], k, offset)
     if not prefilter:
         top = apply_where(top, where)
     return top.select(*[F.col(quoted(c)) for c in names], DISTANCE)

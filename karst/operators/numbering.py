@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from karst.operators.bounds import quoted
 from karst.session import materialise
 
+TOP_N = 100_000      # rows one task may collect for a top-k
+
 
 def number_rows(df: DataFrame, order: Sequence[str], name: str = "pos", start: int = 1,
                 keep: Sequence[str] | None = None) -> DataFrame:
@@ -34,3 +36,18 @@ def number_rows(df: DataFrame, order: Sequence[str], name: str = "pos", start: i
     return (written.withColumn("_part", part).join(F.broadcast(offsets), "_part")
             .withColumn(name, F.col("_before") + local + F.lit(start))
             .drop("_part", "_slot", "_before"))
+
+
+def smallest(df: DataFrame, order: Sequence[str], limit: int, offset: int = 0) -> DataFrame:
+    """The rows after the first ``offset`` and up to ``limit`` more, in the order of some columns.
+
+    A small prefix is a top-k that every task cuts first.  A prefix of millions
+    is numbered by a range shuffle instead, so no single task holds it.
+    """
+    columns: list[Column] = [F.col(quoted(c)) for c in order]
+    if limit + offset <= TOP_N:
+        top = df.orderBy(*columns)
+        return (top.offset(offset) if offset else top).limit(limit)
+    numbered = number_rows(df, order, "_place")
+    return (numbered.filter((F.col("_place") > offset) & (F.col("_place") <= offset + limit))
+            .orderBy("_place").drop("_place"))

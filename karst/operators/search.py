@@ -12,12 +12,11 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from karst.functions import kernels
 from karst.functions.metrics import check_metric, distance, literal_vector, query_vector
 from karst.operators.bounds import BROADCAST_BYTES, quoted
+from karst.operators.numbering import TOP_N, smallest
 from karst.operators.scan import check_count, where as apply_where
 from karst.schema import VECTOR_DIM, is_numeric, is_vector_type
 
 DISTANCE = "_distance"
-QUERY_BLOCK = 16_384    # rows per side of one co-grouped task
-VECTOR_BLOCK = 131_072
 QUERY_SLICE = 512       # size of one matrix product inside a task
 VECTOR_SLICE = 8192
 
@@ -71,7 +70,12 @@ def _best(table: pa.Table, k: int, order: list[str]) -> pa.Table:
 
 def top_k_batches(query: np.ndarray, column: str, metric: str, k: int, order: list[str],
                   keep: list[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Partition function that keeps the k nearest rows and emits them once."""
+    """Partition function that keeps the k nearest rows and emits them once.
+
+    A very large k is not kept in memory: every row is emitted with its distance.
+    """
+
+    trim = k <= TOP_N
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best: pa.Table | None = None
@@ -86,6 +90,9 @@ def top_k_batches(query: np.ndarray, column: str, metric: str, k: int, order: li
                 continue
             picked = pa.Table.from_batches([batch.select(keep)]).take(pa.array(rows[near]))
             picked = picked.append_column(DISTANCE, pa.array((values[near] + 0.0).astype(np.float32)))
+            if not trim:
+                yield from picked.combine_chunks().to_batches()
+                continue
             best = picked if best is None else pa.concat_tables([best, picked])
             best = _best(best, k, order)
         if best is not None:
@@ -134,10 +141,7 @@ def knn(df: DataFrame, query, k: int, column: str | None = None, metric: str = "
                   .filter(F.col(DISTANCE).isNotNull()))
     else:
         raise ValueError("engine must be 'arrow' or 'columns'")
-    top = scored.orderBy(DISTANCE, *[F.col(quoted(c)) for c in order])
-    if offset:
-        top = top.offset(offset)
-    top = top.limit(k)
+    top = smallest(scored, [DISTANCE, *order], k, offset)
     if not prefilter:
         top = apply_where(top, where)
     return top.select(*[F.col(quoted(c)) for c in wanted], DISTANCE)
@@ -189,17 +193,17 @@ def _blocks(ids: pa.Array, points: np.ndarray, metric: str, k: int, names: tuple
 
 def knn_join(queries: DataFrame, vectors: DataFrame, k: int, query_key: str, vector_key: str,
              query_column: str, vector_column_name: str, metric: str = "l2",
-             query_block: int = QUERY_BLOCK, vector_block: int = VECTOR_BLOCK,
-             broadcast_queries: int | None = None) -> DataFrame:
+             query_block: int | None = None, vector_block: int | None = None,
+             broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """The ``k`` nearest ``vectors`` of every row of ``queries``.
 
-    Returns the two keys and ``_distance``.  Up to ``broadcast_queries``
-    queries (a share of the broadcast limit by default) are shipped to the
-    tasks that scan the vectors, so the vector table is read once and never
-    shuffled.  More queries than that are split into blocks, as are the
-    vectors, and Spark co-groups each pair of blocks in its own task.  Both
-    ways score block against block with one matrix product and emit k rows per
-    query and block, so pairs are never materialised.
+    Returns the two keys and ``_distance``.  Queries measured to fit
+    ``broadcast_bytes`` are shipped to the tasks that scan the vectors, so the
+    vector table is read once and never shuffled.  More queries than that are
+    split into blocks of that size, as are the vectors, and Spark co-groups
+    each pair of blocks in its own task.  Both ways score block against block
+    with matrix products and emit k rows per query and block, so pairs are
+    never materialised.
     """
     check_count(k, "k", 1)
     metric = check_metric(metric)
@@ -212,15 +216,15 @@ def knn_join(queries: DataFrame, vectors: DataFrame, k: int, query_key: str, vec
     schema = T.StructType([T.StructField(query_key, queries.schema[query_key].dataType),
                            T.StructField(vector_key, vectors.schema[vector_key].dataType),
                            T.StructField(DISTANCE, T.FloatType())])
-    probe = q.agg(F.count("*").alias("n"), F.max(F.size("_q")).alias("dim"), F.min(F.size("_q")).alias("lo")).first()
+    probe = q.agg(F.count("*").alias("n"), F.max(F.size("_q")).alias("dim"), F.min(F.size("_q")).alias("lo"),
+                  F.sum(F.octet_length(F.col(quoted(query_key)).cast("string"))).alias("key_bytes")).first()
     if not probe["n"]:
         return queries.sparkSession.createDataFrame([], schema)
     dim = probe["dim"]
     if dim != probe["lo"] or dim == 0:
         raise ValueError("query vectors need one positive dimension")
-    limit = broadcast_queries if broadcast_queries is not None else BROADCAST_BYTES // (8 * dim + 64)
 
-    if probe["n"] <= limit:
+    if probe["n"] * (8 * dim + 16) + (probe["key_bytes"] or 0) <= broadcast_bytes:
         table = q.toArrow()
         ids = table[query_key].combine_chunks()
         points, _ = kernels.matrix(table["_q"], dim)
@@ -241,6 +245,8 @@ def knn_join(queries: DataFrame, vectors: DataFrame, k: int, query_key: str, vec
 
         found = v.mapInArrow(scan, schema)
     else:
+        query_block = query_block or max(1, BROADCAST_BYTES // (8 * dim))
+        vector_block = vector_block or max(1, BROADCAST_BYTES // (8 * dim))
         n_q = -(-probe["n"] // query_block)
         n_v = max(1, -(-v.count() // vector_block))
 

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from karst.functions.metrics import check_metric
 from karst.operators import cells as C
 from karst.operators import layouts as L
+from karst.operators.numbering import smallest
 from karst.operators.scan import where as apply_where
 from karst.operators.search import DISTANCE, knn, vector_column
 from karst.plans import files
@@ -290,8 +291,7 @@ class Indexes:
         rest = self.uncovered(record)
         if rest is not None:
             found = found.unionByName(knn(rest, query, k + offset, column, metric=cells.metric, **common))
-        found = found.orderBy(DISTANCE, *[F.col(f"`{c}`") for c in order])
-        found = found.offset(offset).limit(k) if offset else found.limit(k)
+        found = smallest(found, [DISTANCE, *order], k, offset)
         if not prefilter:
             found = apply_where(found, where)
         return found.select(*[f"`{c}`" for c in names], DISTANCE)

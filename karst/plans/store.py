@@ -397,14 +397,12 @@ class Table:
 
     def list_versions(self) -> DataFrame:
         """History, oldest first, with the exact time in seconds and nanoseconds."""
-        rows = []
-        for version in self.log.versions():
-            record = self.log.read(version)
-            seconds, nanos = divmod(record.timestamp_ns, 1_000_000_000)
-            rows.append((record.version, record.operation, seconds, nanos, {**record.summary}))
-        frame = self.spark.createDataFrame(
-            rows, "version bigint, operation string, timestamp_seconds bigint, timestamp_nanos int, "
-                  "metadata map<string,string>")
+        records = (self.spark.read.option("pathGlobFilter", "*.json").option("multiLine", True)
+                   .schema("version bigint, operation string, timestamp_ns bigint, summary map<string,string>")
+                   .json(self.log.path))
+        frame = records.select(
+            "version", "operation", F.expr("timestamp_ns div 1000000000").alias("timestamp_seconds"),
+            (F.col("timestamp_ns") % 1_000_000_000).cast("int").alias("timestamp_nanos"), F.col("summary").alias("metadata"))
         millis = F.col("timestamp_seconds") * 1000 + F.expr("timestamp_nanos div 1000000")
         stamp = F.expr("timestamp_ntz'1970-01-01 00:00:00'") + F.make_dt_interval(
             secs=(millis / F.lit(1000)).cast("decimal(18,6)"))

@@ -40,9 +40,23 @@ def scratch_root(spark: SparkSession) -> str:
     return root
 
 
+def _application_folder(spark: SparkSession) -> str:
+    return f"{scratch_root(spark)}/karst-{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new, unused path below the scratch folder."""
-    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    """A new, unused path in this application's part of the scratch folder."""
+    return f"{_application_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete what this application wrote to the scratch folder.
+
+    Call it when no DataFrame built on intermediate tables (manifests, batches,
+    embeddings) is needed any more.
+    """
+    from karst.plans import files
+    files.delete(spark, _application_folder(spark))
 
 
 def posix_path(path: str) -> str:

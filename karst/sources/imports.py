@@ -6,9 +6,12 @@ nothing behind.
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from karst.plans.store import Database, Table
+from karst.schema import SchemaMismatch
 from karst.sources.csv import read_csv
-from karst.sources.json import read_json
+from karst.sources.json import JsonImportError, read_json
 from karst.sources.sqlite import read_sqlite
 
 
@@ -32,14 +35,16 @@ def import_csv(target: Database | Table, source, name: str | None = None, **opti
 
 def import_json(target: Database | Table, source, name: str | None = None, jsonlines: bool | None = None,
                 types=None, vector_columns=()) -> Table:
-    frame = read_json(target.spark, source, jsonlines, types, vector_columns)
+    frame = read_json(target.spark, source, jsonlines, types, vector_columns, check_vectors=False)
     if isinstance(target, Table):
         # absent fields are null; columns the input does not mention exist in the table
-        from pyspark.sql import functions as F
         for field in target.schema.fields:
             if field.name not in frame.columns:
                 frame = frame.withColumn(field.name, F.lit(None).cast(field.dataType))
-    return _store(target, name, frame, list(vector_columns))
+    try:
+        return _store(target, name, frame, list(vector_columns))
+    except SchemaMismatch as error:
+        raise JsonImportError(str(error)) from error
 
 
 def import_sqlite(target: Database | Table, path: str, name: str | None = None, source_table: str | None = None,

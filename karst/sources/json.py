@@ -145,14 +145,16 @@ def _as_type(hint) -> T.DataType:
 
 def read_json(spark: SparkSession, path: str | list[str], jsonlines: bool | None = None,
               types: Mapping[str, str | T.DataType] | None = None,
-              vector_columns: Sequence[str] = ()) -> DataFrame:
+              vector_columns: Sequence[str] = (), check_vectors: bool = True) -> DataFrame:
     """Rows of JSON files: arrays of row objects, objects of column arrays, or JSON Lines.
 
     Absent and null fields are null.  Integers stay 64-bit, numbers promote to
     double if no integer loses precision, mixed kinds and nested objects raise.
     Arrays become lists; ``vector_columns`` must hold finite vectors of one
-    length, as floats unless ``types`` asks for ``array<double>``.
+    length, as floats unless ``types`` asks for ``array<double>``.  A caller that
+    checks vectors while writing them passes ``check_vectors=False``.
     """
+    checked = vector_columns if check_vectors else ()
     first = path if isinstance(path, str) else path[0]
     lines = first.rstrip("/").endswith(_LINES) if jsonlines is None else jsonlines
     text = document_text(spark, path, lines)
@@ -160,17 +162,17 @@ def read_json(spark: SparkSession, path: str | list[str], jsonlines: bool | None
         # the first character tells the form, so nothing is parsed for this
         openings = {r[0] for r in text.select(F.regexp_extract("value", r"\S", 0)).distinct().collect()}
         if openings == {"{"}:
-            return _from_columns(parse(text), types, vector_columns)
+            return _check_vectors(_from_columns(parse(text), types, vector_columns), checked)
         if openings != {"["}:
             raise JsonImportError("expected an array of row objects or an object of column arrays")
-    return typed_rows(row_objects(parse(text), lines), types, vector_columns)
+    return _check_vectors(typed_rows(row_objects(parse(text), lines), types, vector_columns), checked)
 
 
 def typed_rows(objects: DataFrame, types=None, vector_columns: Sequence[str] = ()) -> DataFrame:
     """Audit row objects (column ``r``) and cast them to one schema."""
     schema = _plan(type_audit(objects), types, vector_columns)
     columns = [_cast(F.col("r"), name, dtype).alias(name) for name, dtype in schema.items()]
-    return _check_vectors(objects.select(*columns), vector_columns)
+    return objects.select(*columns)
 
 
 def _plan(audit: DataFrame, types, vector_columns: Sequence[str]) -> dict[str, T.DataType]:
@@ -260,7 +262,7 @@ def _from_columns(docs: DataFrame, types, vector_columns: Sequence[str]) -> Data
             out.append(F.variant_get(cell, "$", "array<double>").cast("array<float>").alias(name))
         else:
             out.append(F.variant_get(cell, "$", dtype.simpleString()).alias(name))
-    return _check_vectors(zipped.select(*out), vector_columns)
+    return zipped.select(*out)
 
 
 def _audit_cells(cells: DataFrame, parts: DataFrame) -> DataFrame:

@@ -127,7 +127,7 @@ def knn_join_blocks(spark, sf):
     vectors = _embeddings(spark, sf)
     queries = vectors.select(F.col("vec_id").alias("qid"), "embedding")
     return rounded(knn_join(queries, vectors, 3, "qid", "vec_id", "embedding", "embedding", "cosine",
-                            query_block=400, vector_block=400, broadcast_queries=0))
+                            query_block=400, vector_block=400, broadcast_bytes=0))
 
 
 # ------------------------------------------------------------------ embeddings

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from karst import functions as K
 from karst.operators.batches import batches, id_manifest, rows_at, sample_rows, transform_batches
+from karst.operators import numbering
 from karst.operators.bounds import fits_broadcast, left_join_unique, with_salt
 from karst.operators.lookup import check_ids, stored_duplicates, take_ids
 from karst.operators.mutate import DuplicateKeys, delete_rows, duplicate_keys, merge_insert
@@ -197,14 +198,13 @@ def test_batches_cover_every_row_once(spark, samples):
 
 
 def test_samples(samples, monkeypatch):
-    from karst.operators import batches as module
     a = pairs(sample_rows(samples, 3, seed=1, columns=["id"]))
     assert a == pairs(sample_rows(samples.repartition(9), 3, seed=1, columns=["id"])) and len(set(a)) == 3
     assert len(set(pairs(sample_rows(samples, 7, seed=2, columns=["id"])))) == 7
     drawn = sample_rows(samples, 40, replace=True, seed=3).collect()
     assert len(drawn) == 40 and len({r.id for r in drawn}) > 1
     assert sample_rows(samples, 0).count() == 0
-    monkeypatch.setattr(module, "TOP_N", 2)
+    monkeypatch.setattr(numbering, "TOP_N", 2)
     assert pairs(sample_rows(samples, 3, seed=1, columns=["id"])) == a
     for call in (lambda: sample_rows(samples, 8), lambda: sample_rows(samples, -1),
                  lambda: sample_rows(samples.limit(0), 1, replace=True)):

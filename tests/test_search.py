@@ -82,6 +82,17 @@ def test_plan_is_a_bounded_top_k(cloud, spark, tmp_path):
     assert "TakeOrderedAndProject" in text and "In(label, [1,2])" in text and "Exchange" not in text
 
 
+def test_very_large_k_is_not_gathered(cloud, monkeypatch):
+    from karst.operators import numbering, search
+    points, df = cloud
+    wanted = brute(points, points[0], 400)
+    monkeypatch.setattr(numbering, "TOP_N", 50)
+    monkeypatch.setattr(search, "TOP_N", 50)
+    for offset in (0, 100):
+        found = knn(df, points[0], 300, "vec", key="id", select=["id"], offset=offset).collect()
+        assert [r.id for r in found] == [i for i, _ in wanted[offset:offset + 300]]
+
+
 def test_argument_rules(basis, spark):
     for call in (lambda: knn(basis, [1, 0], 1, "absent"), lambda: knn(basis, [], 1, "vec"),
                  lambda: knn(basis, [1e100, 0, 0, 0], 1, "vec"), lambda: knn(basis, [1, 0, 0, 0], -1, "vec"),
@@ -112,7 +123,7 @@ def test_hamming_on_codes_and_bytes(spark):
         assert [(r._distance, r.id) for r in found] == wanted
 
 
-@pytest.mark.parametrize("options", [{}, {"broadcast_queries": 0, "query_block": 70, "vector_block": 300}])
+@pytest.mark.parametrize("options", [{}, {"broadcast_bytes": 0, "query_block": 70, "vector_block": 300}])
 @pytest.mark.parametrize("metric", ["l2", "dot"])
 def test_knn_join_matches_brute_force(cloud, options, metric):
     points, df = cloud
