@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 # Candidates this close to the k-th distance are kept until they are compared
 # at the stored (float) width, so rounding never decides who is in the top k.
@@ -105,3 +106,28 @@ def nearest_rows(centres: np.ndarray, vectors: np.ndarray) -> np.ndarray:
     scores = vectors.astype(np.float64) @ (-2.0 * centres.astype(np.float64).T)
     scores += np.einsum("ij,ij->i", centres, centres)[None, :]
     return scores.argmin(1)
+
+
+def without_surplus_copies(ids: pa.Array, vectors: np.ndarray, k: int) -> tuple[pa.Array, np.ndarray]:
+    """Drop copies of a vector beyond the k with the smallest ids.
+
+    Copies have the same distance to every query and ties go to the smaller
+    id, so the dropped rows cannot be among anyone's k nearest.
+    """
+    if len(vectors) <= k:
+        return ids, vectors
+    rows = np.ascontiguousarray(vectors)
+    raw = rows.view(np.uint8).reshape(len(rows), -1)
+    words = raw.view(np.uint64) if raw.shape[1] % 8 == 0 else raw.astype(np.uint64)
+    weights = np.random.default_rng(0).integers(1, 1 << 62, words.shape[1], dtype=np.uint64) | np.uint64(1)
+    sums = (words * weights).sum(1)
+    if np.unique(sums, return_counts=True)[1].max() <= k:
+        return ids, vectors           # no sum is that frequent, so no vector is
+    _, group = np.unique(raw.view(np.dtype((np.void, raw.shape[1]))).ravel(), return_inverse=True)
+    order = pc.sort_indices(pa.table({"g": pa.array(group.ravel()), "id": ids}),
+                            sort_keys=[("g", "ascending"), ("id", "ascending")]).to_numpy()
+    ordered = group.ravel()[order]
+    starts = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
+    rank = np.arange(len(ordered)) - np.repeat(starts, np.diff(np.r_[starts, len(ordered)]))
+    keep = np.sort(order[rank < k])
+    return ids.take(pa.array(keep)), vectors[keep]

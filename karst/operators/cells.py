@@ -115,7 +115,9 @@ def write_cells(assigned: DataFrame, cells: Cells, path: str, fragment: int = 0)
     """Write rows clustered by cell, one directory per bucket of cells.
 
     Rows of one cell go to one task, except that a cell expected to hold more
-    than a task's share of the rows (by the training sample) is split.
+    than a task's share of the rows (by the training sample) is split.  The
+    split follows the row order of the input, so read that from storage
+    (``session.materialise`` it if it comes out of a shuffle).
     """
     spark = assigned.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))

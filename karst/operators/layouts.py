@@ -22,7 +22,7 @@ def write_range_layout(df: DataFrame, columns: Sequence[str], path: str, partiti
     """Copy sorted by ``columns``: files and row groups cover narrow ranges.
 
     A spread column at the end of the range key splits a value that fills more
-    than one file.
+    than one file.  It follows the row order of ``df``, so read that from storage.
     """
     keys = [F.col(quoted(c)) for c in columns]
     spread = df.withColumn("_spread", F.xxhash64(F.monotonically_increasing_id()))
@@ -34,7 +34,8 @@ def write_range_layout(df: DataFrame, columns: Sequence[str], path: str, partiti
 def write_value_layout(df: DataFrame, column: str, path: str, rows_per_task: int = 5_000_000) -> None:
     """Copy with one directory per value of a low-cardinality column.
 
-    Each value is spread over as many tasks as its row count asks for.
+    Each value is spread over as many tasks as its row count asks for, by the
+    row order of ``df``, so read that from storage.
     """
     name = F.col(quoted(column))
     counts = df.groupBy(name.alias("_value")).agg(F.count("*").alias("_n"))

@@ -19,6 +19,7 @@ from karst.schema import VECTOR_DIM, is_numeric, is_vector_type
 DISTANCE = "_distance"
 QUERY_SLICE = 512       # size of one matrix product inside a task
 VECTOR_SLICE = 8192
+PAIR_SLICE = 1 << 17
 
 
 def vector_column(schema: T.StructType, column: str | None = None) -> str:
@@ -163,8 +164,11 @@ class _BlockTopK:
     def _add_slice(self, ids: pa.Array, vectors: np.ndarray) -> None:
         rough = kernels.distances_many(vectors, self.points, self.metric)
         line, pick = kernels.candidate_pairs(rough, self.k, self.edges)
-        if not len(line):
-            return
+        # many ties at the edge give many candidates: they are settled piece by piece
+        for lo in range(0, len(line), PAIR_SLICE):
+            self._merge(line[lo:lo + PAIR_SLICE], pick[lo:lo + PAIR_SLICE], ids, vectors)
+
+    def _merge(self, line: np.ndarray, pick: np.ndarray, ids: pa.Array, vectors: np.ndarray) -> None:
         exact = kernels.distances(vectors[pick], self.points[line], self.metric).astype(np.float32)
         part = pa.table({"_line": pa.array(line, pa.int64()),
                          self.names[1]: ids.take(pa.array(pick, pa.int64())),
@@ -195,7 +199,7 @@ def knn_join(queries: DataFrame, vectors: DataFrame, k: int, query_key: str, vec
              query_column: str, vector_column_name: str, metric: str = "l2",
              query_block: int | None = None, vector_block: int | None = None,
              broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """The ``k`` nearest ``vectors`` of every row of ``queries``.
+    """The ``k`` nearest ``vectors`` of every row of ``queries``; both keys are unique.
 
     Returns the two keys and ``_distance``.  Queries measured to fit
     ``broadcast_bytes`` are shipped to the tasks that scan the vectors, so the
@@ -235,7 +239,8 @@ def knn_join(queries: DataFrame, vectors: DataFrame, k: int, query_key: str, vec
             blocks = _blocks(query_ids, targets, metric, k, names)
             for batch in batches:
                 rows, present = kernels.matrix(batch.column("_v"), dim)
-                keys = batch.column(vector_key).filter(pa.array(present))
+                keys, rows = kernels.without_surplus_copies(
+                    batch.column(vector_key).filter(pa.array(present)), rows, k)
                 for block in blocks:
                     block.add(keys, rows)
             for block in blocks:
@@ -250,13 +255,13 @@ def knn_join(queries: DataFrame, vectors: DataFrame, k: int, query_key: str, vec
         n_q = -(-probe["n"] // query_block)
         n_v = max(1, -(-v.count() // vector_block))
 
-        def block(key: str, count: int) -> Column:
-            return F.pmod(F.xxhash64(F.col(quoted(key))), F.lit(count)).cast("int")
+        def block(key: str, vector: str, count: int) -> Column:
+            return F.pmod(F.xxhash64(F.col(quoted(key)), F.col(vector)), F.lit(count)).cast("int")
 
-        left = q.select(block(query_key, n_q).alias("_bq"),
+        left = q.select(block(query_key, "_q", n_q).alias("_bq"),
                         F.explode(F.sequence(F.lit(0), F.lit(n_v - 1))).alias("_bv"), "*")
         right = v.select(F.explode(F.sequence(F.lit(0), F.lit(n_q - 1))).alias("_bq"),
-                         block(vector_key, n_v).alias("_bv"), "*")
+                         block(vector_key, "_v", n_v).alias("_bv"), "*")
 
         def pair(a: pa.Table, b: pa.Table) -> pa.Table:
             parts = [pa.table({query_key: pa.array([], a.schema.field(query_key).type),
@@ -265,8 +270,9 @@ def knn_join(queries: DataFrame, vectors: DataFrame, k: int, query_key: str, vec
             if a.num_rows and b.num_rows:
                 targets, _ = kernels.matrix(a["_q"], dim)
                 points, _ = kernels.matrix(b["_v"], dim)
+                keys, points = kernels.without_surplus_copies(b[vector_key].combine_chunks(), points, k)
                 for block in _blocks(a[query_key].combine_chunks(), targets, metric, k, names):
-                    block.add(b[vector_key].combine_chunks(), points)
+                    block.add(keys, points)
                     parts.append(block.result())
             return pa.concat_tables([p for p in parts if p is not None])
 

@@ -51,6 +51,30 @@ def test_merge_variants(target, source, small, hot_rows):
         (1, 1.0), (2, 2.0), (3, None), (4, 40.0), (None, 9.0), (None, 90.0)]
 
 
+@pytest.fixture()
+def shuffled_joins(spark):
+    """Joins without automatic broadcasts or runtime re-planning."""
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in old.items():
+        spark.conf.set(k, v)
+
+
+def test_plans_without_broadcasts(spark, shuffled_joins, target, source):
+    assert pairs(merge_insert(target, source, "id", small=False)) == [
+        (1, 1.0), (2, 20.0), (3, 30.0), (4, 40.0), (None, 9.0), (None, 90.0)]
+    test_merge_with_a_hot_target_key(spark, False)
+    values = random.Random(4).sample(range(10_000), 300)
+    df = spark.createDataFrame([(v,) for v in values], "id int")
+    assert pairs(number_rows(df.repartition(5), ["id"]).select("pos", "id")) == [(i + 1, v) for i, v in enumerate(sorted(values))]
+    request = spark.createDataFrame([(i, values[i % 2]) for i in range(60)], "pos bigint, id int")
+    got = take_ids(df, request, keep_pos=True, hot_rows=10).collect()
+    assert [tuple(r) for r in got] == [(i, values[i % 2]) for i in range(60)]
+
+
 @pytest.mark.parametrize("small", [True, False])
 def test_merge_with_a_hot_target_key(spark, small):
     """Half of the target shares one key and a fifth has no key; results stay whole."""

@@ -140,6 +140,38 @@ def test_knn_join_matches_brute_force(cloud, options, metric):
         np.testing.assert_allclose([d for d, _ in sorted(rows)], [d for _, d in wanted], rtol=1e-5, atol=1e-6)
 
 
+@pytest.mark.parametrize("options", [{}, {"broadcast_bytes": 0, "query_block": 100, "vector_block": 400}])
+def test_knn_join_with_copies_and_ties(spark, options, monkeypatch):
+    """A third of the vectors are copies, and all distances are small integers."""
+    rng = np.random.default_rng(8)
+    points = rng.integers(0, 2, (900, 5)).astype(np.float32)
+    points[300:600] = points[300]
+    df = spark.createDataFrame([(int(i), [float(x) for x in p]) for i, p in enumerate(points)], "id bigint, vec array<float>")
+    df = df.repartition(4)
+    found = knn_join(df.withColumnRenamed("id", "qid"), df, 6, "qid", "id", "vec", "vec", **options).collect()
+    got = {}
+    for r in found:
+        got.setdefault(r.qid, []).append((r._distance, r.id))
+    for q in range(0, 900, 37):
+        assert [i for _, i in sorted(got[q])] == [i for i, _ in brute(points, points[q], 6)]
+    assert len(found) == 900 * 6
+
+
+def test_block_top_k_settles_ties_in_pieces(monkeypatch):
+    from karst.operators import search
+    monkeypatch.setattr(search, "PAIR_SLICE", 64)
+    monkeypatch.setattr(search, "VECTOR_SLICE", 50)
+    points = np.zeros((200, 3), np.float32)
+    points[::2, 0] = np.arange(100) % 3
+    block = search._BlockTopK(pa.array(range(200)), points, "l2", 4, ("q", "id"))
+    block.add(pa.array(range(200)), points)
+    rows = block.result().to_pylist()
+    for q in (0, 1, 2, 77):
+        assert [r["id"] for r in rows if r["q"] == q] == [i for i, _ in brute(points, points[q], 4)]
+    ids, kept = kernels.without_surplus_copies(pa.array(range(200)), points, 4)
+    assert ids.to_pylist()[:2] == [0, 1] and len(kept) == 12
+
+
 def layout_of(spark, df, metric, codec=None, cells=8):
     model = C.train_cells(df, "vec", metric, cells)
     assigned = C.assign_cells(df, "vec", model)
