@@ -9,7 +9,7 @@ from collections.abc import Sequence
 from dataclasses import asdict, dataclass, field
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from karst.functions.metrics import check_metric
 from karst.operators import cells as C
@@ -18,6 +18,7 @@ from karst.operators.numbering import smallest
 from karst.operators.scan import where as apply_where
 from karst.operators.search import DISTANCE, knn, vector_column
 from karst.plans import files
+from karst.schema import is_integral
 
 SEGMENT = "_segment"
 VECTOR_KINDS = ("ivf_flat", "ivf_pq", "ivf_sq")
@@ -227,7 +228,13 @@ class Indexes:
             return None
         frames = []
         for fragment in record.fragments:
-            frame = self.spark.read.parquet(f"{self.root}/{record.name}/{fragment.name}")
+            reader = self.spark.read
+            if record.kind == "bitmap":
+                # the directory names must be read with the type of the column
+                reader = reader.schema(T.StructType([
+                    *self.table.schema.fields, T.StructField(SEGMENT, T.StringType()),
+                    T.StructField("_part", self.table.schema[record.columns[0]].dataType)]))
+            frame = reader.parquet(f"{self.root}/{record.name}/{fragment.name}")
             kept = [s for s in fragment.segments if s in live]
             if len(kept) < len(fragment.segments):
                 frame = frame.filter(F.col(SEGMENT).isin(kept)) if kept else frame.limit(0)
@@ -247,13 +254,18 @@ class Indexes:
         record = self.read(name)
         if record.kind not in ("btree", "bitmap"):
             raise ValueError(f"index {name} has no row layout")
-        names = self.table.schema.names
+        names = [f"`{n}`" for n in self.table.schema.names]
         rows = self.layout(record)
         if record.kind == "bitmap" and predicate is not None:
-            # the directory column carries the same values, so Spark can prune by it
+            # Directories stand in for the column, so the predicate prunes them.  Null and
+            # empty values share the default directory and are told apart by the stored column.
             column = record.columns[0]
-            rows = rows.drop(column).withColumnRenamed("_part", column)
-        out = apply_where(rows, predicate).select(*[f"`{n}`" for n in names])
+            named = (rows.filter("_part IS NOT NULL").withColumnRenamed(column, "_stored")
+                     .withColumnRenamed("_part", column))
+            found = apply_where(named, predicate).drop(column).withColumnRenamed("_stored", column).select(*names)
+            out = found.unionByName(apply_where(rows.filter("_part IS NULL"), predicate).select(*names))
+        else:
+            out = apply_where(rows, predicate).select(*names)
         rest = self.uncovered(record)
         return out if rest is None else out.unionByName(apply_where(rest, predicate))
 
@@ -322,6 +334,11 @@ def create_scalar_index(table, columns: str | Sequence[str], type: str = "btree"
         raise ValueError(f"column does not exist: {', '.join(unknown) or '(none)'}")
     if kind != "btree" and len(names) != 1:
         raise ValueError(f"a {kind} index takes one column")
+    if kind == "bitmap" and not (is_integral(table.schema[names[0]].dataType) or isinstance(
+            table.schema[names[0]].dataType, (T.StringType, T.BooleanType, T.DateType))):
+        raise ValueError("a bitmap index takes an integer, string, boolean or date column")
+    if kind == "labellist" and not isinstance(table.schema[names[0]].dataType, T.ArrayType):
+        raise ValueError("a labellist index takes an array column")
     options = {"key": key or table.schema.names[0]} if kind == "labellist" else {}
     return table.indexes.build(kind, names, options, replace).name
 

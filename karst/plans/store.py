@@ -240,6 +240,10 @@ class Table:
     def vector_search(self, vector, column: str | None = None) -> VectorQuery:
         return VectorQuery(self, vector, column)
 
+    def nearest_to(self, vector, k: int, column: str | None = None) -> DataFrame:
+        """One-shot search with default settings."""
+        return self.vector_search(vector, column).limit(k).execute()
+
     def embedding_search(self, value, encoder, column: str = "embedding") -> VectorQuery:
         from karst.operators.embed import encode_batch
         return VectorQuery(self, encode_batch(encoder, [value])[0], column)

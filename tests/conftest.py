@@ -10,8 +10,8 @@ os.environ.setdefault("PYSPARK_PYTHON", sys.executable)
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    session = (SparkSession.builder.master("local[4]").appName("karst-tests")
-               .config("spark.sql.shuffle.partitions", "4")
+    session = (SparkSession.builder.master("local[8]").appName("karst-tests")
+               .config("spark.sql.shuffle.partitions", "3")
                .config("spark.ui.enabled", "false")
                .config("spark.driver.memory", "4g")
                .config("spark.sql.session.timeZone", "UTC")

@@ -157,6 +157,7 @@ def test_vector_queries(db):
     assert q.select_cols("id").limit(1).execute().columns == ["id", "_distance"]
     assert table.embedding_search("x", lambda v: [[0, 0, 1.0]], "vector").limit(1).execute().first().id == "c"
     assert "TakeOrderedAndProject" in q.limit(1).explain(True)
+    assert [r.id for r in table.nearest_to([0, 1, 0], 1).collect()] == ["b"]
     for call in (lambda: q.execute(), lambda: q.nprobes(0), lambda: q.limit(-1), lambda: table.vector_search([]),
                  lambda: table.vector_search([1, 0]).limit(1).execute(), lambda: table.vector_search([1, 0, 0], "id")):
         with pytest.raises(ValueError):
@@ -285,6 +286,14 @@ def test_scalar_and_text_indexes(db, spark):
     assert ids(table.query().use_index("id_idx").filter_where("id > 2").execute()) == [3, 4, 50]
     assert ids(table.query().use_index("kind_idx").filter_expr(K.col("kind") == K.lit("y")).execute()) == [0, 2, 4, 50]
     assert table.query().use_index("kind_idx").execute().columns == frame.columns
+    odd = [(1, "007"), (2, "7"), (3, ""), (4, None), (5, "a=b/c d"), (6, "007")]
+    codes = db.create_table("codes", spark.createDataFrame(odd, "id int, code string"))
+    codes.create_scalar_index("code", "bitmap")
+    for predicate, wanted in (("code = '007'", [1, 6]), ("code = '7'", [2]), ("code = ''", [3]), ("code IS NULL", [4]),
+                              ("code LIKE 'a%'", [5]), ("code IS NOT NULL", [1, 2, 3, 5, 6]), ("id > 3", [4, 5, 6])):
+        got = codes.query().use_index("code_idx").filter_where(predicate).execute()
+        assert ids(got) == wanted and all(tuple(r) in odd for r in got.collect())
+    assert sorted(map(str, codes.query().use_index("code_idx").execute().collect())) == sorted(map(str, codes.to_df().collect()))
     plan = table.query().use_index("kind_idx").filter_where("kind = 'y'").explain(True)
     assert "PartitionFilters: [isnotnull(_part" in plan
     assert ids(table.indexes.rows_with_labels("words_idx", ["kiwi"])) == [4, 50]
@@ -302,7 +311,8 @@ def test_scalar_and_text_indexes(db, spark):
                  lambda: table.create_fts_index("text", max_token_length=1 << 31), lambda: table.create_fts_index("text", language="xx"),
                  lambda: table.create_fts_index("text", language="French", stem=True),
                  lambda: table.create_scalar_index("absent"), lambda: table.create_scalar_index(["id", "kind"], "bitmap"),
-                 lambda: table.create_scalar_index("id", "hash")):
+                 lambda: table.create_scalar_index("id", "hash"), lambda: table.create_scalar_index("id", "labellist"),
+                 lambda: table.create_scalar_index("words", "bitmap", replace=True)):
         with pytest.raises(ValueError):
             call()
 
