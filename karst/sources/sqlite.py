@@ -62,45 +62,75 @@ def _declared(name: str | None) -> T.DataType:
     return T.StringType()
 
 
-def infer_schema(paths: Sequence[str], source_table: str | None, sql: str | None, params: Sequence) -> T.StructType:
-    """Column types from the storage classes in the data; SQLite scans, Python sees one row per file."""
-    names: list[str] | None = None
-    classes: list[set[str]] = []
-    declared: list[str | None] = []
-    for path in paths:
-        connection = _connect(path)
-        try:
-            cursor = connection.execute(f"SELECT * FROM ({_statement(source_table, sql)}) LIMIT 0", params)
-            found = [d[0] for d in cursor.description]
-            if names is None:
-                names = found
-                classes = [set() for _ in names]
-                declared = [None] * len(names)
-                if source_table is not None:
-                    info = {r[1]: r[2] for r in connection.execute(f"PRAGMA table_info({_identifier(source_table)})")}
-                    declared = [info.get(n) for n in names]
-            elif found != names:
-                raise ValueError("the database files have different columns")
-            if len(set(names)) != len(names):
-                raise ValueError("columns need unique names; add aliases")
-            kinds = ", ".join(f"group_concat(DISTINCT typeof({_identifier(n)}))" for n in names)
-            row = connection.execute(f"SELECT {kinds} FROM ({_statement(source_table, sql)})", params).fetchone()
-            for seen, value in zip(classes, row):
-                seen |= set((value or "").split(",")) - {"", "null"}
-        finally:
-            connection.close()
+def storage_classes(path: str, source_table: str | None, sql: str | None,
+                    params: Sequence) -> list[tuple[int, str, str | None, str | None]]:
+    """(position, column, storage class or None, declared type) found in one file.
+
+    SQLite scans the rows; Python sees one summary row.
+    """
+    connection = _connect(path)
+    try:
+        cursor = connection.execute(f"SELECT * FROM ({_statement(source_table, sql)}) LIMIT 0", params)
+        names = [d[0] for d in cursor.description]
+        declared = {}
+        if source_table is not None:
+            declared = {r[1]: r[2] for r in connection.execute(f"PRAGMA table_info({_identifier(source_table)})")}
+        kinds = ", ".join(f"group_concat(DISTINCT typeof({_identifier(n)}))" for n in names)
+        row = connection.execute(f"SELECT {kinds} FROM ({_statement(source_table, sql)})", params).fetchone()
+    finally:
+        connection.close()
+    out = []
+    for position, (name, value) in enumerate(zip(names, row)):
+        seen = set((value or "").split(",")) - {"", "null"}
+        out += [(position, name, kind, declared.get(name)) for kind in sorted(seen) or [None]]
+    return out
+
+
+def schema_of(found: Sequence[tuple[int, str, str | None, str | None]]) -> T.StructType:
+    """One schema from the storage classes of all files."""
+    columns: dict[int, dict] = {}
+    for position, name, kind, declared in found:
+        entry = columns.setdefault(position, {"names": set(), "kinds": set(), "declared": declared})
+        entry["names"].add(name)
+        if kind is not None:
+            entry["kinds"].add(kind)
     fields = []
-    for name, seen, hint in zip(names or [], classes, declared):
-        if seen == {"integer", "real"}:
+    for position in sorted(columns):
+        entry = columns[position]
+        if len(entry["names"]) > 1:
+            raise ValueError("the database files have different columns")
+        name, kinds = next(iter(entry["names"])), entry["kinds"]
+        if kinds == {"integer", "real"}:
             dtype: T.DataType = T.DoubleType()
-        elif len(seen) > 1:
-            raise ValueError(f"column {name} mixes storage types {sorted(seen)}; CAST it in a query")
+        elif len(kinds) > 1:
+            raise ValueError(f"column {name} mixes storage types {sorted(kinds)}; CAST it in a query")
         else:
-            dtype = _STORAGE[next(iter(seen))] if seen else _declared(hint)
+            dtype = _STORAGE[next(iter(kinds))] if kinds else _declared(entry["declared"])
         fields.append(T.StructField(name, dtype))
+    if len({f.name for f in fields}) != len(fields):
+        raise ValueError("columns need unique names; add aliases")
     return T.StructType(fields)
 
 
+def infer_schema(spark: SparkSession, paths: Sequence[str], source_table: str | None, sql: str | None,
+                 params: Sequence) -> T.StructType:
+    """Column types from the data; with many files each is summarised by a task."""
+    if len(paths) == 1:
+        return schema_of(storage_classes(paths[0], source_table, sql, params))
+
+    def look(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for frame in frames:
+            rows = [r for path in frame.column("path").to_pylist() for r in storage_classes(path, source_table, sql, params)]
+            columns = list(zip(*rows))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(columns[0], pa.int32()), *[pa.array(c, pa.string()) for c in columns[1:]]],
+                ["position", "name", "kind", "declared"])
+
+    listed = spark.createDataFrame([(p,) for p in paths], "path string").repartition(min(len(paths), 1000))
+    found = listed.mapInArrow(look, "position int, name string, kind string, declared string").distinct()
+    return schema_of([tuple(r) for r in found.collect()])
+
+
 class _Slice(InputPartition):
     def __init__(self, path: str, low: int | None, high: int | None):
         self.path, self.low, self.high = path, low, high
@@ -176,22 +206,29 @@ class SqliteSource(DataSource):
         return "sqlite"
 
     def schema(self) -> T.StructType:
-        return infer_schema(database_files(self.options["path"]), self.options.get("source_table"),
-                            self.options.get("sql"), _decode(self.options.get("params", "[]")))
+        # used without ``read_sqlite``, which summarises the files in tasks
+        return schema_of([row for path in database_files(self.options["path"]) for row in storage_classes(
+            path, self.options.get("source_table"), self.options.get("sql"), _decode(self.options.get("params", "[]")))])
 
     def reader(self, schema: T.StructType) -> DataSourceReader:
         return SqliteReader(schema, dict(self.options))
 
 
 def read_sqlite(spark: SparkSession, path: str, source_table: str | None = None, sql: str | None = None,
-                params: Sequence = (), rows_per_partition: int = ROWS_PER_PARTITION) -> DataFrame:
-    """Rows of a table, or of a query with bound parameters.  BLOB columns are binary, NULL is null."""
+                params: Sequence = (), rows_per_partition: int = ROWS_PER_PARTITION,
+                schema: T.StructType | str | None = None) -> DataFrame:
+    """Rows of a table, or of a query with bound parameters.  BLOB columns are binary, NULL is null.
+
+    Column types come from the data unless ``schema`` gives them.
+    """
     if (source_table is None) == (sql is None):
         raise ValueError("specify exactly one of source_table or sql")
     spark.dataSource.register(SqliteSource)
     reader = spark.read.format("sqlite").option("params", _encode(params)).option("rows_per_partition", rows_per_partition)
     reader = reader.option("source_table", source_table) if source_table is not None else reader.option("sql", sql)
-    return reader.load(path)
+    if schema is None:
+        schema = infer_schema(spark, database_files(path), source_table, sql, list(params))
+    return reader.schema(schema).load(path)
 
 
 def write_sqlite(df: DataFrame, path: str, table: str) -> int:

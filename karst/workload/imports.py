@@ -18,7 +18,10 @@ from karst.workload.tables import new_database
 
 
 def write_documents(rows, path: str, columnar: bool = False) -> None:
-    """One JSON document per output file: an array of row objects, or an object of column arrays."""
+    """One JSON document per partition (at most a scan split), one per output file.
+
+    A document is an array of row objects, or an object of column arrays.
+    """
     names = rows.columns
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -65,21 +68,21 @@ def _events(spark, sf):
 @query("import_json_rows", _EVENTS)
 def json_rows(spark, sf):
     path = scratch_path(spark, "json")
-    write_documents(_events(spark, sf).repartition(4), path)
+    write_documents(_events(spark, sf), path)
     return import_json(new_database(spark), path, "events").to_df()
 
 
 @query("import_json_columns", _EVENTS)
 def json_columns(spark, sf):
     path = scratch_path(spark, "json")
-    write_documents(_events(spark, sf).repartition(4), path, columnar=True)
+    write_documents(_events(spark, sf), path, columnar=True)
     return read_json(spark, path)
 
 
 @query("import_jsonl", _EVENTS)
 def json_lines(spark, sf):
     path = scratch_path(spark, "json")
-    _events(spark, sf).repartition(4).write.json(path)
+    _events(spark, sf).write.json(path)
     return read_json(spark, path, jsonlines=True)
 
 
@@ -107,7 +110,7 @@ def json_audit(spark, sf):
 SELECT vec_id, label, CAST(len(embedding) AS BIGINT) AS dim, embedding[1] AS first, embedding[64] AS last FROM embeddings""")
 def json_vectors(spark, sf):
     path = scratch_path(spark, "json")
-    read(spark, sf, "embeddings").repartition(2).write.json(path)
+    read(spark, sf, "embeddings").write.json(path)
     table = import_json(new_database(spark), path, "vectors", jsonlines=True, types={"label": "int"},
                         vector_columns=["embedding"])
     return table.to_df().select("vec_id", "label", F.size("embedding").cast("bigint").alias("dim"),
@@ -118,7 +121,7 @@ def json_vectors(spark, sf):
 def sqlite_customer(spark, sf):
     """Tasks write database shards; the source splits every shard by row id."""
     path = scratch_path(spark, "sqlite")
-    write_sqlite(read(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal").repartition(4),
+    write_sqlite(read(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal"),
                  path, "customer table")
     return read_sqlite(spark, path, source_table="customer table")
 
@@ -126,12 +129,12 @@ def sqlite_customer(spark, sf):
 @query("import_sqlite_query", "SELECT c_custkey + 1 AS id, c_name FROM customer WHERE c_acctbal > 1500.5")
 def sqlite_query(spark, sf):
     path = scratch_path(spark, "sqlite")
-    write_sqlite(read(spark, sf, "customer").select("c_custkey", "c_name", "c_acctbal").repartition(4), path, "c")
+    write_sqlite(read(spark, sf, "customer").select("c_custkey", "c_name", "c_acctbal"), path, "c")
     return read_sqlite(spark, path, sql="SELECT c_custkey + 1 AS id, c_name FROM c WHERE c_acctbal > ?", params=(1500.5,))
 
 
 @query("import_arrow", "SELECT * FROM lineitem")
 def arrow_lineitem(spark, sf):
     path = scratch_path(spark, "arrow")
-    write_arrow(read(spark, sf, "lineitem").repartition(4), path)
+    write_arrow(read(spark, sf, "lineitem"), path)
     return read_arrow(spark, path)

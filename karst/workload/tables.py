@@ -52,9 +52,9 @@ def append_parts(spark, sf):
 def stream_events(spark, sf):
     events = read(spark, sf, "events").select("event_id", "user_id", "event_type", "value", "props")
     source = scratch_path(spark, "stream-source")
-    events.repartition(4).write.parquet(source)
+    events.write.parquet(source)
     table = new_database(spark).create_table("events", schema=events.schema)
-    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 2).parquet(source)
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1000).parquet(source)
     append_stream(stream, table, "events").awaitTermination()
     return table.to_df()
 
@@ -129,7 +129,7 @@ def table_names(spark, sf):
 
 @query("compact_files", f"SELECT * FROM customer UNION ALL SELECT * REPLACE (c_custkey + {_SHIFT} AS c_custkey) FROM customer")
 def compact_files(spark, sf):
-    table = new_database(spark).create_table("customer", read(spark, sf, "customer").repartition(4))
+    table = new_database(spark).create_table("customer", read(spark, sf, "customer"))
     table.add(_shifted(spark, sf)).optimize("compact")
     return table.to_df()
 
