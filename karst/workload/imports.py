@@ -17,8 +17,11 @@ from karst.workload.registry import query, read
 from karst.workload.tables import new_database
 
 
+DOCUMENT_ROWS = 20_000
+
+
 def write_documents(rows, path: str, columnar: bool = False) -> None:
-    """One JSON document per partition (at most a scan split), one per output file.
+    """JSON documents of up to ``DOCUMENT_ROWS`` rows, each in its own file.
 
     A document is an array of row objects, or an object of column arrays.
     """
@@ -26,18 +29,25 @@ def write_documents(rows, path: str, columnar: bool = False) -> None:
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import json
-        parts = []
-        columns = {n: [] for n in names}
-        for batch in batches:
+
+        def document(table: pa.Table) -> pa.RecordBatch:
             if columnar:
-                for n in names:
-                    columns[n] += batch.column(n).to_pylist()
+                text = json.dumps({n: table[n].to_pylist() for n in names}, ensure_ascii=False)
             else:
-                parts += [json.dumps(r, ensure_ascii=False) for r in batch.to_pylist()]
-        text = json.dumps(columns, ensure_ascii=False) if columnar else "[" + ",\n".join(parts) + "]"
-        yield pa.RecordBatch.from_arrays([pa.array([text], pa.large_string()).cast(pa.string())], ["value"])
+                text = "[" + ",\n".join(json.dumps(r, ensure_ascii=False) for r in table.to_pylist()) + "]"
+            return pa.RecordBatch.from_arrays([pa.array([text], pa.string())], ["value"])
 
-    rows.mapInArrow(pack, "value string").write.text(path)
+        waiting: pa.Table | None = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            waiting = table if waiting is None else pa.concat_tables([waiting, table])
+            while waiting.num_rows > DOCUMENT_ROWS:
+                yield document(waiting.slice(0, DOCUMENT_ROWS))
+                waiting = waiting.slice(DOCUMENT_ROWS)
+        if waiting is not None:
+            yield document(waiting)
+
+    rows.mapInArrow(pack, "value string").write.option("maxRecordsPerFile", 1).text(path)
 
 
 @query("import_csv", "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders")
