@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from karst.llm.jaccard import similar_groups
+from karst.llm.repeats import without_repeats
 from karst.session import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,8 +26,13 @@ def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_groups(_table(spark, sf_dir, "documents"))
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return without_repeats(_table(spark, sf_dir, "documents")).drop("kept")
+
+
 QUERIES: dict[str, Query] = {
     "op5_jaccard_join": op5_jaccard_join,
+    "op6_suffix_dedup": op6_suffix_dedup,
 }
 
 ORACLES: dict[str, str] = {}
