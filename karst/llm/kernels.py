@@ -135,3 +135,41 @@ def signed(values: np.ndarray) -> np.ndarray:
 def long_lists(values: np.ndarray, edges: np.ndarray) -> pa.Array:
     """An Arrow array<long> column cut from ``values`` at ``edges``."""
     return pa.ListArray.from_arrays(pa.array(edges.astype(np.int32)), pa.array(signed(values)))
+
+
+def sequence_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of runs of 64-bit values, by content and order."""
+    up, down = powers(len(values) + 1)
+    sums = np.zeros(len(values) + 1, dtype=np.uint64)
+    np.cumsum((mix(values) | np.uint64(1)) * up[:-1], out=sums[1:])
+    return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+
+
+def lines(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the \\n-split lines of each document, and where each document's begin."""
+    breaks = np.flatnonzero(data == 10)
+    starts = np.sort(np.concatenate([offsets[:-1], breaks + 1]), kind="stable")
+    own = np.searchsorted(breaks, offsets)
+    bounds = own + np.arange(len(offsets))
+    # a line ends before the next line's start: at its \n, or at the document's end
+    ends = np.append(starts[1:] - 1, len(data)) if len(starts) else starts
+    if len(starts):
+        ends[bounds[1:] - 1] = offsets[1:]
+    return starts, ends, bounds
+
+
+def repeats_within(hashes: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each hash, how often its owner has it, and whether it is the first of its kind there."""
+    if not len(hashes):
+        return np.zeros(0, np.int64), np.zeros(0, bool)
+    key = mix(hashes + owner.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    _, first, group, counts = np.unique(key, return_index=True, return_inverse=True, return_counts=True)
+    head = np.zeros(len(hashes), dtype=bool)
+    head[first] = True
+    return counts[group], head
+
+
+def count_in(mask: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """How many of each document's elements are marked."""
+    total = np.concatenate([[0], np.cumsum(mask, dtype=np.int64)])
+    return total[offsets[1:]] - total[offsets[:-1]]

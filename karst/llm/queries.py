@@ -10,7 +10,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from karst.llm.classifier import quality_scores
 from karst.llm.jaccard import similar_groups
+from karst.llm.lines import line_rules
 from karst.llm.repeats import without_repeats
 from karst.session import ship
 
@@ -22,6 +24,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = line_rules(_table(spark, sf_dir, "documents"))
+    return rules.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
+                        "kept", "n_dropped_words")
+
+
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_groups(_table(spark, sf_dir, "documents"))
 
@@ -30,9 +38,15 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_repeats(_table(spark, sf_dir, "documents")).drop("kept")
 
 
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Query] = {
+    "op2_line_frequency": op2_line_frequency,
     "op5_jaccard_join": op5_jaccard_join,
     "op6_suffix_dedup": op6_suffix_dedup,
+    "op9_quality_classifier": op9_quality_classifier,
 }
 
 ORACLES: dict[str, str] = {}
