@@ -8,12 +8,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from karst.llm.classifier import quality_scores
 from karst.llm.jaccard import similar_groups
+from karst.llm.licenses import license_scan
 from karst.llm.lines import line_rules
+from karst.llm.packing import pack_documents
 from karst.llm.repeats import without_repeats
+from karst.llm.topk import scaled, top_k
 from karst.session import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,12 +28,21 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan(_table(spark, sf_dir, "documents"))
+
+
 def op2_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = line_rules(_table(spark, sf_dir, "documents"))
     return rules.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
                         "kept", "n_dropped_words")
 
 
+def op4_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = scaled(_table(spark, sf_dir, "embeddings"))
+    return top_k(vectors.filter("vec_id % 20 = 0"), vectors, 20)
+
+
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_groups(_table(spark, sf_dir, "documents"))
 
@@ -38,15 +51,39 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_repeats(_table(spark, sf_dir, "documents")).drop("kept")
 
 
+def tokenizer() -> str:
+    """Definition of the tokenizer that packing counts in."""
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as file:
+        return file.read()
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(_table(spark, sf_dir, "documents"), tokenizer())
+
+
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
 QUERIES: dict[str, Query] = {
+    "op1_license_scan": op1_license_scan,
     "op2_line_frequency": op2_line_frequency,
+    "op4_top_k": op4_top_k,
     "op5_jaccard_join": op5_jaccard_join,
     "op6_suffix_dedup": op6_suffix_dedup,
+    "op7_packing": op7_packing,
     "op9_quality_classifier": op9_quality_classifier,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op4_top_k": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v FROM embeddings
+            WHERE vec_id IS NOT NULL AND len(embedding) > 0
+              AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+        s AS (
+            SELECT q.vec_id AS query_id, r.vec_id, list_inner_product(q.v, r.v)::BIGINT AS score
+            FROM v q JOIN v r ON q.vec_id <> r.vec_id AND len(q.v) = len(r.v) WHERE q.vec_id % 20 = 0)
+        SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+        FROM s QUALIFY rank <= 20""",
+}
