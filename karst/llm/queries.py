@@ -9,13 +9,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from karst.llm.classifier import quality_scores
 from karst.llm.jaccard import similar_groups
 from karst.llm.licenses import license_scan
 from karst.llm.lines import line_rules
+from karst.llm.mixing import fair_mix, word_count
 from karst.llm.packing import pack_documents
+from karst.llm.privacy import KINDS, count_of, find_personal, written
 from karst.llm.repeats import without_repeats
 from karst.llm.topk import scaled, top_k
 from karst.session import ship
@@ -61,10 +63,23 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_table(spark, sf_dir, "documents"), tokenizer())
 
 
+def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "source", word_count(F.col("text")).alias("words"))
+    plan = fair_mix(docs, F.col("words"), F.xxhash64(F.lit(42), "doc_id"))
+    return plan.select(F.col("row.doc_id").alias("doc_id"), "size", "source_size", "target", "taken", "finish")
+
+
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_personal(_table(spark, sf_dir, "documents"))
+    counts = [count_of(F.col("base"), kind).alias(f"n_{kind}") for kind in KINDS]
+    return found.select("doc_id", *counts, F.sha2(written(F.col("base")), 256).alias("base_sha256"),
+                        written(F.col("spans")).alias("spans"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_license_scan": op1_license_scan,
     "op2_line_frequency": op2_line_frequency,
@@ -72,7 +87,9 @@ QUERIES: dict[str, Query] = {
     "op5_jaccard_join": op5_jaccard_join,
     "op6_suffix_dedup": op6_suffix_dedup,
     "op7_packing": op7_packing,
+    "op8_source_mix": op8_source_mix,
     "op9_quality_classifier": op9_quality_classifier,
+    "op10_personal_data": op10_personal_data,
 }
 
 ORACLES: dict[str, str] = {
