@@ -12,6 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from karst.llm.classifier import quality_scores
+from karst.llm.extraction import page_texts
 from karst.llm.jaccard import similar_groups
 from karst.llm.licenses import license_scan
 from karst.llm.lines import line_rules
@@ -40,6 +41,10 @@ def op2_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "kept", "n_dropped_words")
 
 
+def op3_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_texts(_table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("bigint"))
+
+
 def op4_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = scaled(_table(spark, sf_dir, "embeddings"))
     return top_k(vectors.filter("vec_id % 20 = 0"), vectors, 20)
@@ -83,6 +88,7 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_license_scan": op1_license_scan,
     "op2_line_frequency": op2_line_frequency,
+    "op3_page_text": op3_page_text,
     "op4_top_k": op4_top_k,
     "op5_jaccard_join": op5_jaccard_join,
     "op6_suffix_dedup": op6_suffix_dedup,
