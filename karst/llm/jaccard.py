@@ -137,11 +137,12 @@ def _prefixes(known, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
 
 
 def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of list entries that can still reach the threshold.
+    """Pairs of list entries that can still reach the threshold, with how many lists they share here.
 
     Entries come sorted by list, size and position.  At distance d in a list,
     an entry stays only while the other one is not too large; the sort makes
-    that final, so the rest of the list is skipped for it.
+    that final, so the rest of the list is skipped for it.  A similar pair
+    meets the bound on its positions in every list that it shares.
     """
     carry: list[np.ndarray] | None = None
 
@@ -155,15 +156,23 @@ def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             near = (token[live] == token[other]) & (WHOLE * size[live] >= SHARE * size[other])
             live, other = live[near], other[near]
             need = -(-SHARE * (size[live] + size[other]) // (SHARE + WHOLE))
-            reach = np.minimum(size[live] - place[live], size[other] - place[other])
+            reach = np.minimum(place[live], place[other]) + np.minimum(size[live] - place[live], size[other] - place[other])
             good = (reach >= need) & (label[live] != label[other])
             if good.any():
-                x, y = node[live[good]], node[other[good]]
-                found.append(np.stack([np.minimum(x, y), np.maximum(x, y)], axis=1))
+                found.append((live[good], other[good]))
         if not found:
             return None
-        unique = np.unique(np.concatenate(found), axis=0)
-        return pa.RecordBatch.from_arrays([pa.array(unique[:, 0]), pa.array(unique[:, 1])], ["a", "b"])
+        x, y = (np.concatenate(side) for side in zip(*found))
+        flip = node[x] > node[y]
+        x, y = np.where(flip, y, x), np.where(flip, x, y)
+        order = np.lexsort((node[y], node[x]))
+        x, y = x[order], y[order]
+        first = np.flatnonzero(np.concatenate([[True], (node[x][1:] != node[x][:-1]) | (node[y][1:] != node[y][:-1])]))
+        shared = np.diff(np.append(first, len(x)))
+        x, y = x[first], y[first]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c) for c in (node[x], node[y], size[x].astype(np.int32), size[y].astype(np.int32), shared)],
+            ["a", "b", "na", "nb", "shared"])
 
     names = ("token", "node", "label", "n", "pos")
     for batch in batches:
@@ -250,7 +259,12 @@ def similar_groups(docs: DataFrame) -> DataFrame:
     entries = entries.select(F.explode(F.when(F.col("t.grid") > 1, cells).otherwise(F.array("t.tokens"))).alias("token"),
                              "node", "label", "n", "pos")
     lists = entries.repartition("token").sortWithinPartitions("token", "n", "pos")
-    left = lists.mapInArrow(_candidates, "a bigint, b bigint").distinct()
+    # common shingles are in both prefixes, or behind the prefix that ends first
+    met = lists.mapInArrow(_candidates, "a bigint, b bigint, na int, nb int, shared bigint").groupBy("a", "b").agg(
+        F.sum("shared").alias("shared"), F.max("na").alias("na"), F.max("nb").alias("nb"))
+    need = F.ceil(F.lit(SHARE) * (F.col("na") + F.col("nb")) / F.lit(SHARE + WHOLE))
+    behind = F.ceil(F.lit(SHARE) * F.greatest("na", "nb") / F.lit(WHOLE)) - 1
+    left = met.filter(F.col("shared") + behind >= need).select("a", "b")
     links = derived.union(_verified(texts, left))
     found = components(links)
     reps = sets.select("f1", "f2", "node").join(found, "node", "left").select(
