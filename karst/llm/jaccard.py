@@ -11,7 +11,8 @@ Exact set-similarity join that skips work by relations between sets:
    (prefix filter), whose entries are sorted by size and position.  Runs of
    entries that cannot reach the threshold from where they stand are skipped.
    Lists of frequent shingles are cut into square cells of bounded size.
-4. Surviving pairs are checked on the whole sets.
+4. Surviving pairs are checked: histograms of both sets bound what they can
+   have in common, and the rest is compared on the whole sets.
 
 Steps 1 and 2 only save work; step 3 alone finds every pair.
 """
@@ -33,6 +34,8 @@ from karst.session import materialise, ship
 SHARE, WHOLE = 3, 4
 #: min-hash pairs a set is grouped by, before the exact join
 FAMILY_KEYS = 8
+#: cells of a set's histogram, which bounds what two sets have in common
+CELLS = 256
 #: entries of one cell of a frequent shingle's list
 CELL = 1024
 #: shingles whose frequency rules their order; the order of the others is their hash
@@ -40,7 +43,7 @@ KNOWN = 200_000
 #: occurrences within one task's block that make a shingle worth reporting
 SEEN, BLOCK = 4, 3_000_000
 
-_SKETCH = "kind int, doc_id bigint, n bigint, f1 bigint, f2 bigint, keys array<bigint>"
+_SKETCH = "kind int, doc_id bigint, n bigint, f1 bigint, f2 bigint, keys array<bigint>, cells binary"
 _PREFIX = "doc_id bigint, f1 bigint, n int, tokens array<bigint>, grid array<int>"
 
 
@@ -76,6 +79,7 @@ def _families(hashes: np.ndarray, edges: np.ndarray) -> np.ndarray:
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row per document (kind 0) and a row per shingle frequent in a block (kind 1)."""
+    names = [field.split(" ")[0] for field in _SKETCH.split(", ")]
     pending: list[np.ndarray] = []
     waiting = 0
 
@@ -85,8 +89,8 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         zeros = pa.array(np.zeros(len(values), np.int64))
         return pa.RecordBatch.from_arrays(
             [pa.array(np.ones(len(values), np.int32)), zeros, pa.array(counts.astype(np.int64)),
-             pa.array(K.signed(values)), zeros, pa.nulls(len(values), pa.list_(pa.int64()))],
-            ["kind", "doc_id", "n", "f1", "f2", "keys"])
+             pa.array(K.signed(values)), zeros, pa.nulls(len(values), pa.list_(pa.int64())), pa.nulls(len(values), pa.binary())],
+            names)
 
     for batch in batches:
         ids = batch.column("doc_id")
@@ -97,8 +101,9 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.zeros(count, np.int32)), ids.slice(first, count),
                  pa.array(np.array([len(s) for s in sets], dtype=np.int64)), pa.array(K.signed(one)),
-                 pa.array(K.signed(two)), K.long_lists(keys.ravel(), np.arange(count + 1) * FAMILY_KEYS)],
-                ["kind", "doc_id", "n", "f1", "f2", "keys"])
+                 pa.array(K.signed(two)), K.long_lists(keys.ravel(), np.arange(count + 1) * FAMILY_KEYS),
+                 pa.array([np.minimum(np.bincount((s >> np.uint64(56)).astype(np.int64), minlength=CELLS), 255)
+                           .astype(np.uint8).tobytes() for s in sets], pa.binary())], names)
             pending += sets
             waiting += len(hashes)
             if waiting > BLOCK:
@@ -137,12 +142,12 @@ def _prefixes(known, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
 
 
 def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of list entries that can still reach the threshold, with how many lists they share here.
+    """Pairs of list entries that can still reach the threshold.
 
     Entries come sorted by list, size and position.  At distance d in a list,
     an entry stays only while the other one is not too large; the sort makes
-    that final, so the rest of the list is skipped for it.  A similar pair
-    meets the bound on its positions in every list that it shares.
+    that final, so the rest of the list is skipped for it.  The bound on
+    positions is that of a pair's first common shingle, where it is found.
     """
     carry: list[np.ndarray] | None = None
 
@@ -156,23 +161,18 @@ def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             near = (token[live] == token[other]) & (WHOLE * size[live] >= SHARE * size[other])
             live, other = live[near], other[near]
             need = -(-SHARE * (size[live] + size[other]) // (SHARE + WHOLE))
-            reach = np.minimum(place[live], place[other]) + np.minimum(size[live] - place[live], size[other] - place[other])
+            reach = np.minimum(size[live] - place[live], size[other] - place[other])
             good = (reach >= need) & (label[live] != label[other])
             if good.any():
-                found.append((live[good], other[good]))
+                x, y = node[live[good]], node[other[good]]
+                found.append(np.stack([np.minimum(x, y), np.maximum(x, y)]))
         if not found:
             return None
-        x, y = (np.concatenate(side) for side in zip(*found))
-        flip = node[x] > node[y]
-        x, y = np.where(flip, y, x), np.where(flip, x, y)
-        order = np.lexsort((node[y], node[x]))
+        x, y = np.concatenate(found, axis=1)
+        order = np.lexsort((y, x))
         x, y = x[order], y[order]
-        first = np.flatnonzero(np.concatenate([[True], (node[x][1:] != node[x][:-1]) | (node[y][1:] != node[y][:-1])]))
-        shared = np.diff(np.append(first, len(x)))
-        x, y = x[first], y[first]
-        return pa.RecordBatch.from_arrays(
-            [pa.array(c) for c in (node[x], node[y], size[x].astype(np.int32), size[y].astype(np.int32), shared)],
-            ["a", "b", "na", "nb", "shared"])
+        first = np.concatenate([[True], (x[1:] != x[:-1]) | (y[1:] != y[:-1])])
+        return pa.RecordBatch.from_arrays([pa.array(x[first]), pa.array(y[first])], ["a", "b"])
 
     names = ("token", "node", "label", "n", "pos")
     for batch in batches:
@@ -196,8 +196,23 @@ def _whole_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                              ["node", "items"])
 
 
-def _verified(texts: DataFrame, pairs: DataFrame) -> DataFrame:
+def _possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs whose histograms allow the threshold: equal shingles lie in equal cells."""
+    for batch in batches:
+        x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype=np.uint8).reshape(-1, CELLS).astype(np.int64)
+                for c in ("_x", "_y"))
+        na, nb = (batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("_na", "_nb"))
+        common = np.where((x == 255) & (y == 255), np.minimum(na, nb)[:, None], np.minimum(x, y)).sum(axis=1)
+        common = np.minimum(common, np.minimum(na, nb))
+        good = pa.array(common * WHOLE >= (na + nb - common) * SHARE)
+        yield pa.RecordBatch.from_arrays([batch.column("a").filter(good), batch.column("b").filter(good)], ["a", "b"])
+
+
+def _verified(texts: DataFrame, sketches: DataFrame, pairs: DataFrame) -> DataFrame:
     """Those of the distinct ``pairs(a, b)`` whose whole sets reach the threshold."""
+    side = lambda end, n, cells: sketches.select(F.col("node").alias(end), F.col("n").alias(n), F.col("cells").alias(cells))
+    pairs = pairs.join(side("a", "_na", "_x"), "a").join(side("b", "_nb", "_y"), "b").mapInArrow(
+        _possible, "a bigint, b bigint")
     pairs = materialise(pairs, "pairs")
     nodes = pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct()
     wanted = texts.join(F.broadcast(nodes) if fits_broadcast(nodes, 2_000_000) else nodes, "doc_id", "left_semi")
@@ -226,10 +241,10 @@ def similar_groups(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     ship(spark)
     sketch = materialise(texts.mapInArrow(_sketch, _SKETCH), "sketch")
-    rows = sketch.filter("kind = 0").select("doc_id", "n", "f1", "f2", "keys")
+    rows = sketch.filter("kind = 0").select("doc_id", "n", "f1", "f2", "keys", "cells")
     filled = rows.filter("n > 0")
     sets = materialise(filled.filter("doc_id is not null").groupBy("f1", "f2").agg(
-        F.min("doc_id").alias("node"), F.first("n").alias("n"), F.first("keys").alias("keys")), "distinct-sets")
+        F.min("doc_id").alias("node"), F.first("n").alias("n"), F.first("keys").alias("keys"), F.first("cells").alias("cells")), "distinct-sets")
 
     # one comparison for each set and family: with the family's smallest set
     keyed = sets.select("node", "n", F.posexplode("keys").alias("slot", "key"))
@@ -238,7 +253,7 @@ def similar_groups(docs: DataFrame) -> DataFrame:
     close = left_join_unique(keyed, pivots.drop("c"), ["slot", "key"], F.col("node"), "inner", small=fits_broadcast(pivots))
     close = close.filter(f"node <> p.node and {WHOLE} * least(n, p.n) >= {SHARE} * greatest(n, p.n)")
     close = close.select(F.col("p.node").alias("a"), F.col("node").alias("b")).distinct()
-    derived = _verified(texts, close)
+    derived = _verified(texts, sets, close)
     labels = materialise(components(derived), "families")
     nodes = sets.select("node", "n", "f1").join(labels, "node", "left").select(
         F.col("node").alias("doc_id"), "f1", F.coalesce("component", "node").alias("label"))
@@ -259,13 +274,8 @@ def similar_groups(docs: DataFrame) -> DataFrame:
     entries = entries.select(F.explode(F.when(F.col("t.grid") > 1, cells).otherwise(F.array("t.tokens"))).alias("token"),
                              "node", "label", "n", "pos")
     lists = entries.repartition("token").sortWithinPartitions("token", "n", "pos")
-    # common shingles are in both prefixes, or behind the prefix that ends first
-    met = lists.mapInArrow(_candidates, "a bigint, b bigint, na int, nb int, shared bigint").groupBy("a", "b").agg(
-        F.sum("shared").alias("shared"), F.max("na").alias("na"), F.max("nb").alias("nb"))
-    need = F.ceil(F.lit(SHARE) * (F.col("na") + F.col("nb")) / F.lit(SHARE + WHOLE))
-    behind = F.ceil(F.lit(SHARE) * F.greatest("na", "nb") / F.lit(WHOLE)) - 1
-    left = met.filter(F.col("shared") + behind >= need).select("a", "b")
-    links = derived.union(_verified(texts, left))
+    left = lists.mapInArrow(_candidates, "a bigint, b bigint").distinct()
+    links = derived.union(_verified(texts, sets, left))
     found = components(links)
     reps = sets.select("f1", "f2", "node").join(found, "node", "left").select(
         "f1", "f2", F.coalesce("component", "node").alias("component_id"))
