@@ -22,11 +22,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from karst.llm import kernels as K
 from karst.llm.suffixes import permuted_prefixes, suffix_array
-from karst.operators.bounds import fits_broadcast, left_join_unique
+from karst.operators.bounds import left_join_unique
 from karst.session import materialise, ship
 
 LENGTH = 50
@@ -345,9 +345,8 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
         F.xxhash64("key", part).bitwiseOR(F.lit(1)))
     wanted = owners.withColumn("shard", shard).groupBy("doc_id").agg(
         F.collect_list(F.struct("at", "size", "shard")).alias("wanted"))
-    wanted = materialise(wanted, "wanted")
-    wanted = F.broadcast(wanted) if fits_broadcast(wanted) else wanted
-    pieces = texts.join(wanted, "doc_id").mapInArrow(_cut_bytes, "shard bigint, doc_id bigint, at bigint, piece binary")
+    # about one row for each document, so it grows with the texts and both sides shuffle at any size
+    pieces = texts.join(wanted.hint("merge"), "doc_id").mapInArrow(_cut_bytes, "shard bigint, doc_id bigint, at bigint, piece binary")
     sorted_ = pieces.repartition("shard").sortWithinPartitions("shard").mapInArrow(_shards, _REGION)
     sorted_ = materialise(sorted_, "shards")
     strings = sorted_.filter("size > 0")
