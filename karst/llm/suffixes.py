@@ -145,9 +145,9 @@ def permuted_prefixes(text: np.ndarray, order: np.ndarray, longest: int) -> tupl
     while step:
         left, right = here + common, there + common
         fits = (np.maximum(left, right) + step <= size) & (common + step <= longest)
-        left, right = np.where(fits, left, 0), np.where(fits, right, 0)
-        same = (sums[left + step] - sums[left]) * down[left] == (sums[right + step] - sums[right]) * down[right]
-        common += np.where(fits & same, step, 0)
+        left, right, more = np.where(fits, left, 0), np.where(fits, right, 0), np.where(fits, step, 0)
+        same = (sums[left + more] - sums[left]) * down[left] == (sums[right + more] - sums[right]) * down[right]
+        common += np.where(same, more, 0)
         step //= 2
     common[ahead < 0] = 0
     return ahead, common
