@@ -19,8 +19,9 @@ WINDOW, END_ID = 4096, 2
 #: pieces packed together by one task
 SHARD_PIECES = 20_000
 #: distinct words whose ids a task remembers
-REMEMBERED = 1_000_000
-_CHUNK = 6 << 20
+REMEMBERED = 300_000
+#: words encoded by one call
+ENCODED = 10_000
 
 _PIECE = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
 
@@ -52,7 +53,8 @@ class _Ids:
         if missing.any():
             raw = data.tobytes()
             texts = [raw[starts[i]:ends[i]].decode() for i in first[missing]]
-            ids = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+            ids = [e.ids for at in range(0, len(texts), ENCODED)
+                   for e in self.tokenizer.encode_batch_fast(texts[at:at + ENCODED], add_special_tokens=False)]
             sizes = np.array([len(i) for i in ids], dtype=np.int64)
             fresh = np.arange(len(self.starts) - 1, len(self.starts) - 1 + len(ids))
             self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
@@ -81,7 +83,7 @@ def tokenised(docs: DataFrame, tokenizer: str, end_id: int = END_ID, window: int
         words = _Ids(shared.value)
         for batch in batches:
             data, offsets = K.utf8(batch.column("text"))
-            for first, _, part, bounds in K.chunks(data, offsets, _CHUNK):
+            for first, _, part, bounds in K.chunks(data, offsets):
                 ids, edges = words.encode(part, bounds)
                 doc, start, length, crc, total = [], [], [], [], []
                 for i in range(len(edges) - 1):
