@@ -43,7 +43,10 @@ def distances(vectors: np.ndarray, query: np.ndarray, metric: str) -> np.ndarray
     fixed order, so equal vectors get equal distances wherever they are stored.
     """
     if metric == "hamming":
-        return np.bitwise_count(np.bitwise_xor(vectors, query.astype(vectors.dtype))).sum(1).astype(np.float64)
+        # numpy counts the bits of a signed number's absolute value
+        differing = np.bitwise_xor(vectors, query.astype(vectors.dtype))
+        differing = differing.view(differing.dtype.str.replace("i", "u"))
+        return np.bitwise_count(differing).sum(1).astype(np.float64)
     wide = vectors.astype(np.float64)
     target = np.broadcast_to(query.astype(np.float64), wide.shape)
     if metric == "l2":

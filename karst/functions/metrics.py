@@ -61,11 +61,19 @@ def distance(vector: Column, query: Column, metric: str = "l2") -> Column:
         value = F.when(norms > 0, F.lit(1.0) - _products(vector, query) / norms)
     else:
         value = F.aggregate(
-            F.zip_with(vector, query, lambda x, y: F.bit_count(x.cast("bigint").bitwiseXOR(y.cast("bigint")))),
+            F.zip_with(vector, query, lambda x, y: F.bit_count(
+                x.cast("bigint").bitwiseXOR(y.cast("bigint")).bitwiseAND(_width_mask(x)))),
             F.lit(0), lambda acc, x: acc + x)
     return (value + F.lit(0.0)).cast(T.FloatType())
 
 
+def _width_mask(code: Column) -> Column:
+    """Ones for the bits that a code of this column's type has; a negative code fills more when widened."""
+    kind = F.typeof(code)
+    return (F.when(kind == "tinyint", F.lit(0xFF).cast("bigint")).when(kind == "smallint", F.lit(0xFFFF).cast("bigint"))
+            .when(kind == "int", F.lit(0xFFFFFFFF).cast("bigint")).otherwise(F.lit(-1).cast("bigint")))
+
+
 def literal_vector(values: np.ndarray) -> Column:
     """A constant array column; integral codes stay integral."""
     if values.dtype.kind in "iu":

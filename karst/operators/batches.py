@@ -100,13 +100,12 @@ def batches(df: DataFrame, batchsize: int = 32, id_column: str = "id", columns:
         numbered = numbered.filter(F.col("batch_id") < total // batchsize)
     if names == [id_column]:
         return numbered.select("batch_id", POS, F.col(quoted(id_column)))
-    wide = df.select(*[F.col(quoted(n)) for n in dict.fromkeys([id_column, *names])])
     if given:
-        # ids named by the caller must exist
-        wide = wide.withColumn("_stored", F.lit(True))
-        joined = numbered.join(wide, id_column, "left").withColumn(POS, F.when(F.col("_stored"), F.col(POS)).otherwise(
-            F.raise_error(F.concat(F.lit("id is not stored: "), F.col(quoted(id_column)).cast("string"))).cast("bigint")))
+        # ids named by the caller must be stored, and once
+        joined = take_ids(df, numbered.select(POS, F.col(quoted(id_column))), id_column, names, ordered=False, keep_pos=True)
+        joined = joined.withColumn("batch_id", F.expr(f"({POS} - 1) div {batchsize}"))
     else:
+        wide = df.select(*[F.col(quoted(n)) for n in dict.fromkeys([id_column, *names])])
         joined = numbered.join(wide, id_column)
     return joined.select("batch_id", POS, *[F.col(quoted(n)) for n in names])
 
@@ -147,6 +146,10 @@ def sample_rows(df: DataFrame, n: int, id_column: str = "id", replace: bool = Fa
             raise ValueError("the sample exceeds the dataset; use replace=True")
         keyed = base.select(key, shuffle_key(seed, key).alias("_key"))
         chosen = numbering.smallest(keyed, ["_key", id_column], n).select(key)
+        if manifest is not None:
+            # ids named by the caller must be stored, and once
+            request = chosen.select(F.monotonically_increasing_id().alias(POS), key)
+            return take_ids(df, request, id_column, names, ordered=False)
         wide = df.select(*[F.col(quoted(c)) for c in dict.fromkeys([id_column, *names])])
         small = F.broadcast(chosen) if n <= numbering.TOP_N else chosen
         return wide.join(small, id_column, "left_semi").select(*[F.col(quoted(c)) for c in names])

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from karst.plans.store import Table
-from karst.session import scratch_path
 
 
 def append_stream(stream: DataFrame, table: Table, name: str, checkpoint: str | None = None,
@@ -14,13 +13,20 @@ def append_stream(stream: DataFrame, table: Table, name: str, checkpoint: str |
     """Append each micro-batch as one commit.
 
     A batch that is delivered again after a failure is recognised by its
-    number in the commit record and skipped.  ``name`` identifies the writer;
-    keep it with its checkpoint across restarts.
+    number in the commit record and skipped.  ``name`` identifies the writer.
+    Numbers count within one stream: its own id, which Spark keeps in the
+    checkpoint, is part of the token, so a stream that begins anew is never
+    taken for a repeat.  The default checkpoint lies with the table and
+    survives the application, so the same writer goes on where it ended.
     """
-    location = checkpoint or scratch_path(table.spark, f"stream-{name}")
+    location = checkpoint or f"{table.path}/_streams/{name}"
+    spark = table.spark
 
     def commit(batch: DataFrame, number: int) -> None:
-        table.add(batch, token=(name, number))
+        stream_id = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+        if not stream_id:
+            raise RuntimeError("the stream's id is not known, so repeats could not be told from new batches")
+        table.add(batch, token=(f"{name}:{stream_id}", number))
 
     writer = stream.writeStream.foreachBatch(commit).option("checkpointLocation", location)
     if available_now:

@@ -234,3 +234,29 @@ def test_samples(samples, monkeypatch):
                  lambda: sample_rows(samples.limit(0), 1, replace=True)):
         with pytest.raises(ValueError):
             call()
+
+
+def test_given_ids_are_stored_once(spark):
+    from karst.operators.batches import batches, sample_rows
+    frame = spark.createDataFrame([(1, "a"), (2, "b"), (2, "c"), (3, "d")], "id bigint, v string")
+    given = spark.createDataFrame([(1, 1), (2, 2), (3, 3)], "pos bigint, id bigint")
+    for wrong in (given, given.replace({2: 9}, subset=["id"])):
+        with pytest.raises(Exception, match="duplicate stored id|id is not stored"):
+            batches(frame, 2, "id", manifest=wrong).collect()
+        with pytest.raises(Exception, match="duplicate stored id|id is not stored"):
+            sample_rows(frame, 3, "id", manifest=wrong).collect()
+    good = given.filter("id <> 2").replace({3: 2}, subset=["pos"])
+    assert sorted(tuple(r) for r in batches(frame, 2, "id", manifest=good).collect()) == [(0, 1, 1, "a"), (0, 2, 3, "d")]
+    assert {r.v for r in sample_rows(frame, 2, "id", manifest=good).collect()} == {"a", "d"}
+
+
+@pytest.mark.parametrize("kind, width", [("tinyint", 8), ("smallint", 16), ("int", 32), ("bigint", 64)])
+def test_hamming_of_negative_codes(spark, kind, width):
+    import numpy as np
+    from karst.functions.kernels import distances
+    from karst.functions.metrics import distance
+    frame = spark.createDataFrame([([-1, 5, -128],)], "v array<bigint>").selectExpr(f"cast(v as array<{kind}>) as v")
+    query = np.array([0, 5, 127], dtype=f"int{width}")
+    assert distances(np.array([[-1, 5, -128]], dtype=query.dtype), query, "hamming").tolist() == [2.0 * width]
+    from karst.functions.metrics import literal_vector
+    assert frame.select(distance(frame["v"], literal_vector(query), "hamming").alias("d")).first().d == 2.0 * width

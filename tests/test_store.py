@@ -220,14 +220,29 @@ def test_stream_appends_once(db, spark, tmp_path):
     checkpoint = str(tmp_path / "cp")
     append_stream(stream, table, "w", checkpoint).awaitTermination()
     assert ids(table.to_df()) == list(range(40)) and table.version == 5
-    append_stream(stream, table, "w", checkpoint).awaitTermination()
+    again = append_stream(stream, table, "w", checkpoint)
+    again.awaitTermination()
     # the same batch delivered again, as after a lost driver
-    table.add(spark.range(5), token=("w", 3))
+    table.add(spark.range(5), token=(f"w:{again.id}", 3))
     assert table.count_rows() == 40
-    table.add(spark.range(5), token=("w", 4))
+    table.add(spark.range(5), token=(f"w:{again.id}", 4))
     assert table.count_rows() == 45
 
 
+def test_streams_of_one_writer_lose_nothing(db, spark, tmp_path):
+    table = db.create_table("s", schema=make_schema([("id", "bigint")]))
+    source = str(tmp_path / "in")
+    for part in range(2):  # the default checkpoint goes on where it ended
+        spark.range(20 * part, 20 * part + 20).coalesce(1).write.mode("append").parquet(source)
+        append_stream(spark.readStream.schema("id bigint").parquet(source), table, "w").awaitTermination()
+    assert ids(table.to_df()) == list(range(40))
+    # another stream under the same name begins with batch 0 again
+    other = str(tmp_path / "other")
+    spark.range(40, 60).coalesce(1).write.parquet(other)
+    append_stream(spark.readStream.schema("id bigint").parquet(other), table, "w", str(tmp_path / "cp")).awaitTermination()
+    assert ids(table.to_df()) == list(range(60))
+
+
 def test_vector_index_lifecycle(db, spark):
     rows = [(i, [float(i % 17), float(i % 5), float(i % 3), 1.0]) for i in range(300)]
     frame = spark.createDataFrame(rows, "id int, vec array<float>")
