@@ -61,9 +61,9 @@ def distances(vectors: np.ndarray, query: np.ndarray, metric: str) -> np.ndarray
 
 
 def distances_many(vectors: np.ndarray, queries: np.ndarray, metric: str) -> np.ndarray:
-    """(queries x vectors) distances from one matrix product, accurate to ~1e-8.
+    """(queries x vectors) distances from one matrix product.
 
-    Good for choosing candidates; the winners are recomputed with ``distances``.
+    Good for choosing candidates within ``distance_bounds``; the winners are recomputed with ``distances``.
     """
     if metric == "hamming":
         return np.stack([distances(vectors, q, metric) for q in queries]) if len(queries) else \
@@ -90,18 +90,37 @@ def candidates(values: np.ndarray, k: int, slack: float = SLACK) -> np.ndarray:
     return usable[values[usable] <= edge + slack * max(1.0, abs(edge))]
 
 
-def candidate_pairs(rough: np.ndarray, k: int, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(row, column) pairs of ``rough`` that can be among the k smallest of their row.
+def distance_bounds(rough: np.ndarray, vectors: np.ndarray, queries: np.ndarray,
+                    metric: str) -> tuple[np.ndarray, np.ndarray]:
+    """Least and greatest distance that each entry of ``distances_many`` can stand for.
+
+    A product of long, nearly equal vectors loses the digits of their small
+    difference, so the error grows with the squared norms, not with the distance.
+    """
+    if metric == "hamming":
+        return rough, rough
+    unit = (vectors.shape[1] + 8) * np.finfo(np.float64).eps
+    if metric == "cosine":
+        return rough - 4 * unit, rough + 4 * unit
+    wide, targets = vectors.astype(np.float64), queries.astype(np.float64)
+    error = unit * (np.einsum("ij,ij->i", wide, wide)[None, :] + np.einsum("ij,ij->i", targets, targets)[:, None])
+    if metric == "dot":
+        return rough - error - unit, rough + error + unit
+    return np.sqrt(np.maximum(rough * rough - error, 0.0)), np.sqrt(rough * rough + error)
+
+
+def candidate_pairs(low: np.ndarray, high: np.ndarray, k: int, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, column) pairs that can be among the k smallest of their row, by the bounds of their distances.
 
     ``edges`` is the k-th distance each row has reached so far (infinite at
     first); near ties at the edge are kept.
     """
     bound = edges
-    if rough.shape[1] > k:
-        own = np.where(np.isnan(rough), np.inf, rough)
+    if high.shape[1] > k:
+        own = np.where(np.isnan(high), np.inf, high)
         bound = np.minimum(bound, np.partition(own, k - 1, axis=1)[:, k - 1]) if np.isinf(edges).any() else edges
     bound = np.where(np.isinf(bound), np.inf, bound + SLACK * np.maximum(1.0, np.abs(bound)))
-    return np.nonzero(rough <= bound[:, None])
+    return np.nonzero(low <= bound[:, None])
 
 
 def nearest_rows(centres: np.ndarray, vectors: np.ndarray) -> np.ndarray:

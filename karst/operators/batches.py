@@ -140,10 +140,10 @@ def sample_rows(df: DataFrame, n: int, id_column: str = "id", replace: bool = Fa
     base = df.select(key) if manifest is None else manifest.select(key)
     size = base.count()
     if size == 0:
-        raise ValueError("cannot sample an empty dataset")
+        raise ValueError("there are no ids to draw from")
     if not replace:
         if n > size:
-            raise ValueError("the sample exceeds the dataset; use replace=True")
+            raise ValueError(f"{n} draws without replacement from {size} ids")
         keyed = base.select(key, shuffle_key(seed, key).alias("_key"))
         chosen = numbering.smallest(keyed, ["_key", id_column], n).select(key)
         if manifest is not None:

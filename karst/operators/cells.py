@@ -28,21 +28,23 @@ from karst.schema import VECTOR_DIM
 CELL, BUCKET, ROW, CODE = "_cell", "_bucket", "_row", "_code"
 FRAGMENT = "_fragment"           # numbers the separate writes of one index; _row is unique within it
 LAYOUT_COLUMNS = (CELL, BUCKET, ROW, CODE, FRAGMENT)
-MAX_CELLS = 65_536
 MAX_CENTRE_BYTES = 64 << 20      # centres are broadcast, so their size is bounded here
 TRAIN_PER_CELL = 256
-AUTO_ROWS = 10_000
 MAX_CODE_TRAINING = 65_536
 
 
-def auto_index(rows: int) -> str | None:
-    """Index kind for ``type="auto"``: small tables are scanned."""
-    return None if rows < AUTO_ROWS else "ivf_flat"
-
-
 def cell_count(rows: int, dim: int, requested: int | None = None) -> int:
-    wanted = requested if requested and requested > 0 else max(1, round(math.sqrt(rows)))
-    return max(1, min(wanted, MAX_CELLS, MAX_CENTRE_BYTES // (4 * dim), rows))
+    """Cells of an index: as many as asked for, else the root of the rows within ``MAX_CENTRE_BYTES`` of centres.
+
+    More centres than that cannot be broadcast, so asking for them raises.
+    """
+    most = MAX_CENTRE_BYTES // (4 * dim)
+    if requested and requested > 0:
+        wanted = min(requested, rows)
+        if wanted > most:
+            raise ValueError(f"{wanted} centres of {dim} values exceed {MAX_CENTRE_BYTES >> 20} MB; at most {most} fit")
+        return max(1, wanted)
+    return max(1, min(round(math.sqrt(rows)), most, rows))
 
 
 def train_cells(df: DataFrame, column: str, metric: str = "l2", num_partitions: int | None = None,

@@ -40,7 +40,7 @@ def encode_batch(encoder: Callable, inputs: list) -> np.ndarray:
     with np.errstate(over="ignore"):
         block = block.astype(np.float32)
     if len(block) and block.shape[1] == 0:
-        raise ValueError("embeddings cannot be empty")
+        raise ValueError("the encoder returned vectors without values")
     if not np.isfinite(block).all():
         raise ValueError("embeddings must be finite in single precision")
     return block
@@ -65,9 +65,9 @@ def with_embeddings(df: DataFrame, source: str, encoder: Callable, column: str =
     """
     check_count(batchsize, "batchsize", 1)
     if source not in df.columns:
-        raise ValueError(f"source column does not exist: {source}")
+        raise ValueError(f"nothing to encode: no column {source}")
     if column in df.columns and not overwrite:
-        raise ValueError(f"embedding column already exists: {column}")
+        raise ValueError(f"{column} is taken; pass overwrite=True to replace it")
     if df.isEmpty():
         raise ValueError("cannot infer the embedding dimension from empty data")
     kept = [c for c in df.columns if c != column]

@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from karst.functions.text import LANGUAGES, normaliser, tokens
 from karst.operators.bounds import quoted
 
-MAX_BITMAP_VALUES = 4096
+#: more values than these have no directory each
+MAX_DIRECTORIES = 4096
 TARGET_FILE_BYTES = 256 << 20
 
 
@@ -34,15 +35,18 @@ def write_range_layout(df: DataFrame, columns: Sequence[str], path: str, partiti
 def write_value_layout(df: DataFrame, column: str, path: str, rows_per_task: int = 5_000_000) -> None:
     """Copy with one directory per value of a low-cardinality column.
 
+    A column of more than ``MAX_DIRECTORIES`` values is sorted instead, without
+    directories: file and row-group statistics do the skipping then.
     Each value is spread over as many tasks as its row count asks for, by the
     row order of ``df``, so read that from storage.
     """
     name = F.col(quoted(column))
     counts = df.groupBy(name.alias("_value")).agg(F.count("*").alias("_n"))
-    # one row per distinct value, and a bitmap column may only have a few
-    values = counts.limit(MAX_BITMAP_VALUES + 1).collect()
-    if len(values) > MAX_BITMAP_VALUES:
-        raise ValueError(f"column {column} has more than {MAX_BITMAP_VALUES} values; use a range layout")
+    # one row per distinct value, bounded
+    values = counts.limit(MAX_DIRECTORIES + 1).collect()
+    if len(values) > MAX_DIRECTORIES:
+        write_range_layout(df, [column], path)
+        return
     splits = df.sparkSession.createDataFrame(
         [(r["_value"], max(1, math.ceil(r["_n"] / rows_per_task))) for r in values],
         T.StructType([T.StructField("_value", df.schema[column].dataType), T.StructField("_splits", T.IntegerType())]))

@@ -33,7 +33,7 @@ def check_ids(ids: Iterable) -> list:
         if not -(1 << 63) <= value < 1 << 63:
             raise ValueError("integer ids must fit 64 bits")
     if len({isinstance(v, str) for v in values}) > 1:
-        raise ValueError("do not mix string and integer ids")
+        raise ValueError("ids are either all text or all whole numbers")
     return values
 
 
@@ -51,7 +51,7 @@ def projection(schema: T.StructType, id_column: str, columns: Sequence[str] | No
     if not names:
         raise ValueError("select at least one column")
     if len(set(names)) != len(names):
-        raise ValueError("selected column names must be unique")
+        raise ValueError("a column is listed twice")
     unknown = [n for n in names if n not in schema.names]
     if unknown:
         raise ValueError(f"column does not exist: {', '.join(unknown)}")

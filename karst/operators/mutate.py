@@ -55,7 +55,7 @@ def merge_insert(target: DataFrame, source: DataFrame, on: str | Sequence[str],
     """
     keys = [on] if isinstance(on, str) else list(on)
     if not keys:
-        raise ValueError("merge keys cannot be empty")
+        raise ValueError("name at least one key column")
     for key in keys:
         if key not in target.columns:
             raise SchemaMismatch(f"merge key does not exist: {key}")

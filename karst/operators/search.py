@@ -139,7 +139,7 @@ def knn(df: DataFrame, query, k: int, column: str | None = None, metric: str = "
         sized = F.when(F.size(vector) == len(target), vector).otherwise(
             F.raise_error(F.lit(f"expected vectors of dimension {len(target)}")).cast(df.schema[name].dataType))
         scored = (rows.withColumn(DISTANCE, distance(sized, literal_vector(target), metric))
-                  .filter(F.col(DISTANCE).isNotNull()))
+                  .filter(F.col(DISTANCE).isNotNull() & ~F.isnan(DISTANCE)))
     else:
         raise ValueError("engine must be 'arrow' or 'columns'")
     top = smallest(scored, [DISTANCE, *order], k, offset)
@@ -163,7 +163,8 @@ class _BlockTopK:
 
     def _add_slice(self, ids: pa.Array, vectors: np.ndarray) -> None:
         rough = kernels.distances_many(vectors, self.points, self.metric)
-        line, pick = kernels.candidate_pairs(rough, self.k, self.edges)
+        line, pick = kernels.candidate_pairs(*kernels.distance_bounds(rough, vectors, self.points, self.metric),
+                                             self.k, self.edges)
         # many ties at the edge give many candidates: they are settled piece by piece
         for lo in range(0, len(line), PAIR_SLICE):
             self._merge(line[lo:lo + PAIR_SLICE], pick[lo:lo + PAIR_SLICE], ids, vectors)

@@ -159,6 +159,8 @@ class Indexes:
         covered = set(record.covered())
         fresh = [s for s in live if s not in covered]
         dead = [f for f in record.fragments if not set(f.segments) & set(live)]
+        if not fresh and len(dead) == len(record.fragments):
+            dead = dead[:-1]     # an emptied table keeps one, whose columns its readers need
         if not fresh and not dead:
             return
         record.fragments = [f for f in record.fragments if f not in dead]
@@ -311,14 +313,12 @@ class Indexes:
 
 def create_vector_index(table, column: str | None = None, type: str = "auto", *, num_partitions: int = -1,
                         num_sub_vectors: int = -1, max_iterations: int = -1, sample_rate: float = 0.0,
-                        metric: str = "l2", replace: bool = False) -> str | None:
-    """Build a vector index; returns its name, or None when ``auto`` keeps the scan."""
+                        metric: str = "l2", replace: bool = False) -> str:
+    """Build a vector index and return its name; ``auto`` clusters the vectors, a small table into few cells."""
     column = vector_column(table.schema, column)
     kind = canonical(type, (*VECTOR_KINDS, "auto"))
     if kind == "auto":
-        kind = C.auto_index(table.count_rows())
-        if kind is None:
-            return None
+        kind = "ivf_flat"
     options = {"metric": check_metric(metric), "num_partitions": num_partitions, "num_sub_vectors": num_sub_vectors,
                "max_iterations": max_iterations, "sample_rate": sample_rate}
     return table.indexes.build(kind, [column], options, replace).name

@@ -502,7 +502,7 @@ class IdDataset:
     def _check_version(self) -> None:
         actual = self.table.version
         if actual != self.version:
-            raise StaleDataset(f"table version changed from {self.version} to {actual}; rebuild the dataset")
+            raise StaleDataset(f"this dataset shows version {self.version}, the table is at {actual} now")
 
     def rows(self, positions) -> DataFrame:
         """Rows at 1-based positions (a list, or a DataFrame ``(pos, at)``), in that order."""

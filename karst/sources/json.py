@@ -164,7 +164,7 @@ def read_json(spark: SparkSession, path: str | list[str], jsonlines: bool | None
         if openings == {"{"}:
             return _check_vectors(_from_columns(parse(text), types, vector_columns), checked)
         if openings != {"["}:
-            raise JsonImportError("expected an array of row objects or an object of column arrays")
+            raise JsonImportError("the text must begin with [ (rows) or { (columns)")
     return _check_vectors(typed_rows(row_objects(parse(text), lines), types, vector_columns), checked)
 
 
@@ -183,17 +183,17 @@ def _plan(audit: DataFrame, types, vector_columns: Sequence[str]) -> dict[str, T
         found.setdefault(row["name"], {False: {}, True: {}})[row["item"]][row["kind"]] = row.asDict()
     nameless = found.pop(None, None)
     if nameless and "not_object" in nameless[False]:
-        raise JsonImportError("JSON rows must be objects")
+        raise JsonImportError("every row needs to be an object with named fields")
     if not found:
         if not hints:
-            raise JsonImportError("the JSON has no columns; give types for an empty array")
+            raise JsonImportError("nothing to infer columns from: pass types")
         found = {name: {False: {}, True: {}} for name in hints}
     unknown = [n for n in hints if n not in found]
     if unknown:
-        raise JsonImportError(f"types names an unknown column: {', '.join(unknown)}")
+        raise JsonImportError(f"no such column for the types given: {', '.join(unknown)}")
     unknown = [n for n in vector_columns if n not in found]
     if unknown:
-        raise JsonImportError(f"vector_columns names an unknown column: {', '.join(unknown)}")
+        raise JsonImportError(f"no such vector column: {', '.join(unknown)}")
     schema: dict[str, T.DataType] = {}
     for name in sorted(found):
         own, items = found[name][False], found[name][True]
@@ -203,14 +203,14 @@ def _plan(audit: DataFrame, types, vector_columns: Sequence[str]) -> dict[str, T
             schema[name] = _scalar_type(name, own, hint)
             continue
         if not present <= {"list"}:
-            raise JsonImportError(f"column {name} mixes lists and scalars")
+            raise JsonImportError(f"{name} has lists in some rows and single values in others")
         if hint is not None and not isinstance(hint, T.ArrayType):
-            raise JsonImportError(f"the type of column {name} must be an array")
+            raise JsonImportError(f"{name} holds lists, so its type has to be an array")
         element = hint.elementType if hint is not None else T.FloatType() if vector else None
         if vector and (not {k for k in items} <= {"int", "float"} or not items):
-            raise JsonImportError(f"vector column {name} must contain finite numbers")
+            raise JsonImportError(f"{name} holds something other than numbers, so it is no vector column")
         if not {k for k in items if k != "null"} and element is None:
-            raise JsonImportError(f"cannot infer the list elements of {name}; give its type")
+            raise JsonImportError(f"the lists of {name} are all empty: pass its type")
         schema[name] = T.ArrayType(_scalar_type(f"{name}[]", items, element))
     return schema
 
@@ -242,11 +242,11 @@ def _from_columns(docs: DataFrame, types, vector_columns: Sequence[str]) -> Data
              .select("_doc", "name", "value", F.schema_of_variant("value").alias("s")))
     shape = parts.agg(F.count_if(~F.col("s").startswith("ARRAY")).alias("scalars"), F.count("name").alias("columns")).first()
     if shape["scalars"] or not shape["columns"]:
-        raise JsonImportError("a column-oriented JSON object must contain arrays")
+        raise JsonImportError("each field of a column document has to be a list")
     sizes = parts.select("_doc", F.size(F.expr("variant_get(value, '$', 'array<variant>')")).alias("n"))
     uneven = sizes.groupBy("_doc").agg(F.min("n").alias("lo"), F.max("n").alias("hi")).filter("lo <> hi")
     if uneven.first() is not None:
-        raise JsonImportError("JSON columns must have equal lengths")
+        raise JsonImportError("the lists of a column document differ in length")
     # audit the values as if each were a one-column row object
     cells = (_explode(parts, "value", "_pos", "_key", "cell").filter("_pos IS NOT NULL")
              .select("name", "cell"))

@@ -222,7 +222,7 @@ def read_sqlite(spark: SparkSession, path: str, source_table: str | None = None,
     Column types come from the data unless ``schema`` gives them.
     """
     if (source_table is None) == (sql is None):
-        raise ValueError("specify exactly one of source_table or sql")
+        raise ValueError("pass a source_table or a sql text, not both or neither")
     spark.dataSource.register(SqliteSource)
     reader = spark.read.format("sqlite").option("params", _encode(params)).option("rows_per_partition", rows_per_partition)
     reader = reader.option("source_table", source_table) if source_table is not None else reader.option("sql", sql)

@@ -239,7 +239,9 @@ def test_hot_cell_is_split(spark):
 
 def test_cell_rules(cloud, spark):
     _, df = cloud
-    assert C.auto_index(9_999) is None and C.auto_index(10_000) == "ivf_flat"
+    assert C.cell_count(10**6, 64, 200_000) == 200_000 and C.cell_count(50, 64, 200_000) == 50
+    with pytest.raises(ValueError):
+        C.cell_count(10**6, 1536, 40_000)
     assert C.cell_count(10_000, 64) == 100 and C.cell_count(10_000, 64, 7) == 7
     assert C.cell_count(10**12, 1536) * 1536 * 4 <= C.MAX_CENTRE_BYTES
     for call in (lambda: C.train_cells(df, "vec", "hamming"), lambda: C.train_cells(df, "vec", num_partitions=0),
@@ -295,3 +297,26 @@ def test_kernel_matrix_rules():
     for bad in ([[1.0]], [[1.0, None]]):
         with pytest.raises(ValueError):
             kernels.matrix(pa.array(bad, pa.list_(pa.float32())), 2)
+
+
+def test_knn_join_among_near_copies_of_long_vectors(spark):
+    rng = np.random.default_rng(8)
+    centres = rng.normal(size=(20, 48))
+    centres = (centres / np.linalg.norm(centres, axis=1)[:, None] * 100).astype(np.float32)
+    rows, points = [], []
+    for c in centres:
+        for step in range(1, 41):
+            near = c.copy()
+            near[step % 48] = np.nextafter(near[step % 48], np.float32(np.inf)) + np.float32(step * 8e-6)
+            points.append(near)
+    points = np.array(points, np.float32)
+    rows = [(i, [float(x) for x in p]) for i, p in enumerate(points)]
+    vectors = spark.createDataFrame(rows, "vid bigint, v array<float>")
+    queries = spark.createDataFrame([(i, [float(x) for x in c]) for i, c in enumerate(centres)], "qid bigint, q array<float>")
+    for limit in (1 << 26, 0):
+        got = {}
+        for r in knn_join(queries, vectors, 5, "qid", "vid", "q", "v", broadcast_bytes=limit).collect():
+            got.setdefault(r.qid, []).append((r._distance, r.vid))
+        for i, c in enumerate(centres):
+            exact = np.sqrt(((points.astype(np.float64) - c.astype(np.float64)) ** 2).sum(1)).astype(np.float32)
+            assert sorted(got[i]) == sorted((exact[j], j) for j in np.lexsort((np.arange(len(points)), exact))[:5])

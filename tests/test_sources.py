@@ -1,3 +1,4 @@
+import json
 import sqlite3
 
 import numpy as np
@@ -22,107 +23,141 @@ def put(tmp_path, name, text):
 
 
 def test_json_rows_columns_and_lines(db, tmp_path):
-    table = import_json(db, put(tmp_path, "a.json", '[{"id":7,"text":"hé","score":2.25},\n {"id":8,"text":null}]'), "rows")
-    assert [tuple(r) for r in table.take_ids([8, 7], columns=["text", "score"]).collect()] == [(None, None), ("hé", 2.25)]
-    assert table.schema["score"].dataType == T.DoubleType()
-    import_json(table, put(tmp_path, "b.json", '{"id":[9],"text":["owl"],"score":[0.5]}'))
-    assert table.count_rows() == 3
-    lines = import_json(db, put(tmp_path, "c.jsonl", '{"id":1,"text":"x"}\n{"id":2,"text":"y"}\n'), "lines")
-    import_json(lines, put(tmp_path, "d.txt", '{"id":3,"text":"z"}\n'), jsonlines=True)
-    assert lines.take_ids([3], columns=["text"]).first().text == "z"
+    rows = '[{"sku":310,"note":null,"kg":0.125}, {"kg":12.5,"sku":44},\n\n {"sku":205,"note":"Öl, 5 l","kg":null}]'
+    table = import_json(db, put(tmp_path, "stock.json", rows), "stock")
+    found = {r.sku: (r.note, r.kg) for r in table.to_df().collect()}
+    assert found == {310: (None, 0.125), 44: (None, 12.5), 205: ("Öl, 5 l", None)}
+    assert table.schema["kg"].dataType == T.DoubleType() and table.schema["sku"].dataType == T.LongType()
+    import_json(table, put(tmp_path, "more.json", '{"kg":[3,4.75],"note":["twine",""],"sku":[501,502]}'))
+    assert [tuple(r) for r in table.to_df().filter("sku > 500").orderBy("sku").select("note", "kg").collect()] == [
+        ("twine", 3.0), ("", 4.75)]
+    log = import_json(db, put(tmp_path, "log.jsonl", '{"at":90,"who":"night"}\n\n{"at":30}\n{"who":"day","at":60}\n'), "log")
+    import_json(log, put(tmp_path, "tail.log", '{"who":"late","at":120}\n'), jsonlines=True)
+    assert [(r["at"], r.who) for r in log.to_df().orderBy("at").collect()] == [
+        (30, None), (60, "day"), (90, "night"), (120, "late")]
     with pytest.raises(Exception):
-        import_json(lines, put(tmp_path, "e.jsonl", '{"id":4}\nnot json'))
-    assert lines.count_rows() == 3
+        import_json(log, put(tmp_path, "broken.jsonl", '{"at":150,"who":"x"}\n{"at":\n'))
+    assert log.to_df().agg(F.max("at")).first()[0] == 120
 
 
 def test_json_vectors_and_lists(db, tmp_path):
-    path = put(tmp_path, "v.json", '[{"id":1,"embedding":[1,0],"tags":["a","b"]},{"id":2,"embedding":[0,1],"tags":[]}]')
-    table = import_json(db, path, "vectors", vector_columns=["embedding"])
-    assert vector_dims(table.schema) == {"embedding": 2}
-    assert table.schema["embedding"].dataType == T.ArrayType(T.FloatType())
-    assert table.vector_search([1, 0], "embedding").limit(1).execute().first().id == 1
-    assert [r.tags for r in table.take_ids([1, 2], columns=["tags"]).collect()] == [["a", "b"], []]
-    double = import_json(db, put(tmp_path, "w.json", '[{"id":1,"embedding":[1.0000000001,0]}]'), "double",
-                         vector_columns=["embedding"], types={"embedding": "array<double>"})
-    assert double.to_df().first().embedding[0] == 1.0000000001
+    angles = [0.0, 40.0, 95.0, 170.0]
+    points = [[float(np.cos(np.radians(a))), float(np.sin(np.radians(a))), 0.5] for a in angles]
+    lines = [json.dumps({"p": v, "marks": list(range(i)), "deg": a}) for i, (a, v) in enumerate(zip(angles, points))]
+    table = import_json(db, put(tmp_path, "ring.ndjson", "\n".join(lines)), "ring", vector_columns=["p"])
+    assert vector_dims(table.schema) == {"p": 3}
+    assert table.schema["p"].dataType.elementType == T.FloatType()
+    near = table.vector_search(points[2], "p").limit(2).execute().collect()
+    assert [r.deg for r in near] == [95.0, 40.0]
+    assert {r.deg: r.marks for r in table.to_df().collect()} == {a: list(range(i)) for i, a in enumerate(angles)}
+    third = 1 / 3
+    wide = import_json(db, put(tmp_path, "wide.json", json.dumps({"n": [5], "p": [[third, -third, 2.0, 1e-9]]})), "wide",
+                       vector_columns=["p"], types={"p": "array<double>"})
+    assert list(wide.to_df().first().p) == [third, -third, 2.0, 1e-9]
 
 
 def test_json_types_for_empty_input(db, tmp_path):
-    table = import_json(db, put(tmp_path, "e.json", "[]"), "empty", types={"id": "bigint", "tags": "array<string>"})
-    assert table.count_rows() == 0
-    import_json(table, put(tmp_path, "f.json", '[{"id":1,"tags":["cat"]}]'))
-    assert table.take_ids([1], columns=["tags"]).first().tags == ["cat"]
-
-
-@pytest.mark.parametrize("text", [
-    "[]", "42", "[1,2]", '{"id":1}', '{"id":[1,2],"text":["a"]}', '[{"v":1},{"v":"a"}]', '[{"v":{"n":1}}]',
-    '[{"v":[[1],[2,3]]}]', '[{"v":9007199254740993},{"v":1.5}]', '[{"v":[1]},{"v":2}]', '[{"v":true},{"v":1}]',
-    '[{"v":123456789012345678901}]'])
-def test_bad_json_creates_nothing(db, tmp_path, text):
+    hints = {"flags": "array<boolean>", "code": "string", "n": "int"}
+    table = import_json(db, put(tmp_path, "none.json", "  [ ]\n"), "none", types=hints)
+    assert table.to_df().isEmpty() and set(table.schema.names) == set(hints)
+    import_json(table, put(tmp_path, "one.json", '{"n":[12],"flags":[[true,false]],"code":["k-7"]}'))
+    row = table.to_df().first()
+    assert (row.n, row.flags, row.code) == (12, [True, False], "k-7")
+
+
+#: one document per rule that an import must reject, named by the rule
+REJECTED = {
+    "no columns and no types": "  []  ",
+    "a string at the root": '"rows"',
+    "rows that are lists": '[["a"],["b"]]',
+    "a column without a list": '{"a":["x","y"],"b":"x"}',
+    "columns of unequal length": '{"a":[0.5,1.5,2.5],"b":[],"c":[1,2,3]}',
+    "text and truth values": '[{"k":"on"},{"k":null},{"k":false}]',
+    "an object as a value": '{"k":[null,{"lat":4.5,"lon":51}]}',
+    "lists inside lists": '[{"k":[["deep"]]},{"k":[]}]',
+    "a whole number that a double rounds": '{"k":[0.25,-72057594037927937]}',
+    "a list and text": '[{"k":"p,q"},{"k":["p","q"]}]',
+    "text and numbers": '{"k":["12",13]}',
+    "a whole number beyond 64 bits": '{"k":[-99999999999999999999]}',
+}
+
+
+@pytest.mark.parametrize("text", REJECTED.values(), ids=REJECTED.keys())
+def test_rejected_json_creates_nothing(db, tmp_path, text):
     with pytest.raises(JsonImportError):
-        import_json(db, put(tmp_path, "bad.json", text), "bad")
-    assert db.table_names() == []
+        import_json(db, put(tmp_path, "in.json", text), "target")
+    assert "target" not in db.table_names()
 
 
-@pytest.mark.parametrize("value", ["[[1,2],[1]]", "[[true,false]]", "[[1,null]]", "[[1e100,2]]", "[[]]", "[null]"])
-def test_bad_vectors_create_nothing(db, tmp_path, value):
+@pytest.mark.parametrize("third", ["[0.5]", "[7,8,9,10]", '["7",8,9]', "[7,false,9]", "[7,8,null]", "[-4e200,8,9]"])
+def test_rejected_vectors_create_nothing(db, tmp_path, third):
+    lines = "".join(f'{{"n":{n},"p":{p}}}\n' for n, p in ((1, "[1,2,3]"), (2, "[4,5,6]"), (3, third)))
     with pytest.raises(JsonImportError):
-        import_json(db, put(tmp_path, "bad.json", '{"embedding":%s}' % value), "bad", vector_columns=["embedding"])
-    assert db.table_names() == []
+        import_json(db, put(tmp_path, "in.jsonl", lines), "target", vector_columns=["p"])
+    assert "target" not in db.table_names()
 
 
 def test_json_hints(spark, tmp_path):
-    path = put(tmp_path, "h.json", '[{"id":1,"x":2},{"id":2,"x":3.0}]')
-    assert [r.x for r in read_json(spark, path, types={"x": "int"}).collect()] == [2, 3]
-    assert read_json(spark, path).schema["x"].dataType == T.DoubleType()
-    for types in ({"absent": "int"}, {"id": 3}, {"id": "string"}):
+    path = put(tmp_path, "hints.json", '{"who":["ann","bo","cy"],"pay":[1200,990.0,null]}')
+    assert {r.who: r.pay for r in read_json(spark, path, types={"pay": "smallint"}).collect()} == {"ann": 1200, "bo": 990, "cy": None}
+    assert read_json(spark, path).schema["pay"].dataType == T.DoubleType()
+    for types in ({"wage": "double"}, {"pay": "boolean"}, {"who": 1.5}):
         with pytest.raises(JsonImportError):
             read_json(spark, path, types=types)
     with pytest.raises(JsonImportError):
-        read_json(spark, path, vector_columns=["absent"])
-    big = put(tmp_path, "big.json", '[{"v":9007199254740993},{"v":9223372036854775807},{"v":null}]')
-    assert sorted(r.v for r in read_json(spark, big).dropna().collect()) == [9007199254740993, 9223372036854775807]
-    null = read_json(spark, put(tmp_path, "n.json", '[{"a":1,"b":null}]'))
-    assert null.first().b is None
+        read_json(spark, path, vector_columns=["where"])
+    with pytest.raises(JsonImportError):
+        read_json(spark, put(tmp_path, "void.jsonl", '{"p":null}\n{"p":null}\n'), vector_columns=["p"])
+    edges = [-2**63, 2**53 + 1, 2**63 - 1]
+    exact = read_json(spark, put(tmp_path, "exact.json", json.dumps({"k": [*edges, None]})))
+    assert sorted(r.k for r in exact.dropna().collect()) == edges
+    empty = read_json(spark, put(tmp_path, "null.jsonl", '{"x":null,"y":"z"}\n{"y":"w"}\n'))
+    assert [r.x for r in empty.collect()] == [None, None]
 
 
 def test_csv_options_and_strictness(db, tmp_path):
-    path = put(tmp_path, "a.csv", 'id;text;score\n1;"cat; dog";2.5\n2;né;NA\n')
-    table = import_csv(db, path, "csv", delim=";", missingstring="NA",
-                       types={"id": "bigint", "text": "string", "score": "double"})
-    assert table.take_ids([1], columns=["text"]).first().text == "cat; dog"
-    assert table.take_ids([2], columns=["score"]).first().score is None
-    import_csv(table, put(tmp_path, "b.csv", "id;text;score\n3;bird;4\n"), delim=";")
-    assert table.count_rows() == 3
+    types = {"town": "string", "depth": "double", "code": "bigint"}
+    text = 'code|town|depth\n81|"Ys | lower"|-3.75\n17|Łeba|?\n26|?|10\n'
+    table = import_csv(db, put(tmp_path, "towns.csv", text), "towns", delim="|", missingstring="?", types=types)
+    assert {r.code: (r.town, r.depth) for r in table.to_df().collect()} == {
+        81: ("Ys | lower", -3.75), 17: ("Łeba", None), 26: (None, 10.0)}
+    import_csv(table, put(tmp_path, "next.csv", "code|town|depth\n90|Skye|0.5\n91|Mull|6\n"), delim="|")
+    assert table.count_rows() == 5
     with pytest.raises(Exception):
-        import_csv(table, put(tmp_path, "c.csv", "id,text,score\n4,bad,oops\n"))
-    assert table.count_rows() == 3
-    loose = import_csv(db, put(tmp_path, "d.csv", "id,score\n1,oops\n2,3.5\n"), "loose", strict=False,
-                       types={"score": "double"})
-    assert [tuple(r) for r in loose.take_ids([1, 2]).collect()] == [(1, None), (2, 3.5)]
+        import_csv(table, put(tmp_path, "torn.csv", "code,town,depth\n95,Iona,7\nninety-six,Jura,8\n"))
+    assert table.count_rows() == 5
+    loose = import_csv(db, put(tmp_path, "loose.csv", "depth,code\nunknown,52\n8.5,53\n"), "loose", strict=False,
+                       types={"depth": "double"})
+    assert {r.code: r.depth for r in loose.to_df().collect()} == {52: None, 53: 8.5}
 
 
 def test_sqlite_tables_queries_and_shards(db, spark, tmp_path):
-    path = tmp_path / "one.sqlite"
+    path = tmp_path / "harbour.db"
     source = sqlite3.connect(path)
-    source.execute('CREATE TABLE "source rows" (id INTEGER, text TEXT, score REAL)')
-    source.executemany('INSERT INTO "source rows" VALUES (?, ?, ?)', [(1, "né", 1.5), (2, None, 2.5)])
+    source.execute('CREATE TABLE "berth-log (2)" (ship TEXT, metres REAL, quay INTEGER)')
+    source.executemany('INSERT INTO "berth-log (2)" VALUES (?, ?, ?)', [
+        ("Ægir", 88.25, 4), (None, 140.0, 2), ("Nørd", None, 4), ("Tern", 12.0, None)])
+    source.execute("CREATE TABLE seals (no INTEGER, stamp BLOB)")
+    source.executemany("INSERT INTO seals VALUES (?, ?)", [(n, bytes(range(n))) for n in (5, 0, 2)])
     source.commit()
     uri = "file:" + str(path)
-    table = import_sqlite(db, uri, "items", source_table="source rows")
-    assert [tuple(r) for r in table.take_ids([1, 2]).collect()] == [(1, "né", 1.5), (2, None, 2.5)]
-    import_sqlite(table, uri, sql='SELECT id + 2 AS id, text, score FROM "source rows" WHERE id = ?', params=(1,))
-    assert table.count_rows() == 3
+    table = import_sqlite(db, uri, "berths", source_table="berth-log (2)")
+    stored = sorted(map(tuple, table.to_df().select("quay", "ship", "metres").collect()), key=str)
+    assert stored == sorted([(4, "Ægir", 88.25), (2, None, 140.0), (4, "Nørd", None), (None, "Tern", 12.0)], key=str)
+    import_sqlite(table, uri, sql='SELECT upper(ship) AS ship, metres / 2 AS metres, quay FROM "berth-log (2)"'
+                                  " WHERE quay = ? AND metres > ?", params=(4, 50.5))
+    assert table.to_df().filter("metres = 44.125").first().quay == 4 and table.count_rows() == 5
     with pytest.raises(Exception):
-        import_sqlite(table, uri, sql="SELECT nothing FROM nowhere")
-    for bad in ({}, {"source_table": "source rows", "sql": "SELECT 1"}):
+        import_sqlite(table, uri, sql="SELECT tonnage FROM seals")
+    for bad in (dict(source_table="seals", sql="SELECT no FROM seals"), dict()):
         with pytest.raises(ValueError):
             import_sqlite(table, uri, **bad)
-    assert table.count_rows() == 3
-    blobs = read_sqlite(spark, uri, sql="SELECT 1 AS id, x'0102' AS b UNION ALL SELECT 2, x'03' UNION ALL SELECT 3, NULL")
-    assert [r.b for r in blobs.orderBy("id").collect()] == [bytearray(b"\x01\x02"), bytearray(b"\x03"), None]
+    assert table.count_rows() == 5, "a failed import leaves the table alone"
+    stamps = read_sqlite(spark, uri, source_table="seals")
+    assert {r.no: bytes(r.stamp) for r in stamps.collect()} == {n: bytes(range(n)) for n in (0, 2, 5)}
     with pytest.raises(Exception):
-        read_sqlite(spark, uri, sql="SELECT 1 AS v UNION ALL SELECT 'x'").collect()
+        read_sqlite(spark, uri, sql="SELECT quay AS mixed FROM \"berth-log (2)\" WHERE quay > 3 UNION ALL SELECT ship"
+                                    " FROM \"berth-log (2)\" WHERE ship = 'Tern'").collect()
     shards = "file:" + str(tmp_path / "shards")
     rows = spark.range(1000).select("id", (F.col("id") * 0.5).alias("half")).repartition(3)
     assert write_sqlite(rows, shards, "t") == 1000

@@ -247,8 +247,8 @@ def test_vector_index_lifecycle(db, spark):
     rows = [(i, [float(i % 17), float(i % 5), float(i % 3), 1.0]) for i in range(300)]
     frame = spark.createDataFrame(rows, "id int, vec array<float>")
     table = db.create_table("v", frame)
-    assert table.create_vector_index("vec") is None, "auto keeps the scan for a small table"
-    assert table.create_vector_index("vec", "ivf_flat", num_partitions=4) == "vec_idx"
+    assert table.create_vector_index("vec") == "vec_idx" and table.index_stats("vec_idx").num_indexed_rows == 300
+    assert table.create_vector_index("vec", "ivf_flat", num_partitions=4, replace=True) == "vec_idx"
     with pytest.raises(IndexExists):
         table.create_vector_index("vec", "IVFFlat")
     stats = table.index_stats("vec_idx")
@@ -286,6 +286,34 @@ def test_vector_index_lifecycle(db, spark):
         table.create_vector_index("vec", "tree")
 
 
+def test_indexes_of_an_emptied_table(db):
+    table = db.create_table("gone", {"id": [1, 2, 3], "kind": ["a", "b", "a"], "tags": [[1], [2], [1, 2]],
+                                     "vec": pa.array([[0.0, 1.0], [1.0, 0.0], [1.0, 1.0]], pa.list_(pa.float32()))})
+    table.create_vector_index("vec")
+    table.create_scalar_index("id")
+    table.create_scalar_index("kind", "bitmap")
+    table.create_scalar_index("tags", "labellist", key="id")
+    table.delete_rows("true")
+    for _ in range(2):
+        table.optimize()
+        assert table.vector_search([0.0, 1.0], "vec").limit(2).execute().count() == 0
+        assert table.query().use_index("id_idx").filter_where("id > 0").execute().isEmpty()
+        assert table.query().use_index("kind_idx").filter_where("kind = 'a'").execute().isEmpty()
+        assert table.indexes.rows_with_labels("tags_idx", [1]).isEmpty()
+    table.add({"id": [9], "kind": ["a"], "tags": [[1]], "vec": pa.array([[2.0, 0.0]], pa.list_(pa.float32()))})
+    table.optimize()
+    assert table.query().use_index("kind_idx").filter_where("kind = 'a'").execute().first().id == 9
+    assert table.vector_search([0.0, 1.0], "vec").limit(2).execute().first().id == 9
+
+
+def test_value_layout_of_many_values(spark, tmp_path):
+    from karst.operators import layouts as L
+    frame = spark.range(6000).selectExpr("id", "concat('v', id % 5000) AS kind", "id * 0.5 AS x")
+    path = "file:" + str(tmp_path / "values")
+    L.write_value_layout(frame, "kind", path)
+    assert sorted(r.id for r in spark.read.parquet(path).filter("kind = 'v17'").collect()) == [17, 5017]
+
+
 def test_scalar_and_text_indexes(db, spark):
     texts = ["apple banana", "cherry The date", "élan fig", "grape runs running", "kiwi lemon"]
     frame = spark.createDataFrame([(i, t, t.split(" "), "x" if i % 2 else "y") for i, t in enumerate(texts)],
