@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import math
 import os
+import re
+import string
 import zlib
 from collections.abc import Iterator
 
@@ -20,8 +22,8 @@ WINDOW, END_ID = 4096, 2
 SHARD_PIECES = 20_000
 #: distinct words whose ids a task remembers
 REMEMBERED = 300_000
-#: words encoded by one call
-ENCODED = 10_000
+#: words encoded by one call, and what stands between them there
+ENCODED, MARK = 1000, "\x01"
 
 _PIECE = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
 
@@ -33,14 +35,40 @@ class _Ids:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_str(definition)
+        mark = self._ids(MARK)
+        # the mark has to be an id of its own, or words are encoded one by one
+        self.mark = mark[0] if len(mark) == 1 else None
+        # a tokenizer that folds case needs one spelling of a word; added tokens are found before it folds
+        rule = self.tokenizer.normalizer
+        self.folds = rule is not None and rule.normalize_str(string.ascii_uppercase) == string.ascii_lowercase
+        added = [re.escape(t.content.encode()) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = re.compile(b"|".join(added), re.IGNORECASE) if added else None
         self._forget()
 
+    def _ids(self, text: str) -> np.ndarray:
+        encoding = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0]
+        return np.array(encoding.ids, dtype=np.uint32)
+
     def _forget(self) -> None:
         self.known, self.at = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         self.starts, self.flat = np.zeros(1, np.int64), np.zeros(0, np.uint32)
 
+    def _several(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of some words on end, and how many each has; one call encodes them, with marks between."""
+        own = MARK.encode()
+        if self.mark is not None:
+            ids = self._ids((b" " + own + b" ").join(words).decode())
+            at = np.flatnonzero(ids == self.mark)
+            # more of them where words hold the mark themselves
+            if len(at) == len(words) - 1:
+                return np.delete(ids, at), np.diff(np.concatenate([[-1], at, [len(ids)]])) - 1
+        each = [self._ids(w.decode()) for w in words]
+        return np.concatenate(each), np.array([len(i) for i in each], dtype=np.int64)
+
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all documents of a chunk, and where each document's begin."""
+        if self.folds and not (self.special and self.special.search(data)):
+            data = K.lower(data)
         starts, ends, bounds = K.words(data, offsets)
         hashes = K.span_hashes(data, starts, ends)
         unique, first, group = np.unique(hashes, return_index=True, return_inverse=True)
@@ -51,16 +79,16 @@ class _Ids:
         inside = place < len(self.known)
         missing[inside] = self.known[place[inside]] != unique[inside]
         if missing.any():
-            raw = data.tobytes()
-            texts = [raw[starts[i]:ends[i]].decode() for i in first[missing]]
-            ids = [e.ids for at in range(0, len(texts), ENCODED)
-                   for e in self.tokenizer.encode_batch_fast(texts[at:at + ENCODED], add_special_tokens=False)]
-            sizes = np.array([len(i) for i in ids], dtype=np.int64)
-            fresh = np.arange(len(self.starts) - 1, len(self.starts) - 1 + len(ids))
+            raw, chosen = data.tobytes(), first[missing]
+            texts = [raw[i:j] for i, j in zip(starts[chosen].tolist(), ends[chosen].tolist())]
+            parts = [self._several(texts[at:at + ENCODED]) for at in range(0, len(texts), ENCODED)]
+            sizes = np.concatenate([p[1] for p in parts])
+            fresh = np.arange(len(self.starts) - 1, len(self.starts) - 1 + len(sizes))
             self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
-            self.flat = np.concatenate([self.flat, np.array([x for i in ids for x in i], dtype=np.uint32)])
+            self.flat = np.concatenate([self.flat, *(p[0] for p in parts)])
             known, at = np.concatenate([self.known, unique[missing]]), np.concatenate([self.at, fresh])
-            order = np.argsort(known)
+            # two sorted runs
+            order = np.argsort(known, kind="stable")
             self.known, self.at = known[order], at[order]
         entry = self.at[np.searchsorted(self.known, unique)][group] if len(unique) else np.zeros(0, np.int64)
         sizes = self.starts[entry + 1] - self.starts[entry]

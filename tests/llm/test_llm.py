@@ -320,6 +320,13 @@ def test_packing(docs, texts, odd, empty):
     assert pack_documents(empty, tokenizer()).count() == 0
 
 
+def test_packing_of_marks_and_special_tokens(spark):
+    rows = [(1, "a \x01 b !\x01"), (2, "Stop <|ENDOFTEXT|> x<|endoftext|>Y"), (3, "ÀB a\u0300 A\u0300 İ's DON'T"), (4, "STOP stop \x01")]
+    for some in (rows, rows[1:3], rows[:1]):
+        out = pack_documents(spark.createDataFrame(some, "doc_id bigint, text string").coalesce(1), tokenizer()).collect()
+        check_packing(some, out)
+
+
 def test_best_fit_takes_the_tightest_window():
     windows, offsets = best_fit([6, 5, 4, 3, 3, 2, 1], 8)
     assert (windows, offsets) == ([0, 1, 2, 1, 2, 0, 2], [0, 0, 0, 5, 4, 6, 7])
