@@ -29,12 +29,20 @@ def tokens(text: Column, tokenizer: str = "simple", lowercase: bool = True) -> C
     return F.regexp_extract_all(value, F.lit(TOKEN_PATTERNS[tokenizer]), F.lit(0))
 
 
+# Letters that Unicode does not decompose, and their plain spelling.
+PLAIN_LETTERS = {
+    "Æ": "AE", "æ": "ae", "Ð": "D", "ð": "d", "Đ": "D", "đ": "d", "Ħ": "H", "ħ": "h", "ı": "i", "Ł": "L", "ł": "l",
+    "Ø": "O", "ø": "o", "Œ": "OE", "œ": "oe", "ẞ": "SS", "ß": "ss", "Þ": "TH", "þ": "th", "Ŧ": "T", "ŧ": "t",
+}
+_PLAIN = str.maketrans(PLAIN_LETTERS)
+
+
 @lru_cache(maxsize=200_000)
 def fold(token: str) -> str:
-    """Token without diacritics."""
+    """Token without diacritics, in plain letters where there are any."""
     if token.isascii():
         return token
-    parts = unicodedata.normalize("NFD", token)
+    parts = unicodedata.normalize("NFD", token).translate(_PLAIN)
     return unicodedata.normalize("NFC", "".join(c for c in parts if not unicodedata.combining(c)))
 
 

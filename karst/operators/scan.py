@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from karst.operators.bounds import quoted
+from karst.operators.numbering import smallest
 
 
 def check_count(value: int, what: str, minimum: int = 0) -> int:
@@ -33,12 +34,19 @@ def where(df: DataFrame, predicate: str | Column | None) -> DataFrame:
 
 def page(df: DataFrame, limit: int | None = None, offset: int = 0,
          key: str | Sequence[str] | None = None) -> DataFrame:
-    """``limit`` rows after ``offset``.  Pages are stable only with a unique ``key``."""
+    """``limit`` rows after ``offset``.  Pages are stable only with a unique ``key``.
+
+    With a key a deep page is cut out of a range shuffle, so no task holds what
+    comes before it.
+    """
     check_count(offset, "offset")
+    if limit is not None:
+        check_count(limit, "limit")
     if key is not None:
-        df = df.orderBy(*([key] if isinstance(key, str) else list(key)))
+        keys = [key] if isinstance(key, str) else list(key)
+        if limit is not None:
+            return smallest(df, keys, limit, offset)
+        df = df.orderBy(*[F.col(quoted(k)) for k in keys])
     if offset:
         df = df.offset(offset)
-    if limit is not None:
-        df = df.limit(check_count(limit, "limit"))
-    return df
+    return df if limit is None else df.limit(limit)

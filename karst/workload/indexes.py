@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from karst.functions.text import PLAIN_LETTERS
 from karst.operators import cells as C
 from karst.operators.layouts import doc_frequency, text_postings
 from karst.session import scratch_path
@@ -204,7 +205,12 @@ def fts_stop_words(spark, sf):
     return _postings(spark, sf, remove_stop_words=True, words=STOP_WORDS, max_token_length=12)
 
 
-@query("fts_folded", f"SELECT term, doc_id, CAST(sum(tf) AS BIGINT) AS tf FROM ({_postings_sql(term='strip_accents(term)')}) GROUP BY 1, 2")
+_FOLDED = "strip_accents(term)"
+for _letter, _plain in PLAIN_LETTERS.items():
+    _FOLDED = f"replace({_FOLDED}, '{_letter}', '{_plain}')"
+
+
+@query("fts_folded", f"SELECT term, doc_id, CAST(sum(tf) AS BIGINT) AS tf FROM ({_postings_sql(term=_FOLDED)}) GROUP BY 1, 2")
 def fts_folded(spark, sf):
     return _postings(spark, sf, ascii_folding=True)
 
@@ -219,6 +225,12 @@ def fts_stemmed(spark, sf):
     return _postings(spark, sf, stem=True)
 
 
+@query("fts_stemmed_totals", f"SELECT doc_id, CAST(sum(tf) AS BIGINT) AS tf FROM ({_postings_sql()}) GROUP BY 1")
+def fts_stemmed_totals(spark, sf):
+    """Stemming merges terms of a document and loses no occurrence."""
+    return _postings(spark, sf, stem=True).groupBy("doc_id").agg(F.sum("tf").alias("tf"))
+
+
 @query("fts_index", _postings_sql())
 def fts_index(spark, sf):
     table = new_database(spark).create_table("documents", read(spark, sf, "documents"))

@@ -33,6 +33,13 @@ def page_2(spark, sf):
     return page(select_cols(read(spark, sf, "orders"), "o_orderkey", "o_custkey"), 100, 100, "o_orderkey")
 
 
+@query("page_deep", "SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber FROM lineitem "
+                    "ORDER BY 1, 2, 3, 4 LIMIT 120000 OFFSET 30000")
+def page_deep(spark, sf):
+    key = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
+    return page(select_cols(read(spark, sf, "lineitem"), *key), 120_000, 30_000, key)
+
+
 @query("filter_where", f"SELECT {_ITEM} FROM lineitem WHERE l_quantity >= 40 AND l_shipdate < TIMESTAMP '1997-01-01' "
                        "AND l_returnflag = 'R'")
 def filter_where(spark, sf):

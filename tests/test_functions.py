@@ -137,6 +137,7 @@ def test_porter_stems_and_folding():
              "controll": "control", "roll": "roll", "is": "is"}
     assert {w: porter_stem(w) for w in pairs} == pairs
     assert porter_stem("été") == "été" and fold("été") == "ete" and fold("naïve") == "naive" and fold("abc") == "abc"
+    assert [fold(w) for w in ("straße", "søren", "æther", "łódź", "Œuvre")] == ["strasse", "soren", "aether", "lodz", "OEuvre"]
 
 
 def test_tokenizers(spark):

@@ -167,40 +167,41 @@ def test_sqlite_tables_queries_and_shards(db, spark, tmp_path):
 
 
 def test_arrow_layouts(db, spark, tmp_path):
-    table = pa.table({
-        "id": pa.array([1, 2, 3], pa.int64()),
-        "bytes": pa.array([b"\x00\xff", b"", None], pa.large_binary()),
-        "fixed": pa.array([b"ab", b"cd", None], pa.binary(2)),
-        "lists": pa.array([[1, 2], None, [3]], pa.large_list(pa.int32())),
-        "embedding": pa.array([[1, 0], [0, 1], None], pa.list_(pa.float32(), 2)),
-        "value": pa.array([1.5, None, 2.0]),
-        "text": pa.array(["x", None, "y"]).dictionary_encode(),
-        "u8": pa.array([0, 255, 7], pa.uint8()), "u64": pa.array([0, 2**64 - 1, 1], pa.uint64()),
-        "at": pa.array([1, None, 86_399_000_000_001], pa.time64("ns")),
-        "nested": pa.array([{"a": 1, "b": ["x"]}, None, {"a": None, "b": []}],
-                           pa.struct([("a", pa.int16()), ("b", pa.list_(pa.string()))])),
+    gauges = pa.table({
+        "gauge": pa.array([70, 12, 55, 31], pa.int64()),
+        "frame": pa.array([None, bytes(range(250, 256)), b"", b"\n"], pa.large_binary()),
+        "tag": pa.array([b"QX9", None, b"\x00\x00\x00", b"zz!"], pa.binary(3)),
+        "ticks": pa.array([[], [-5, 40, 2**31 - 1], [8], None], pa.large_list(pa.int32())),
+        "heading": pa.array([[0.5, -2, 8], None, [1, 1, 1], [-0.25, 0, 3]], pa.list_(pa.float32(), 3)),
+        "level": pa.array([None, -0.125, 1e300, 6.0]),
+        "river": pa.array(["Łyna", "Ób", "Łyna", None]).dictionary_encode(),
+        "small": pa.array([200, 0, None, 255], pa.uint8()),
+        "big": pa.array([2**63, 9, 2**64 - 1, None], pa.uint64()),
+        "since": pa.array([45_000_000_000_007, 3, None, 0], pa.time64("ns")),
+        "site": pa.array([None, {"bank": -7, "crew": []}, {"bank": None, "crew": ["Io", "Mo"]}, {"bank": 300, "crew": None}],
+                         pa.struct([("bank", pa.int16()), ("crew", pa.list_(pa.string()))])),
     })
-    frame = from_arrow(spark, table)
-    assert vector_dims(frame.schema) == {"embedding": 2}
-    rows = {r.id: r for r in frame.collect()}
-    assert rows[2].u8 == 255 and int(rows[2].u64) == 2**64 - 1 and rows[3]["at"] == 86_399_000_000_001
-    assert rows[1].lists == [1, 2] and rows[2].lists is None and rows[3].embedding is None
-    assert rows[1].nested.b == ["x"] and rows[2].nested is None and rows[1].fixed == bytearray(b"ab")
-    stored = db.create_table("arrow", table)
-    assert vector_dims(stored.schema) == {"embedding": 2}
-    path = tmp_path / "ipc"
-    path.mkdir()
-    with ipc.new_file(str(path / "a.arrow"), table.schema) as writer:
-        writer.write_table(table, max_chunksize=1)
-    with ipc.new_stream(str(path / "b.arrow"), table.schema) as writer:
-        writer.write_table(table)
-    back = read_arrow(spark, "file:" + str(path))
-    assert back.count() == 6 and sorted(r.id for r in back.collect()) == [1, 1, 2, 2, 3, 3]
-    out = "file:" + str(tmp_path / "out")
-    assert write_arrow(frame.select("id", "lists", "text"), out) == 3
-    assert sorted(read_arrow(spark, out).collect()) == sorted(frame.select("id", "lists", "text").collect())
+    frame = from_arrow(spark, gauges)
+    assert vector_dims(frame.schema) == {"heading": 3}
+    rows = {r.gauge: r for r in frame.collect()}
+    assert (rows[31].small, int(rows[55].big), rows[70].since) == (255, 2**64 - 1, 45_000_000_000_007)
+    assert (rows[12].ticks, rows[70].ticks, rows[31].ticks) == ([-5, 40, 2**31 - 1], [], None)
+    assert rows[12].heading is None and list(rows[70].heading) == [0.5, -2, 8]
+    assert rows[55].site.crew == ["Io", "Mo"] and rows[31].site.crew is None and rows[70].site is None
+    assert bytes(rows[55].tag) == bytes(3) and rows[12].tag is None and rows[55].river == "Łyna"
+    assert vector_dims(db.create_table("gauges", gauges).schema) == {"heading": 3}
+    folder = tmp_path / "dumps"
+    folder.mkdir()
+    for name, open_, step in (("one.arrow", ipc.new_stream, 3), ("two.arrow", ipc.new_file, 2)):
+        with open_(str(folder / name), gauges.schema) as writer:
+            writer.write_table(gauges, max_chunksize=step)
+    again = read_arrow(spark, "file:" + str(folder))
+    assert sorted(r.gauge for r in again.collect()) == sorted(2 * gauges["gauge"].to_pylist())
+    out, part = "file:" + str(tmp_path / "out"), frame.select("river", "gauge", "ticks")
+    assert write_arrow(part, out) == 4
+    assert {r.gauge: r for r in read_arrow(spark, out).collect()} == {r.gauge: r for r in part.collect()}
     with pytest.raises(ValueError):
-        from_arrow(spark, pa.table({"x": pa.array([1], pa.duration("s"))}))
+        from_arrow(spark, pa.table({"lag": pa.array([90, None], pa.duration("ms"))}))
 
 
 def test_media_files(spark, tmp_path):
