@@ -260,3 +260,14 @@ def test_hamming_of_negative_codes(spark, kind, width):
     assert distances(np.array([[-1, 5, -128]], dtype=query.dtype), query, "hamming").tolist() == [2.0 * width]
     from karst.functions.metrics import literal_vector
     assert frame.select(distance(frame["v"], literal_vector(query), "hamming").alias("d")).first().d == 2.0 * width
+
+
+def test_deep_pages(spark, monkeypatch):
+    from karst.operators import numbering
+    from karst.operators.scan import page
+    monkeypatch.setattr(numbering, "TOP_N", 6)
+    frame = spark.createDataFrame([(i * 37 % 101, None if i == 5 else i) for i in range(101)], "`a b` bigint, c bigint")
+    ordered = frame.orderBy("`a b`").collect()
+    for limit, offset in ((10, 0), (3, 3), (25, 40), (50, 90), (0, 70), (5, 300)):
+        assert page(frame, limit, offset, "a b").collect() == ordered[offset:offset + limit]
+    assert page(frame, None, 95, "a b").collect() == ordered[95:]
