@@ -143,9 +143,9 @@ def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Spans of regions owned by a smaller id (size < 0), and owners in groups of several regions.
 
     Rows come sorted by group, region, id; of the rows before a batch only the
-    last owner is kept.
+    last region's are kept that its owner holds, one for each time it repeats.
     """
-    held = None      # the last owner: key, region, doc, at, size
+    held = None      # the last region's rows of its owner: key, region, doc, at, size
     open_ = False    # its group is known to have several regions
     for batch in batches:
         if not batch.num_rows:
@@ -156,7 +156,7 @@ def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield _batch(_REGION, *(c[ready] for c in rows))
             rows = [c[~ready] for c in rows]
         if held is not None:
-            rows = [np.concatenate([[h], c]) for h, c in zip(held, rows)]
+            rows = [np.concatenate([h, c]) for h, c in zip(held, rows)]
         key, region, doc, at, size = rows
         if not len(key):
             continue
@@ -174,12 +174,12 @@ def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         several[0] |= open_
         last = first[-1]
         owners = ~later & several[np.cumsum(head) - 1]
-        owners[last] = False
+        owners[last:] = False
         if owners.any():
             yield _batch(_REGION, *(c[owners] for c in rows))
-        held, open_ = [c[last] for c in rows], bool(several[-1])
+        held, open_ = [c[last:][~later[last:]] for c in rows], bool(several[-1])
     if held is not None and open_:
-        yield _batch(_REGION, *(np.array([h]) for h in held))
+        yield _batch(_REGION, *held)
 
 
 def _cut_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

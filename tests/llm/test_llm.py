@@ -293,6 +293,19 @@ def test_without_repeats_odd_rows(odd, empty, spark):
 
 # packing
 
+@pytest.mark.parametrize("size", [1, 2, 3])
+def test_regions_settle_across_batches(size):
+    rows = [(1, 10, 5, 0), (1, 10, 5, 100), (1, 10, 5, 200), (1, 10, 7, 4), (1, 11, 3, 7), (1, 11, 3, 90), (2, 12, 4, 0), (2, 12, 4, 9),
+            (2, 12, 6, 1), (3, 13, 1, 0), (3, 14, 2, 0), (3, 15, 2, 60), (3, 15, 2, 80)]
+
+    def settled(step):
+        batches = (repeats._batch(repeats._REGION, *np.array([(*r, 50) for r in rows[i:i + step]]).T) for i in range(0, len(rows), step))
+        return sorted(tuple(r.values()) for b in repeats._settle(batches) for r in b.to_pylist())
+
+    owners = [(*r, 50) for r in rows if r[0] != 2 and r[2] != 7]
+    assert settled(size) == settled(len(rows)) == sorted([*owners, (1, 10, 7, 4, -50), (2, 12, 6, 1, -50)])
+
+
 def check_packing(rows, out):
     from tokenizers import Tokenizer
     tok = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
