@@ -13,8 +13,8 @@ from karst.llm.statistics import Counts
 from karst.operators.bounds import fits_broadcast, left_join_unique
 from karst.session import materialise, ship
 
-#: a line is boilerplate from this share of its host's distinct documents, and this many of them
-LINE_SHARE, LINE_DOCUMENTS = 0.01, 8
+#: a line is boilerplate from this many of its host's distinct documents, however many the host has
+LINE_DOCUMENTS = 6
 #: share of its words that a document must keep
 KEPT_WORDS = 0.5
 MIN_WORDS, MAX_REPEATED = 50, 50
@@ -70,14 +70,12 @@ def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(texts, pa.string())], ["doc_id", "text"])
 
 
-def line_rules(docs: DataFrame, line_share: float = LINE_SHARE, line_documents: int = LINE_DOCUMENTS,
-               kept_words: float = KEPT_WORDS) -> DataFrame:
+def line_rules(docs: DataFrame, line_documents: int = LINE_DOCUMENTS, kept_words: float = KEPT_WORDS) -> DataFrame:
     """Counts and verdict for every row of ``docs(doc_id, text, source)``; the host is the source.
 
     A line (ignoring case, digits and white space) is boilerplate when at
-    least ``line_share`` of its host's distinct documents, and
-    ``line_documents`` of them, have it; copies of a whole text are one
-    document.  ``dropped`` lists the hashes of a document's boilerplate lines,
+    least ``line_documents`` of its host's distinct documents have it, at any
+    size of the host; copies of a whole text are one document.  ``dropped`` lists the hashes of a document's boilerplate lines,
     ``n_dropped_words`` their words.  ``kept`` is false for under 50 words, for
     more than half of the words in repeated three-word windows, and when less
     than ``kept_words`` of the words are left.
@@ -89,13 +87,10 @@ def line_rules(docs: DataFrame, line_share: float = LINE_SHARE, line_documents:
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"),
                         F.coalesce(F.col("source").cast("string"), F.lit("")).alias("host"))
     rows = materialise(texts.mapInArrow(_count, _COUNTS), "line-counts")
-    hosts = rows.groupBy("host").agg(F.countDistinct("print").alias("_documents"))
     parts = rows.select("doc_id", "host", "print", F.explode(F.arrays_zip("lines", "sizes")).alias("l")).select(
         "doc_id", "host", "print", F.col("l.lines").alias("line"), F.col("l.sizes").alias("_words"))
-    counts = parts.groupBy("host", "line").agg(F.countDistinct("print").alias("_in")).filter(F.col("_in") >= line_documents)
-    frequent = left_join_unique(counts, hosts, ["host"], F.col("line"), "inner").filter(
-        F.col("_in") >= line_share * F.col("_documents")).select("host", "line")
-    frequent = materialise(frequent, "frequent-lines")
+    counts = parts.groupBy("host", "line").agg(F.countDistinct("print").alias("_in"))
+    frequent = materialise(counts.filter(F.col("_in") >= line_documents).select("host", "line"), "frequent-lines")
     hit = left_join_unique(parts, frequent, ["host", "line"], F.col("doc_id"), "inner").select(
         "doc_id", "host", "print", "line", "_words").distinct()
     gone = hit.groupBy("doc_id", "host", "print").agg(F.sum("_words").alias("n_dropped_words"),

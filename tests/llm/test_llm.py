@@ -199,6 +199,16 @@ def test_boilerplate_lines(spark, odd, empty):
     assert kept[3] == body[3] and 90 not in kept
 
 
+def test_boilerplate_limit_does_not_grow_with_the_host(spark):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    named = [f"{a}{b} {c}{d}" for a in letters[:10] for b in letters[:10] for c in letters[:10] for d in letters[:2]]
+    body = " ".join(f"w{a}{b}" for a in letters[:4] for b in letters[:20])
+    rows = [(i, f"{n}\n{n} {body}" + ("\nAll rights are reserved" if i < 6 else "") + ("\nonly in five" if i < 5 else ""), host)
+            for host, n_docs in (("large", 1900), ("small", 50)) for i, n in enumerate(named[:n_docs])]
+    found = line_rules(spark.createDataFrame(rows, "doc_id bigint, text string, source string")).collect()
+    assert all(r.n_dropped_words == (4 if r.doc_id < 6 else 0) for r in found) and len(found) == 1950
+
+
 # pages
 
 def test_page_texts(spark):
