@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from karst.operators.bounds import fits_broadcast, left_join_unique
+from karst.operators.bounds import left_join_unique
 from karst.session import materialise
 
 KINDS = ("email", "ip", "card", "phone")
@@ -22,10 +22,10 @@ PATTERNS = {
 }
 WORD = r"[\p{L}\p{N}][\p{L}\p{N}'’-]*+"
 
-#: code points on each side of an entity whose terms are weighed
-CONTEXT = 60
-#: distinct texts that must hold a term near an entity, and the share of the entity's information it may give
-SUPPORT, DISCLOSURE = 3, 0.8
+#: share of an entity's information that a term may give, and texts added to a term's count for those not seen yet
+DISCLOSURE, UNSEEN = 0.8, 0.5
+#: terms in more than this share of all texts are few, at most the mean number of a text's terms divided by it
+FREQUENT = 0.01
 
 _SPAN = "struct<kind:string,start:bigint,end:bigint,value:string>"
 
@@ -95,64 +95,96 @@ def written(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def _contexts(text: Column, span: Column) -> Column:
-    """Words near a span with their places; words that the window's outer edge may cut are left out."""
-    none = F.array().cast("array<struct<start:bigint,end:bigint,value:string>>")
-    first = F.greatest(F.lit(0).cast("bigint"), span["start"] - CONTEXT)
-    before = F.substring(text, (first + 1).cast("int"), (span["start"] - first).cast("int"))
-    after = F.substring(text, (span["end"] + 1).cast("int"), F.lit(CONTEXT))
-    left = F.transform(located(before, WORD), lambda w: F.struct(
-        (w["start"] + first).alias("start"), (w["end"] + first).alias("end"), w["value"].alias("value")))
-    left = F.filter(left, lambda w: (first == 0) | (w["start"] > first))
-    right = F.transform(located(after, WORD), lambda w: F.struct(
-        (w["start"] + span["end"]).alias("start"), (w["end"] + span["end"]).alias("end"), w["value"].alias("value")))
-    right = F.filter(right, lambda w: w["end"] < span["end"] + CONTEXT)
-    return F.coalesce(F.concat(left, right), none)
-
-
-def find_personal(docs: DataFrame, support: int = SUPPORT, disclosure: float = DISCLOSURE) -> DataFrame:
+def _terms(text: Column) -> Column:
+    """The distinct terms of a text; lower case is taken per word, as where terms are marked."""
+    return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), F.lower))
+
+
+def _places(texts: DataFrame) -> DataFrame:
+    """``(print, term, start, end)`` of every word of ``texts(print, text)``, in code points.
+
+    Places are running sums over a text's words, so a long text costs no more per word.
+    """
+    pieces = F.split("text", WORD, -1)
+    words = F.regexp_extract_all("text", F.lit(WORD), F.lit(0))
+    pairs = F.zip_with(words, F.slice(pieces, F.lit(1), F.size(words)), lambda w, p: F.struct(
+        F.lower(w).alias("term"), F.length(w).alias("size"), (F.length(p) + F.length(w)).alias("step")))
+    rows = texts.select("print", F.posexplode(pairs).alias("at", "w")).select("print", "at", "w.*")
+    end = F.sum(F.col("step").cast("bigint")).over(
+        Window.partitionBy("print").orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return rows.withColumn("end", end).select("print", "term", (F.col("end") - F.col("size")).alias("start"), "end")
+
+
+def _telling(texts: DataFrame, protected: DataFrame, size: int, copies: DataFrame, disclosure: float) -> DataFrame:
+    """Distinct ``(print, term)``: the terms of ``protected(print, base, text)`` that give an entity of their text away."""
+    held = protected.select("print", F.explode(F.array_distinct(F.transform(
+        "base", lambda s: F.concat(s["kind"], F.lit(":"), F.lower(s["value"]))))).alias("entity"))
+    part = lambda seed: F.sum(F.pmod(F.xxhash64(F.lit(seed), "print"), F.lit(1 << 31)))
+    known = held.groupBy("entity").agg(F.count("*").alias("n_e"), part(1).alias("_one"), part(2).alias("_two"))
+    # entities of the same texts have the same counts with every term, so they are one
+    known = known.select("entity", "n_e", F.xxhash64("n_e", "_one", "_two").alias("same")).filter(F.col("n_e") < size)
+    groups = left_join_unique(held, known, ["entity"], F.col("print"), "inner").select("print", "same", "n_e").distinct()
+    groups = materialise(groups.groupBy("print").agg(F.collect_list(F.struct("same", "n_e")).alias("groups")), "entities")
+    most = groups.agg(F.max(F.array_max(F.transform("groups", lambda g: g["n_e"])))).first()[0]
+    if most is None:
+        return protected.select("print", F.lit(None).cast("string").alias("term")).limit(0)
+    # a copy weighs its share, so that copies of a text count once without a shuffle of texts
+    weighed = left_join_unique(texts, copies, ["print"], F.xxhash64("doc_id"))
+    counts = weighed.select((1 / F.coalesce("_copies", F.lit(1))).alias("_share"), F.explode(_terms(F.col("text"))).alias("term"))
+    counts = counts.groupBy("term").agg(F.round(F.sum("_share")).cast("bigint").alias("n_t"))
+
+    # n_te is at most n_e, which bounds n_t for a term that can still be telling
+    def bound(n_e: Column) -> Column:
+        return F.pow(F.lit(float(size)), 1 - disclosure) * F.pow(n_e.cast("double"), disclosure) * (1 + 1e-9) - UNSEEN
+
+    counts = materialise(counts, "terms")
+    rare = counts.filter(F.col("n_t") <= bound(F.lit(most)))
+    frequent = counts.filter(F.col("n_t") > F.greatest(bound(F.lit(most)), F.lit(FREQUENT * size))).select("term")
+    words = protected.select("print", F.explode(_terms(F.col("text"))).alias("term"))
+    words = words.join(F.broadcast(frequent), "term", "left_anti")
+    words = left_join_unique(words, rare, ["term"], F.col("print"), "inner")
+    pairs = left_join_unique(words, groups, ["print"], F.xxhash64("term"), "inner").select(
+        "print", "term", "n_t", F.explode(F.filter("groups", lambda g: F.col("n_t") <= bound(g["n_e"]))).alias("g"))
+    pairs = materialise(pairs.select("print", "term", "n_t", "g.same", "g.n_e"), "pairs")
+    together = pairs.groupBy("same", "term").agg(F.count("*").alias("n_te"), F.first("n_t").alias("n_t"), F.first("n_e").alias("n_e"))
+    told = F.log(F.col("n_te") * F.lit(float(size)) / ((F.col("n_t") + UNSEEN) * F.col("n_e"))) / F.log(F.lit(float(size)) / F.col("n_e"))
+    telling = materialise(together.filter(told >= disclosure).select("same", "term"), "telling")
+    return left_join_unique(pairs, telling, ["same", "term"], F.col("print"), "left_semi").select("print", "term").distinct()
+
+
+def find_personal(docs: DataFrame, disclosure: float = DISCLOSURE) -> DataFrame:
     """``(doc_id, print, base, spans)`` for every row of ``docs(doc_id, text)``.
 
     ``base`` holds the pattern spans, ``spans`` also the terms that reveal a
     protected entity (a value the patterns found).  With document counts over
-    distinct texts, a term t near entity e gives log(n_te N / (n_t n_e)) of the
-    log(N / n_e) that e carries; it is disclosing from a share of
-    ``disclosure`` on, if ``support`` texts hold both.  Disclosing terms are
-    marked where they stand near that entity.  ``print`` is a hash of the text.
+    distinct texts, a term t of a text with entity e gives
+    log(n_te N / ((n_t + UNSEEN) n_e)) of the log(N / n_e) that e carries; it
+    is disclosing from a share of ``disclosure`` on, also if one text alone
+    holds both.  A disclosing term is marked wherever it stands in the texts
+    that hold the entity.  ``print`` is a hash of the text.
 
     Null and empty texts have no spans.  Copies of a text count as one, and
     repeated rows give the same result each, as do rows with a null doc_id.
     """
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    rows = texts.withColumn("print", F.xxhash64("text")).withColumn("base", base_spans(F.col("text")))
-    around = F.transform("base", lambda s: F.struct(F.concat(s["kind"], F.lit(":"), F.lower(s["value"])).alias("entity"),
-                                                    _contexts(F.col("text"), s).alias("terms")))
-    rows = materialise(rows.select("doc_id", "print", "base", F.when(F.size("base") > 0, around).alias("around")), "personal")
-    entities = rows.filter(F.col("around").isNotNull()).select("doc_id", "print", "base", F.explode("around").alias("a"))
-    near = entities.select("doc_id", "print", "base", F.col("a.entity").alias("entity"), F.explode("a.terms").alias("t")).select(
-        "doc_id", "print", "entity", F.lower("t.value").alias("term"), F.col("t.start").alias("start"), F.col("t.end").alias("end"),
-        "base")
+    texts = texts.withColumn("print", F.xxhash64("text"))
+    rows = texts.withColumn("base", base_spans(F.col("text")))
+    rows = materialise(rows.select("doc_id", "print", "base", F.when(F.size("base") > 0, F.col("text")).alias("text")), "personal")
+    protected = rows.filter(F.col("text").isNotNull()).select("print", "base", "text").dropDuplicates(["print"])
+    protected = materialise(protected, "protected")
+    prints = rows.groupBy("print").agg(F.count("*").alias("_copies"))
+    size = prints.count()
+    copies = materialise(prints.filter("_copies > 1"), "copies")
+    telling = materialise(_telling(texts, protected, size, copies, disclosure), "marked")
+    places = _places(protected.select("print", "text"))
+    found = left_join_unique(places, telling, ["print", "term"], F.col("start"), "left_semi").groupBy("print").agg(
+        F.array_sort(F.collect_list(F.struct("start", "end"))).alias("_found"))
     # a term inside another protected span is covered anyway
-    near = near.filter(~F.exists("base", lambda s: (s["start"] < F.col("end")) & (F.col("start") < s["end"]))).drop("base")
-    together = near.groupBy("entity", "term").agg(F.countDistinct("print").alias("n_te")).filter(F.col("n_te") >= support)
-    together = materialise(together, "together")
-    held = entities.select("a.entity", "print").groupBy("entity").agg(F.countDistinct("print").alias("n_e"))
-    wanted = together.select("term").distinct()
-    words = texts.select(F.xxhash64("text").alias("print"), F.explode(F.array_distinct(
-        F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(0)))).alias("term"))
-    counted = words.join(F.broadcast(wanted) if fits_broadcast(wanted) else wanted, "term", "left_semi")
-    counts = counted.groupBy("term").agg(F.countDistinct("print").alias("n_t"))
-    size = rows.agg(F.countDistinct("print")).first()[0]
-    told = F.log(F.col("n_te") * F.lit(float(size)) / (F.col("n_t") * F.col("n_e"))) / F.log(F.lit(float(size)) / F.col("n_e"))
-    telling = together.join(counts, "term").join(held, "entity").filter((F.col("n_e") < size) & (told >= disclosure)).select(
-        "entity", "term")
-    telling = materialise(telling, "telling")
-    marked = near.join(F.broadcast(telling) if fits_broadcast(telling) else telling, ["entity", "term"]).groupBy(
-        "doc_id", "print").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("_more"))
-    marked = materialise(marked, "marked")
-    marked = F.broadcast(marked) if fits_broadcast(marked) else marked
-    out = rows.drop("around").alias("r").join(marked.alias("m"), F.col("r.doc_id").eqNullSafe(F.col("m.doc_id")) &
-                                              (F.col("r.print") == F.col("m.print")), "left").select("r.*", "_more")
+    base = protected.select("print", "base")
+    marked = left_join_unique(base, found, ["print"], F.col("print"), "inner").select("print", F.filter(
+        "_found", lambda w: ~F.exists("base", lambda s: (s["start"] < w["end"]) & (w["start"] < s["end"]))).alias("_more"))
+    marked = materialise(marked, "terms-of-texts")
+    out = left_join_unique(rows.drop("text"), marked, ["print"], F.xxhash64("doc_id"))
     more = F.transform(F.coalesce("_more", F.array().cast("array<struct<start:bigint,end:bigint>>")), lambda s: F.struct(
         F.lit(TERM).alias("kind"), s["start"].alias("start"), s["end"].alias("end"), F.lit(None).cast("string").alias("value")))
     return out.select("doc_id", "print", "base", F.concat("base", more).cast(f"array<{_SPAN}>").alias("spans"))

@@ -448,6 +448,18 @@ def test_telling_terms(spark):
     assert spans[0] == [("email", 22, 29), ("term", 11, 18), ("term", 19, 21)] and spans[12] == []
 
 
+def test_terms_of_an_entity_in_one_text(spark):
+    far = "note on day " * 40
+    rows = [(i, f"note on day {i % 7}") for i in range(40)] + [(50, f"Zorblax {far}at z@x.org {far}for ZORBLAX"), (50, None)]
+    rows += [(51, rows[40][1]), (None, rows[40][1])]
+    found = find_personal(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    text = rows[40][1]
+    for r in found.collect():
+        terms = [text[s.start:s.end] for s in r.spans if s.kind == "term"] if r.base else []
+        assert terms == (["Zorblax", "at", "for", "ZORBLAX"] if r.base else []) and (r.base or not r.spans)
+    assert found.filter("size(base) > 0").count() == 3
+
+
 # pipeline
 
 def test_pipeline_stages(spark, docs, texts):
