@@ -227,6 +227,15 @@ def test_page_texts(spark):
     assert main_text("<p a='" + "<" * 3000, frozenset(), None) is not None
 
 
+def test_pages_without_article_keep_every_slot(spark):
+    page = ("<body><div class='box'><p>{1}</p></div><div id=content><h1>Title {0}</h1>Lead {0}<div class=part-a><p>First {0}</div>"
+            "<div class=part-b><p>Second {0}</div></div><div class=sidebar>aside {0}</div></body>")
+    rows = [(i, f"http://h.example/{i}", page.format(i, "The same long words on each of the pages. " * 20)) for i in range(8)]
+    rows += [(20, "http://lone.example/", page.format(20, "Only here"))]
+    out = {r.page_id: r.text for r in page_texts(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    assert out == {i: ("Only here\n" if i == 20 else "") + f"Title {i}\nLead {i}\nFirst {i}\nSecond {i}" for i in [*range(8), 20]}
+
+
 def test_pages_of_the_table(spark):
     pages = {r.page_id: r.html for r in spark.read.parquet(f"{SF}/pages.parquet").collect()}
     import html
