@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import math
+import pathlib
+import re
 from collections.abc import Iterator, Mapping
 
 import numpy as np
@@ -28,6 +30,7 @@ TEMPLATES = {
     "Apache-2.0-notice": "Licensed under the Apache License, Version 2.0.",
     "Apache-2.0-header": "you may not use this file except in compliance with the License. You may obtain a copy of the "
                          "License at http://www.apache.org/licenses/LICENSE-2.0",
+    "GPL-2.0-notice": "This work is licensed under the GNU General Public License, version 2.",
     "GPL-3.0-notice": "This work is licensed under the GNU General Public License, version 3.",
     "GPL-header": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
                   "General Public License as published by the Free Software Foundation",
@@ -46,9 +49,31 @@ TEMPLATES = {
     "Unlicense": "This is free and unencumbered software released into the public domain.",
 }
 
+#: whole licences, one file each, named as their license_id
+TEXTS = pathlib.Path(__file__).parent / "license_texts"
+
 _MATCH = "doc_id bigint, license_id string, start bigint, end bigint, containment double"
 
 
+def known_templates() -> dict[str, str]:
+    """The notices and the whole texts; read by the driver."""
+    return TEMPLATES | {path.stem: path.read_text(encoding="utf-8") for path in sorted(TEXTS.glob("*.txt"))}
+
+
+def _family(name: str) -> str:
+    """The name without its version: versions of one text share it."""
+    return re.sub(r"-[0-9]+(?:\.[0-9]+)*", "", name)
+
+
+def _best_versions(matches: list[tuple]) -> list[tuple]:
+    """Of overlapping passages (row, doc_id, name, start, end, share) of a family, those of the best version."""
+    groups: dict[tuple, list[tuple]] = {}
+    for m in matches:
+        groups.setdefault((m[0], _family(m[2])), []).append(m)
+    return [m for rivals in groups.values() for m in rivals
+            if not any(r[2] != m[2] and r[3] < m[4] and m[3] < r[4] and r[5] > m[5] for r in rivals)]
+
+
 def bands_for(similarity: float, miss: float = MISS) -> int:
     """Bands of one min-hash each with which sets of this similarity collide, but for a chance of ``miss``."""
     return 1 if similarity >= 1 else math.ceil(math.log(miss) / math.log(1 - similarity))
@@ -70,8 +95,9 @@ class _Class:
     passage as long as the longest template lies whole in one of them.
     """
 
-    def __init__(self, width: int, members: list[tuple[str, np.ndarray]], containment: float):
+    def __init__(self, width: int, members: list[tuple[str, np.ndarray]], containment: float, versions: Mapping[str, np.ndarray]):
         self.members = members
+        self.versions = versions
         self.block = max(1, width // 2)
         self.blocks = -(-(width + self.block - 1) // self.block)
         span = self.block * self.blocks
@@ -92,12 +118,20 @@ def compile_templates(templates: Mapping[str, str], containment: float = CONTAIN
     if len(templates) > MAX_TEMPLATES or sum(map(len, templates.values())) > MAX_TEMPLATE_BYTES:
         raise ValueError("too many templates to send to every task; scan in several passes")
     classes: dict[int, list[tuple[str, np.ndarray]]] = {}
+    versions: dict[str, np.ndarray] = {}
     for name, text in sorted(templates.items()):
         data = _plain(np.frombuffer((text or "").encode(), dtype=np.uint8))
-        items = np.unique(K.shingles(data, np.array([0, len(data)]))[0])
+        every = K.shingles(data, np.array([0, len(data)]))[0]
+        items = np.unique(every)
+        words = data.tobytes().split()
+        # shingles of a named version's number, of which a passage must hold one
+        if _family(name) != name and len(every) == len(words) - K.SHINGLE_WORDS + 1:
+            bearing = [any(w.isdigit() for w in words[i:i + K.SHINGLE_WORDS]) for i in range(len(every))]
+            if any(bearing):
+                versions[name] = np.unique(every[bearing])
         if len(items):
             classes.setdefault(1 << (len(items) - 1).bit_length(), []).append((name, items))
-    return [_Class(width, members, containment) for width, members in sorted(classes.items())]
+    return [_Class(width, members, containment, versions) for width, members in sorted(classes.items())]
 
 
 def _retrieved(kind: _Class, items: np.ndarray, edges: np.ndarray) -> Iterator[tuple[int, int, int]]:
@@ -139,7 +173,7 @@ def _scan(classes: list[_Class], containment: float, batches: Iterator[pa.Record
                     window = items[at:min(at + kind.block * kind.blocks, edges[doc + 1])]
                     inside = np.flatnonzero(np.isin(window, wanted))
                     share = len(np.unique(window[inside])) / len(wanted)
-                    if share < containment:
+                    if share < containment or (name in kind.versions and not np.isin(window, kind.versions[name]).any()):
                         continue
                     # shingle k of a document begins at its word k
                     word = words[doc] + at - edges[doc]
@@ -151,8 +185,9 @@ def _scan(classes: list[_Class], containment: float, batches: Iterator[pa.Record
                         spans.append([a, b, share])
                 for (doc, template), spans in found.items():
                     zero = points[bounds[doc]]
-                    out += [(ids[first + doc].as_py(), kind.members[template][0], int(points[starts[a]] - zero),
+                    out += [(first + doc, ids[first + doc].as_py(), kind.members[template][0], int(points[starts[a]] - zero),
                              int(points[ends[b - 1]] - zero), share) for a, b, share in spans]
+        out = [m[1:] for m in _best_versions(out)]
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (
                 pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.float64()))],
@@ -167,7 +202,9 @@ def license_scan(docs: DataFrame, templates: Mapping[str, str] | None = None,
     shorter template is one shingle of all its words, which only matches a text
     of just these words).  A passage counts when a window of the text holds
     ``containment`` of the template's distinct shingles; passages of the same
-    template that touch are one, with the largest share.  ``start`` and ``end``
+    template that touch are one, with the largest share.  A template named after
+    a version needs one of the shingles with a number, and of overlapping
+    passages of several versions the one with the largest share stays.  ``start`` and ``end``
     are code points.
 
     Null and empty texts match nothing.  Repeated rows are reported each.  A
@@ -175,6 +212,6 @@ def license_scan(docs: DataFrame, templates: Mapping[str, str] | None = None,
     shuffle: templates, at most 20,000, go to every task.
     """
     ship(docs.sparkSession)
-    classes = compile_templates(TEMPLATES if templates is None else templates, containment)
+    classes = compile_templates(known_templates() if templates is None else templates, containment)
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return texts.mapInArrow(lambda batches: _scan(classes, containment, batches), _MATCH)

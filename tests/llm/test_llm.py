@@ -16,7 +16,7 @@ from karst.llm.classifier import isotonic, quality_scores
 from karst.llm.components import components
 from karst.llm.extraction import main_text, page_texts
 from karst.llm.jaccard import similar_groups
-from karst.llm.licenses import TEMPLATES, bands_for, license_scan
+from karst.llm.licenses import TEMPLATES, TEXTS, bands_for, license_scan
 from karst.llm.lines import line_rules, without_lines
 from karst.llm.mixing import fair_mix, mixed, word_count
 from karst.llm.packing import best_fit, pack_documents
@@ -168,6 +168,20 @@ def test_license_scan_odd_rows(spark, odd, empty):
     assert (1 - 0.3) ** bands_for(0.3) <= 1e-6
 
 
+def test_license_texts_and_versions(spark):
+    whole = {p.stem: p.read_text(encoding="utf-8") for p in TEXTS.glob("*.txt")}
+    named = "This work is licensed under the GNU General Public License, version {}."
+    rows = [(name, "Before it. " * 9 + text) for name, text in whole.items()]
+    rows += [(f"v{i}", named.format(i)) for i in (1, 2, 3)]
+    docs = spark.createDataFrame(list(enumerate(t for _, t in rows)), "doc_id bigint, text string")
+    found = defaultdict(set)
+    for r in license_scan(docs).collect():
+        found[rows[r.doc_id][0]].add(r.license_id)
+    assert all(name in found[name] for name in whole) and len(whole) >= 14
+    assert found["v1"] == set() and found["v2"] == {"GPL-2.0-notice"} and found["v3"] == {"GPL-3.0-notice"}
+    assert "LGPL-2" not in found["LGPL-2.1"] and "LGPL-2.1" not in found["LGPL-2"] and "GFDL-1.2" not in found["GFDL-1.3"]
+
+
 # line rules
 
 def test_line_counts(docs, texts):
