@@ -66,6 +66,10 @@ class ProductCodes:
             out[:, s] = kernels.nearest_rows(self.books[s], rest[:, s * width:(s + 1) * width])
         return out
 
+    def decode(self, cells: Cells, codes: np.ndarray, cell: np.ndarray) -> np.ndarray:
+        rest = self.books[np.arange(len(self.books)), codes].reshape(len(codes), -1)
+        return cells.centres[cell].astype(np.float64) + rest
+
     def approximate(self, cells: Cells, query: np.ndarray, codes: np.ndarray, cell: np.ndarray) -> np.ndarray:
         """Distances from lookup tables, one table per distinct cell in the batch."""
         subs, _, width = self.books.shape
@@ -86,22 +90,6 @@ class ProductCodes:
         return values
 
 
-def lloyd(points: np.ndarray, words: int, iterations: int, seed: int) -> np.ndarray:
-    """K-means on one bounded block of training points."""
-    unique = np.unique(points, axis=0)
-    if len(unique) <= words:
-        return np.concatenate([unique, np.repeat(unique[-1:], words - len(unique), axis=0)])
-    centres = unique[np.random.default_rng(seed).choice(len(unique), words, replace=False)].astype(np.float64)
-    for _ in range(iterations):
-        owner = kernels.nearest_rows(centres, points)
-        counts = np.bincount(owner, minlength=words)
-        sums = np.zeros_like(centres)
-        np.add.at(sums, owner, points)
-        full = counts > 0
-        centres[full] = sums[full] / counts[full, None]
-    return centres.astype(np.float32)
-
-
 @dataclass
 class ScalarCodes:
     """Eight bits per dimension between the smallest and largest value seen."""
@@ -113,6 +101,9 @@ class ScalarCodes:
         scaled = (cells.prepare(vectors).astype(np.float64) - self.low) / self.step
         return np.clip(np.rint(scaled), 0, 255).astype(np.uint8)
 
+    def decode(self, cells: Cells, codes: np.ndarray, cell: np.ndarray) -> np.ndarray:
+        return codes.astype(np.float64) * self.step + self.low
+
     def approximate(self, cells: Cells, query: np.ndarray, codes: np.ndarray, cell: np.ndarray) -> np.ndarray:
-        decoded = codes.astype(np.float64) * self.step + self.low
+        decoded = self.decode(cells, codes, cell)
         return kernels.distances(decoded, cells.prepare(query[None, :])[0], cells.metric)

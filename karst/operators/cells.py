@@ -17,20 +17,26 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from karst.functions import kernels
-from karst.functions.codes import CODE_WORDS, Cells, ProductCodes, ScalarCodes, lloyd
+from karst.functions.codes import CODE_WORDS, Cells, ProductCodes, ScalarCodes
 from karst.functions.metrics import check_metric, query_vector
 from karst.operators.bounds import quoted
 from karst.operators.numbering import TOP_N, smallest
 from karst.operators.scan import where as apply_where
 from karst.operators.search import DISTANCE, knn
 from karst.schema import VECTOR_DIM
+from karst.session import materialise
 
 CELL, BUCKET, ROW, CODE = "_cell", "_bucket", "_row", "_code"
 FRAGMENT = "_fragment"           # numbers the separate writes of one index; _row is unique within it
 LAYOUT_COLUMNS = (CELL, BUCKET, ROW, CODE, FRAGMENT)
 MAX_CENTRE_BYTES = 64 << 20      # centres are broadcast, so their size is bounded here
 TRAIN_PER_CELL = 256
-MAX_CODE_TRAINING = 65_536
+FIRST_WORDS = 4096               # rows that the code books start from
+SETTLED = 0.01                   # share of the error below which a round counts as no gain
+ADDED = 8                        # tasks that add partial sums up, and sums that reach the driver
+ROW_GROUP = 16 << 20             # bytes of a row group, the least that a search of candidates reads
+ROW_RANGES = 64                  # ranges of row numbers in the filter of a second scan
+ROW_BLOCK, MAX_BLOCKS = 1 << 12, 4096
 
 
 def cell_count(rows: int, dim: int, requested: int | None = None) -> int:
@@ -136,7 +142,7 @@ def write_cells(assigned: DataFrame, cells: Cells, path: str, fragment: int = 0)
     bucket = F.floor(F.col(CELL) / F.lit(cells.width)).cast("int")
     (salted.drop("_spread").withColumn(BUCKET, bucket).sortWithinPartitions(BUCKET, CELL)
      .withColumn(ROW, F.monotonically_increasing_id()).withColumn(FRAGMENT, F.lit(fragment))
-     .write.partitionBy(BUCKET).parquet(path))
+     .write.option("parquet.block.size", ROW_GROUP).partitionBy(BUCKET).parquet(path))
 
 
 def read_cells(spark, path: str, schema: T.StructType | None = None) -> DataFrame:
@@ -171,16 +177,18 @@ def sub_vector_count(dim: int, requested: int | None = None) -> int:
 
 
 def train_product_codes(assigned: DataFrame, column: str, cells: Cells, num_sub_vectors: int | None = None,
-                        iterations: int = 12, seed: int = 17) -> ProductCodes:
-    """Train the code books in parallel, one task per sub-vector, on a bounded sample."""
+                        iterations: int = 8, seed: int = 17) -> ProductCodes:
+    """Code books of all sub-vectors from all rows.
+
+    A round is one pass: every task adds its rows to sums of a fixed size
+    (sub-vectors x words x width), ``ADDED`` tasks add those up one after the
+    other, and their sums reach the driver.  Rounds end when the error hardly
+    falls any more.
+    """
     spark = assigned.sparkSession
     subs = sub_vector_count(cells.dim, num_sub_vectors)
     width = cells.dim // subs
-    rows = assigned.count()
     shared = spark.sparkContext.broadcast(cells)
-    sample = assigned.select(F.col(quoted(column)).alias("v"), CELL)
-    if rows > MAX_CODE_TRAINING:
-        sample = sample.sample(False, MAX_CODE_TRAINING / rows, seed)
 
     def residuals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
@@ -188,21 +196,78 @@ def train_product_codes(assigned: DataFrame, column: str, cells: Cells, num_sub_
             vectors, _ = kernels.matrix(batch.column("v"), model.dim)
             cell = batch.column(CELL).to_numpy(zero_copy_only=False)
             rest = (model.prepare(vectors) - model.centres[cell]).astype(np.float32)
+            edges = np.arange(len(rest) + 1, dtype=np.int32) * model.dim
+            yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array(edges), pa.array(rest.ravel()))], ["rest"])
+
+    rest = materialise(assigned.select(F.col(quoted(column)).alias("v"), CELL).mapInArrow(residuals, "rest array<float>"), "residuals")
+    first, _ = kernels.matrix(rest.orderBy(F.xxhash64("rest", F.lit(seed))).limit(FIRST_WORDS).toArrow()["rest"], cells.dim)
+    books = np.zeros((subs, CODE_WORDS, width), np.float32)
+    for s in range(subs):
+        unique = np.unique(first[:, s * width:(s + 1) * width], axis=0)
+        if not len(unique):
+            return ProductCodes(books)
+        chosen = np.random.default_rng(seed + s).permutation(len(unique))[:CODE_WORDS]
+        books[s] = unique[np.resize(chosen, CODE_WORDS)]
+
+    size = subs * CODE_WORDS
+
+    def total(parts: Iterator[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        whole = None
+        for part in parts:
+            whole = part.copy() if whole is None else whole + part
+        if whole is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([whole.tobytes()], pa.binary())], ["sums"])
+
+    def sums_of(batches: Iterator[pa.RecordBatch], current) -> Iterator[np.ndarray]:
+        model = ProductCodes(current.value)
+        for batch in batches:
+            rows, _ = kernels.matrix(batch.column("rest"), subs * width)
+            out = np.zeros((size, width + 1))
+            error = 0.0
             for s in range(subs):
-                part = np.ascontiguousarray(rest[:, s * width:(s + 1) * width])
-                values = pa.ListArray.from_arrays(
-                    pa.array(np.arange(len(part) + 1, dtype=np.int32) * width), pa.array(part.ravel()))
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), s, np.int32)), values], ["sub", "x"])
+                part = rows[:, s * width:(s + 1) * width].astype(np.float64)
+                word = kernels.nearest_rows(model.books[s], part)
+                for d in range(width):
+                    out[s * CODE_WORDS:(s + 1) * CODE_WORDS, d] = np.bincount(word, part[:, d], CODE_WORDS)
+                out[s * CODE_WORDS:(s + 1) * CODE_WORDS, width] = np.bincount(word, minlength=CODE_WORDS)
+                error += float(((part - model.books[s][word]) ** 2).sum())
+            yield np.append(out.ravel(), error)
+
+    def added(frame: DataFrame) -> np.ndarray:
+        partial = frame.repartition(ADDED).mapInArrow(lambda batches: total(
+            np.frombuffer(v.as_py()) for b in batches for v in b.column(0)), "sums binary")
+        return np.sum([np.frombuffer(r[0]) for r in partial.collect()], axis=0)
+
+    last = math.inf
+    for _ in range(iterations):
+        current = spark.sparkContext.broadcast(books)
+        whole = added(rest.mapInArrow(lambda batches, current=current: total(sums_of(batches, current)), "sums binary"))
+        current.unpersist()
+        sums, error = whole[:-1].reshape(subs, CODE_WORDS, width + 1), whole[-1]
+        counts = sums[:, :, width:]
+        books = np.where(counts > 0, sums[:, :, :width] / np.maximum(counts, 1), books).astype(np.float32)
+        if error >= last * (1 - SETTLED):
+            break
+        last = error
+    return ProductCodes(books)
+
+
+def code_errors(layout: DataFrame, column: str, cells: Cells, codec: ProductCodes | ScalarCodes) -> DataFrame:
+    """``layout`` with ``_error``, the squared distance of a vector to what its code stands for, and ``_energy``, to its cell's centre."""
+    shared = layout.sparkSession.sparkContext.broadcast((cells, codec))
 
-    def train(table: pa.Table) -> pa.Table:
-        sub = table["sub"][0].as_py()
-        points, _ = kernels.matrix(table["x"], width)
-        book = lloyd(points, CODE_WORDS, iterations, seed + sub).astype(np.float32)
-        return pa.table({"sub": pa.array([sub], pa.int32()), "book": pa.array([book.ravel().tolist()], pa.list_(pa.float32()))})
+    @F.arrow_udf("_error double, _energy double")
+    def errors(values: pa.Array, codes: pa.Array, cell: pa.Array) -> pa.Array:
+        model, quantiser = shared.value
+        rows, _ = kernels.matrix(values, model.dim)
+        own = cell.to_numpy(zero_copy_only=False)
+        wide = model.prepare(rows).astype(np.float64)
+        raw, _ = kernels.matrix(codes, len(quantiser.books) if isinstance(quantiser, ProductCodes) else model.dim)
+        decoded = quantiser.decode(model, raw, own)
+        return pa.StructArray.from_arrays([pa.array(((wide - decoded) ** 2).sum(axis=1)),
+                                           pa.array(((wide - model.centres[own]) ** 2).sum(axis=1))], ["_error", "_energy"])
 
-    books = (sample.mapInArrow(residuals, "sub int, x array<float>")
-             .groupBy("sub").applyInArrow(train, "sub int, book array<float>").orderBy("sub").collect())
-    return ProductCodes(np.stack([np.asarray(r.book, np.float32).reshape(CODE_WORDS, width) for r in books]))
+    return layout.withColumn("_e", errors(F.col(quoted(column)), F.col(CODE), F.col(CELL))).select("*", "_e.*").drop("_e")
 
 
 # ----------------------------------------------------------------- scalar codes
@@ -253,6 +318,9 @@ def code_search(layout: DataFrame, cells: Cells, codec: ProductCodes | ScalarCod
     """Search by codes, then optionally re-rank ``refine_factor * k`` rows exactly.
 
     The first pass reads only codes and filter columns of the probed cells.
+    Its candidates are written down; the second pass names their directories
+    and ranges of their row numbers in the filter of its scan, so that vectors
+    and other columns are read from row groups that hold a candidate only.
     """
     target = query_vector(query)
     order = [] if key is None else [key] if isinstance(key, str) else list(key)
@@ -288,10 +356,9 @@ def code_search(layout: DataFrame, cells: Cells, codec: ProductCodes | ScalarCod
 
     schema = T.StructType([layout.schema[c] for c in carried] + [T.StructField(DISTANCE, T.FloatType())])
     scored = rows.select(*[F.col(quoted(c)) for c in dict.fromkeys([*carried, CODE])]).mapInArrow(scan, schema)
-    found = smallest(scored, [DISTANCE, *order], wanted)
-    # full rows only for the candidates: the join carries k * factor row numbers
-    picked = found.select(FRAGMENT, ROW, BUCKET, CELL, F.col(DISTANCE).alias("_approximate"))
-    full = rows.join(picked, [FRAGMENT, ROW, BUCKET, CELL])
+    found = materialise(smallest(scored, [DISTANCE, *order], wanted), "candidates")
+    picked = found.select(FRAGMENT, ROW, F.col(DISTANCE).alias("_approximate"))
+    full = candidate_rows(rows, found).join(picked, [FRAGMENT, ROW])
     if refine_factor:
         result = knn(full.drop("_approximate"), target, k, column, metric=cells.metric, key=key, select=names,
                      offset=offset, where=None if prefilter else where, prefilter=prefilter)
@@ -302,5 +369,41 @@ def code_search(layout: DataFrame, cells: Cells, codec: ProductCodes | ScalarCod
     return top.select(*[F.col(quoted(c)) for c in names], DISTANCE)
 
 
+def row_ranges(places: list[tuple[int, int, int, int]], most: int = ROW_RANGES) -> list[tuple[int, int, int, int]]:
+    """``(fragment, bucket, first, last)`` ranges merged over their smallest gaps until at most ``most`` are left in a directory."""
+    merged: list[tuple[int, int, int, int]] = []
+    for key in sorted({p[:2] for p in places}):
+        own = sorted(p[2:] for p in places if p[:2] == key)
+        gaps = sorted((b[0] - a[1], i) for i, (a, b) in enumerate(zip(own, own[1:])))
+        cuts = sorted(i for _, i in gaps[len(gaps) - (most - 1):]) if len(gaps) >= most else list(range(len(gaps)))
+        first = 0
+        for cut in [*cuts, len(own) - 1]:
+            merged.append((*key, own[first][0], own[cut][1]))
+            first = cut + 1
+    return merged
+
+
+def candidate_rows(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """Rows of ``rows`` in the ranges of row numbers that ``found`` has candidates in, by a filter that the reader prunes with.
+
+    Candidates in more than ``MAX_BLOCKS`` blocks of row numbers are spread over so much of the layout
+    that only the directories are named.
+    """
+    block = F.floor(F.col(ROW) / ROW_BLOCK)
+    places = found.groupBy(FRAGMENT, BUCKET, block.alias("_b")).agg(F.min(ROW).alias("lo"), F.max(ROW).alias("hi"))
+    places = [(p[FRAGMENT], p[BUCKET], p.lo, p.hi) for p in places.limit(MAX_BLOCKS + 1).collect()]
+    if not places:
+        return rows.limit(0)
+    if len(places) > MAX_BLOCKS:
+        return rows
+    buckets = sorted({p[1] for p in places})
+    ranges = row_ranges([(f, 0, lo, hi) for f, _, lo, hi in places])
+    condition = None
+    for fragment, _, low, high in ranges:
+        one = (F.col(FRAGMENT) == fragment) & F.col(ROW).between(low, high)
+        condition = one if condition is None else condition | one
+    return rows.filter(F.col(BUCKET).isin(buckets) & condition)
+
+
 def _order(table: pa.Table, order: list[str]) -> pa.Array:
     return pc.sort_indices(table, sort_keys=[(n, "ascending") for n in [DISTANCE, *order]])

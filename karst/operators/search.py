@@ -15,8 +15,11 @@ from karst.operators.bounds import BROADCAST_BYTES, quoted
 from karst.operators.numbering import TOP_N, smallest
 from karst.operators.scan import check_count, where as apply_where
 from karst.schema import VECTOR_DIM, is_numeric, is_vector_type
+from karst.session import materialise
 
 DISTANCE = "_distance"
+FILE, LINE = "_karst_file", "_karst_line"   # where a row lies: its file, and its number there
+LITERALS = 1000         # files and keys of winners that are named in a filter
 QUERY_SLICE = 512       # size of one matrix product inside a task
 VECTOR_SLICE = 8192
 PAIR_SLICE = 1 << 17
@@ -102,6 +105,37 @@ def top_k_batches(query: np.ndarray, column: str, metric: str, k: int, order: li
     return run
 
 
+def read_from_files(df: DataFrame) -> bool:
+    """Whether the rows of ``df`` are rows of files, filtered and projected only."""
+    plan = df._jdf.queryExecution().analyzed()
+    while plan.nodeName() in ("Project", "Filter", "SubqueryAlias", "View"):
+        if not plan.deterministic():
+            return False
+        plan = plan.children().apply(0)
+    return plan.getClass().getSimpleName() == "LogicalRelation" and "_metadata" not in df.columns
+
+
+def _of_any_width(dtype: T.DataType) -> bool:
+    return isinstance(dtype, (T.StringType, T.BinaryType, T.ArrayType, T.MapType, T.StructType, T.VariantType))
+
+
+def fetched(rows: DataFrame, winners: DataFrame, order: Sequence[str]) -> DataFrame:
+    """Whole rows of ``winners(FILE, LINE, ...)``, which hold the place of each and no more than a search returns.
+
+    The second scan opens only the files that winners lie in, and within them
+    the row groups that may hold their first key; the reader prunes by both.
+    """
+    files = winners.select(FILE).distinct().limit(LITERALS + 1).collect()
+    placed = rows.withColumns({FILE: F.col("_metadata.file_path"), LINE: F.col("_metadata.row_index")})
+    if len(files) <= LITERALS:
+        placed = placed.filter(F.col(FILE).isin([r[0] for r in files]))
+    if order:
+        low, high = winners.agg(F.min(quoted(order[0])), F.max(quoted(order[0]))).first()
+        if low is not None and isinstance(rows.schema[order[0]].dataType, (T.IntegralType, T.StringType, T.DateType)):
+            placed = placed.filter(F.col(quoted(order[0])).between(low, high) | F.col(quoted(order[0])).isNull())
+    return placed.join(winners.select(FILE, LINE, DISTANCE), [FILE, LINE]).drop(FILE, LINE)
+
+
 def knn(df: DataFrame, query, k: int, column: str | None = None, metric: str = "l2",
         key: str | Sequence[str] | None = None, where: str | Column | None = None,
         prefilter: bool = True, select: Sequence[str] | None = None, offset: int = 0,
@@ -113,6 +147,10 @@ def knn(df: DataFrame, query, k: int, column: str | None = None, metric: str = "
     ``engine="arrow"`` computes distances per Arrow batch and leaves k rows per
     partition; ``engine="columns"`` stays in JVM expressions.  Rows with a null
     vector never match.
+
+    If wide columns are asked for and the rows come straight from files, the
+    search itself sees the key and the vector only.  The winners' places are
+    written down, and a second scan fetches the columns of those rows.
     """
     check_count(k, "k")
     check_count(offset, "offset")
@@ -129,31 +167,47 @@ def knn(df: DataFrame, query, k: int, column: str | None = None, metric: str = "
     rows = rows.filter(F.col(quoted(name)).isNotNull())
     # a filter on the winners may need columns that are not returned
     carried = list(dict.fromkeys([*wanted, *order, *([] if prefilter else df.columns)]))
+    late = (any(_of_any_width(df.schema[c].dataType) for c in carried if c not in (*order, name))
+            and read_from_files(df))
+    if late:
+        places = {FILE: F.col("_metadata.file_path"), LINE: F.col("_metadata.row_index")}
+        narrow = rows.select(*[F.col(quoted(c)) for c in dict.fromkeys([*order, name])], *[v.alias(c) for c, v in places.items()])
+        found = materialise(_scored_top(narrow, target, name, metric, k, offset, order, [*order, FILE, LINE], engine), "winners")
+        top = smallest(fetched(rows, found, order), [DISTANCE, *order], k, 0)
+    else:
+        top = _scored_top(rows, target, name, metric, k, offset, order, carried, engine)
+    if not prefilter:
+        top = apply_where(top, where)
+    return top.select(*[F.col(quoted(c)) for c in wanted], DISTANCE)
+
+
+def _scored_top(rows: DataFrame, target: np.ndarray, name: str, metric: str, k: int, offset: int, order: list[str],
+                carried: list[str], engine: str) -> DataFrame:
+    """The ``k`` nearest ``rows`` after ``offset``, with the columns ``carried`` and their distance."""
     if engine == "arrow":
         scan = rows.select(*[F.col(quoted(c)) for c in dict.fromkeys([*carried, name])])
-        schema = T.StructType([df.schema[c] for c in carried] + [T.StructField(DISTANCE, T.FloatType())])
+        schema = T.StructType([rows.schema[c] for c in carried] + [T.StructField(DISTANCE, T.FloatType())])
         scored = scan.mapInArrow(
             top_k_batches(target, name, metric, max(k + offset, 1), [DISTANCE, *order], carried), schema)
     elif engine == "columns":
         vector = F.col(quoted(name))
         sized = F.when(F.size(vector) == len(target), vector).otherwise(
-            F.raise_error(F.lit(f"expected vectors of dimension {len(target)}")).cast(df.schema[name].dataType))
+            F.raise_error(F.lit(f"expected vectors of dimension {len(target)}")).cast(rows.schema[name].dataType))
         scored = (rows.withColumn(DISTANCE, distance(sized, literal_vector(target), metric))
                   .filter(F.col(DISTANCE).isNotNull() & ~F.isnan(DISTANCE)))
     else:
         raise ValueError("engine must be 'arrow' or 'columns'")
-    top = smallest(scored, [DISTANCE, *order], k, offset)
-    if not prefilter:
-        top = apply_where(top, where)
-    return top.select(*[F.col(quoted(c)) for c in wanted], DISTANCE)
+    return smallest(scored, [DISTANCE, *order], k, offset).select(*[F.col(quoted(c)) for c in carried], DISTANCE)
 
 
 class _BlockTopK:
     """Running top k of one block of queries against any number of vector batches."""
 
-    def __init__(self, ids: pa.Array, points: np.ndarray, metric: str, k: int, names: tuple[str, str]):
+    def __init__(self, ids: pa.Array, points: np.ndarray, metric: str, k: int, names: tuple[str, str],
+                 edges: np.ndarray | None = None):
         self.ids, self.points, self.metric, self.k, self.names = ids, points, metric, k, names
-        self.edges = np.full(len(points), np.inf)
+        # a k-th distance known from elsewhere; rows beyond it are not wanted
+        self.edges = np.full(len(points), np.inf) if edges is None else edges.astype(np.float64)
         self.lines = np.empty(0, np.int64)
         self.table: pa.Table | None = None
 
@@ -182,7 +236,7 @@ class _BlockTopK:
         rank = np.arange(len(lines)) - np.repeat(starts, np.diff(np.r_[starts, len(lines)]))
         self.table = merged.take(pa.array(np.flatnonzero(rank < self.k))).combine_chunks()
         last = np.flatnonzero(rank == self.k - 1)
-        self.edges[lines[last]] = merged[DISTANCE].to_numpy()[last]
+        self.edges[lines[last]] = np.minimum(self.edges[lines[last]], merged[DISTANCE].to_numpy()[last])
 
     def result(self) -> pa.Table | None:
         if self.table is None:
@@ -191,8 +245,10 @@ class _BlockTopK:
                          self.names[1]: self.table[self.names[1]], DISTANCE: self.table[DISTANCE]})
 
 
-def _blocks(ids: pa.Array, points: np.ndarray, metric: str, k: int, names: tuple[str, str]) -> list[_BlockTopK]:
-    return [_BlockTopK(ids[lo:lo + QUERY_SLICE], points[lo:lo + QUERY_SLICE], metric, k, names)
+def blocks_of(ids: pa.Array, points: np.ndarray, metric: str, k: int, names: tuple[str, str],
+              edges: np.ndarray | None = None) -> list[_BlockTopK]:
+    return [_BlockTopK(ids[lo:lo + QUERY_SLICE], points[lo:lo + QUERY_SLICE], metric, k, names,
+                       None if edges is None else edges[lo:lo + QUERY_SLICE])
             for lo in range(0, len(points), QUERY_SLICE)]
 
 
@@ -206,9 +262,11 @@ def knn_join(queries: DataFrame, vectors: DataFrame, k: int, query_key: str, vec
     ``broadcast_bytes`` are shipped to the tasks that scan the vectors, so the
     vector table is read once and never shuffled.  More queries than that are
     split into blocks of that size, as are the vectors, and Spark co-groups
-    each pair of blocks in its own task.  Both ways score block against block
-    with matrix products and emit k rows per query and block, so pairs are
-    never materialised.
+    pairs of blocks.  For l2 and cosine the blocks are parts of Voronoi cells,
+    and only those pairs meet that can hold a neighbour (``pivots``); the other
+    metrics have no triangle inequality to tell by, so all pairs of blocks
+    meet.  All ways score block against block with matrix products and emit k
+    rows per query and block, so pairs of rows are never materialised.
     """
     check_count(k, "k", 1)
     metric = check_metric(metric)
@@ -237,7 +295,7 @@ def knn_join(queries: DataFrame, vectors: DataFrame, k: int, query_key: str, vec
 
         def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             query_ids, targets = shared.value
-            blocks = _blocks(query_ids, targets, metric, k, names)
+            blocks = blocks_of(query_ids, targets, metric, k, names)
             for batch in batches:
                 rows, present = kernels.matrix(batch.column("_v"), dim)
                 keys, rows = kernels.without_surplus_copies(
@@ -250,6 +308,9 @@ def knn_join(queries: DataFrame, vectors: DataFrame, k: int, query_key: str, vec
                     yield from part.combine_chunks().to_batches()
 
         found = v.mapInArrow(scan, schema)
+    elif metric in ("l2", "cosine"):
+        from karst.operators.pivots import pivot_join
+        found = pivot_join(q, v, k, query_key, vector_key, dim, metric, schema, query_block, vector_block)
     else:
         query_block = query_block or max(1, BROADCAST_BYTES // (8 * dim))
         vector_block = vector_block or max(1, BROADCAST_BYTES // (8 * dim))
@@ -272,7 +333,7 @@ def knn_join(queries: DataFrame, vectors: DataFrame, k: int, query_key: str, vec
                 targets, _ = kernels.matrix(a["_q"], dim)
                 points, _ = kernels.matrix(b["_v"], dim)
                 keys, points = kernels.without_surplus_copies(b[vector_key].combine_chunks(), points, k)
-                for block in _blocks(a[query_key].combine_chunks(), targets, metric, k, names):
+                for block in blocks_of(a[query_key].combine_chunks(), targets, metric, k, names):
                     block.add(keys, points)
                     parts.append(block.result())
             return pa.concat_tables([p for p in parts if p is not None])

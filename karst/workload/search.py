@@ -130,6 +130,20 @@ def knn_join_blocks(spark, sf):
                             query_block=400, vector_block=400, broadcast_bytes=0))
 
 
+@query("knn_join_pivots", """
+SELECT qid, vec_id, round(d::DOUBLE, 4) + 0.0 AS _distance FROM (
+  SELECT q.vec_id AS qid, v.vec_id, CAST(list_distance(v.embedding::DOUBLE[], q.embedding::DOUBLE[]) AS FLOAT) AS d,
+         row_number() OVER (PARTITION BY q.vec_id ORDER BY
+           CAST(list_distance(v.embedding::DOUBLE[], q.embedding::DOUBLE[]) AS FLOAT), v.vec_id) AS r
+  FROM embeddings q, embeddings v) WHERE r <= 5""")
+def knn_join_pivots(spark, sf):
+    """Five neighbours of every vector, with both sides cut along a Voronoi partition."""
+    vectors = _embeddings(spark, sf)
+    queries = vectors.select(F.col("vec_id").alias("qid"), "embedding")
+    return rounded(knn_join(queries, vectors, 5, "qid", "vec_id", "embedding", "embedding", query_block=400, vector_block=400,
+                            broadcast_bytes=0))
+
+
 # ------------------------------------------------------------------ embeddings
 
 def length_encoder(values):

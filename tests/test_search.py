@@ -320,3 +320,114 @@ def test_knn_join_among_near_copies_of_long_vectors(spark):
         for i, c in enumerate(centres):
             exact = np.sqrt(((points.astype(np.float64) - c.astype(np.float64)) ** 2).sum(1)).astype(np.float32)
             assert sorted(got[i]) == sorted((exact[j], j) for j in np.lexsort((np.arange(len(points)), exact))[:5])
+
+
+# ---------------------------------------------------------------- pivots, winners and candidates
+
+@pytest.fixture(scope="module")
+def clustered(spark):
+    """Thirty tight clouds far apart."""
+    rng = np.random.default_rng(11)
+    centres = rng.normal(size=(30, 8)) * 50
+    points = (centres[rng.integers(0, 30, 3000)] + rng.normal(size=(3000, 8))).astype(np.float32)
+    df = spark.createDataFrame([(i, [float(x) for x in p]) for i, p in enumerate(points)], "id bigint, vec array<float>").repartition(4)
+    return points, df
+
+
+@pytest.mark.parametrize("metric", ["l2", "cosine"])
+def test_pivots_visit_few_block_pairs(clustered, metric):
+    from pyspark.sql import types as T
+    from karst.operators.pivots import pivot_join
+    points, df = clustered
+    schema = T.StructType([T.StructField("qid", T.LongType()), T.StructField("id", T.LongType()), T.StructField("_distance", T.FloatType())])
+    counts = []
+    q = df.filter("id % 3 = 0").select(F.col("id").alias("qid"), F.col("vec").alias("_q"))
+    rows = pivot_join(q, df.select("id", F.col("vec").alias("_v")), 4, "qid", "id", 8, metric, schema, 50, 100, report=counts).collect()
+    assert counts[1] < counts[0] / 2, counts
+    got = {}
+    for r in rows:
+        got.setdefault(r.qid, set()).add((r._distance, r.id))
+    for i in range(0, 3000, 111):
+        wanted = brute(points, points[i], 4, metric)
+        assert [j for _, j in sorted(got[i])[:4]] == [j for j, _ in wanted]
+
+
+@pytest.mark.parametrize("metric", ["l2", "cosine"])
+def test_pivots_with_odd_vectors(spark, metric):
+    """Vectors without a direction, with holes, in copies, and more neighbours asked for than there are."""
+    rows = [(0, [0.0, 0.0]), (1, [1.0, 0.0]), (2, None), (3, [float("nan"), 1.0]), (4, [1.0, 1.0]), (5, [2.0, 2.0])] + [(10 + i, [0.0, 3.0]) for i in range(40)]
+    df = spark.createDataFrame(rows, "id bigint, vec array<double>")
+    asked = df.select(F.col("id").alias("qid"), "vec")
+    options = dict(k=60, query_key="qid", vector_key="id", query_column="vec", vector_column_name="vec", metric=metric)
+    plain = {(r.qid, r.id, r._distance) for r in knn_join(asked, df, **options).collect()}
+    found = {(r.qid, r.id, r._distance) for r in knn_join(asked, df, **options, query_block=5, vector_block=7, broadcast_bytes=0).collect()}
+    assert found == plain
+    assert knn_join(asked, df.limit(0), **options, broadcast_bytes=0).count() == 0
+
+
+def test_winners_only_projection(spark, tmp_path):
+    """The search sees key and vector, and the second scan one of the files."""
+    from karst.operators.search import read_from_files
+    path = str(tmp_path / "wide")
+    rows = [(i, [float(i), 0.0], "x" * 50 + str(i), {"a": i}) for i in range(400)]
+    spark.createDataFrame(rows, "id bigint, vec array<float>, body string, extra map<string,int>").repartitionByRange(8, "id").write.parquet(path)
+    df = spark.read.parquet(path)
+    found = knn(df.filter("id <> 201"), [200.2, 0.0], 3, "vec", key="id", select=["body", "extra"], offset=1)
+    assert [r.body[50:] for r in found.collect()] == ["199", "202", "198"] and found.columns == ["body", "extra", "_distance"]
+    plan = found._jdf.queryExecution().toString()
+    assert "MapInArrow" not in plan and "file_path" in plan and "GreaterThanOrEqual(id,198)" in plan.replace(" ", "")
+    assert read_from_files(df.filter("id > 3").select("id")) and not read_from_files(df.join(df.select("id"), "id"))
+    assert not read_from_files(df.withColumn("r", F.rand())) and not read_from_files(df.groupBy("id").count())
+    # a column that is not wide goes along at once; other sources have no places to fetch from
+    assert "MapInArrow" in knn(df.drop("body", "extra"), [1.0, 0.0], 3, "vec", key="id")._jdf.queryExecution().toString()
+    joined = df.join(df.select("id", F.upper("body").alias("b2")), "id")
+    assert [r.b2[50:] for r in knn(joined, [200.2, 0.0], 2, "vec", key="id", select=["b2"]).collect()] == ["200", "201"]
+    after = knn(df, [200.2, 0.0], 4, "vec", key="id", select=["body"], where="extra['a'] % 2 = 0", prefilter=False)
+    assert [r.body[50:] for r in after.collect()] == ["200", "202"]
+
+
+def test_search_columns_that_python_sees(spark, tmp_path, monkeypatch):
+    from karst.operators import search
+    seen = []
+    whole = search.top_k_batches
+
+    def spy(query, column, metric, k, order, keep):
+        seen.append((column, keep))
+        return whole(query, column, metric, k, order, keep)
+
+    monkeypatch.setattr(search, "top_k_batches", spy)
+    path = str(tmp_path / "narrow")
+    spark.createDataFrame([(i, [float(i)], "b") for i in range(9)], "id int, vec array<float>, body string").write.parquet(path)
+    assert [r.id for r in knn(spark.read.parquet(path), [3.0], 2, "vec", key="id").collect()] == [3, 2]
+    assert seen == [("vec", ["id", search.FILE, search.LINE])]
+
+
+def test_code_search_reads_candidates_only(spark, tmp_path):
+    from karst.operators import cells as C
+    rng = np.random.default_rng(4)
+    points = rng.normal(size=(600, 16)).astype(np.float32)
+    df = spark.createDataFrame([(i, [float(x) for x in p]) for i, p in enumerate(points)], "id bigint, vec array<float>")
+    cells = C.train_cells(df, "vec", num_partitions=6)
+    assigned = C.assign_cells(df, "vec", cells)
+    codec = C.train_product_codes(assigned, "vec", cells, 8)
+    path = str(tmp_path / "codes")
+    C.write_cells(C.add_codes(assigned, "vec", cells, codec), cells, path)
+    layout = spark.read.parquet(path)
+    found = C.code_search(layout, cells, codec, points[7], 5, "vec", "id", nprobes=None, refine_factor=4, select=["id"])
+    exact = [i for i, _ in brute(points, points[7], 5, "l2")]
+    assert len({r.id for r in found.collect()} & set(exact)) >= 4
+    # the scan that reads the vectors has the candidates' row numbers in its filter
+    candidates = knn(layout, points[7], 20, "vec", key="id", select=["_fragment", "_row", "_bucket", "_cell"])
+    spark.conf.set("spark.sql.maxMetadataStringLength", "100000")
+    scan = C.candidate_rows(layout, candidates)._jdf.queryExecution().toString()
+    assert "GreaterThanOrEqual(_row," in scan and "LessThanOrEqual(_row," in scan and "_bucket" in scan.split("PartitionFilters")[1]
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    errors = C.code_errors(layout, "vec", cells, codec).agg(F.sum("_error"), F.sum("_energy")).first()
+    assert errors[0] < 0.6 * errors[1]
+
+
+def test_row_ranges_close_the_smallest_gaps():
+    from karst.operators.cells import row_ranges
+    places = [(0, 0, r, r) for r in (1, 2, 9, 10, 40, 41, 90)] + [(1, 0, 5, 7)]
+    assert row_ranges(places, 3) == [(0, 0, 1, 10), (0, 0, 40, 41), (0, 0, 90, 90), (1, 0, 5, 7)]
+    assert row_ranges(places, 100)[:2] == [(0, 0, 1, 1), (0, 0, 2, 2)] and row_ranges(places, 1)[0] == (0, 0, 1, 90)
