@@ -32,10 +32,10 @@ from karst.session import materialise, ship
 LENGTH = 50
 GRAM = 20
 #: bytes of text a shard's suffix array covers, and regions of a group beyond which it is cut
-SHARD_BYTES = 3 << 20
+SHARD_BYTES = 1 << 20
 GROUP_REGIONS = 4096
-#: documents longer than this are looked at in overlapping pieces
-PIECE = 2 << 20
+#: bytes of documents looked at together; longer documents are cut into overlapping pieces
+PIECE = 1 << 20
 #: places are (tag of the text) * 2^40 + offset, so that rows that share an id but not the text stay apart
 PLACE = 1 << 40
 
@@ -65,23 +65,32 @@ def _pieces(data: np.ndarray, offsets: np.ndarray, tags: np.ndarray):
             yield piece, np.array([0, len(piece)]), np.array([first]), tags[first:first + 1] * PLACE + at
 
 
+def _grams(data: np.ndarray) -> np.ndarray:
+    """Hashes of all byte strings of ``GRAM`` bytes."""
+    up, down = K.powers(len(data) + 1)
+    sums = np.zeros(len(data) + 1, dtype=np.uint64)
+    np.cumsum((data + np.uint64(1)) * up[:-1], out=sums[1:])
+    grams = sums[GRAM:] - sums[:-GRAM]
+    grams *= down[:len(grams)]
+    return K.mix(grams)
+
+
 def regions(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Runs of strings with the same least gram: group, content hash, start, end."""
     size = len(data)
     if size < LENGTH:
         return np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    at = np.arange(size - GRAM + 1)
-    grams = K.span_hashes(data, at, at + GRAM)
+    grams = _grams(data)
     low = np.uint64((1 << 23) - 1)
     # the place breaks ties inside a string, to the left
-    least = (grams & ~low) | at.astype(np.uint64)
+    least = (grams & ~low) | np.arange(len(grams), dtype=np.uint64)
     width, wanted = 1, LENGTH - GRAM + 1
     while width < wanted:
         step = min(width, wanted - width)
         least = np.minimum(least[:-step], least[step:])
         width += step
-    limits = np.repeat(offsets[1:], np.diff(offsets))
-    starts = np.flatnonzero(limits[:len(least)] - np.arange(len(least)) >= LENGTH)
+    limits = np.repeat(offsets[1:].astype(np.int32), np.diff(offsets))
+    starts = np.flatnonzero(limits[:len(least)] - np.arange(len(least), dtype=np.int32) >= LENGTH)
     if not len(starts):
         return np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
     place = (least[starts] & low).astype(np.int64)
@@ -112,31 +121,27 @@ def _merged(doc: np.ndarray, at: np.ndarray, size: np.ndarray) -> tuple[np.ndarr
 
 
 def _deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Regions of each document; size < 0: a span that another document of the task already covers."""
+    """Regions of each document; size < 0: a span that another document of the same piece already covers."""
     for batch in batches:
         ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
         tags = batch.column("tag").to_numpy(zero_copy_only=False).astype(np.int64)
         data, offsets = K.utf8(batch.column("text"))
-        parts = []
         for part, bounds, docs, places in _pieces(data, offsets, tags):
             key, region, begin, end = regions(part, bounds)
+            if not len(key):
+                continue
             own = np.searchsorted(bounds, begin, side="right") - 1
-            parts.append((key, region, ids[docs[own]], places[own] + begin - bounds[own], end - begin))
-        if not parts:
-            continue
-        key, region, doc, at, size = (np.concatenate(c) for c in zip(*parts))
-        if not len(key):
-            continue
-        _, group = np.unique(region, return_inverse=True)
-        owner = np.full(group.max() + 1, np.iinfo(np.int64).max)
-        np.minimum.at(owner, group, doc)
-        later = doc > owner[group]
-        keep = ~later
-        yield _batch(_REGION, key[keep], region[keep], doc[keep], at[keep], size[keep])
-        doc, at, size = _merged(doc[later], at[later], size[later])
-        if len(doc):
-            yield _batch(_REGION, K.mix(doc.astype(np.uint64) ^ at.astype(np.uint64)), np.zeros(len(doc), np.int64),
-                         doc, at, -size)
+            doc, at, size = ids[docs[own]], places[own] + begin - bounds[own], end - begin
+            _, group = np.unique(region, return_inverse=True)
+            owner = np.full(group.max() + 1, np.iinfo(np.int64).max)
+            np.minimum.at(owner, group, doc)
+            later = doc > owner[group]
+            keep = ~later
+            yield _batch(_REGION, key[keep], region[keep], doc[keep], at[keep], size[keep])
+            doc, at, size = _merged(doc[later], at[later], size[later])
+            if len(doc):
+                yield _batch(_REGION, K.mix(doc.astype(np.uint64) ^ at.astype(np.uint64)), np.zeros(len(doc), np.int64),
+                             doc, at, -size)
 
 
 def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -217,10 +222,9 @@ def _owned_strings(doc: np.ndarray, pieces: list[bytes], strings: bool):
     joined[-1] = 0
     order = suffix_array(joined, 258, LENGTH)
     _, common = permuted_prefixes(joined, order, LENGTH)
-    number = np.repeat(np.arange(len(pieces)), sizes + 1)
-    number = np.append(number, len(pieces) - 1)
-    room = begins[number] + sizes[number] - np.arange(len(joined))
-    fits = room >= LENGTH
+    number = np.repeat(np.arange(len(pieces), dtype=np.int32), sizes + 1)
+    number = np.append(number, np.int32(len(pieces) - 1))
+    fits = (begins + sizes)[number] - np.arange(len(joined)) >= LENGTH
     owner = doc[number[order]]
     breaks = np.concatenate([[True], common[order][1:] < LENGTH])
     first = np.flatnonzero(breaks)
@@ -228,11 +232,12 @@ def _owned_strings(doc: np.ndarray, pieces: list[bytes], strings: bool):
     covered = np.zeros(len(joined), dtype=bool)
     covered[order[(owner > least)]] = True
     covered &= fits
-    edge = np.zeros(len(joined) + LENGTH + 1, dtype=np.int64)
+    edge = np.zeros(len(joined) + LENGTH + 1, dtype=np.int8)
     hit = np.flatnonzero(covered)
-    np.add.at(edge, hit, 1)
-    np.add.at(edge, hit + LENGTH, -1)
-    mask = np.cumsum(edge)[:len(joined)] > 0
+    # a place is the start of one string and the end of one at most
+    edge[hit] += 1
+    edge[hit + LENGTH] -= 1
+    mask = np.cumsum(edge, dtype=np.int32)[:len(joined)] > 0
     if not strings:
         return begins, number, mask, None, None
     at = np.flatnonzero(fits & ~covered)
@@ -361,8 +366,13 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     """``docs(doc_id, text)`` without bytes that a smaller doc_id already holds.
 
     Returns ``doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept`` (binary)
-    for every row.  A null text is empty; texts under 50 bytes and rows without
-    doc_id stay whole.  Repeated rows give the same result each.
+    for every row.  Equal regions are told by their hash; suffix arrays, by
+    induced sorting, are built where a group holds several different ones.
+
+    A null text is empty; texts under 50 bytes and rows without doc_id stay
+    whole.  Repeated rows give the same result each; texts that share a doc_id
+    never remove each other's bytes.  Very long texts are looked at in
+    overlapping pieces; an empty table gives no rows; other columns are ignored.
     """
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     # 22 bits, so that a place stays below 2^62

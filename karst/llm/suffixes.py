@@ -20,7 +20,9 @@ def classify(text: np.ndarray) -> np.ndarray:
     """True where a suffix is smaller than its right neighbour; the last one is."""
     size = len(text)
     change = np.append(np.flatnonzero(text[:-1] != text[1:]), size - 1)
-    at = change[np.searchsorted(change, np.arange(size))]
+    change = change.astype(np.int32)
+    # the last place of each run of one symbol, for all its places
+    at = np.repeat(change, np.diff(change, prepend=np.int32(-1)))
     after = np.minimum(at + 1, size - 1)
     smaller = text[at] < text[after]
     smaller[at == size - 1] = True
@@ -70,7 +72,7 @@ def induce(text: np.ndarray, smaller: np.ndarray, sorted_lms: np.ndarray, symbol
 
     sweep(rising, False, lambda s: seeds[s], range(symbols))
     # descending: lists grow from a bucket's end, larger suffixes of the bucket come last
-    falling[0] = [np.array([len(text) - 1])]
+    falling[0] = [np.array([len(text) - 1], dtype=sorted_lms.dtype)]
     sweep(falling, True, lambda s: [p[::-1] for p in reversed(rising[s])], range(symbols - 1, -1, -1))
     out = []
     for symbol in range(symbols):
@@ -114,17 +116,19 @@ def suffix_array(text: np.ndarray, symbols: int, depth: int | None = None) -> np
     if len(text) < 2:
         return np.arange(len(text))
     smaller = classify(text)
-    lms = np.flatnonzero(smaller[1:] & ~smaller[:-1]) + 1
+    # places of 32 bits: a shard is far below 2 GB
+    lms = (np.flatnonzero(smaller[1:] & ~smaller[:-1]) + 1).astype(np.int32)
     ordered = induce(text, smaller, lms, symbols)
     mark = np.zeros(len(text), dtype=bool)
     mark[lms] = True
     ordered = ordered[mark[ordered]]
     # name the sorted substrings, equal ones alike; each reaches to the next leftmost smaller suffix
-    place = np.empty(len(text), dtype=np.int64)
-    place[lms] = np.arange(len(lms))
+    place = np.empty(len(text), dtype=np.int32)
+    place[lms] = np.arange(len(lms), dtype=np.int32)
     end = np.append(lms[1:] + 1, len(text))
     sums, down = _prefix_sums(text)
     content = mix((sums[end] - sums[lms]) * down[lms] + (end - lms).astype(np.uint64))
+    del sums
     own = content[place[ordered]]
     names = np.empty(len(lms), dtype=np.int64)
     names[place[ordered]] = np.cumsum(np.concatenate([[False], own[1:] != own[:-1]]))
@@ -136,16 +140,16 @@ def suffix_array(text: np.ndarray, symbols: int, depth: int | None = None) -> np
 def permuted_prefixes(text: np.ndarray, order: np.ndarray, longest: int) -> tuple[np.ndarray, np.ndarray]:
     """For each place, the suffix before it in ``order`` and their common prefix up to ``longest``."""
     size = len(text)
-    ahead = np.full(size, -1, dtype=np.int64)
+    ahead = np.full(size, -1, dtype=np.int32)
     ahead[order[1:]] = order[:-1]
     sums, down = _prefix_sums(text)
-    here, there = np.arange(size), np.maximum(ahead, 0)
-    common = np.zeros(size, dtype=np.int64)
+    here, there = np.arange(size, dtype=np.int32), np.maximum(ahead, 0)
+    common = np.zeros(size, dtype=np.int32)
     step = 1 << (max(1, longest).bit_length() - 1)
     while step:
         left, right = here + common, there + common
         fits = (np.maximum(left, right) + step <= size) & (common + step <= longest)
-        left, right, more = np.where(fits, left, 0), np.where(fits, right, 0), np.where(fits, step, 0)
+        left, right, more = np.where(fits, left, 0), np.where(fits, right, 0), np.where(fits, np.int32(step), np.int32(0))
         same = (sums[left + more] - sums[left]) * down[left] == (sums[right + more] - sums[right]) * down[right]
         common += np.where(same, more, 0)
         step //= 2
