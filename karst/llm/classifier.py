@@ -146,7 +146,10 @@ def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = THRESH
     Null and empty texts have zeros for statistics and are scored like others.
     Labels that are null or belong to no document are ignored; a document
     labelled several times counts for each.  A null doc_id is never held out
-    and never learnt from.  Repeated rows get the same score.
+    and never learnt from.  Repeated rows get the same score.  Of several texts
+    with one doc_id one is learnt from.  Very
+    long texts count whole; an empty table gives no rows; other columns are
+    ignored.
     """
     ship(docs.sparkSession)
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))

@@ -208,8 +208,10 @@ def license_scan(docs: DataFrame, templates: Mapping[str, str] | None = None,
     are code points.
 
     Null and empty texts match nothing.  Repeated rows are reported each.  A
-    null doc_id is reported as null.  No templates: no rows.  There is no
-    shuffle: templates, at most 20,000, go to every task.
+    null doc_id is reported as null.  Versions with equal shares tie to the
+    passage found first, in the order of the templates.  No templates, or an
+    empty table: no rows.  Very long texts are scanned whole; other columns are
+    ignored.  There is no shuffle: templates, at most 20,000, go to every task.
     """
     ship(docs.sparkSession)
     classes = compile_templates(known_templates() if templates is None else templates, containment)

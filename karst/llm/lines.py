@@ -81,7 +81,8 @@ def line_rules(docs: DataFrame, line_documents: int = LINE_DOCUMENTS, kept_words
     than ``kept_words`` of the words are left.
 
     Null and empty texts have no words and are not kept.  A null source is the
-    host "".  Repeated rows give the same result each.
+    host "".  Repeated rows give the same result each.  Very long texts count
+    whole; an empty table gives no rows; other columns are ignored.
     """
     ship(docs.sparkSession)
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"),

@@ -77,6 +77,8 @@ def fair_mix(docs: DataFrame, size: Column, order: Column, weights: Sequence[flo
     Running totals come from hash bins of about 4,096 rows, so no task sees a
     whole source.  A null source is a source of its own; a size of null or 0 is
     served and gives nothing.  Repeated rows queue each.  No rows: no plan.
+    Very long documents are taken in part if the cut falls inside them; columns
+    of any other name go along in ``row``.
     """
     rows = docs.select(F.struct("*").alias("row"), F.col("source").cast("string").alias("source"),
                        F.coalesce(size, F.lit(0)).cast("bigint").alias("size"), order.cast("bigint").alias("_hash"))
@@ -120,7 +122,11 @@ def first_words(text: Column, words: Column) -> Column:
 
 
 def mixed(docs: DataFrame, plan: DataFrame, text: str = "text") -> DataFrame:
-    """The documents of ``plan`` as often as they are taken, the one at the cut shortened; columns of ``docs``."""
+    """The documents of ``plan`` as often as they are taken, the one at the cut shortened; columns of ``docs``.
+
+    Null and empty texts have no words and are not taken.  Repeated rows come
+    as often as each was taken; an empty plan gives no rows.
+    """
     whole = F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size"))).otherwise(F.lit(1))
     rest = F.when(F.col("size") > 0, F.col("taken") % F.col("size")).otherwise(F.lit(0))
     turns = F.sequence(F.lit(1), whole + F.when(rest > 0, 1).otherwise(0))

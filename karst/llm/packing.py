@@ -102,7 +102,10 @@ def tokenised(docs: DataFrame, tokenizer: str, end_id: int = END_ID, window: int
 
     ``tokenizer`` is the text of a tokenizer definition; it goes to the tasks
     with the job, so nothing is read from a task's disk.  A document's ids end
-    with ``end_id``, so a null or empty text is one piece of one id.
+    with ``end_id``, so a null or empty text is one piece of one id.  A very
+    long text is cut into full pieces and a rest.  Repeated rows and rows with
+    a null doc_id give pieces of their own; an empty table gives none; other
+    columns are ignored.
     """
     ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(tokenizer)
@@ -200,5 +203,10 @@ def packed(pieces: DataFrame, window: int = WINDOW, shard_pieces: int = SHARD_PI
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = END_ID, window: int = WINDOW) -> DataFrame:
-    """Every id of ``docs(doc_id, text)`` in exactly one piece of one window; see ``tokenised`` and ``packed``."""
+    """Every id of ``docs(doc_id, text)`` in exactly one piece of one window.
+
+    Nulls, empty and very long texts, repeated rows, empty tables and other
+    columns are treated as in ``tokenised``; ties of length are packed in the
+    order of doc_id and place, as ``packed`` says.
+    """
     return packed(materialise(tokenised(docs, tokenizer, end_id, window), "pieces"), window)

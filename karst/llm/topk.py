@@ -127,7 +127,8 @@ def top_k(queries: DataFrame, rows: DataFrame, k: int) -> DataFrame:
     Null ids, null vectors, null or non-finite components and empty vectors
     take no part.  A row stored several times counts as often; a query id
     stored several times searches once, with its smallest vector.  Fewer than
-    k candidates give all.  Scores are exact while they fit 64 bits.
+    k candidates give all, and an empty side gives no rows.  Scores are exact
+    while they fit 64 bits.  Other columns are ignored.
     """
     ship(rows.sparkSession)
     usable = ("vec_id is not null and size(v) > 0 and "
