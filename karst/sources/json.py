@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from karst.functions.json_paths import json_path
 from karst.schema import SchemaMismatch, declare_vectors, is_integral
+from karst.session import materialise
+from karst.sources.json_cut import column_rows, records, row_texts
 
 _LINES = (".jsonl", ".ndjson")
 # Hint types an imported column can take.
@@ -42,13 +44,6 @@ def parse(text: DataFrame) -> DataFrame:
     return text.select(F.parse_json("value").alias("v"))
 
 
-def document_text(spark: SparkSession, path: str | list[str], jsonlines: bool) -> DataFrame:
-    """Lines of JSON Lines files (splittable), or one row per whole file."""
-    if jsonlines:
-        return spark.read.text(path).filter(F.trim("value") != "")
-    return spark.read.text(path, wholetext=True)
-
-
 def _explode(df: DataFrame, variant: str, *names: str) -> DataFrame:
     """(key, value) pairs or items of a variant object or array, next to the kept columns."""
     return df.lateralJoin(
@@ -157,20 +152,26 @@ def read_json(spark: SparkSession, path: str | list[str], jsonlines: bool | None
     checked = vector_columns if check_vectors else ()
     first = path if isinstance(path, str) else path[0]
     lines = first.rstrip("/").endswith(_LINES) if jsonlines is None else jsonlines
-    text = document_text(spark, path, lines)
-    if not lines:
-        # the first character tells the form, so nothing is parsed for this
-        openings = {r[0] for r in text.select(F.regexp_extract("value", r"\S", 0)).distinct().collect()}
-        if openings == {"{"}:
-            return _check_vectors(_from_columns(parse(text), types, vector_columns), checked)
-        if openings != {"["}:
-            raise JsonImportError("the text must begin with [ (rows) or { (columns)")
-    return _check_vectors(typed_rows(row_objects(parse(text), lines), types, vector_columns), checked)
-
-
-def typed_rows(objects: DataFrame, types=None, vector_columns: Sequence[str] = ()) -> DataFrame:
-    """Audit row objects (column ``r``) and cast them to one schema."""
-    schema = _plan(type_audit(objects), types, vector_columns)
+    named: list[str] = []
+    if lines:
+        text = spark.read.text(path).filter(F.trim("value") != "")
+    else:
+        opening, found = records(spark, path, JsonImportError)
+        if opening == "[":
+            text = row_texts(spark, found, JsonImportError)
+        else:
+            text, named = column_rows(spark, found, JsonImportError)
+            text = materialise(text, "json-rows")
+    return _check_vectors(typed_rows(row_objects(parse(text), True), types, vector_columns, named), checked)
+
+
+def typed_rows(objects: DataFrame, types=None, vector_columns: Sequence[str] = (), named: Sequence[str] = ()) -> DataFrame:
+    """Audit row objects (column ``r``) and cast them to one schema; ``named`` columns exist also if no row has them."""
+    audit = type_audit(objects)
+    if named:
+        empty = objects.sparkSession.createDataFrame([(n, False, "null", 1, 0, 0) for n in named], audit.schema)
+        audit = audit.unionByName(empty)
+    schema = _plan(audit, types, vector_columns)
     columns = [_cast(F.col("r"), name, dtype).alias(name) for name, dtype in schema.items()]
     return objects.select(*columns)
 
@@ -180,7 +181,9 @@ def _plan(audit: DataFrame, types, vector_columns: Sequence[str]) -> dict[str, T
     hints = {name: _as_type(h) for name, h in (types or {}).items()}
     found: dict[str, dict[bool, dict[str, dict]]] = {}
     for row in audit.collect():
-        found.setdefault(row["name"], {False: {}, True: {}})[row["item"]][row["kind"]] = row.asDict()
+        kinds = found.setdefault(row["name"], {False: {}, True: {}})[row["item"]]
+        if row["kind"] not in kinds or row["n"] > kinds[row["kind"]]["n"]:
+            kinds[row["kind"]] = row.asDict()
     nameless = found.pop(None, None)
     if nameless and "not_object" in nameless[False]:
         raise JsonImportError("every row needs to be an object with named fields")
@@ -236,43 +239,6 @@ def _check_vectors(df: DataFrame, vector_columns: Sequence[str]) -> DataFrame:
         raise JsonImportError(str(error)) from error
 
 
-def _from_columns(docs: DataFrame, types, vector_columns: Sequence[str]) -> DataFrame:
-    """Objects of column arrays: every document becomes rows by position."""
-    parts = (_explode(docs.withColumn("_doc", F.monotonically_increasing_id()), "v", "_p", "name", "value")
-             .select("_doc", "name", "value", F.schema_of_variant("value").alias("s")))
-    shape = parts.agg(F.count_if(~F.col("s").startswith("ARRAY")).alias("scalars"), F.count("name").alias("columns")).first()
-    if shape["scalars"] or not shape["columns"]:
-        raise JsonImportError("each field of a column document has to be a list")
-    sizes = parts.select("_doc", F.size(F.expr("variant_get(value, '$', 'array<variant>')")).alias("n"))
-    uneven = sizes.groupBy("_doc").agg(F.min("n").alias("lo"), F.max("n").alias("hi")).filter("lo <> hi")
-    if uneven.first() is not None:
-        raise JsonImportError("the lists of a column document differ in length")
-    # audit the values as if each were a one-column row object
-    cells = (_explode(parts, "value", "_pos", "_key", "cell").filter("_pos IS NOT NULL")
-             .select("name", "cell"))
-    schema = _plan(_audit_cells(cells, parts), types, vector_columns)
-    arrays = [F.variant_get("v", json_path(name), "array<variant>").alias(f"c{i}") for i, name in enumerate(schema)]
-    zipped = docs.select(*arrays).select(F.inline(F.arrays_zip(*[F.col(f"c{i}") for i in range(len(schema))])))
-    out = []
-    for i, (name, dtype) in enumerate(schema.items()):
-        cell = F.col(f"c{i}")
-        if isinstance(dtype, T.NullType):
-            out.append(F.lit(None).alias(name))
-        elif isinstance(dtype, T.ArrayType) and isinstance(dtype.elementType, T.FloatType):
-            out.append(F.variant_get(cell, "$", "array<double>").cast("array<float>").alias(name))
-        else:
-            out.append(F.variant_get(cell, "$", dtype.simpleString()).alias(name))
-    return zipped.select(*out)
-
-
-def _audit_cells(cells: DataFrame, parts: DataFrame) -> DataFrame:
-    # a column with no rows still has a name
-    named = parts.select("name", F.lit(False).alias("item"), F.expr("parse_json('null')").alias("value"),
-                         F.lit("VOID").alias("s"))
-    values = _with_items(cells.select("name", F.col("cell").alias("value")))
-    return _count_kinds(values.withColumn("s", F.schema_of_variant("value")).unionByName(named))
-
-
 def audit_report(objects: DataFrame) -> DataFrame:
     """Per column: values of each kind and integers that a double would round."""
     kinds = type_audit(objects).filter("NOT item AND name IS NOT NULL")

@@ -17,37 +17,34 @@ from karst.workload.registry import query, read
 from karst.workload.tables import new_database
 
 
-DOCUMENT_ROWS = 20_000
-
-
 def write_documents(rows, path: str, columnar: bool = False) -> None:
-    """JSON documents of up to ``DOCUMENT_ROWS`` rows, each in its own file.
-
-    A document is an array of row objects, or an object of column arrays.
-    """
+    """A JSON document for each partition: an array of row objects, or an object of column arrays."""
     names = rows.columns
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import json
 
-        def document(table: pa.Table) -> pa.RecordBatch:
-            if columnar:
-                text = json.dumps({n: table[n].to_pylist() for n in names}, ensure_ascii=False)
-            else:
-                text = "[" + ",\n".join(json.dumps(r, ensure_ascii=False) for r in table.to_pylist()) + "]"
-            return pa.RecordBatch.from_arrays([pa.array([text], pa.string())], ["value"])
-
-        waiting: pa.Table | None = None
+        def text(lines: list[str]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(lines, pa.string())], ["value"])
+
+        if columnar:
+            table = pa.Table.from_batches(list(batches))
+            for i, n in enumerate(names if table.num_rows else ()):
+                values = [json.dumps(v, ensure_ascii=False) for v in table[n].to_pylist()]
+                yield text([f"{'{' if not i else ','}{json.dumps(n)}:[" + values[0], *("," + v for v in values[1:]), "]"])
+            if table.num_rows:
+                yield text(["}"])
+            return
+        mark = "["
         for batch in batches:
-            table = pa.Table.from_batches([batch])
-            waiting = table if waiting is None else pa.concat_tables([waiting, table])
-            while waiting.num_rows > DOCUMENT_ROWS:
-                yield document(waiting.slice(0, DOCUMENT_ROWS))
-                waiting = waiting.slice(DOCUMENT_ROWS)
-        if waiting is not None:
-            yield document(waiting)
+            for row in batch.to_pylist():
+                yield text([mark + json.dumps(row, ensure_ascii=False)])
+                mark = ","
+        if mark == ",":
+            yield text(["]"])
 
-    rows.mapInArrow(pack, "value string").write.option("maxRecordsPerFile", 1).text(path)
+    # a partition without rows has no document
+    rows.mapInArrow(pack, "value string").write.text(path)
 
 
 @query("import_csv", "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders")
@@ -66,13 +63,14 @@ def csv_customer(spark, sf):
     return read_csv(spark, path)
 
 
-_EVENTS = "SELECT event_id, user_id, nullif(event_type, 'click') AS kind, value, value > 10 AS big FROM events"
+_EVENTS = ("SELECT event_id, user_id, nullif(event_type, 'click') AS kind, value, value > 10 AS big, props, "
+           "strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts FROM events")
 
 
 def _events(spark, sf):
     return read(spark, sf, "events").select(
         "event_id", "user_id", F.nullif(F.col("event_type"), F.lit("click")).alias("kind"), "value",
-        (F.col("value") > 10).alias("big"))
+        (F.col("value") > 10).alias("big"), "props", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts"))
 
 
 @query("import_json_rows", _EVENTS)

@@ -22,10 +22,9 @@ def select_columns(spark, sf):
     return select_cols(read(spark, sf, "lineitem"), "l_orderkey", "l_shipdate", "l_quantity")
 
 
-@query("limit_rows", "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 50")
+@query("limit_rows", "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice, o_orderkey LIMIT 50")
 def limit_rows(spark, sf):
-    orders = select_cols(read(spark, sf, "orders"), "o_orderkey", "o_totalprice")
-    return orders.orderBy(F.desc("o_totalprice"), "o_orderkey").limit(50)
+    return page(select_cols(read(spark, sf, "orders"), "o_orderkey", "o_totalprice"), 50, key=["o_totalprice", "o_orderkey"])
 
 
 @query("page_2", "SELECT o_orderkey, o_custkey FROM orders ORDER BY o_orderkey LIMIT 100 OFFSET 100")

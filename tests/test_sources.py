@@ -12,6 +12,7 @@ from karst.schema import SchemaMismatch, vector_dims
 from karst.sources import import_csv, import_json, import_sqlite
 from karst.sources.arrow_ipc import from_arrow, read_arrow, write_arrow
 from karst.sources.json import JsonImportError, read_json
+from karst.sources.json_cut import fragments
 from karst.sources.media import media_facts, read_media
 from karst.sources.sqlite import read_sqlite, write_sqlite
 
@@ -222,3 +223,63 @@ def test_imports_need_a_name_or_table(db, tmp_path):
     table = db.create_table("t", {"id": [1], "v": [np.float32(1.0).item()]})
     with pytest.raises(SchemaMismatch):
         import_csv(table, put(tmp_path, "b.csv", "id\n1\n"), types={"id": "bigint"})
+
+
+# ---------------------------------------------------------------- documents of any size
+
+def flat(values):
+    return [tuple(sorted(v.asDict().items())) for v in values]
+
+
+HARD = [{"t": 'a,b"]}[{,', "n": [1, 2]}, {"t": "back\\slash\\", "n": []}, {"t": "\\\",\\u00e9 é\U0001f600", "n": None}, {"t": "", "n": [3]}]
+
+
+@pytest.mark.parametrize("size", [50, 10_000])
+def test_json_documents_cut_at_every_byte(spark, tmp_path, size):
+    """Ranges so short that records, strings, keys and brackets lie across several of them."""
+    rows = [dict(HARD[i % 4], i=i) for i in range(5)]
+    pretty = "﻿ \n" + json.dumps(rows, indent=2, ensure_ascii=False) + "\n\n"
+    columns = {"i": [r["i"] for r in rows], "k,e:y\"[": [r["t"] for r in rows], "n": [r["n"] for r in rows]}
+    one, two = put(tmp_path, "rows.json", pretty), put(tmp_path, "columns.json", json.dumps(columns, indent=1, ensure_ascii=False))
+    three = put(tmp_path, "tight.json", json.dumps(columns, ensure_ascii=False, separators=(",", ":")))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    spark.conf.set("spark.sql.files.openCostInBytes", 0)
+    try:
+        wanted = sorted((r["i"], r["t"], r["n"]) for r in rows)
+        assert sorted((r.i, r.t, r.n) for r in read_json(spark, one).collect()) == wanted
+        for path in (two, three):
+            assert sorted((r.i, r['k,e:y"['], r.n) for r in read_json(spark, path).collect()) == wanted
+        if size > 1000:
+            assert read_json(spark, [two, three]).count() == 10
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+@pytest.mark.parametrize("text", ['[{"a":1}', '[{"a":1}]]', '[{"a":1}][{"a":2}]', '[{"a":1}] x', 'x [{"a":1}]', '[{"a":"1}]', '{"a":[1]', '{"a":[1]} {"a":[2]}',
+                                  '{"a":[1],"b":{"c":[2]}}', '{"a" [1]}', '{"a":[1] "b":[2]}', ""])
+def test_json_documents_that_are_no_documents(spark, tmp_path, text):
+    with pytest.raises(Exception):
+        read_json(spark, put(tmp_path, "bad.json", text)).collect()
+
+
+def test_empty_lists_and_columns(spark, tmp_path):
+    assert read_json(spark, put(tmp_path, "e.json", '{"a":[ ],"b":[]}')).count() == 0
+    found = read_json(spark, put(tmp_path, "f.json", '{"a":[[ ],[1]],"b":[null,"x"]}'))
+    assert sorted((r.a, r.b or "") for r in found.collect()) == [([], ""), ([1], "x")]
+
+
+def test_large_json_array_in_several_tasks(spark, tmp_path):
+    """300 MB in one file."""
+    path = tmp_path / "large.json"
+    body = "x, y [\\\"z\\\"] " * 24
+    count = 0
+    with open(path, "w") as file:
+        file.write("[")
+        while file.tell() < 300 << 20:
+            file.write(("," if count else "") + ",".join(f'{{"id":{i},"body":"{body}"}}' for i in range(count, count + 2000)))
+            count += 2000
+        file.write("]")
+    found = read_json(spark, "file:" + str(path), types={"id": "bigint", "body": "string"})
+    assert fragments(spark, "file:" + str(path)).rdd.getNumPartitions() > 2
+    assert tuple(found.agg(F.count("*"), F.sum("id"), F.countDistinct("body")).first()) == (count, count * (count - 1) // 2, 1)
