@@ -15,7 +15,9 @@ document's links are never shuffled one by one.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,6 +43,12 @@ _RESULT = ("doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigi
            "groups_sha256 string")
 
 
+#: how byte-level definitions cut a text (fixed value)
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: characters outside the blocks whose letters and digits have long been settled; engines may class newer ones differently
+_NEW = re.compile("[^\x00-\u052f\u2000-\u2bff\u3000-\u30ff\u4e00-\u9fcc\uac00-\ud7a3\U0001f110-\U0001faff]")
+
+
 def _byte_letters() -> dict[str, int]:
     """The characters that byte-level vocabularies write bytes as: printable ones as themselves, the others from U+0100 on."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -49,7 +57,12 @@ def _byte_letters() -> dict[str, int]:
 
 
 class ByteLevel:
-    """A byte-level tokenizer definition; encodes a space and the text."""
+    """A byte-level tokenizer definition; encodes a space and the text.
+
+    Where the ids are the ranks of the merges, an encoder that works on ranks
+    gives the same ids in a quarter of the time; texts with characters that
+    the two might class differently go to the definition's own library.
+    """
 
     def __init__(self, definition: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -63,9 +76,35 @@ class ByteLevel:
         for token, i in vocabulary.items():
             pieces[i] = bytes(letters[c] for c in token) if all(c in letters for c in token) else token.encode()
         self.pieces = pa.array(pieces, pa.large_binary())
-
-    def ids(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
+        self.ranks = self._ranked(json.loads(definition), pieces)
+
+    @staticmethod
+    def _ranked(raw: dict, pieces: list[bytes]):
+        """The rank encoder of a definition, or None if its ids are not the ranks of its merges."""
+        model, cut = raw["model"], raw["pre_tokenizer"]
+        merges = [m.split(" ") if isinstance(m, str) else m for m in model.get("merges", [])]
+        plain = (model["type"] == "BPE" and not model.get("dropout") and not model.get("ignore_merges") and raw["normalizer"] is None
+                 and cut is not None and cut["type"] == "ByteLevel" and cut["use_regex"] and not cut["add_prefix_space"])
+        if not plain or any(model["vocab"].get(a + b) != 256 + i for i, (a, b) in enumerate(merges)) \
+                or sorted(pieces[:256]) != [bytes([b]) for b in range(256)]:
+            return None
+        import tiktoken
+        return tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks={p: i for i, p in enumerate(pieces[:256 + len(merges)])},
+                                 special_tokens={})
+
+    def ids(self, texts: list[str]) -> list[np.ndarray]:
+        out: list[np.ndarray | None] = [None] * len(texts)
+        slow = []
+        for i, text in enumerate(texts):
+            if self.ranks is not None and not _NEW.search(text):
+                out[i] = self.ranks.encode_to_numpy(" " + text, disallowed_special=()).astype(np.int32)
+            else:
+                slow.append(i)
+        if slow:
+            found = self.tokenizer.encode_batch_fast([" " + texts[i] for i in slow], add_special_tokens=False)
+            for i, encoding in zip(slow, found):
+                out[i] = np.array(encoding.ids, dtype=np.int32)
+        return out
 
 
 class Pieces:
@@ -80,13 +119,13 @@ class Pieces:
             pieces.append(bytes([int(piece[3:5], 16)]) if self.model.is_byte(i) else piece.replace("▁", " ").encode())
         self.pieces = pa.array(pieces, pa.large_binary())
 
-    def ids(self, texts: list[str]) -> list[list[int]]:
-        return self.model.encode(texts, num_threads=1)
+    def ids(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(own, dtype=np.int32) for own in self.model.encode(texts, num_threads=1)]
 
 
-def _nested(ids: list[list[int]]) -> pa.ListArray:
+def _nested(ids: list[np.ndarray]) -> pa.ListArray:
     edges = np.concatenate([[0], np.cumsum([len(i) for i in ids])]).astype(np.int32)
-    flat = np.fromiter((i for own in ids for i in own), dtype=np.int32, count=int(edges[-1]))
+    flat = np.concatenate(ids) if ids else np.zeros(0, np.int32)
     return pa.ListArray.from_arrays(pa.array(edges), pa.array(flat))
 
 
@@ -174,7 +213,7 @@ def aligned_chunk(texts: list[str], first: ByteLevel, second: Pieces, writer: _W
     edges = np.concatenate([[0], np.cumsum([len(t.encode()) + 1 if t else 0 for t in texts])])
     lists, good = [], np.array([bool(t) for t in texts])
     for tokenizer in (first, second):
-        ids = _nested([own if t else [] for own, t in zip(tokenizer.ids(texts), texts)])
+        ids = _nested([own if t else own[:0] for own, t in zip(tokenizer.ids(texts), texts)])
         parents = pc.list_parent_indices(ids).to_numpy()
         good &= _same_bytes(pc.list_flatten(ids), parents, tokenizer.pieces, raw, edges)
         lists.append(ids)
