@@ -163,6 +163,18 @@ def test_alignment_like_plain_version(spark, docs, odd, empty):
     assert token_alignment(empty, *alignment_models()).count() == 0
 
 
+def test_rank_encoder_like_the_definition():
+    """Every character of the settled blocks, in runs and beside letters, digits and spaces; long runs."""
+    from karst.llm.alignment import _NEW
+    one = ByteLevel(alignment_models()[0])
+    settled = [chr(c) for c in range(0x1fb00) if not 0xd800 <= c < 0xe000 and not _NEW.match(chr(c))]
+    texts = ["".join(f"a{c}b {c}{c} 1{c}?" for c in settled[i:i + 300]) for i in range(0, len(settled), 300)]
+    texts += ["a" * 3000, " " * 3000 + "x", "ab1!" * 900, "<|endoftext|> it's", "\t\n  \r x", "ꯍ new 🯳"]
+    own = one.tokenizer.encode_batch([" " + t for t in texts], add_special_tokens=False)
+    assert one.ranks is not None and [list(i) for i in one.ids(texts)] == [e.ids for e in own]
+    assert ByteLevel(alignment_models()[0].replace('"add_prefix_space":false', '"add_prefix_space":true')).ranks is None
+
+
 def test_wide_groups_pair_distinct_ids(monkeypatch):
     from karst.llm import alignment
     one, two = (kind(model) for kind, model in zip((ByteLevel, Pieces), alignment_models()))
@@ -231,3 +243,84 @@ def test_audit_like_plain_version(spark, docs, odd, empty):
 def test_sql(spark, name):
     from compare import connect, difference
     assert difference(spark, connect(SF), QUERIES[name], ORACLES[name], SF) is None
+
+
+# suffix arrays in bounded memory
+
+def test_a_shard_stays_small():
+    import tracemalloc
+    from karst.llm import repeats
+    random = np.random.default_rng(5)
+    base = random.integers(97, 101, 5000).astype(np.uint8).tobytes()
+    pieces, size = [], 0
+    while size < repeats.SHARD_BYTES:
+        at = int(random.integers(0, 4900))
+        pieces.append(base[at:at + 90] + random.integers(97, 123, 20).astype(np.uint8).tobytes())
+        size += len(pieces[-1])
+    doc = np.arange(len(pieces))
+    repeats.K.powers(10)
+    tracemalloc.start()
+    repeats._owned_strings(doc, pieces, True)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.reset_peak()
+    text = random.integers(97, 123, repeats.PIECE).astype(np.uint8)
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1, 2], "tag": [1, 2], "text": [text.tobytes().decode()] * 2})
+    rows = sum(b.num_rows for b in repeats._deal(iter([batch])))
+    assert rows and peak < 150 << 20 and tracemalloc.get_traced_memory()[1] < 150 << 20, (peak, tracemalloc.get_traced_memory())
+    tracemalloc.stop()
+
+
+# set-relation skipping
+
+def test_shared_shingles_across_batches():
+    from karst.llm import jaccard
+    rows = [(1, 5, 0), (2, 5, 1), (2, 6, 4), (2, 7, 9), (3, 1, 0), (4, 1, -3), (5, 2, 7), (6, 2, 1), (6, 3, 0), (7, 9, -1)]
+    wanted = [(2, 5, 1), (2, 6, 4), (2, 7, 9), (4, 1, 2), (6, 2, 1), (6, 3, 0), (7, 9, 0)]
+    for step in range(1, len(rows) + 1):
+        batches = (pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows[i:i + step])], ["token", "doc_id", "pos"])
+                   for i in range(0, len(rows), step))
+        assert sorted(tuple(r.values()) for b in jaccard._shared(batches) for r in b.to_pylist()) == wanted, step
+
+
+def test_block_pairs_like_all_pairs():
+    from karst.llm import jaccard
+    random = np.random.default_rng(2)
+    size = np.sort(random.integers(20, 90, 400))
+    place = random.integers(0, 20, 400)
+    order = np.lexsort((place, size))
+    size, place, label = size[order], place[order], random.integers(0, 40, 400)
+    found = {(int(i), int(j)) for x, y in jaccard._block_pairs(label, size, place) for i, j in zip(x, y)}
+    wanted = {(i, j) for i in range(400) for j in range(i + 1, 400) if label[i] != label[j] and 4 * size[i] >= 3 * size[j]
+              and 7 * min(size[i] - place[i], size[j] - place[j]) >= 3 * (size[i] + size[j])}
+    assert found == wanted and found
+
+
+def test_answers_of_members_derived_from_their_pivots(spark):
+    """Families of edited texts around bases that overlap more and less than the threshold."""
+    from karst.llm.jaccard import similar_groups
+    random = np.random.default_rng(6)
+    base = [f"b{i}" for i in range(160)]
+    rows, number = [], 0
+    for shift in (0, 8, 16, 30, 60):
+        text = base[shift:] + [f"s{shift}x{i}" for i in range(shift)]
+        for copy in range(14):
+            own = list(text)
+            for _ in range(copy % 4):
+                own[int(random.integers(0, len(own)))] = f"e{number}"
+            rows.append((number, " ".join(own)))
+            number += 1
+    sets = {i: frozenset(zip(*(t.split()[k:] for k in range(5)))) for i, t in rows}
+    parent = {i: i for i in sets}
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i in sets:
+        for j in sets:
+            if i < j and 4 * len(sets[i] & sets[j]) >= 3 * len(sets[i] | sets[j]):
+                a, b = sorted((root(i), root(j)))
+                parent[b] = a
+    found = similar_groups(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3))
+    assert {r.doc_id: r.component_id for r in found.collect()} == {i: root(i) for i in sets}
