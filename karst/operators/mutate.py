@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from karst.functions.expressions import bind
 from karst.operators.bounds import HOT_ROWS, fits_broadcast, left_join_unique, quoted
 from karst.schema import SchemaMismatch, conform
 
@@ -20,7 +21,7 @@ def as_predicate(predicate: str | Column) -> Column:
 
 def delete_rows(df: DataFrame, predicate: str | Column) -> DataFrame:
     """Rows that remain.  A predicate that is null for a row keeps the row."""
-    return df.filter(~F.coalesce(as_predicate(predicate), F.lit(False)))
+    return df.filter(~F.coalesce(bind(as_predicate(predicate), df), F.lit(False)))
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -74,7 +75,7 @@ def merge_insert(target: DataFrame, source: DataFrame, on: str | Sequence[str],
         joined = left_join_unique(packed, matches, keys, F.xxhash64("target"), hot_rows=hot_rows, small=small)
         take = F.coalesce(F.col("_hit"), F.lit(False))
         if condition is not None:
-            take = take & F.coalesce(as_predicate(condition), F.lit(False))
+            take = take & F.coalesce(bind(as_predicate(condition), joined), F.lit(False))
         result = joined.select(*[
             F.when(take, F.col(f"source.{quoted(c)}")).otherwise(F.col(f"target.{quoted(c)}")).alias(
                 c, metadata=target.schema[c].metadata or {})

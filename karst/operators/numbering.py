@@ -10,6 +10,7 @@ from karst.operators.bounds import quoted
 from karst.session import materialise
 
 TOP_N = 100_000      # rows one task may collect for a top-k
+ANY_N = 10_000       # rows one task may collect for rows in no stated order
 
 
 def number_rows(df: DataFrame, order: Sequence[str], name: str = "pos", start: int = 1,
@@ -26,7 +27,10 @@ def number_rows(df: DataFrame, order: Sequence[str], name: str = "pos", start: i
     ordered = df.repartitionByRange(*columns).sortWithinPartitions(*columns)
     kept = [F.col(quoted(c)) for c in (keep if keep is not None else df.columns)]
     slots = ordered.select(*kept, F.monotonically_increasing_id().alias("_slot"))
-    written = materialise(slots, "numbering")
+    return _from_slots(materialise(slots, "numbering"), name, start)
+
+
+def _from_slots(written: DataFrame, name: str, start: int) -> DataFrame:
     part = F.shiftright("_slot", 33)
     counts = written.groupBy(part.alias("_part")).agg(F.count("*").alias("_rows"))
     # one row per partition, so this window is small whatever the table holds
@@ -38,6 +42,18 @@ def number_rows(df: DataFrame, order: Sequence[str], name: str = "pos", start: i
             .drop("_part", "_slot", "_before"))
 
 
+def any_rows(df: DataFrame, limit: int, offset: int = 0) -> DataFrame:
+    """``limit`` rows after ``offset`` others, in no stated order, without one task that meets them all.
+
+    A partition writes at most the rows that could be asked of it; the counts
+    of the partitions then say how many of each are taken.
+    """
+    slots = df.withColumn("_slot", F.monotonically_increasing_id())
+    local = F.col("_slot").bitwiseAND(F.lit((1 << 33) - 1))
+    numbered = _from_slots(materialise(slots.filter(local < limit + offset), "page"), "_place", 1)
+    return numbered.filter((F.col("_place") > offset) & (F.col("_place") <= offset + limit)).drop("_place")
+
+
 def smallest(df: DataFrame, order: Sequence[str], limit: int, offset: int = 0) -> DataFrame:
     """The rows after the first ``offset`` and up to ``limit`` more, in the order of some columns.
 

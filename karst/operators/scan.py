@@ -6,8 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from karst.functions.expressions import bind
 from karst.operators.bounds import quoted
-from karst.operators.numbering import smallest
+from karst.operators.numbering import ANY_N, any_rows, smallest
 
 
 def check_count(value: int, what: str, minimum: int = 0) -> int:
@@ -29,15 +30,15 @@ def select_cols(df: DataFrame, *columns) -> DataFrame:
 
 def where(df: DataFrame, predicate: str | Column | None) -> DataFrame:
     """Rows for which the SQL text or Column predicate is true."""
-    return df if predicate is None else df.filter(predicate)
+    return df if predicate is None else df.filter(bind(predicate, df))
 
 
 def page(df: DataFrame, limit: int | None = None, offset: int = 0,
          key: str | Sequence[str] | None = None) -> DataFrame:
     """``limit`` rows after ``offset``.  Pages are stable only with a unique ``key``.
 
-    With a key a deep page is cut out of a range shuffle, so no task holds what
-    comes before it.
+    With a key a deep page is cut out of a range shuffle, and without one out
+    of the partitions as they are, so no task holds what comes before it.
     """
     check_count(offset, "offset")
     if limit is not None:
@@ -47,6 +48,8 @@ def page(df: DataFrame, limit: int | None = None, offset: int = 0,
         if limit is not None:
             return smallest(df, keys, limit, offset)
         df = df.orderBy(*[F.col(quoted(k)) for k in keys])
+    elif limit is not None and limit + offset > ANY_N:
+        return any_rows(df, limit, offset)
     if offset:
         df = df.offset(offset)
     return df if limit is None else df.limit(limit)

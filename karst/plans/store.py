@@ -15,6 +15,7 @@ from collections.abc import Iterable, Mapping, Sequence
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from karst.functions.expressions import bind
 from karst.operators import mutate
 from karst.operators.bounds import fits_broadcast
 from karst.operators.batches import batches, id_manifest, rows_at, sample_rows, transform_batches
@@ -335,7 +336,7 @@ class Table:
         """Delete matching rows; only segments that hold such rows are rewritten."""
         last = self.commit()
         rows = self.segments_frame([s.name for s in last.segments], with_segment=True)
-        hit = F.coalesce(mutate.as_predicate(predicate), F.lit(False))
+        hit = F.coalesce(bind(mutate.as_predicate(predicate), rows), F.lit(False))
         counts = {r[SEGMENT]: r["n"] for r in
                   rows.filter(hit).groupBy(SEGMENT).agg(F.count("*").alias("n")).collect()}
         whole = {s.name for s in last.segments if counts.get(s.name) == s.rows}

@@ -27,6 +27,14 @@ def limit_rows(spark, sf):
     return page(select_cols(read(spark, sf, "orders"), "o_orderkey", "o_totalprice"), 50, key=["o_totalprice", "o_orderkey"])
 
 
+@query("limit_large", "SELECT CAST(greatest(least(count(*) - 5000, 40000), 0) AS BIGINT) AS kept, CAST(0 AS BIGINT) AS not_stored FROM lineitem")
+def limit_large(spark, sf):
+    stored = select_cols(read(spark, sf, "lineitem"), "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
+    rows = page(stored, 40_000, 5_000)
+    known = stored.distinct().withColumn("known", F.lit(True))
+    return rows.join(known, stored.columns, "left").agg(F.count("*").alias("kept"), F.count_if(F.col("known").isNull()).alias("not_stored"))
+
+
 @query("page_2", "SELECT o_orderkey, o_custkey FROM orders ORDER BY o_orderkey LIMIT 100 OFFSET 100")
 def page_2(spark, sf):
     return page(select_cols(read(spark, sf, "orders"), "o_orderkey", "o_custkey"), 100, 100, "o_orderkey")
@@ -95,6 +103,9 @@ _item_query("arith_mul", lambda d: K.col("l_quantity") * K.lit(2.0) > K.lit(80.0
 _item_query("arith_div", lambda d: (K.divide(K.col("l_partkey"), K.lit(7), d) == K.lit(20))
             | (K.divide(K.col("l_quantity"), K.lit(4), d) > K.lit(12.0)),
             "l_partkey // 7 = 20 OR l_quantity / 4 > 12.0")
+_item_query("expr_div_plain", lambda d: (K.col("l_partkey") / K.lit(7) == K.lit(20)) | (100 / (K.col("l_suppkey") + 1) * K.lit(2) == K.lit(32))
+            | ~(K.col("l_quantity") / K.lit(4) <= K.lit(12.0)),
+            "l_partkey // 7 = 20 OR 100 // (l_suppkey + 1) * 2 = 32 OR l_quantity / 4 > 12.0")
 _item_query("arith_mod", lambda d: K.col("l_suppkey") % K.lit(7) == K.lit(3), "l_suppkey % 7 = 3")
 _item_query("scalar_left", lambda d: K.lit(40) < K.col("l_quantity"), "40 < l_quantity")
 _item_query("in_list", lambda d: K.isin(K.col("l_linenumber"), 1, 3, 5), "l_linenumber IN (1, 3, 5)")

@@ -6,7 +6,9 @@ from karst import functions as K
 from karst.functions import kernels
 from karst.functions.metrics import distance, literal_vector, query_vector
 from karst.functions.text import fold, porter_stem, tokens
+from karst.operators import mutate
 from karst.operators.scan import page, select_cols, where
+from karst.plans.query import plan_text
 from karst.schema import SchemaMismatch, conform, declare_vectors, make_schema, make_vector_schema, vector_dims
 
 
@@ -53,6 +55,25 @@ def test_lists_nulls_division(rows, spark):
     assert (row.q, row.r, row.s) == (3, 0.5, 3.5)
 
 
+def test_plain_division(spark):
+    df = spark.createDataFrame([(i, 2 * i, i / 2) for i in range(-9, 30)], "a int, b bigint, d double")
+    a, b, d = K.col("a"), K.col("b"), K.col("d")
+
+    def kept(predicate):
+        return [r.a for r in where(df, predicate).orderBy("a").collect()]
+
+    assert kept(a / K.lit(7) == K.lit(2)) == list(range(14, 21)) and kept(a / 7 == 0) == list(range(-6, 7))
+    assert kept(a / 7 / 2 == 1) == list(range(14, 28)) and kept((b + 1) / 4 * 2 > 27) == list(range(28, 30))
+    assert kept(d / 4 == K.lit(1.5)) == [12] and kept(~((a / 7.0 > 2) | (a < 14))) == [14]
+    assert kept((a > 0) & (100 / K.col("b") == 12) & K.isnotnull(a)) == [4]
+    assert kept(K.isin(a / 10, 2)) == list(range(20, 30)) and kept((-a / 4).between(-1, 0)) == list(range(-3, 8))
+    # used directly it is Spark's own division
+    assert df.filter(a / K.lit(8) == K.lit(1.5)).count() == 1
+    assert mutate.delete_rows(df, a / 7 == 0).count() == 39 - 13
+    merged = mutate.merge_insert(df, df.withColumn("d", K.lit(0.0)), "a", condition=K.col("target.a") / 7 == 1)
+    assert sorted(r.a for r in merged.filter("a <> 0 and d = 0").collect()) == list(range(7, 14))
+
+
 def test_odd_names_and_projection(spark):
     df = spark.createDataFrame([(1, "x")], ["sample key", "a.b"])
     assert where(df, K.col("sample key") == K.lit(1)).count() == 1
@@ -63,6 +84,18 @@ def test_odd_names_and_projection(spark):
             select_cols(df, bad)
 
 
+def test_large_pages_in_no_order(spark, monkeypatch):
+    from karst.operators import scan
+    df = spark.range(0, 200, 1, 7)
+    monkeypatch.setattr(scan, "ANY_N", 20)
+    for limit, offset in ((30, 0), (100, 60), (500, 0), (50, 190), (21, 300)):
+        found = [r.id for r in page(df, limit, offset).collect()]
+        assert len(found) == len(set(found)) == max(0, min(limit, 200 - offset)) and set(found) <= set(range(200))
+    plan = plan_text(page(df, 150))
+    assert "Limit" not in plan and "SinglePartition" not in plan.split("Join")[0]
+    assert "Limit" in plan_text(page(df, 20))
+
+
 def test_pages_are_disjoint(spark):
     df = spark.range(10).repartition(3)
     pages = [[r.id for r in page(df, 4, skip, "id").collect()] for skip in (0, 4, 8)]
