@@ -28,11 +28,16 @@ def write_documents(rows, path: str, columnar: bool = False) -> None:
             return pa.RecordBatch.from_arrays([pa.array(lines, pa.string())], ["value"])
 
         if columnar:
-            table = pa.Table.from_batches(list(batches))
-            for i, n in enumerate(names if table.num_rows else ()):
-                values = [json.dumps(v, ensure_ascii=False) for v in table[n].to_pylist()]
-                yield text([f"{'{' if not i else ','}{json.dumps(n)}:[" + values[0], *("," + v for v in values[1:]), "]"])
-            if table.num_rows:
+            # held as Arrow; a column becomes text a batch at a time
+            held = [b for b in batches if b.num_rows]
+            for i, n in enumerate(names if held else ()):
+                mark = f"{',' if i else '{'}{json.dumps(n)}:["
+                for batch in held:
+                    values = [json.dumps(v, ensure_ascii=False) for v in batch.column(i).to_pylist()]
+                    yield text([mark + values[0], *("," + v for v in values[1:])])
+                    mark = ","
+                yield text(["]"])
+            if held:
                 yield text(["}"])
             return
         mark = "["

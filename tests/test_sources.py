@@ -283,3 +283,14 @@ def test_large_json_array_in_several_tasks(spark, tmp_path):
     found = read_json(spark, "file:" + str(path), types={"id": "bigint", "body": "string"})
     assert fragments(spark, "file:" + str(path)).rdd.getNumPartitions() > 2
     assert tuple(found.agg(F.count("*"), F.sum("id"), F.countDistinct("body")).first()) == (count, count * (count - 1) // 2, 1)
+
+
+@pytest.mark.parametrize("columnar", [False, True])
+def test_documents_of_partitions_without_rows_or_with_many_batches(spark, tmp_path, columnar):
+    """A split of a Parquet file that holds no row group gives a task no batch."""
+    from karst.workload.imports import write_documents
+    path = "file:" + str(tmp_path / "docs")
+    rows = spark.range(1, 60_001, 1, 3).filter("id > 20000").selectExpr("id", "concat('a, ', id) AS name")
+    write_documents(rows, path, columnar)
+    found = read_json(spark, path)
+    assert found.exceptAll(rows).isEmpty() and found.count() == 40_000
