@@ -54,30 +54,46 @@ def unit_rows(vectors: np.ndarray) -> np.ndarray:
 
 @dataclass
 class ProductCodes:
-    """One code book per sub-vector; codes describe the residual to the cell centre."""
+    """Code books by sub-vector for each group of cells; codes describe the residual to the cell centre."""
 
-    books: np.ndarray            # (sub-vectors, words, width)
+    books: np.ndarray                    # (groups, sub-vectors, words, width)
+    group: np.ndarray | None = None      # group of every cell; without it there is one
+
+    def __post_init__(self):
+        if self.books.ndim == 3:
+            self.books = self.books[None]
+
+    @property
+    def size(self) -> int:
+        """Bytes of a code."""
+        return self.books.shape[1]
+
+    def groups(self, cell: np.ndarray) -> np.ndarray:
+        return np.zeros(len(cell), np.int64) if self.group is None else self.group[cell]
 
     def encode(self, cells: Cells, vectors: np.ndarray, cell: np.ndarray) -> np.ndarray:
         rest = cells.prepare(vectors).astype(np.float64) - cells.centres[cell]
-        subs, _, width = self.books.shape
+        _, subs, _, width = self.books.shape
         out = np.empty((len(vectors), subs), np.uint8)
-        for s in range(subs):
-            out[:, s] = kernels.nearest_rows(self.books[s], rest[:, s * width:(s + 1) * width])
+        group = self.groups(cell)
+        for g in np.unique(group):
+            rows = np.flatnonzero(group == g)
+            for s in range(subs):
+                out[rows, s] = kernels.nearest_rows(self.books[g, s], rest[rows, s * width:(s + 1) * width])
         return out
 
     def decode(self, cells: Cells, codes: np.ndarray, cell: np.ndarray) -> np.ndarray:
-        rest = self.books[np.arange(len(self.books)), codes].reshape(len(codes), -1)
+        rest = self.books[self.groups(cell)[:, None], np.arange(self.size)[None, :], codes].reshape(len(codes), -1)
         return cells.centres[cell].astype(np.float64) + rest
 
     def approximate(self, cells: Cells, query: np.ndarray, codes: np.ndarray, cell: np.ndarray) -> np.ndarray:
         """Distances from lookup tables, one table per distinct cell in the batch."""
-        subs, _, width = self.books.shape
+        _, subs, _, width = self.books.shape
         target = cells.prepare(query[None, :])[0].astype(np.float64)
-        books = self.books.astype(np.float64)
         values = np.empty(len(codes))
         for c in np.unique(cell):
             rows = np.flatnonzero(cell == c)
+            books = self.books[self.groups(np.array([c]))[0]].astype(np.float64)
             centre = cells.centres[c].astype(np.float64)
             if cells.metric == "dot":
                 table = np.einsum("swd,sd->sw", books, target.reshape(subs, width))
@@ -97,6 +113,11 @@ class ScalarCodes:
     low: np.ndarray
     step: np.ndarray
 
+    @property
+    def size(self) -> int:
+        """Bytes of a code."""
+        return len(self.low)
+
     def encode(self, cells: Cells, vectors: np.ndarray, cell: np.ndarray) -> np.ndarray:
         scaled = (cells.prepare(vectors).astype(np.float64) - self.low) / self.step
         return np.clip(np.rint(scaled), 0, 255).astype(np.uint8)

@@ -22,7 +22,7 @@ from karst.functions.metrics import check_metric, query_vector
 from karst.operators.bounds import quoted
 from karst.operators.numbering import TOP_N, smallest
 from karst.operators.scan import where as apply_where
-from karst.operators.search import DISTANCE, knn
+from karst.operators.search import DISTANCE, knn, knn_join
 from karst.schema import VECTOR_DIM
 from karst.session import materialise
 
@@ -31,9 +31,11 @@ FRAGMENT = "_fragment"           # numbers the separate writes of one index; _ro
 LAYOUT_COLUMNS = (CELL, BUCKET, ROW, CODE, FRAGMENT)
 MAX_CENTRE_BYTES = 64 << 20      # centres are broadcast, so their size is bounded here
 TRAIN_PER_CELL = 256
-FIRST_WORDS = 4096               # rows that the code books start from
+BOOK_ROWS = 2048                 # rows that share code books, as far as these fit MAX_CENTRE_BYTES
+BOOK_TRAINED = 1 << 16           # rows that a task trains code books on
+WORD_STEP = 1 << 13              # rows compared with the words of a code book at a time
 SETTLED = 0.01                   # share of the error below which a round counts as no gain
-ADDED = 8                        # tasks that add partial sums up, and sums that reach the driver
+ASKED = 32                       # rows that the recall of codes is measured with
 ROW_GROUP = 16 << 20             # bytes of a row group, the least that a search of candidates reads
 ROW_RANGES = 64                  # ranges of row numbers in the filter of a second scan
 ROW_BLOCK, MAX_BLOCKS = 1 << 12, 4096
@@ -176,14 +178,22 @@ def sub_vector_count(dim: int, requested: int | None = None) -> int:
     return next((dim // w for w in (16, 8, 4, 2) if dim % w == 0), dim)
 
 
+def book_groups(counts: np.ndarray, most: int) -> np.ndarray:
+    """Group of every cell: neighbours in number, with ``BOOK_ROWS`` rows or more where ``most`` groups would not do."""
+    target = max(BOOK_ROWS, -(-int(counts.sum()) // most))
+    before = np.cumsum(counts) - counts
+    return np.unique(before // target, return_inverse=True)[1].ravel()
+
+
 def train_product_codes(assigned: DataFrame, column: str, cells: Cells, num_sub_vectors: int | None = None,
                         iterations: int = 8, seed: int = 17) -> ProductCodes:
-    """Code books of all sub-vectors from all rows.
+    """Code books of all sub-vectors for each group of cells.
 
-    A round is one pass: every task adds its rows to sums of a fixed size
-    (sub-vectors x words x width), ``ADDED`` tasks add those up one after the
-    other, and their sums reach the driver.  Rounds end when the error hardly
-    falls any more.
+    Books of one size for a growing table lose their fit: vectors without
+    clusters leave over more than half of what the cells leave.  So cells of
+    ``BOOK_ROWS`` rows share books, within ``MAX_CENTRE_BYTES`` of them.  A task
+    trains a group on its rows, all up to about ``BOOK_TRAINED`` and a random
+    share of them beyond.  Rounds end when the error hardly falls any more.
     """
     spark = assigned.sparkSession
     subs = sub_vector_count(cells.dim, num_sub_vectors)
@@ -197,59 +207,50 @@ def train_product_codes(assigned: DataFrame, column: str, cells: Cells, num_sub_
             cell = batch.column(CELL).to_numpy(zero_copy_only=False)
             rest = (model.prepare(vectors) - model.centres[cell]).astype(np.float32)
             edges = np.arange(len(rest) + 1, dtype=np.int32) * model.dim
-            yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array(edges), pa.array(rest.ravel()))], ["rest"])
-
-    rest = materialise(assigned.select(F.col(quoted(column)).alias("v"), CELL).mapInArrow(residuals, "rest array<float>"), "residuals")
-    first, _ = kernels.matrix(rest.orderBy(F.xxhash64("rest", F.lit(seed))).limit(FIRST_WORDS).toArrow()["rest"], cells.dim)
-    books = np.zeros((subs, CODE_WORDS, width), np.float32)
-    for s in range(subs):
-        unique = np.unique(first[:, s * width:(s + 1) * width], axis=0)
-        if not len(unique):
-            return ProductCodes(books)
-        chosen = np.random.default_rng(seed + s).permutation(len(unique))[:CODE_WORDS]
-        books[s] = unique[np.resize(chosen, CODE_WORDS)]
-
-    size = subs * CODE_WORDS
-
-    def total(parts: Iterator[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        whole = None
-        for part in parts:
-            whole = part.copy() if whole is None else whole + part
-        if whole is not None:
-            yield pa.RecordBatch.from_arrays([pa.array([whole.tobytes()], pa.binary())], ["sums"])
-
-    def sums_of(batches: Iterator[pa.RecordBatch], current) -> Iterator[np.ndarray]:
-        model = ProductCodes(current.value)
-        for batch in batches:
-            rows, _ = kernels.matrix(batch.column("rest"), subs * width)
-            out = np.zeros((size, width + 1))
-            error = 0.0
-            for s in range(subs):
-                part = rows[:, s * width:(s + 1) * width].astype(np.float64)
-                word = kernels.nearest_rows(model.books[s], part)
-                for d in range(width):
-                    out[s * CODE_WORDS:(s + 1) * CODE_WORDS, d] = np.bincount(word, part[:, d], CODE_WORDS)
-                out[s * CODE_WORDS:(s + 1) * CODE_WORDS, width] = np.bincount(word, minlength=CODE_WORDS)
-                error += float(((part - model.books[s][word]) ** 2).sum())
-            yield np.append(out.ravel(), error)
-
-    def added(frame: DataFrame) -> np.ndarray:
-        partial = frame.repartition(ADDED).mapInArrow(lambda batches: total(
-            np.frombuffer(v.as_py()) for b in batches for v in b.column(0)), "sums binary")
-        return np.sum([np.frombuffer(r[0]) for r in partial.collect()], axis=0)
-
+            yield pa.RecordBatch.from_arrays([batch.column(CELL), pa.ListArray.from_arrays(pa.array(edges), pa.array(rest.ravel()))],
+                                             [CELL, "rest"])
+
+    rest = materialise(assigned.select(F.col(quoted(column)).alias("v"), CELL).mapInArrow(residuals, f"{CELL} int, rest array<float>"),
+                       "residuals")
+    counts = np.zeros(len(cells.centres), np.int64)
+    for row in rest.groupBy(CELL).count().collect():
+        counts[row[CELL]] = row["count"]
+    group = book_groups(counts, max(1, MAX_CENTRE_BYTES // (4 * CODE_WORDS * cells.dim)))
+    sizes = np.bincount(group, counts)
+    table = spark.createDataFrame([(c, int(g), float(min(1.0, BOOK_TRAINED / max(sizes[g], 1)))) for c, g in enumerate(group)],
+                                  f"{CELL} int, _group int, _share double")
+    trained = rest.withColumn("_draw", F.rand(seed)).join(F.broadcast(table), CELL).filter("_draw < _share").select("_group", "rest")
+
+    def train(rows: pa.Table) -> pa.Table:
+        points, _ = kernels.matrix(rows["rest"], subs * width)
+        books = [_code_book(points[:, s * width:(s + 1) * width], iterations, seed + s) for s in range(subs)]
+        return pa.table({"_group": rows["_group"].slice(0, 1), "books": pa.array([np.stack(books).tobytes()], pa.binary())})
+
+    books = np.zeros((len(sizes), subs, CODE_WORDS, width), np.float32)
+    # within MAX_CENTRE_BYTES altogether
+    for row in trained.groupBy("_group").applyInArrow(train, "_group int, books binary").toLocalIterator():
+        books[row["_group"]] = np.frombuffer(row["books"], np.float32).reshape(subs, CODE_WORDS, width)
+    return ProductCodes(books, group)
+
+
+def _code_book(points: np.ndarray, iterations: int, seed: int) -> np.ndarray:
+    """``CODE_WORDS`` words by k-means, started from distinct points."""
+    unique = np.unique(points, axis=0)
+    chosen = np.random.default_rng(seed).permutation(len(unique))[:CODE_WORDS]
+    book = unique[np.resize(chosen, CODE_WORDS)].astype(np.float32)
+    if len(unique) <= CODE_WORDS:
+        return book
     last = math.inf
     for _ in range(iterations):
-        current = spark.sparkContext.broadcast(books)
-        whole = added(rest.mapInArrow(lambda batches, current=current: total(sums_of(batches, current)), "sums binary"))
-        current.unpersist()
-        sums, error = whole[:-1].reshape(subs, CODE_WORDS, width + 1), whole[-1]
-        counts = sums[:, :, width:]
-        books = np.where(counts > 0, sums[:, :, :width] / np.maximum(counts, 1), books).astype(np.float32)
+        word = np.concatenate([kernels.nearest_rows(book, points[lo:lo + WORD_STEP]) for lo in range(0, len(points), WORD_STEP)])
+        counts = np.bincount(word, minlength=CODE_WORDS)[:, None]
+        sums = np.stack([np.bincount(word, points[:, d], CODE_WORDS) for d in range(points.shape[1])], axis=1)
+        error = float(((points - book[word]).astype(np.float64) ** 2).sum())
+        book = np.where(counts > 0, sums / np.maximum(counts, 1), book).astype(np.float32)
         if error >= last * (1 - SETTLED):
             break
         last = error
-    return ProductCodes(books)
+    return book
 
 
 def code_errors(layout: DataFrame, column: str, cells: Cells, codec: ProductCodes | ScalarCodes) -> DataFrame:
@@ -262,7 +263,7 @@ def code_errors(layout: DataFrame, column: str, cells: Cells, codec: ProductCode
         rows, _ = kernels.matrix(values, model.dim)
         own = cell.to_numpy(zero_copy_only=False)
         wide = model.prepare(rows).astype(np.float64)
-        raw, _ = kernels.matrix(codes, len(quantiser.books) if isinstance(quantiser, ProductCodes) else model.dim)
+        raw, _ = kernels.matrix(codes, quantiser.size)
         decoded = quantiser.decode(model, raw, own)
         return pa.StructArray.from_arrays([pa.array(((wide - decoded) ** 2).sum(axis=1)),
                                            pa.array(((wide - model.centres[own]) ** 2).sum(axis=1))], ["_error", "_energy"])
@@ -336,10 +337,9 @@ def code_search(layout: DataFrame, cells: Cells, codec: ProductCodes | ScalarCod
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, quantiser = shared.value
-        size = len(quantiser.books) if isinstance(quantiser, ProductCodes) else model.dim
         best: pa.Table | None = None
         for batch in batches:
-            codes, _ = kernels.matrix(batch.column(CODE), size)
+            codes, _ = kernels.matrix(batch.column(CODE), quantiser.size)
             if not len(codes):
                 continue
             values = quantiser.approximate(model, target, codes, batch.column(CELL).to_numpy(zero_copy_only=False))
@@ -369,6 +369,46 @@ def code_search(layout: DataFrame, cells: Cells, codec: ProductCodes | ScalarCod
     return top.select(*[F.col(quoted(c)) for c in names], DISTANCE)
 
 
+def measured_refine_factor(layout: DataFrame, cells: Cells, codec: ProductCodes | ScalarCodes, k: int, column: str, key: str,
+                           recall: float = 0.9, seed: int = 17) -> int:
+    """Least ``refine_factor`` that finds ``recall`` of the k exact neighbours of each of ``ASKED`` random rows by their codes.
+
+    How many candidates that takes depends on the vectors: few among clusters,
+    a share of all rows where there are none.  One pass finds the neighbours,
+    one counts the rows whose codes are as near as theirs.
+    """
+    spark = layout.sparkSession
+    name = F.col(quoted(key))
+    drawn = layout.orderBy(F.xxhash64(name, F.lit(seed)), name).select(F.col(quoted(column)).alias("q")).limit(ASKED).collect()
+    asked = [np.asarray(r.q, np.float32) for r in drawn]
+    numbered = spark.createDataFrame([(i, r.q) for i, r in enumerate(drawn)],
+                                     T.StructType([T.StructField("_asked", T.IntegerType()), T.StructField("q", layout.schema[column].dataType)]))
+    exact = knn_join(numbered, layout.select(name, F.col(quoted(column))), k, "_asked", key, "q", column, metric=cells.metric)
+    near = layout.select(name, CODE, CELL).join(F.broadcast(exact.select("_asked", name)), key).select("_asked", CODE, CELL).collect()
+    edges = np.full(len(asked), -math.inf)
+    for i, query in enumerate(asked):
+        own = [r for r in near if r["_asked"] == i]
+        codes = np.frombuffer(b"".join(bytes(r[CODE]) for r in own), np.uint8).reshape(len(own), codec.size)
+        values = np.sort(codec.approximate(cells, query, codes, np.array([r[CELL] for r in own], np.int64)))
+        if len(values):
+            edge = values[math.ceil(recall * len(values)) - 1]
+            edges[i] = edge + kernels.SLACK * max(1.0, abs(edge))
+    shared = spark.sparkContext.broadcast((cells, codec, asked, edges))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model, quantiser, queries, limits = shared.value
+        total = np.zeros(len(queries), np.int64)
+        for batch in batches:
+            codes, _ = kernels.matrix(batch.column(CODE), quantiser.size)
+            cell = batch.column(CELL).to_numpy(zero_copy_only=False)
+            for i, query in enumerate(queries):
+                total[i] += np.count_nonzero(quantiser.approximate(model, query, codes, cell) <= limits[i])
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total))), pa.array(total)], ["i", "n"])
+
+    counted = layout.select(CODE, CELL).mapInArrow(count, "i long, n long").groupBy("i").agg(F.sum("n").alias("n"))
+    return max(1, -(-int(counted.agg(F.max("n")).first()[0] or 0) // k))
+
+
 def row_ranges(places: list[tuple[int, int, int, int]], most: int = ROW_RANGES) -> list[tuple[int, int, int, int]]:
     """``(fragment, bucket, first, last)`` ranges merged over their smallest gaps until at most ``most`` are left in a directory."""
     merged: list[tuple[int, int, int, int]] = []

@@ -178,7 +178,7 @@ class Indexes:
         record.model = {"centres": _pack(cells.centres), "shares": cells.shares}
         if record.kind == "ivf_pq":
             codec = C.train_product_codes(C.assign_cells(rows, column, cells), column, cells, o.get("num_sub_vectors"))
-            record.model["books"] = _pack(codec.books)
+            record.model["books"], record.model["group"] = _pack(codec.books), _pack(codec.group)
         elif record.kind == "ivf_sq":
             codec = C.train_scalar_codes(C.assign_cells(rows, column, cells), column, cells)
             record.model |= {"low": _pack(codec.low), "step": _pack(codec.step)}
@@ -218,7 +218,7 @@ class Indexes:
 
     def codec(self, record: IndexRecord):
         if record.kind == "ivf_pq":
-            return C.ProductCodes(_unpack(record.model["books"]))
+            return C.ProductCodes(_unpack(record.model["books"]), _unpack(record.model["group"]) if "group" in record.model else None)
         if record.kind == "ivf_sq":
             return C.ScalarCodes(_unpack(record.model["low"]), _unpack(record.model["step"]))
         return None

@@ -431,3 +431,28 @@ def test_row_ranges_close_the_smallest_gaps():
     places = [(0, 0, r, r) for r in (1, 2, 9, 10, 40, 41, 90)] + [(1, 0, 5, 7)]
     assert row_ranges(places, 3) == [(0, 0, 1, 10), (0, 0, 40, 41), (0, 0, 90, 90), (1, 0, 5, 7)]
     assert row_ranges(places, 100)[:2] == [(0, 0, 1, 1), (0, 0, 2, 2)] and row_ranges(places, 1)[0] == (0, 0, 1, 90)
+
+
+def test_product_codes_of_vectors_without_clusters(spark):
+    """Books for all rows together keep less than half of what the cells leave; the candidates a recall takes are measured."""
+    rng = np.random.default_rng(2)
+    points = rng.normal(size=(12_000, 16)).astype(np.float32)
+    df = spark.createDataFrame(pa.table({"id": pa.array(np.arange(12_000)), "vec": pa.array(list(points))}))
+    layout, model, codes = layout_of(spark, df, "l2", C.train_product_codes, 40)
+    assert codes.size == 1 and len(codes.books) > 3
+    kept = C.code_errors(layout, "vec", model, codes).agg(F.sum("_error") / F.sum("_energy")).first()[0]
+    assert kept < 0.5
+    factor = C.measured_refine_factor(layout, model, codes, 10, "vec", "id")
+    assert factor > 10
+    hits = 0
+    for q in (3, 4000, 11_999):
+        found = C.code_search(layout, model, codes, points[q], 10, "vec", "id", nprobes=None, refine_factor=factor, select=["id"])
+        hits += len({r.id for r in found.collect()} & {i for i, _ in brute(points, points[q], 10)})
+    assert hits >= 27
+
+
+def test_books_are_shared_within_their_bound():
+    assert C.book_groups(np.array([1000] * 8), 99).tolist() == [0, 0, 0, 1, 1, 2, 2, 3]
+    counts = np.array([0, 5000, 100, 0, 30_000, 10] * 30)
+    group = C.book_groups(counts, 12)
+    assert len(group) == len(counts) and (np.diff(group) >= 0).all() and group.max() < 12
