@@ -93,9 +93,11 @@ def ivf_pq_build(spark, sf):
 
 @query("ivf_pq_search", _REACHED)
 def ivf_pq_search(spark, sf):
+    """Ten candidates a neighbour, or as many as nine tenths of the neighbours take by measure: a share of the rows where vectors have no clusters."""
     layout, cells, codes = _layout(spark, sf, codec=C.train_product_codes)
+    factor = max(10, C.measured_refine_factor(layout, cells, codes, 10, "embedding", "vec_id"))
     return _recall(spark, sf, lambda q: C.code_search(layout, cells, codes, q, 10, "embedding", "vec_id", nprobes=None,
-                                                      refine_factor=10, select=["vec_id"]))
+                                                      refine_factor=factor, select=["vec_id"]))
 
 
 @query("pq_refine_full", _top(_L2))
