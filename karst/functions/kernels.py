@@ -123,6 +123,44 @@ def candidate_pairs(low: np.ndarray, high: np.ndarray, k: int, edges: np.ndarray
     return np.nonzero(low <= bound[:, None])
 
 
+def near_pairs(vectors: np.ndarray, queries: np.ndarray, metric: str, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
+    """(query, vector) pairs within finite ``edges``, near ties included, from one single-precision product.
+
+    ``dots >= own / 2 + other / 2 - edge^2 / 2`` is the l2 distance squared
+    within the edge, with a margin for the rounding of the product.  None where
+    single precision has no room for the values, or the metric has no such form.
+    """
+    if metric not in ("l2", "cosine") or not np.isfinite(edges).all():
+        return None
+    wide, targets = vectors.astype(np.float64), queries.astype(np.float64)
+    own, other = np.einsum("ij,ij->i", wide, wide), np.einsum("ij,ij->i", targets, targets)
+    if not (np.isfinite(own).all() and np.isfinite(other).all()):
+        return None
+    unit = 4 * (vectors.shape[1] + 8) * float(np.finfo(np.float32).eps)
+    bound = edges + SLACK * np.maximum(1.0, np.abs(edges))
+    if metric == "cosine":
+        some, asked = own > 0, other > 0
+        wide[some] /= np.sqrt(own[some])[:, None]
+        targets[asked] /= np.sqrt(other[asked])[:, None]
+        least = np.where(asked, 1.0 - bound - unit, np.inf)
+        line, pick = _set_places(targets.astype(np.float32) @ wide.astype(np.float32).T >= least.astype(np.float32)[:, None])
+        kept = some[pick]
+        return line[kept], pick[kept]
+    most = max(own.max(initial=0.0), other.max(initial=0.0), float((bound * bound).max(initial=0.0)))
+    if not 1e-20 < most < 1e30:
+        return None
+    # the bound is one more value of every row, so the comparison is with zero
+    left = np.concatenate([targets, np.full((len(targets), 1), -1.0), (bound * bound - other)[:, None] / 2 + unit * other[:, None]], axis=1)
+    right = np.concatenate([wide, (own * (0.5 - unit))[:, None], np.ones((len(wide), 1))], axis=1)
+    margin = unit * float((bound * bound).max(initial=0.0))
+    return _set_places(left.astype(np.float32) @ right.astype(np.float32).T >= np.float32(-margin))
+
+
+def _set_places(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``np.nonzero`` of a matrix with few set places."""
+    return np.divmod(np.flatnonzero(mask), max(mask.shape[1], 1))
+
+
 def nearest_rows(centres: np.ndarray, vectors: np.ndarray) -> np.ndarray:
     """Index of the closest centre (squared Euclidean) for every row."""
     scores = vectors.astype(np.float64) @ (-2.0 * centres.astype(np.float64).T)

@@ -8,8 +8,10 @@ inequality bounds every distance between two blocks from both sides.
 1. A query block first meets its home blocks, the nearest ones that hold k
    vectors.  That gives every query a k-th distance.
 2. The largest of those bounds the block: only vector blocks that can hold
-   something closer are visited, and inside them only the queries whose own
-   bound allows it, each starting from the k-th distance it has.
+   something closer are visited, and only by slices of queries whose own bound
+   allows it, each starting from the k-th distance it has.  Blocks are sent
+   in tiles of several, so a row travels to at most ``TILES`` of them, or as
+   many as it takes to keep a tile within ``BROADCAST_BYTES``.
 """
 
 from __future__ import annotations
@@ -29,6 +31,8 @@ from karst.session import materialise_observed, materialise
 BINS = 256
 #: pivots for each block of vectors, and at most (centres and bins are broadcast)
 PIVOTS_PER_BLOCK, MAX_PIVOTS = 4, 1024
+#: rows of a tile of blocks each way, and tiles along a table as far as a tile's rows fit ``BROADCAST_BYTES``
+TILE_ROWS, TILES = 1 << 13, 32
 #: rounding of a distance, as a share of the lengths it comes from
 SLACK = 1e-6
 _NOWHERE = -1
@@ -137,7 +141,7 @@ def pivot_join(q: DataFrame, v: DataFrame, k: int, query_key: str, vector_key: s
     ``report``, if given, is filled with the number of block pairs there are
     and the number that meet.
     """
-    from karst.operators.search import DISTANCE, blocks_of
+    from karst.operators.search import DISTANCE, QUERY_SLICE, blocks_of
     spark = q.sparkSession
     names = (query_key, vector_key)
     query_block = query_block or max(1, BROADCAST_BYTES // (8 * dim))
@@ -158,6 +162,8 @@ def pivot_join(q: DataFrame, v: DataFrame, k: int, query_key: str, vector_key: s
     # vectors that are nowhere count for no query
     sizes = np.where(others[:, 1] == _NOWHERE, 0, others[:, 4])
     plan = spark.sparkContext.broadcast((others, sizes, between))
+    tile = min(max(1, BROADCAST_BYTES // (8 * dim)), max(TILE_ROWS, rows // TILES))
+    across_q, across_v = (max(1, round(tile * len(b) / max(1, sum(x[4] for x in b)))) for b in (q_blocks, v_blocks))
     summary = spark.createDataFrame([b for b in q_blocks if b[1] != _NOWHERE], "_bq int, cell int, lo double, hi double, n long")
 
     def homes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -204,6 +210,47 @@ def pivot_join(q: DataFrame, v: DataFrame, k: int, query_key: str, vector_key: s
                 parts.append(block.result())
         return pa.concat_tables([p for p in parts if p is not None])
 
+    def meet_tile(a: pa.Table, b: pa.Table) -> pa.Table:
+        """The queries of a tile with its vectors, one vector block after the other; every block narrows the k-th distances."""
+        empty = pa.table({query_key: pa.array([], a.schema.field(query_key).type), vector_key: pa.array([], b.schema.field(vector_key).type),
+                          DISTANCE: pa.array([], pa.float32())})
+        if not a.num_rows or not b.num_rows:
+            return empty
+        blocks, _, apart = plan.value
+        targets, _ = kernels.matrix(a["_q"], dim)
+        found, _ = kernels.matrix(b["_v"], dim)
+        seeds = np.nan_to_num(a["_seed"].fill_null(np.inf).to_numpy().astype(np.float64), nan=np.inf)
+        gap, cell, of = a["gap"].to_numpy(), a["cell"].to_numpy(), a["_bq"].to_numpy()
+        keys, owner = b[vector_key].combine_chunks(), b["_block"].to_numpy()
+        order = np.argsort(owner, kind="stable")
+        pieces = [(int(owner[p[0]]), p) for p in np.split(order, np.flatnonzero(np.diff(owner[order])) + 1)]
+        pieces = [(blocks[np.searchsorted(blocks[:, 0], number)], *kernels.without_surplus_copies(keys.take(pa.array(p)), found[p], k))
+                  for number, p in pieces]
+        parts = [empty]
+        for own in np.split(np.argsort(of, kind="stable"), np.flatnonzero(np.diff(np.sort(of, kind="stable"))) + 1):
+            ids = a[query_key].combine_chunks().take(pa.array(own))
+            for lo in range(0, len(own), QUERY_SLICE):
+                at = own[lo:lo + QUERY_SLICE]
+                block, = blocks_of(ids.slice(lo, len(at)), targets[at], metric, k, names, seeds[at])
+                for one, numbers, vectors in pieces:
+                    near = np.ones(len(at), dtype=bool)
+                    if one[1] != _NOWHERE:
+                        d = apart[cell[at], int(one[1])]
+                        least = np.maximum.reduce([np.zeros(len(d)), d - gap[at] - one[3], one[2] - gap[at] - d, gap[at] - one[3] - d])
+                        near = least - SLACK * (d + gap[at] + one[3]) <= _chord(block.edges, metric) * (1 + SLACK) + SLACK
+                    if near.any():
+                        block.add(numbers, vectors)
+                parts.append(block.result())
+        return pa.concat_tables([p for p in parts if p is not None])
+
+    def tiled(queries: DataFrame, pairs: DataFrame) -> DataFrame:
+        """``pairs`` by tiles of several blocks each way, so that a row is sent to tiles and not to every block it meets."""
+        tiles = pairs.select(F.floor(F.col("_bq") / across_q).cast("int").alias("_tq"),
+                             F.floor(F.col("_bv") / across_v).cast("int").alias("_tv")).distinct()
+        left = queries.withColumnRenamed("_block", "_bq").withColumn("_tq", F.floor(F.col("_bq") / across_q).cast("int")).join(tiles, "_tq")
+        right = points.select(quoted(vector_key), "_v", "_block", F.floor(F.col("_block") / across_v).cast("int").alias("_tv")).join(tiles, "_tv")
+        return left.groupBy("_tq", "_tv").cogroup(right.groupBy("_tq", "_tv")).applyInArrow(meet_tile, schema)
+
     def joined(queries: DataFrame, pairs: DataFrame) -> DataFrame:
         left = queries.withColumnRenamed("_block", "_bq").join(pairs, "_bq")
         right = points.select(quoted(vector_key), "_v", F.col("_block").alias("_bv")).join(pairs, "_bv")
@@ -221,4 +268,5 @@ def pivot_join(q: DataFrame, v: DataFrame, k: int, query_key: str, vector_key: s
     pairs = materialise(summary.join(reach, "_bq").mapInArrow(visits, "_bq int, _bv int"), "visits")
     if report is not None:
         report += [len(v_blocks) * summary.count(), home.count() + pairs.count()]
-    return first.union(joined(seeded, pairs))
+    # a tile may hold home blocks as well; it meets all of its blocks, so those that have met would come twice
+    return tiled(seeded, pairs.union(home))

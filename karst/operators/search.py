@@ -21,7 +21,7 @@ DISTANCE = "_distance"
 FILE, LINE = "_karst_file", "_karst_line"   # where a row lies: its file, and its number there
 LITERALS = 1000         # files and keys of winners that are named in a filter
 QUERY_SLICE = 512       # size of one matrix product inside a task
-VECTOR_SLICE = 8192
+VECTOR_SLICE, FIRST_SLICE = 8192, 1024
 PAIR_SLICE = 1 << 17
 
 
@@ -212,18 +212,26 @@ class _BlockTopK:
         self.table: pa.Table | None = None
 
     def add(self, ids: pa.Array, vectors: np.ndarray) -> None:
-        for lo in range(0, len(vectors), VECTOR_SLICE):
-            self._add_slice(ids[lo:lo + VECTOR_SLICE], vectors[lo:lo + VECTOR_SLICE])
+        lo = 0
+        while lo < len(vectors):
+            # the first rows only tell how far the others may be
+            step = FIRST_SLICE if self.table is None and np.isinf(self.edges).any() else VECTOR_SLICE
+            self._add_slice(ids[lo:lo + step], vectors[lo:lo + step])
+            lo += step
 
     def _add_slice(self, ids: pa.Array, vectors: np.ndarray) -> None:
-        rough = kernels.distances_many(vectors, self.points, self.metric)
-        line, pick = kernels.candidate_pairs(*kernels.distance_bounds(rough, vectors, self.points, self.metric),
-                                             self.k, self.edges)
+        pairs = kernels.near_pairs(vectors, self.points, self.metric, self.edges)
+        if pairs is None:
+            rough = kernels.distances_many(vectors, self.points, self.metric)
+            pairs = kernels.candidate_pairs(*kernels.distance_bounds(rough, vectors, self.points, self.metric), self.k, self.edges)
+        line, pick = pairs
         # many ties at the edge give many candidates: they are settled piece by piece
         for lo in range(0, len(line), PAIR_SLICE):
             self._merge(line[lo:lo + PAIR_SLICE], pick[lo:lo + PAIR_SLICE], ids, vectors)
 
     def _merge(self, line: np.ndarray, pick: np.ndarray, ids: pa.Array, vectors: np.ndarray) -> None:
+        if not len(line):
+            return
         exact = kernels.distances(vectors[pick], self.points[line], self.metric).astype(np.float32)
         part = pa.table({"_line": pa.array(line, pa.int64()),
                          self.names[1]: ids.take(pa.array(pick, pa.int64())),

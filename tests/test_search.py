@@ -456,3 +456,34 @@ def test_books_are_shared_within_their_bound():
     counts = np.array([0, 5000, 100, 0, 30_000, 10] * 30)
     group = C.book_groups(counts, 12)
     assert len(group) == len(counts) and (np.diff(group) >= 0).all() and group.max() < 12
+
+
+@pytest.mark.parametrize("metric", ["l2", "cosine"])
+def test_single_precision_pairs_lose_none(metric):
+    rng = np.random.default_rng(8)
+    points = (rng.normal(size=(3000, 24)) * 10.0 ** rng.integers(-3, 4, 3000)[:, None]).astype(np.float32)
+    points[5], points[700:900] = 0, points[699]
+    queries = points[:40]
+    rough = kernels.distances_many(points, queries, metric)
+    edges = np.where(np.isnan(rough), np.inf, rough)
+    edges = np.minimum(np.sort(edges, axis=1)[:, 9], 2.0 if metric == "cosine" else np.inf)
+    line, pick = kernels.near_pairs(points, queries, metric, edges)
+    found = set(zip(line.tolist(), pick.tolist()))
+    for i, q in enumerate(queries):
+        exact = kernels.distances(points, q, metric)
+        assert {(i, int(j)) for j in np.flatnonzero(exact <= edges[i])} <= found
+    assert kernels.near_pairs(points * np.float32(1e20), queries, "l2", edges) is None
+    assert kernels.near_pairs(points, queries, metric, np.full(40, np.inf)) is None
+
+
+def test_pivot_join_sends_rows_by_tiles(spark):
+    """Blocks of 20 rows: one tile takes what would be thousands of pairs of blocks, each with its own copy of the rows."""
+    rng = np.random.default_rng(4)
+    points = rng.normal(size=(900, 8)).astype(np.float32)
+    df = spark.createDataFrame([(i, [float(x) for x in p]) for i, p in enumerate(points)], "id bigint, vec array<float>")
+    out = knn_join(df.withColumnRenamed("id", "qid"), df, 4, "qid", "id", "vec", "vec", query_block=20, vector_block=20, broadcast_bytes=0)
+    assert "_tq" in out._jdf.queryExecution().analyzed().toString()
+    found = {}
+    for r in out.collect():
+        found.setdefault(r.qid, set()).add(r.id)
+    assert found == {i: {j for j, _ in brute(points, points[i], 4)} for i in range(900)}
