@@ -17,6 +17,19 @@ from karst.workload.registry import query, read
 from karst.workload.tables import new_database
 
 
+def array_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[list[str]]:
+    """Lines of one JSON array of row objects, a list for each batch."""
+    import json
+    mark = "["
+    for batch in batches:
+        lines = [json.dumps(row, ensure_ascii=False) for row in batch.to_pylist()]
+        if lines:
+            yield [mark + lines[0], *("," + line for line in lines[1:])]
+            mark = ","
+    if mark == ",":
+        yield ["]"]
+
+
 def write_documents(rows, path: str, columnar: bool = False) -> None:
     """A JSON document for each partition: an array of row objects, or an object of column arrays."""
     names = rows.columns
@@ -40,13 +53,8 @@ def write_documents(rows, path: str, columnar: bool = False) -> None:
             if held:
                 yield text(["}"])
             return
-        mark = "["
-        for batch in batches:
-            for row in batch.to_pylist():
-                yield text([mark + json.dumps(row, ensure_ascii=False)])
-                mark = ","
-        if mark == ",":
-            yield text(["]"])
+        for lines in array_lines(batches):
+            yield text(lines)
 
     # a partition without rows has no document
     rows.mapInArrow(pack, "value string").write.text(path)

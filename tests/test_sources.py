@@ -294,3 +294,12 @@ def test_documents_of_partitions_without_rows_or_with_many_batches(spark, tmp_pa
     write_documents(rows, path, columnar)
     found = read_json(spark, path)
     assert found.exceptAll(rows).isEmpty() and found.count() == 40_000
+
+
+def test_row_documents_are_written_a_batch_at_a_time():
+    from karst.workload.imports import array_lines
+    batch = pa.record_batch({"id": pa.array(range(1000)), "s": pa.array(["a,]"] * 1000)})
+    found = list(array_lines(iter([batch.slice(0, 0), batch, batch])))
+    assert [len(lines) for lines in found] == [1000, 1000, 1]
+    assert json.loads("\n".join(line for lines in found for line in lines)) == batch.to_pylist() * 2
+    assert list(array_lines(iter([batch.slice(0, 0)]))) == []
