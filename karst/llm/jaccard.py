@@ -48,7 +48,7 @@ SEEN, BLOCK = 4, 3_000_000
 
 _SKETCH = "kind int, doc_id bigint, n bigint, f1 bigint, f2 bigint, keys array<bigint>, cells binary"
 _ENTRY = "token bigint, doc_id bigint, pos int"
-_LISTED = "token bigint, node bigint, label bigint, n bigint, pos bigint"
+_LISTED = "token bigint, node bigint, label bigint, n bigint, pos bigint, before bigint, earlier bigint"
 _SHIPPED = "centre bigint, salt int, role int, node bigint, items array<bigint>"
 _OVERLAP = "a bigint, b bigint, common bigint, na bigint, nb bigint"
 _LINKED = f"common * {WHOLE} >= (na + nb - common) * {SHARE}"
@@ -183,10 +183,26 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _cut_lists(known, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """List entries; a frequent shingle's list is a triangle of cells, and a set goes to the cells of its row."""
+    """List entries; a frequent shingle's list is a triangle of cells, and a set goes to the cells of its row.
+
+    Rows come sorted by set and position.  ``before`` and ``earlier`` are
+    the two listed shingles of the set that come before it, 0 where there is none.
+    """
     values, counts = known.value
+    last = np.zeros((2, 0), np.int64)
     for batch in batches:
         token, node, label, n, pos = (batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("token", "node", "label", "n", "pos"))
+        if not len(token):
+            continue
+        # the last two rows of the batch before come first
+        kept = last.shape[1]
+        owners, words = np.concatenate([last[0], node]), np.concatenate([last[1], token])
+        place = np.arange(kept, len(owners))
+        previous = []
+        for step in (1, 2):
+            at = np.maximum(place - step, 0)
+            previous.append(np.where((place >= step) & (owners[at] == node), words[at], 0))
+        last = np.stack([owners[-2:], words[-2:]])
         word = token.view(np.uint64)
         at = np.minimum(np.searchsorted(values, word), max(len(values) - 1, 0))
         often = np.where(values[at] == word, counts[at], 0) if len(values) else np.zeros(len(word), np.int64)
@@ -196,8 +212,8 @@ def _cut_lists(known, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
         cell = np.arange(len(entry)) - np.repeat(np.cumsum(grid) - grid, grid)
         low, high = np.minimum(row[entry], cell).astype(np.uint64), np.maximum(row[entry], cell).astype(np.uint64)
         name = np.where(grid[entry] > 1, K.mix(word[entry] ^ K.mix(low * np.uint64(1 << 32) + high + np.uint64(1))), word[entry])
-        yield pa.RecordBatch.from_arrays([pa.array(K.signed(name)), *(pa.array(c[entry]) for c in (node, label, n, pos))],
-                                         ["token", "node", "label", "n", "pos"])
+        yield pa.RecordBatch.from_arrays([pa.array(K.signed(name)), *(pa.array(c[entry]) for c in (node, label, n, pos, *previous))],
+                                         [field.split(" ")[0] for field in _LISTED.split(", ")])
 
 
 def _block_pairs(label: np.ndarray, size: np.ndarray, place: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -232,11 +248,15 @@ def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     is compared with the one at distance 1, 2 and so on, while that one is not
     too large.  A long list is read in pairs of blocks.  The bound on positions
     is that of a pair's first common shingle, where it is found.
+
+    A pair that shares one of the two shingles before an entry met in that
+    shingle's list already, at smaller places and so with more room, and is not
+    given again: similar sets share long runs of shingles.
     """
     carry: list[np.ndarray] | None = None
 
     def pairs(columns: list[np.ndarray]) -> pa.RecordBatch | None:
-        token, node, label, size, place = columns
+        token, node, label, size, place, before, earlier = columns
         starts = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
         lengths = np.diff(np.append(starts, len(token)))
         live, step, found = np.flatnonzero(np.repeat(lengths <= STEP, lengths)), 0, []
@@ -252,16 +272,22 @@ def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for at in np.flatnonzero(lengths > STEP):
             own = slice(starts[at], starts[at] + lengths[at])
             found += [(x + starts[at], y + starts[at]) for x, y in _block_pairs(label[own], size[own], place[own])]
-        if not any(len(x) for x, _ in found):
+        new = []
+        for x, y in found:
+            met = (before[x] == before[y]) & (before[x] != 0)
+            for one, two in ((before, earlier), (earlier, before), (earlier, earlier)):
+                met |= (one[x] == two[y]) & (one[x] != 0)
+            new.append((x[~met], y[~met]))
+        if not any(len(x) for x, _ in new):
             return None
-        x, y = (node[np.concatenate([f[k] for f in found])] for k in (0, 1))
+        x, y = (node[np.concatenate([f[k] for f in new])] for k in (0, 1))
         x, y = np.minimum(x, y), np.maximum(x, y)
         order = np.lexsort((y, x))
         x, y = x[order], y[order]
         first = np.concatenate([[True], (x[1:] != x[:-1]) | (y[1:] != y[:-1])])
         return pa.RecordBatch.from_arrays([pa.array(x[first]), pa.array(y[first])], ["a", "b"])
 
-    names = ("token", "node", "label", "n", "pos")
+    names = [field.split(" ")[0] for field in _LISTED.split(", ")]
     for batch in batches:
         columns = [batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in names]
         if carry is not None:
@@ -386,7 +412,9 @@ def _listed_pairs(texts: DataFrame, families: DataFrame, known) -> DataFrame:
     # copies end here: only the least document of a set is a node
     shared = entries.mapInArrow(_shared, "token bigint, node bigint, pos int").join(
         families.select("node", "label", "n").hint("merge"), "node")
-    lists = shared.select("token", "node", "label", "n", "pos").mapInArrow(lambda batches: _cut_lists(known, batches), _LISTED)
+    # the join left the rows by node
+    ordered = shared.select("token", "node", "label", "n", "pos").sortWithinPartitions("node", "pos")
+    lists = ordered.mapInArrow(lambda batches: _cut_lists(known, batches), _LISTED)
     lists = lists.repartition("token").sortWithinPartitions("token", "n", "pos")
     return materialise(lists.mapInArrow(_candidates, "a bigint, b bigint").distinct(), "candidates")
 

@@ -5,6 +5,7 @@ import os
 import re
 from collections import Counter
 from itertools import permutations
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
@@ -295,6 +296,35 @@ def test_block_pairs_like_all_pairs():
     assert found == wanted and found
 
 
+def test_pairs_of_a_run_of_shingles_are_given_once():
+    from karst.llm import jaccard
+    random = np.random.default_rng(9)
+    rows = []
+    for node in range(120):
+        base = [int(t) for t in np.unique(random.integers(1, 400, 40) + 1000 * (node % 12))]
+        own = sorted(t for t in {*base, *range(50_000 + node % 12, 50_400 + node % 12, 12), 7} if random.random() < (0.9 if t > 7 else 0.1))
+        rows += [(token, node, node // 2, len(own) * 10, pos) for pos, token in enumerate(own)]
+    known = SimpleNamespace(value=(np.array([7], np.uint64), np.array([3000])))
+    held = {}
+    for token, node, label, n, pos in rows:
+        held.setdefault(node, (label, n, {}))[2][token] = pos
+    wanted = set()
+    for a in held:
+        for b in held:
+            (la, na, x), (lb, nb, y) = held[a], held[b]
+            if a < b and la != lb and 4 * min(na, nb) >= 3 * max(na, nb):
+                if any(7 * min(na - x[t], nb - y[t]) >= 3 * (na + nb) for t in x.keys() & y.keys()):
+                    wanted.add((a, b))
+    names = ["token", "node", "label", "n", "pos"]
+    for step in (1, 7, 1000, len(rows)):
+        batches = (pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows[i:i + step])], names) for i in range(0, len(rows), step))
+        lists = pa.Table.from_batches(list(jaccard._cut_lists(known, batches))).sort_by(
+            [("token", "ascending"), ("n", "ascending"), ("pos", "ascending")])
+        found = [tuple(r.values()) for b in jaccard._candidates(iter(lists.combine_chunks().to_batches(max_chunksize=step)))
+                 for r in b.to_pylist()]
+        assert set(found) == wanted and len(found) < 4 * len(wanted), (step, len(found), len(wanted))
+
+
 def test_answers_of_members_derived_from_their_pivots(spark):
     """Families of edited texts around bases that overlap more and less than the threshold."""
     from karst.llm.jaccard import similar_groups
