@@ -20,14 +20,14 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     # rows that share a doc_id share the better verdict
     kept = materialise(scores.filter("predicted = 1 and doc_id is not null").select("doc_id").distinct(), "accepted")
     # the verdicts grow with the documents, so both sides shuffle at any size
-    return left_join_unique(docs, kept, ["doc_id"], F.xxhash64("text"), "left_semi", small=False).select(docs.columns)
+    return left_join_unique(docs, kept.hint("merge"), ["doc_id"], F.xxhash64("text"), "left_semi", small=False).select(docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of similar ones: the one with the smallest doc_id."""
     groups = similar_groups(docs)
     kept = materialise(groups.filter("doc_id = component_id").select("doc_id").distinct(), "representatives")
-    joined = left_join_unique(docs, kept, ["doc_id"], F.xxhash64("text"), "left_semi", small=False)
+    joined = left_join_unique(docs, kept.hint("merge"), ["doc_id"], F.xxhash64("text"), "left_semi", small=False)
     # texts are only dealt out anew where a doc_id is stored more than once
     again = materialise(docs.groupBy("doc_id").count().filter("count > 1").select("doc_id"), "repeated")
     if again.isEmpty():
