@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, functions as F, types as T
+import pyarrow.compute as pc
+from pyspark.sql import Column, functions as F
 
 # Tokenizer names and their patterns.
 TOKEN_PATTERNS = {
@@ -128,18 +131,47 @@ def porter_stem(word: str) -> str:
     return word
 
 
-def normaliser(ascii_folding: bool, stem: bool):
-    """Arrow UDF that folds and stems tokens; repeated tokens are cached per worker."""
-
-    @F.arrow_udf(T.StringType())
-    def run(values: pa.Array) -> pa.Array:
-        out = []
-        for token in values.to_pylist():
-            if token is not None and ascii_folding:
-                token = fold(token)
-            if token is not None and stem:
-                token = porter_stem(token)
-            out.append(token)
-        return pa.array(out, pa.string())
+#: tokens whose terms are counted at a time; a longer row is counted by itself
+COUNTED = 1 << 20
+
+
+def _terms(values: pa.Array, ascii_folding: bool, stem: bool) -> pa.Array:
+    out = []
+    for token in values.to_pylist():
+        if ascii_folding:
+            token = fold(token)
+        out.append(porter_stem(token) if stem else token)
+    return pa.array(out, values.type)
+
+
+def term_counts(ascii_folding: bool, stem: bool):
+    """Arrow kernel: rows ``(field, key ..., tokens)`` become rows ``(field, term, key ..., tf)``, each term of a row once.
+
+    A distinct token of a batch is folded and stemmed once.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(batch.num_columns - 1)
+            ends = np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+            first = 0
+            while first < batch.num_rows:
+                base = ends[first - 1] if first else 0
+                last = max(first + 1, int(np.searchsorted(ends, base + COUNTED, side="right")))
+                part = batch.slice(first, last - first)
+                row = np.repeat(np.arange(last - first), np.diff(ends[first:last], prepend=base))
+                first = last
+                if not len(row):
+                    continue
+                coded = part.column(part.num_columns - 1).flatten().dictionary_encode()
+                terms, code = coded.dictionary, coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+                if ascii_folding or stem:
+                    merged = _terms(terms, ascii_folding, stem).dictionary_encode()
+                    terms, code = merged.dictionary, merged.indices.to_numpy(zero_copy_only=False).astype(np.int64)[code]
+                pairs, counts = np.unique(row * len(terms) + code, return_counts=True)
+                at = pa.array(pairs // len(terms))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0).take(at), terms.take(pa.array(pairs % len(terms))),
+                     *(part.column(i).take(at) for i in range(1, part.num_columns - 1)), pa.array(counts.astype(np.int64))],
+                    ["field", "term", *part.schema.names[1:-1], "tf"])
 
     return run

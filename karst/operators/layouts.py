@@ -11,7 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from karst.functions.text import LANGUAGES, normaliser, tokens
+from karst.functions.text import LANGUAGES, term_counts, tokens
 from karst.operators.bounds import quoted
 
 #: more values than these have no directory each
@@ -110,33 +110,32 @@ def text_postings(df: DataFrame, columns: str | Sequence[str], key: str, tokeniz
                   words: Sequence[str] | None = None, carry: Sequence[str] = ()) -> DataFrame:
     """Postings ``(field, term, key, tf)`` of text columns.
 
-    Tokens are counted per document before anything is folded or stemmed, so
-    Python sees each (document, term) pair once.  ``words`` replaces the stop
-    words of ``language``.  Longer tokens than ``max_token_length`` are left
-    out; -1 keeps all.  ``carry`` names further columns fixed by the key.
+    A row's tokens are counted, folded and stemmed where the row is read, so
+    postings are shuffled only if a key is stored more than once.  ``words``
+    replaces the stop words of ``language``.  Longer tokens than
+    ``max_token_length`` are left out; -1 keeps all.  ``carry`` names further
+    columns fixed by the key.
     """
     names = [columns] if isinstance(columns, str) else list(columns)
     check_text_options(names, max_token_length, language, stem)
-    parts = []
+    own = [F.col(quoted(key)), *[F.col(c) for c in carry]]
+    schema = T.StructType([T.StructField("field", T.StringType()), T.StructField("term", T.StringType()),
+                           *df.select(*own).schema.fields, T.StructField("tf", T.LongType())])
+    listed = (list(words) if words is not None else stop_words(language)) if remove_stop_words else []
+    found = None
     for name in names:
         if name not in df.columns or not isinstance(df.schema[name].dataType, T.StringType):
             raise ValueError(f"text column does not exist or is not a string: {name}")
-        parts.append(df.select(F.lit(name).alias("field"), F.col(quoted(key)), *carry,
-                               F.explode(tokens(F.col(quoted(name)), tokenizer, lowercase)).alias("term")))
-    found = parts[0]
-    for part in parts[1:]:
-        found = found.unionByName(part)
-    if max_token_length >= 0:
-        found = found.filter(F.length("term") <= max_token_length)
-    if remove_stop_words:
-        listed = list(words) if words is not None else stop_words(language)
-        found = found.filter(~F.lower("term").isin([w.lower() for w in listed]))
-    keys = [F.col("field"), F.col("term"), F.col(quoted(key)), *[F.col(c) for c in carry]]
-    counted = found.groupBy(*keys).agg(F.count("*").alias("tf"))
-    if ascii_folding or stem:
-        counted = (counted.withColumn("term", normaliser(ascii_folding, stem)(F.col("term")))
-                   .groupBy(*keys).agg(F.sum("tf").alias("tf")))
-    return counted
+        kept = tokens(F.col(quoted(name)), tokenizer, lowercase)
+        if max_token_length >= 0:
+            kept = F.filter(kept, lambda t: F.length(t) <= max_token_length)
+        if listed:
+            kept = F.filter(kept, lambda t: ~F.lower(t).isin([w.lower() for w in listed]))
+        part = df.select(F.lit(name).alias("field"), *own, kept.alias("_tokens")).mapInArrow(term_counts(ascii_folding, stem), schema)
+        found = part if found is None else found.unionByName(part)
+    if df.groupBy(*own).agg(F.count("*").alias("_n")).filter("_n > 1").isEmpty():
+        return found
+    return found.groupBy(F.col("field"), F.col("term"), *own).agg(F.sum("tf").alias("tf"))
 
 
 def doc_frequency(postings: DataFrame) -> DataFrame:

@@ -1,4 +1,6 @@
 import datetime as dt
+import re
+from collections import Counter
 
 import pandas as pd
 import pyarrow as pa
@@ -6,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F, types as T
 
 from karst import functions as K
+from karst.functions.text import fold, porter_stem
 from karst.operators.layouts import text_postings
 from karst.plans.indexes import IndexExists, IndexNotFound
 from karst.plans.store import StaleDataset, TableExists, TableNotFound
@@ -360,6 +363,28 @@ def test_scalar_and_text_indexes(db, spark):
             call()
 
 
+def test_postings_counted_in_rows(spark):
+    """Unique keys need no shuffle; repeated and missing keys are summed; texts longer than a step of the kernel count whole."""
+    long = "running Élan ran " * 400_000
+    rows = [(1, "Runs run RUN élan"), (2, None), (3, ""), (4, long), (5, "élan elan ÉLAN x"), (6, "...")]
+    frame = spark.createDataFrame(rows, "id bigint, text string")
+
+    def plain(rows):
+        counts = Counter()
+        for key, text in rows:
+            for token in re.findall(r"[^\W_]+", (text or "").lower()):
+                counts[porter_stem(fold(token)), key] += 1
+        return counts
+
+    got = text_postings(frame, "text", "id", stem=True, ascii_folding=True)
+    assert "Exchange" not in got._jdf.queryExecution().toString()
+    assert got.columns == ["field", "term", "id", "tf"] and got.schema["tf"].dataType.typeName() == "long"
+    assert {(r.term, r.id): r.tf for r in got.collect()} == plain(rows) and got.count() == len(plain(rows))
+    more = rows + [(1, "run"), (None, "runs x"), (None, "x")]
+    got = text_postings(spark.createDataFrame(more, frame.schema), "text", "id", stem=True, ascii_folding=True)
+    assert {(r.term, r.id): r.tf for r in got.collect()} == plain(more) and got.count() == len(plain(more))
+
+
 def test_text_options(spark):
     df = spark.createDataFrame([(1, "Running runs a LONGTOKEN", "extra"), (2, "the the", None)], "id int, text string, more string")
 
