@@ -19,6 +19,7 @@ from karst.operators.scan import where as apply_where
 from karst.operators.search import DISTANCE, knn, vector_column
 from karst.plans import files
 from karst.schema import is_integral
+from karst.session import materialise
 
 SEGMENT = "_segment"
 VECTOR_KINDS = ("ivf_flat", "ivf_pq", "ivf_sq")
@@ -208,6 +209,8 @@ class Indexes:
         else:
             key = record.options["key"]
             postings = L.text_postings(rows, record.columns, **record.options, carry=[SEGMENT])
+            # the range shuffle reads its input twice
+            postings = materialise(postings, "postings")
             postings.repartitionByRange("term", key).sortWithinPartitions("term").write.parquet(path)
         record.fragments.append(fragment)
 
