@@ -5,8 +5,11 @@
 2. Tokens whose occurrence vectors over the host's pages are equal form an
    equivalence class.  Vectors are not stored: sums of hashes of (page, count)
    identify them, so counting is an ordinary aggregation.
-3. A class is valid if it covers most pages and its tokens come in one order on
-   them.  Valid classes nest by the element tree into the host's template.
+3. A class is valid if it covers most pages, its tokens come in one order on
+   them, and it nests with the others: it stands in one gap of another class,
+   or around it.  Tokens out of order leave their class.  Of two classes that
+   cross, the weaker is dropped, unless they mesh in one way: then its tokens
+   stand at fixed places of the stronger.  The classes left are the template.
 4. Template text is dropped first.  Of the slots that are left, those of menus,
    adverts and the like go by their element, or by a class, id or role that is
    such a name as a whole.  The page's text is what remains in its article, or
@@ -21,7 +24,10 @@ import functools
 import hashlib
 import html as entities
 import re
+from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
+from itertools import groupby
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -29,7 +35,7 @@ from pyspark.sql import DataFrame, functions as F
 from karst.operators.bounds import left_join_unique
 from karst.session import materialise, ship
 
-#: distinct pages, and share of a host's, that a template class must cover; share of them in one order
+#: distinct pages, and share of a host's, that a template class must cover; share of them in one order and nested
 PAGES, COVERAGE, ORDERED = 5, 0.6, 0.9
 
 # Element names of HTML.
@@ -66,7 +72,7 @@ _STOP = re.compile(r"[>\"']")
 _ATTRIBUTE = re.compile(r"([^\s=\"'>/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+)))?")
 _NOT_SHOWN = re.compile(r"display\s*:\s*none", re.I)
 
-_TOKENS = "host string, print bigint, token bigint, count int, first int"
+_TOKENS = "host string, print bigint, token bigint, block boolean, places array<int>"
 
 
 def _hash(*parts: str) -> int:
@@ -117,6 +123,8 @@ class Page:
 
     def __init__(self, source: str):
         self.tokens: list[int] = []
+        #: tokens that are text blocks
+        self.texts: set[int] = set()
         self.blocks: list[Block] = []
         #: the element that each element stands in, and forms that hold more than fields
         self.parents, self.content_forms = [0], set()
@@ -134,6 +142,7 @@ class Page:
             _, place, aside, article, _, element, form = self._stack[-1]
             self.blocks.append(Block(text, place, aside, element, article, form, self._linked))
             self.tokens.append(_hash("text", str(place), text))
+            self.texts.add(self.tokens[-1])
         self._text, self._linked = [], 0
 
     def _open(self, tag: str, raw: str) -> None:
@@ -255,17 +264,17 @@ _CLOSING = {tag: re.compile(rf"</{tag}\s*>", re.I) for tag in RAW}
 
 
 def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row per page and token: how often, where first."""
+    """A row per page and token, with its places."""
     names = [f.split(" ")[0] for f in _TOKENS.split(", ")]
-    kinds = [pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.int32()]
+    kinds = [pa.string(), pa.int64(), pa.int64(), pa.bool_(), pa.list_(pa.int32())]
     for batch in batches:
         out = []
         for host, print_, source in zip(*(batch.column(c).to_pylist() for c in ("host", "print", "html"))):
             page = Page(source or "")
             seen: dict[int, list[int]] = {}
             for place, token in enumerate(page.tokens):
-                seen.setdefault(token, [0, place])[0] += 1
-            out += [(host, print_, token, count, first) for token, (count, first) in seen.items()]
+                seen.setdefault(token, []).append(place)
+            out += [(host, print_, token, token in page.texts, places) for token, places in seen.items()]
             if len(out) > 50_000:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names)
                 out = []
@@ -273,6 +282,118 @@ def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names)
 
 
+def _rising(values: list[int]) -> set[int]:
+    """Indexes of a longest rising run of ``values``, which need not be adjacent."""
+    if all(a < b for a, b in zip(values, values[1:])):
+        return set(range(len(values)))
+    ends, at, before = [], [], []
+    for i, value in enumerate(values):
+        length = bisect_left(ends, value)
+        before.append(at[length - 1] if length else -1)
+        ends[length:length + 1], at[length:length + 1] = [value], [i]
+    kept, i = set(), at[-1]
+    while i >= 0:
+        kept.add(i)
+        i = before[i]
+    return kept
+
+
+def _counted(rows: Counter, names: list[str]) -> pa.RecordBatch:
+    columns = [pa.array(c, pa.string() if n == "host" else pa.int64()) for n, c in zip(names, zip(*((*k, v) for k, v in rows.items())))]
+    return pa.RecordBatch.from_arrays(columns, names)
+
+
+def _pages(batch: pa.RecordBatch) -> Iterator[tuple[str, list[tuple[int, list[tuple[int, bool, list[int]]]]]]]:
+    """Host and classes of each page, with the tokens (token, whether a text block, places) that have not left them."""
+    for host, classes, tokens, texts, places, moved in zip(
+            *(batch.column(c).to_pylist() for c in ("host", "class", "token", "block", "places", "moved"))):
+        moved = frozenset(moved or ())
+        runs = groupby((i for i in range(len(classes)) if tokens[i] not in moved), classes.__getitem__)
+        yield host, [(kind, [(tokens[i], texts[i], places[i]) for i in run]) for kind, run in runs]
+
+
+def _displaced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many pages hold a token out of its class's order."""
+    for batch in batches:
+        out: Counter = Counter()
+        for host, classes in _pages(batch):
+            for _, run in classes:
+                kept = _rising([places[0] for _, _, places in run])
+                if len(kept) < len(run):
+                    out.update((host, token) for n, (token, _, _) in enumerate(run) if n not in kept)
+        if out:
+            yield _counted(out, ["host", "token", "n"])
+
+
+def crossing(points: list[tuple[int, int, int, int]], left: Counter) -> set[tuple[int, int]]:
+    """Pairs of classes that do not nest on a page, the lesser id first.
+
+    ``points`` are (place, class, occurrence, token) by place, ``left`` tells how
+    many points each (class, occurrence) has.
+    """
+    pairs: set[tuple[int, int]] = set()
+    stack: list[tuple[int, int]] = []
+    opened: set[tuple[int, int]] = set()
+    for _, kind, occurrence, _ in points:
+        own = (kind, occurrence)
+        if own in opened:
+            # what began in a gap of this occurrence has to end there
+            for other in reversed(stack):
+                if other == own:
+                    break
+                if left[other]:
+                    pairs.add((min(kind, other[0]), max(kind, other[0])))
+        else:
+            opened.add(own)
+            stack.append(own)
+        left[own] -= 1
+        while stack and not left[stack[-1]]:
+            stack.pop()
+    return pairs
+
+
+def _crossings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs of classes that cross, by the way they mesh: on how many pages.
+
+    A tag that a page repeats nests by the element tree, and may stand for
+    several parts of the template; of its class the text blocks count there.
+    """
+    for batch in batches:
+        found: Counter = Counter()
+        for host, classes in _pages(batch):
+            points, left = [], Counter()
+            for kind, run in classes:
+                run = [(token, places) for token, block, places in run if block or len(places) == 1]
+                if len(run) < 2:
+                    continue
+                flat = [place for occurrence in zip(*(places for _, places in run)) for place in occurrence]
+                # occurrences one after the other; else the class stands on the page as a whole
+                apart = all(a < b for a, b in zip(flat, flat[1:]))
+                for token, places in run:
+                    for n, place in enumerate(places):
+                        points.append((place, kind, n if apart else 0, token))
+                        left[kind, n if apart else 0] += 1
+            points.sort()
+            for a, b in crossing(points, left):
+                found[host, a, b, _hash(*(str(token) for _, kind, _, token in points if kind in (a, b)))] += 1
+        if found:
+            yield _counted(found, ["host", "a", "b", "mesh", "n"])
+
+
+def _dropped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Classes that cross one that stays; a host's pairs come with the stronger weak classes first."""
+    for batch in batches:
+        out = []
+        for host, pairs in zip(*(batch.column(c).to_pylist() for c in ("host", "pairs"))):
+            gone: set[int] = set()
+            for pair in pairs:
+                if pair["strong"] not in gone:
+                    gone.add(pair["weak"])
+            out += [(host, kind) for kind in gone]
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), (pa.string(), pa.int64()))], ["host", "class"])
+
+
 def _article(blocks: list[Block]) -> list[Block]:
     """Blocks of the page's article; of several, those that are no teasers of others."""
     sizes: dict[int, int] = {}
@@ -325,21 +446,50 @@ def templates(tokens: DataFrame) -> DataFrame:
     """``(host, template)`` from ``tokens``: hashes of the template's tokens."""
     seen = tokens.distinct()
     pages = tokens.select("host", "print").distinct().groupBy("host").agg(F.count("*").alias("_pages"))
-    part = lambda seed: F.sum(F.pmod(F.xxhash64(F.lit(seed), "print", "count"), F.lit(1 << 31)))
-    vectors = seen.groupBy("host", "token").agg(F.count("*").alias("_support"), part(1).alias("_one"), part(2).alias("_two"))
+    part = lambda seed: F.sum(F.pmod(F.xxhash64(F.lit(seed), "print", F.size("places")), F.lit(1 << 31)))
+    # the tokens of a class are on the same pages, so those that come in one order there have their mean places in it
+    vectors = seen.groupBy("host", "token").agg(F.count("*").alias("_support"), part(1).alias("_one"), part(2).alias("_two"),
+                                                F.avg(F.element_at("places", 1)).alias("_mean"))
     vectors = vectors.filter(F.col("_support") >= PAGES)
     vectors = left_join_unique(vectors, pages, ["host"], F.col("token"), "inner").filter(
         F.col("_support") >= COVERAGE * F.col("_pages"))
-    members = vectors.select("host", "token", F.xxhash64("_one", "_two", "_support").alias("class"))
+    members = vectors.select("host", "token", F.xxhash64("_one", "_two", "_support").alias("class"), "_support", "_mean")
     members = materialise(members, "classes")
-    # order of a class's tokens on each page
+    # the classes of a page, their tokens in order
     placed = left_join_unique(seen, members, ["host", "token"], F.col("print"), "inner")
-    orders = placed.groupBy("host", "print", "class").agg(F.array_sort(F.collect_list(F.struct("first", "token"))).alias("_o"))
-    orders = orders.select("host", "class", F.xxhash64(F.transform("_o", lambda o: o["token"])).alias("_order"),
-                           F.size("_o").alias("_size"))
-    counts = orders.groupBy("host", "class", "_order").agg(F.count("*").alias("_n"), F.max("_size").alias("_size"))
-    valid = counts.groupBy("host", "class").agg(F.max("_n").alias("_most"), F.sum("_n").alias("_all"), F.max("_size").alias("_size"))
-    valid = valid.filter((F.col("_most") >= ORDERED * F.col("_all")) & (F.col("_size") > 1)).select("host", "class")
+    laid = placed.groupBy("host", "print").agg(F.array_sort(F.collect_list(F.struct("class", "_mean", "token", "block", "places"))).alias("_o"))
+    names = ["class", "token", "block", "places"]
+    laid = materialise(laid.select("host", *[F.col(f"_o.{c}").alias(c) for c in names]), "laid")
+    enough = lambda bad, of: F.col(of) - F.col(bad) >= ORDERED * F.col(of)
+    held = laid.withColumn("moved", F.lit(None).cast("array<bigint>"))
+    moved = None
+    # what is out of order most leaves first, as it displaces others
+    while True:
+        out = held.mapInArrow(_displaced, "host string, token bigint, n bigint").groupBy("host", "token").agg(F.sum("n").alias("_n"))
+        out = members.join(out, ["host", "token"]).filter(~enough("_n", "_support"))
+        most = out.groupBy("host", "class").agg(F.max("_n").alias("_most"))
+        out = materialise(out.join(most, ["host", "class"]).filter("2 * _n > _most").select("host", "token"), "moved")
+        if out.isEmpty():
+            break
+        moved = out if moved is None else moved.unionByName(out)
+        held = left_join_unique(laid, moved.groupBy("host").agg(F.collect_list("token").alias("moved")), ["host"], F.xxhash64("token"))
+    if moved is not None:
+        members = members.join(moved, ["host", "token"], "left_anti")
+    # pairs of classes that cross in more than one way
+    meshes = held.mapInArrow(_crossings, "host string, a bigint, b bigint, mesh bigint, n bigint")
+    pairs = meshes.groupBy("host", "a", "b", "mesh").agg(F.sum("n").alias("_n")).groupBy("host", "a", "b").agg(
+        (F.sum("_n") - F.max("_n")).alias("_bad")).filter("_bad > 0")
+    classes = members.groupBy("host", "class").agg(F.max("_support").alias("_support"), F.count("*").alias("_size"))
+    for side in ("a", "b"):
+        pairs = pairs.join(classes.select("host", F.col("class").alias(side), F.col("_support").alias(f"_{side}"), F.struct(
+            "_support", "_size", "class").alias(f"_of_{side}")), ["host", side])
+    pairs = pairs.withColumn("_both", F.least("_a", "_b")).filter(~enough("_bad", "_both"))
+    weak, strong = F.least("_of_a", "_of_b"), F.greatest("_of_a", "_of_b")
+    pairs = pairs.groupBy("host").agg(F.sort_array(F.collect_list(F.struct(
+        weak.alias("_weak"), weak["class"].alias("weak"), strong["class"].alias("strong"))), asc=False).alias("pairs"))
+    crossed = materialise(pairs.mapInArrow(_dropped, "host string, class bigint"), "crossed")
+    members = members.join(crossed, ["host", "class"], "left_anti")
+    valid = members.groupBy("host", "class").agg(F.count("*").alias("_size")).filter("_size > 1").select("host", "class")
     return members.join(valid, ["host", "class"]).groupBy("host").agg(F.array_sort(F.collect_set("token")).alias("template"))
 
 

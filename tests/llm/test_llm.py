@@ -291,6 +291,46 @@ def test_pages_without_article_keep_every_slot(spark):
     assert out == {i: ("Only here\n" if i == 20 else "") + f"Title {i}\nLead {i}\nFirst {i}\nSecond {i}" for i in [*range(8), 20]}
 
 
+def _texts_of(spark, bodies):
+    rows = [(i, f"http://h.example/{i}", f"<body><div id=top>Same words here</div><div id=content>{b}</div></body>") for i, b in enumerate(bodies)]
+    found = page_texts(spark.createDataFrame(rows, "page_id bigint, url string, html string"))
+    return [r.text for r in found.orderBy("page_id").collect()]
+
+
+def _blocks(words):
+    return "".join(f"<p>{w}</p>" for w in words.split())
+
+
+def test_classes_that_cross_are_no_template(spark):
+    """x1 x2 and y1 y2 keep their order, but neither stands in one gap of the other; z1 z2 mesh with x1 x2 in one way."""
+    ways = ["x1 y1 x2 y2", "y1 x1 y2 x2", "x1 y1 y2 x2", "x1 x2 y1 y2"]
+    bodies = [_blocks(f"t{i} " + (ways[i % 4] if i < 12 else "x1 x2" if i < 14 else "")) for i in range(16)]
+    assert _texts_of(spark, bodies) == [f"t{i}" + ("\ny1\ny2" if i < 12 else "") for i in range(16)]
+    meshed = [_blocks(f"t{i} " + ("x1 z1 x2 z2" if i < 12 else "x1 x2" if i < 14 else "")) for i in range(16)]
+    assert _texts_of(spark, meshed) == [f"t{i}" for i in range(16)]
+    nested = [_blocks(f"t{i} " + ("x1 z1 z2 x2" if i < 12 else "x1 x2" if i < 14 else "")) for i in range(16)]
+    assert _texts_of(spark, nested) == [f"t{i}" for i in range(16)]
+
+
+def test_a_token_out_of_order_leaves_its_class(spark):
+    """One text that wanders does not undo the order of the others."""
+    bodies = [_blocks(" ".join([f"t{i}", *["a", "b", "c"][:i % 4], "wanders", *["a", "b", "c"][i % 4:]])) for i in range(12)]
+    assert _texts_of(spark, bodies) == [f"t{i}\nwanders" for i in range(12)]
+
+
+def test_crossing_of_classes():
+    from collections import Counter
+    from karst.llm.extraction import _rising, crossing
+
+    def pairs(kinds):
+        points = [(i, int(k), 0, i) for i, k in enumerate(kinds)]
+        return crossing(points, Counter((k, 0) for _, k, _, _ in points))
+
+    assert pairs("1122") == pairs("1221") == pairs("122133") == pairs("1232331") - {(2, 3)} == set()
+    assert pairs("1212") == {(1, 2)} and pairs("123123") == {(1, 2), (1, 3), (2, 3)} and pairs("1223132") == {(1, 2), (1, 3)}
+    assert _rising([1, 2, 9, 3, 4]) == {0, 1, 3, 4} and _rising([2, 1]) in ({0}, {1}) and _rising([]) == set()
+
+
 def test_pages_of_the_table(spark):
     pages = {r.page_id: r.html for r in spark.read.parquet(f"{SF}/pages.parquet").collect()}
     import html
