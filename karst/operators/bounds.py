@@ -9,6 +9,9 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 64 << 20
 HOT_ROWS = 1_000_000
+#: rows of both sides that a task of a join by key gets, or of the one that is counted
+TASK_ROWS = 1_000_000
+_BUCKETS = 1 << 14
 
 
 def quoted(name: str) -> str:
@@ -40,7 +43,45 @@ def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int
     return rows <= max_rows and size <= max_bytes
 
 
-def with_salt(df: DataFrame, keys: Sequence[str], salt: Column, hot_rows: int = HOT_ROWS):
+def _bucket(keys: Sequence[str]) -> Column:
+    return F.pmod(F.xxhash64(*[F.col(quoted(k)) for k in keys]), F.lit(_BUCKETS))
+
+
+def key_load(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> tuple[int, list[int]]:
+    """Rows of ``df``, and the buckets of keys with more than ``hot_rows`` rows.
+
+    A task counts buckets, not keys, so its memory does not grow with the table.
+    """
+    counts = df.groupBy(_bucket(keys).alias("_bucket")).agg(F.count("*").alias("_n"))
+    rows, crowded = counts.agg(F.coalesce(F.sum("_n"), F.lit(0)),
+                               F.collect_list(F.when(F.col("_n") > hot_rows, F.col("_bucket")))).first()
+    return rows, crowded
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], load: tuple[int, list[int]], hot_rows: int = HOT_ROWS) -> DataFrame | None:
+    """Keys with more than ``hot_rows`` rows and their ``_n``, or None; only rows of crowded buckets are counted by key."""
+    if not load[1]:
+        return None
+    counts = df.filter(_bucket(keys).isin(load[1])).groupBy(*[F.col(quoted(k)) for k in keys]).agg(F.count("*").alias("_n"))
+    hot = counts.filter(F.col("_n") > hot_rows).persist()
+    if hot.isEmpty():
+        hot.unpersist()
+        return None
+    return hot
+
+
+def task_parts(df: DataFrame, rows: int, task_rows: int | None = None) -> int | None:
+    """Number of parts by key that keep a task at ``task_rows``; None where Spark's own number does."""
+    task_rows = TASK_ROWS if task_rows is None else task_rows
+    return max(-(-rows // task_rows), df.sparkSession.sparkContext.defaultParallelism) if rows > task_rows else None
+
+
+def dealt(df: DataFrame, parts: int | None, keys: Sequence[str]) -> DataFrame:
+    return df if parts is None else df.repartition(parts, *[F.col(quoted(k)) for k in keys])
+
+
+def with_salt(df: DataFrame, keys: Sequence[str], salt: Column, hot_rows: int = HOT_ROWS,
+              load: tuple[int, list[int]] | None = None):
     """Split the hot keys of ``df``.
 
     Returns ``(salted, hot)``: ``salted`` has an extra ``_salt`` column, zero
@@ -49,11 +90,10 @@ def with_salt(df: DataFrame, keys: Sequence[str], salt: Column, hot_rows: int =
     ``rows / hot_rows`` hot keys, which bounds ``hot``.
     """
     names = [F.col(quoted(k)) for k in keys]
-    counts = df.groupBy(*names).agg(F.count("*").alias("_n")).filter(F.col("_n") > hot_rows)
-    hot = counts.select(*names, F.ceil(F.col("_n") / hot_rows).cast("int").alias("_splits")).persist()
-    if hot.isEmpty():
-        hot.unpersist()
+    hot = hot_keys(df, keys, key_load(df, keys, hot_rows) if load is None else load, hot_rows)
+    if hot is None:
         return df.withColumn("_salt", F.lit(0)), None
+    hot = hot.select(*names, F.ceil(F.col("_n") / hot_rows).cast("int").alias("_splits"))
     splits = F.broadcast(hot) if fits_broadcast(hot) else hot
     unmatched = F.lit(False)
     for name in names:
@@ -67,21 +107,27 @@ def with_salt(df: DataFrame, keys: Sequence[str], salt: Column, hot_rows: int =
 
 
 def left_join_unique(left: DataFrame, right: DataFrame, keys: Sequence[str], salt: Column,
-                     how: str = "left", hot_rows: int = HOT_ROWS, small: bool | None = None) -> DataFrame:
+                     how: str = "left", hot_rows: int = HOT_ROWS, small: bool | None = None,
+                     bounded: bool = False) -> DataFrame:
     """``left JOIN right USING keys`` where ``right`` has at most one row per key.
 
     ``small`` tells whether the right side was measured to fit a broadcast; None
     measures it here.  Otherwise both sides shuffle on the key, and keys that
     are hot on the left are split into salted parts, with the one matching
-    right row repeated once per part.
+    right row repeated once per part.  With ``bounded`` the sides are counted
+    and dealt to as many tasks as keep each at ``TASK_ROWS``; Spark's own number
+    follows the compressed bytes, and holds many more of short rows.
     """
     if fits_broadcast(right) if small is None else small:
         return left.join(F.broadcast(right), list(keys), how)
-    salted, hot = with_salt(left, keys, salt, hot_rows)
+    load = key_load(left, keys, hot_rows)
+    salted, hot = with_salt(left, keys, salt, hot_rows, load)
+    parts = task_parts(left, load[0] + right.count()) if bounded else None
     if hot is None:
-        return left.join(right, list(keys), how)
+        return dealt(left, parts, keys).join(dealt(right, parts, keys), list(keys), how)
     splits = F.broadcast(hot) if fits_broadcast(hot) else hot
     spread = (right.join(splits, list(keys), "left")
               .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_splits"), F.lit(1)) - 1)))
               .drop("_splits"))
-    return salted.join(spread, [*keys, "_salt"], how).drop("_salt")
+    both = [*keys, "_salt"]
+    return dealt(salted, parts, both).join(dealt(spread, parts, both), both, how).drop("_salt")

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from karst.functions.expressions import bind
-from karst.operators.bounds import HOT_ROWS, fits_broadcast, left_join_unique, quoted
+from karst.operators.bounds import HOT_ROWS, dealt, fits_broadcast, hot_keys, key_load, left_join_unique, quoted, task_parts
 from karst.schema import SchemaMismatch, conform
 
 
@@ -35,7 +35,11 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def check_unique(df: DataFrame, keys: Sequence[str], what: str) -> None:
-    found = duplicate_keys(df, keys).first()
+    """Raise if a non-null key is stored twice.  Rows are dealt by key, as unique keys do not combine before a shuffle."""
+    present = df.select(*[F.col(quoted(k)) for k in keys]).dropna(subset=list(keys))
+    load = key_load(present, keys)
+    hot = hot_keys(present, keys, load)
+    found = hot.first() if hot is not None else duplicate_keys(dealt(present, task_parts(df, load[0]), keys), keys).first()
     if found is not None:
         raise DuplicateKeys(f"{what} has duplicate keys, for example {found.asDict()}")
 
@@ -72,7 +76,7 @@ def merge_insert(target: DataFrame, source: DataFrame, on: str | Sequence[str],
         matches = source.dropna(subset=keys).select(*key_columns, row, F.lit(True).alias("_hit"))
         whole = F.struct(*[F.col(quoted(c)) for c in target.columns])
         packed = target.select(*key_columns, whole.alias("target"))
-        joined = left_join_unique(packed, matches, keys, F.xxhash64("target"), hot_rows=hot_rows, small=small)
+        joined = left_join_unique(packed, matches, keys, F.xxhash64("target"), hot_rows=hot_rows, small=small, bounded=True)
         take = F.coalesce(F.col("_hit"), F.lit(False))
         if condition is not None:
             take = take & F.coalesce(bind(as_predicate(condition), joined), F.lit(False))
@@ -81,18 +85,29 @@ def merge_insert(target: DataFrame, source: DataFrame, on: str | Sequence[str],
                 c, metadata=target.schema[c].metadata or {})
             for c in target.columns])
     if insert:
-        result = result.unionByName(unmatched(target, source, keys, small))
+        result = result.unionByName(unmatched(target, source, keys, small, hot_rows))
     return result
 
 
-def unmatched(target: DataFrame, source: DataFrame, keys: Sequence[str], small: bool | None = None) -> DataFrame:
+def unmatched(target: DataFrame, source: DataFrame, keys: Sequence[str], small: bool | None = None,
+              hot_rows: int = HOT_ROWS) -> DataFrame:
     """Source rows whose key is not in the target.
 
-    Target keys are made distinct first; a source that fits a broadcast also
-    restricts them to its own keys, so the target is not shuffled.
+    A source that fits a broadcast restricts the target keys to its own and
+    makes them distinct, so the target is not shuffled.  Otherwise hot target
+    keys are sent once, and the others as they are stored.
     """
     names = [F.col(quoted(k)) for k in keys]
     known = target.select(*names).dropna(subset=list(keys))
     if fits_broadcast(source) if small is None else small:
-        known = known.join(F.broadcast(source.select(*names)), list(keys), "left_semi")
-    return source.join(known.distinct(), list(keys), "left_anti").select(*[F.col(quoted(c)) for c in target.columns])
+        known = known.join(F.broadcast(source.select(*names)), list(keys), "left_semi").distinct()
+        parts = None
+    else:
+        load = key_load(known, keys, hot_rows)
+        hot = hot_keys(known, keys, load, hot_rows)
+        if hot is not None:
+            hot = hot.select(*names)
+            known = known.join(F.broadcast(hot) if fits_broadcast(hot) else hot, list(keys), "left_anti").unionByName(hot)
+        parts = task_parts(target, load[0] + source.count())
+    fresh = dealt(source, parts, keys).join(dealt(known, parts, keys), list(keys), "left_anti")
+    return fresh.select(*[F.col(quoted(c)) for c in target.columns])

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from karst.functions.expressions import bind
 from karst.operators import mutate
-from karst.operators.bounds import fits_broadcast
+from karst.operators.bounds import fits_broadcast, left_join_unique
 from karst.operators.batches import batches, id_manifest, rows_at, sample_rows, transform_batches
 from karst.operators.lookup import POS, projection, take_ids
 from karst.operators.scan import check_count
@@ -363,7 +363,8 @@ class Table:
         columns = [F.col(f"`{k}`") for k in keys]
         rows = self.segments_frame([s.name for s in last.segments], with_segment=True)
         touched = [] if not update or not last.segments else [
-            r[0] for r in rows.select(*columns, SEGMENT).join(source.select(*columns), keys, "left_semi")
+            r[0] for r in left_join_unique(rows.select(*columns, SEGMENT, F.col("_metadata.row_index").alias("_row")),
+                                           source.select(*columns).dropna(), keys, F.col("_row"), "left_semi", small=small, bounded=True)
             .select(SEGMENT).distinct().collect()]
         changed = mutate.merge_insert(self._read(touched, schema), source, keys, insert=False, condition=condition,
                                       check_source=False, small=small) if touched else None

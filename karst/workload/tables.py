@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from karst.operators.bounds import left_join_unique
 from karst.plans.store import Database
 from karst.session import scratch_path
 from karst.sources.media import media_facts
@@ -77,12 +78,10 @@ WHERE NOT EXISTS (SELECT 1 FROM orders t WHERE t.o_orderkey = s.o_orderkey * 2)"
 def stored_merge(spark, sf):
     orders = read(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
     table = new_database(spark).create_table("orders", orders)
-    source = orders.withColumn("o_orderkey", F.col("o_orderkey") * 2)
+    source = orders.select((F.col("o_orderkey") * 2).alias("o_orderkey"), F.col("o_custkey").alias("own"), "o_totalprice")
     # an update keeps the customer of the stored order
-    kept = source.drop("o_custkey").join(orders.select("o_orderkey", "o_custkey"), "o_orderkey", "left")
-    new = orders.select((F.col("o_orderkey") * 2).alias("o_orderkey"), F.col("o_custkey").alias("own"))
-    merged = kept.join(new, "o_orderkey").select(
-        "o_orderkey", F.coalesce("o_custkey", "own").alias("o_custkey"), "o_totalprice")
+    merged = left_join_unique(source, orders.select("o_orderkey", "o_custkey"), ["o_orderkey"], F.xxhash64("own", "o_totalprice"),
+                              bounded=True).select("o_orderkey", F.coalesce("o_custkey", "own").alias("o_custkey"), "o_totalprice")
     return table.merge_insert(merged, "o_orderkey").to_df()
 
 

@@ -118,6 +118,33 @@ def test_salting_finds_hot_keys(spark):
     assert fits_broadcast(df) and not fits_broadcast(df, max_rows=10) and not fits_broadcast(df, max_bytes=100)
 
 
+@pytest.mark.parametrize("hot_rows", [20, 1_000_000])
+def test_joins_by_key_follow_the_rows(spark, monkeypatch, hot_rows):
+    """The tasks of a merge grow with its rows, whatever the bytes; no task counts all keys."""
+    from karst.operators import bounds
+    from karst.operators.mutate import check_unique, unmatched
+    target = spark.createDataFrame([(None if i % 50 == 0 else 1 if i % 4 == 0 else i, float(i)) for i in range(400)], "id int, v double")
+    source = spark.createDataFrame([(i, -1.0) for i in range(1, 600, 2)], "id int, v double")
+    wanted = pairs(merge_insert(target, source, "id", small=True))
+    monkeypatch.setattr(bounds, "TASK_ROWS", 25)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        merged = merge_insert(target, source, "id", small=False, hot_rows=hot_rows)
+        assert pairs(merged) == wanted
+        # 400 and 300 rows meet in 28 tasks; of the 392 keys that are no null the hot one may be sent once
+        assert merged.rdd.getNumPartitions() >= 28 + 24
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert pairs(unmatched(target, source, ["id"], False, hot_rows)) == pairs(unmatched(target, source, ["id"], True))
+    check_unique(source, ["id"], "source")
+    with pytest.raises(DuplicateKeys):
+        check_unique(target, ["id"], "target")
+    rows, crowded = bounds.key_load(target, ["id"], hot_rows)
+    assert rows == 400 and len(crowded) == (1 if hot_rows == 20 else 0)
+    assert {r.id for r in bounds.hot_keys(target, ["id"], (rows, crowded), hot_rows).collect()} == {1} if crowded else True
+
+
 def test_numbers_are_dense_in_any_partitioning(spark):
     values = random.Random(4).sample(range(10_000), 700)
     df = spark.createDataFrame([(v, str(v)) for v in values], "id int, s string")
