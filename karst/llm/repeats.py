@@ -39,7 +39,14 @@ PIECE = 1 << 20
 #: places are (tag of the text) * 2^40 + offset, so that rows that share an id but not the text stay apart
 PLACE = 1 << 40
 
+#: a region on its way: the code holds tag, offset and number of strings, 0 for a span to remove, whose size is in ``region``.
+#: What differs from row to row stands side by side, between zeros, which the shuffle's compression takes away.
+_CODED = "doc_id bigint, key bigint, region bigint, code bigint"
+_KEY = np.uint64((1 << 64) - (1 << 16))
+_COUNT_BITS = (LENGTH - GRAM + 1).bit_length()
+_OFFSET_BITS = 31
 _REGION = "key bigint, region bigint, doc_id bigint, at bigint, size int"
+_FOUND = "key bigint, doc_id bigint, at bigint, size int"
 _SPAN = "doc_id bigint, at bigint, size int"
 
 
@@ -120,8 +127,24 @@ def _merged(doc: np.ndarray, at: np.ndarray, size: np.ndarray) -> tuple[np.ndarr
     return doc[first], at[first], reach[last] - at[first]
 
 
+def _coded(key: np.ndarray, region: np.ndarray, doc: np.ndarray, at: np.ndarray, strings: np.ndarray | int) -> pa.RecordBatch:
+    # groups are told by 48 bits of their gram: two that share them form one group of several regions
+    place = (at // PLACE << _OFFSET_BITS) | at % PLACE
+    code = (place << _COUNT_BITS) | strings
+    return _batch(_CODED, doc, key & _KEY, region, code)
+
+
+def _decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of ``_CODED`` as ``_REGION``; size < 0: a span to remove."""
+    for batch in batches:
+        doc, key, region, code = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(4))
+        strings, place = code & ((1 << _COUNT_BITS) - 1), code >> _COUNT_BITS
+        at = (place >> _OFFSET_BITS) * PLACE + (place & ((1 << _OFFSET_BITS) - 1))
+        yield _batch(_REGION, key, region, doc, at, np.where(strings == 0, -region, strings + LENGTH - 1))
+
+
 def _deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Regions of each document; size < 0: a span that another document of the same piece already covers."""
+    """Regions of each document, and spans that another document of the same piece already covers."""
     for batch in batches:
         ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
         tags = batch.column("tag").to_numpy(zero_copy_only=False).astype(np.int64)
@@ -137,11 +160,10 @@ def _deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             np.minimum.at(owner, group, doc)
             later = doc > owner[group]
             keep = ~later
-            yield _batch(_REGION, key[keep], region[keep], doc[keep], at[keep], size[keep])
+            yield _coded(key[keep], region[keep], doc[keep], at[keep], size[keep] - LENGTH + 1)
             doc, at, size = _merged(doc[later], at[later], size[later])
             if len(doc):
-                yield _batch(_REGION, K.mix(doc.astype(np.uint64) ^ at.astype(np.uint64)), np.zeros(len(doc), np.int64),
-                             doc, at, -size)
+                yield _coded(K.mix(doc.astype(np.uint64) ^ at.astype(np.uint64)), size, doc, at, 0)
 
 
 def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -187,6 +209,13 @@ def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _batch(_REGION, *held)
 
 
+def _found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What ``_settle`` tells of coded rows, without the hashes that nobody asks for any more."""
+    for batch in _settle(_decoded(batches)):
+        key, _, doc, at, size = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(5))
+        yield _batch(_FOUND, np.where(size > 0, key, 0), doc, at, size)
+
+
 def _cut_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Bytes of the wanted regions of each document."""
     names, kinds = ["shard", "doc_id", "at", "piece"], [pa.int64(), pa.int64(), pa.int64(), pa.binary()]
@@ -216,7 +245,7 @@ def _owned_strings(doc: np.ndarray, pieces: list[bytes], strings: bool):
     if asked for, (place, content hash) of each class at its owners.
     """
     sizes = np.array([len(p) for p in pieces])
-    joined = np.frombuffer(b"\0".join(pieces) + b"\0\0", dtype=np.uint8).astype(np.int32) + 2
+    joined = np.frombuffer(b"\0".join(pieces) + b"\0\0", dtype=np.uint8).astype(np.int16) + 2
     begins = np.concatenate([[0], np.cumsum(sizes + 1)[:-1]])
     joined[begins + sizes] = 1  # between pieces
     joined[-1] = 0
@@ -339,11 +368,12 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     """
     ship(docs.sparkSession)
     texts = docs.filter("doc_id is not null")
-    dealt = texts.mapInArrow(_deal, _REGION).repartition("key").sortWithinPartitions("key", "region", "doc_id")
-    settled = materialise(dealt.mapInArrow(_settle, _REGION), "regions")
+    dealt = texts.mapInArrow(_deal, _CODED).repartition("key").sortWithinPartitions("key", "region", "doc_id")
+    settled = materialise(dealt.mapInArrow(_found, _FOUND), "regions", release=True)
     owners = settled.filter("size > 0")
     # a shard is a group, or a part of one that has too many regions; odd numbers mark parts
     large = owners.groupBy("key").agg(F.count("*").alias("_n")).filter(F.col("_n") > GROUP_REGIONS)
+    large = materialise(large, "large", release=True)
     owners = left_join_unique(owners, large, ["key"], F.col("doc_id"))
     part = F.pmod(F.xxhash64("at", "doc_id"), F.ceil(F.col("_n") / GROUP_REGIONS))
     shard = F.when(F.col("_n").isNull(), F.col("key").bitwiseAND(F.lit(-2))).otherwise(
@@ -353,11 +383,11 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     # about one row for each document, so it grows with the texts and both sides shuffle at any size
     pieces = texts.join(wanted.hint("merge"), "doc_id").mapInArrow(_cut_bytes, "shard bigint, doc_id bigint, at bigint, piece binary")
     sorted_ = pieces.repartition("shard").sortWithinPartitions("shard").mapInArrow(_shards, _REGION)
-    sorted_ = materialise(sorted_, "shards")
+    sorted_ = materialise(sorted_, "shards", release=True)
     strings = sorted_.filter("size > 0")
     owned = strings.groupBy("key").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("last")).filter("owner < last")
     crossed = strings.join(owned, "key").filter("doc_id > owner").select("doc_id", "at", "size")
-    covered = settled.union(sorted_).filter("size < 0").select("doc_id", "at", (-F.col("size")).alias("size"))
+    covered = settled.unionByName(sorted_.drop("region")).filter("size < 0").select("doc_id", "at", (-F.col("size")).alias("size"))
     spans = covered.union(crossed).repartition("doc_id").sortWithinPartitions("doc_id", "at")
     return spans.mapInArrow(_union, "doc_id bigint, tag bigint, starts array<bigint>, ends array<bigint>")
 
@@ -377,7 +407,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     # 22 bits, so that a place stays below 2^62
     texts = texts.withColumn("tag", F.pmod(F.xxhash64("text"), F.lit(1 << 22)))
-    spans = materialise(repeated_spans(texts), "spans")
+    spans = materialise(repeated_spans(texts), "spans", release=True)
     joined = left_join_unique(texts, spans, ["doc_id", "tag"], F.xxhash64("text"))
     return joined.select("doc_id", "text", "starts", "ends").mapInArrow(
         _apply, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary")

@@ -88,24 +88,22 @@ def _prefix_sums(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _rank_names(names: np.ndarray, depth: int) -> np.ndarray:
-    """Order of the suffixes of ``names`` by their first ``depth`` names at least.
+    """Order of the suffixes of ``names``, numbers without gaps, by their first ``depth`` names at least.
 
     A level of names has almost as many symbols as places, where passes over
     buckets give numpy nothing to do at once; ranks of doubled length are
     sorted instead.
     """
-    rank, reach = names.astype(np.int64), 1
-    while True:
-        order = np.argsort(rank, kind="stable")
-        if reach >= depth or len(np.unique(rank)) == len(rank):
-            return order
+    rank, reach, order = names.astype(np.int64), 1, None
+    while reach < depth and rank.max() + 1 < len(rank):
         follow = np.zeros(len(rank), dtype=np.int64)
         follow[:-reach] = rank[reach:] + 1
         pair = rank * (len(rank) + 2) + follow
-        order = np.argsort(pair, kind="stable")
+        order = np.argsort(pair)
         step = np.concatenate([[False], pair[order][1:] != pair[order][:-1]])
         rank[order] = np.cumsum(step)
         reach *= 2
+    return np.argsort(rank) if order is None else order
 
 
 def suffix_array(text: np.ndarray, symbols: int, depth: int | None = None) -> np.ndarray:
@@ -133,7 +131,8 @@ def suffix_array(text: np.ndarray, symbols: int, depth: int | None = None) -> np
     names = np.empty(len(lms), dtype=np.int64)
     names[place[ordered]] = np.cumsum(np.concatenate([[False], own[1:] != own[:-1]]))
     if len(lms) and names.max() + 1 < len(lms):
-        ordered = lms[_rank_names(names, len(lms) if depth is None else max(1, depth))]
+        # leftmost smaller suffixes are two places apart at least
+        ordered = lms[_rank_names(names, len(lms) if depth is None else depth // 2 + 1)]
     return induce(text, smaller, ordered, symbols)
 
 
@@ -143,15 +142,21 @@ def permuted_prefixes(text: np.ndarray, order: np.ndarray, longest: int) -> tupl
     ahead = np.full(size, -1, dtype=np.int32)
     ahead[order[1:]] = order[:-1]
     sums, down = _prefix_sums(text)
-    here, there = np.arange(size, dtype=np.int32), np.maximum(ahead, 0)
+
+    def same(left: np.ndarray, right: np.ndarray, step: int) -> np.ndarray:
+        return (sums[left + step] - sums[left]) * down[left] == (sums[right + step] - sums[right]) * down[right]
+
+    # places that share the whole length need no search
     common = np.zeros(size, dtype=np.int32)
+    here = np.flatnonzero((ahead >= 0) & (np.maximum(ahead, np.arange(size, dtype=np.int32)) + longest <= size)).astype(np.int32)
+    common[here[same(here, ahead[here], longest)]] = longest
+    here = np.flatnonzero((ahead >= 0) & (common < longest)).astype(np.int32)
+    there, found = ahead[here], np.zeros(len(here), dtype=np.int32)
     step = 1 << (max(1, longest).bit_length() - 1)
     while step:
-        left, right = here + common, there + common
-        fits = (np.maximum(left, right) + step <= size) & (common + step <= longest)
-        left, right, more = np.where(fits, left, 0), np.where(fits, right, 0), np.where(fits, np.int32(step), np.int32(0))
-        same = (sums[left + more] - sums[left]) * down[left] == (sums[right + more] - sums[right]) * down[right]
-        common += np.where(same, more, 0)
+        left, right = here + found, there + found
+        fits = np.flatnonzero((np.maximum(left, right) + step <= size) & (found + step <= longest))
+        found[fits[same(left[fits], right[fits], step)]] += step
         step //= 2
-    common[ahead < 0] = 0
+    common[here] = found
     return ahead, common

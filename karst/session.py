@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import contextlib
 import pathlib
 import tempfile
 import uuid
 import zipfile
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 _local_roots: dict[str, str] = {}
 _shipped: set[str] = set()
@@ -79,13 +81,34 @@ def write_observed(df: DataFrame, path: str, aggregates: Sequence[Column]) -> di
     return observation.get
 
 
-def materialise(df: DataFrame, label: str) -> DataFrame:
+@contextlib.contextmanager
+def shuffles_released(spark: SparkSession) -> Iterator[None]:
+    """Inside, a finished query's shuffle files are deleted at once.
+
+    Otherwise they stay until the driver happens to collect its garbage.  Meant
+    for a single write: Spark would run the stages of a query again if the same
+    DataFrame is asked for a second time.
+    """
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
+def materialise(df: DataFrame, label: str, release: bool = False) -> DataFrame:
     """Write ``df`` once to the scratch folder and read it back.
 
     Later actions start from the written table: nothing upstream is computed
-    twice, and a lost executor costs only a re-read.
+    twice, and a lost executor costs only a re-read.  With ``release`` the
+    shuffle files behind it go as soon as it is written.
     """
-    return materialise_observed(df, label, [])[0]
+    with shuffles_released(df.sparkSession) if release else contextlib.nullcontext():
+        return materialise_observed(df, label, [])[0]
 
 
 def materialise_observed(df: DataFrame, label: str, aggregates: Sequence[Column]) -> tuple[DataFrame, dict]:

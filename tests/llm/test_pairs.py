@@ -271,6 +271,62 @@ def test_a_shard_stays_small():
     tracemalloc.stop()
 
 
+def test_regions_on_their_way():
+    from karst.llm import repeats
+    places = np.array([0, 5, (1 << 31) - 60, 7, (1 << 31) - 1]) + np.array([0, 1, (1 << 22) - 1, 3, 9]) * repeats.PLACE
+    doc, hashes = np.array([3, -4, 1 << 62, 0, 9]), np.array([1 << 63, (1 << 64) - 1, 5 << 16, 1 << 16, 7 << 16], dtype=np.uint64)
+    coded = [repeats._coded(hashes[:3], hashes[:3], doc[:3], places[:3], np.array([1, 17, 31])),
+             repeats._coded(hashes[3:], np.array([60, (1 << 31) - 1]), doc[3:], places[3:], 0)]
+    rows = [list(r.values()) for b in repeats._decoded(iter(coded)) for r in b.to_pylist()]
+    assert [r[2:] for r in rows] == [list(r) for r in zip(doc.tolist(), places.tolist(), [50, 66, 80, -60, 1 - (1 << 31)])]
+    assert [r[1] for r in rows[:3]] == hashes[:3].view(np.int64).tolist()
+    # 48 bits of a key are left, the longest region has 31 strings
+    assert [r[0] for r in rows[:3]] == [-1 << 63, -1 << 16, 5 << 16]
+    text = np.frombuffer(bytes(range(256)) * 8, dtype=np.uint8)
+    _, _, begin, end = repeats.regions(text, np.array([0, len(text)]))
+    assert (end - begin).max() <= 80 and repeats._COUNT_BITS == 5
+
+
+def test_suffixes_in_order_up_to_a_depth():
+    from karst.llm.suffixes import permuted_prefixes, suffix_array
+    random = np.random.default_rng(11)
+    for depth in (1, 2, 5, 16, 50):
+        text = np.append(np.tile(random.integers(1, 3, 23), 8), [*random.integers(1, 4, 90), 0]).astype(np.int16)
+        order = suffix_array(text, 258, depth)
+        cut = [text[i:i + depth].tolist() for i in order]
+        assert cut == sorted(cut) and sorted(order) == list(range(len(text)))
+        ahead, common = permuted_prefixes(text, order, depth)
+        for i, j in zip(order[1:], order):
+            wanted = next((k for k in range(depth) if text[i + k:i + k + 1].tolist() != text[j + k:j + k + 1].tolist()), depth)
+            assert ahead[i] == j and common[i] == wanted
+
+
+def test_shuffles_go_once_written(spark, docs, monkeypatch):
+    import os
+    import time
+    from karst.llm import repeats
+    from karst.session import SHUFFLE_CLEANUP
+    folders = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    write, left, setting = repeats.materialise, {}, spark.conf.get(SHUFFLE_CLEANUP)
+
+    def shuffled():
+        files = [os.path.join(top, f) for d in folders for top, _, names in os.walk(d) for f in names if f.startswith("shuffle_")]
+        return {f: os.path.getsize(f) for f in files if os.path.exists(f)}
+
+    def watched(df, label, **options):
+        before, out = shuffled(), write(df, label, **options)
+        for _ in range(10):
+            left[label] = sum(size for f, size in shuffled().items() if f not in before)
+            if not left[label]:
+                break
+            time.sleep(0.2)
+        return out
+
+    monkeypatch.setattr(repeats, "materialise", watched)
+    assert repeats.without_repeats(docs).count() == docs.count()
+    assert left == {"regions": 0, "large": 0, "shards": 0, "spans": 0} and spark.conf.get(SHUFFLE_CLEANUP) == setting
+
+
 # set-relation skipping
 
 def test_shared_shingles_across_batches():
