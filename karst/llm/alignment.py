@@ -14,6 +14,7 @@ document's links are never shuffled one by one.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import json
 import os
@@ -28,10 +29,14 @@ from pyspark.sql import DataFrame, functions as F
 
 from karst.llm import kernels as K
 from karst.operators.bounds import left_join_unique
-from karst.session import materialise, ship
+from karst.session import materialise, ship, short_batches
 
 #: bytes of text whose tokens are aligned at once
 CHUNK = 1 << 20
+#: rows and bytes of text that a task is given at once: some chunks
+BATCH_ROWS, BATCH_BYTES = 2_000, 4 * CHUNK
+#: chunks that a reader holds at once
+GROUP_ROWS = 8
 #: links of a group from which on its distinct ids are paired instead of its tokens
 WIDE = 4096
 #: a pair of ids is one number: the second tokenizer's id in the low bits
@@ -123,6 +128,13 @@ class Pieces:
         return [np.array(own, dtype=np.int32) for own in self.model.encode(texts, num_threads=1)]
 
 
+@functools.lru_cache(maxsize=1)
+def _models(first: str, second: bytes) -> tuple[ByteLevel, Pieces, _Writer]:
+    """The tokenizers and the table of written ids, made once in a worker: those of its earlier tasks would stand beside them."""
+    one, two = ByteLevel(first), Pieces(second)
+    return one, two, _Writer(max(len(one.pieces), len(two.pieces)))
+
+
 def _nested(ids: list[np.ndarray]) -> pa.ListArray:
     edges = np.concatenate([[0], np.cumsum([len(i) for i in ids])]).astype(np.int32)
     flat = np.concatenate(ids) if ids else np.zeros(0, np.int32)
@@ -245,23 +257,18 @@ def aligned_chunk(texts: list[str], first: ByteLevel, second: Pieces, writer: _W
     }
 
 
-def _scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row per document: its links, with the corpus counts of their pairs."""
-    names = [f.split(" ")[0] for f in _RESULT.split(", ")]
-    for batch in batches:
-        for row in range(batch.num_rows):
-            value = lambda name: batch.column(name)[row].values
-            known = value("known")
-            pair, n, best = (known.field(i).to_numpy(zero_copy_only=False) for i in range(3)) if known is not None else ([], [], [])
-            order = np.argsort(pair, kind="stable")
-            edges, refs = value("edges").to_numpy(), value("refs").to_numpy()
-            times = value("times").to_numpy()
-            sums = []
-            for weight in (np.asarray(best)[order].astype(np.int64), np.asarray(n)[order].astype(np.int64)):
-                total = np.concatenate([[0], np.cumsum(weight[refs] * times)]) if len(refs) else np.zeros(1, np.int64)
-                sums.append(pa.array(total[edges[1:]] - total[edges[:-1]], pa.int64()))
-            yield pa.RecordBatch.from_arrays(
-                [value("doc_ids"), *(value(c) for c in ("n_a", "n_b", "n_groups", "n_links")), *sums, value("digests")], names)
+def _scored(chunk: pa.Table, known: pa.Table) -> pa.Table:
+    """A row per document of a chunk: its links, with the corpus counts of their pairs."""
+    value = lambda name: chunk.column(name)[0].values
+    order = np.argsort(known.column("pair").to_numpy(), kind="stable")
+    edges, refs, times = (value(c).to_numpy() for c in ("edges", "refs", "times"))
+    sums = []
+    for name in ("best", "n"):
+        weight = known.column(name).to_numpy()[order].astype(np.int64)
+        total = np.concatenate([[0], np.cumsum(weight[refs] * times)]) if len(refs) else np.zeros(1, np.int64)
+        sums.append(pa.array(total[edges[1:]] - total[edges[:-1]], pa.int64()))
+    return pa.Table.from_arrays([value("doc_ids"), *(value(c) for c in ("n_a", "n_b", "n_groups", "n_links")), *sums, value("digests")],
+                                [f.split(" ")[0] for f in _RESULT.split(", ")])
 
 
 def token_alignment(docs: DataFrame, first: str, second: bytes) -> DataFrame:
@@ -282,8 +289,7 @@ def token_alignment(docs: DataFrame, first: str, second: bytes) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast((first, second))
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        one, two = ByteLevel(shared.value[0]), Pieces(shared.value[1])
-        writer = _Writer(max(len(one.pieces), len(two.pieces)))
+        one, two, writer = _models(*shared.value)
         made = 0
         for batch in batches:
             _, offsets = K.utf8(batch.column("text"))
@@ -300,7 +306,8 @@ def token_alignment(docs: DataFrame, first: str, second: bytes) -> DataFrame:
                     [f.split(" ")[0] for f in _CHUNK.split(", ")])
 
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    chunks = materialise(texts.mapInArrow(align, _CHUNK), "aligned")
+    with short_batches(docs.sparkSession, BATCH_ROWS, BATCH_BYTES):
+        chunks = materialise(texts.mapInArrow(align, _CHUNK), "aligned", group_rows=GROUP_ROWS)
     partial = chunks.select(F.explode(F.arrays_zip("pairs", "n_docs")).alias("p"))
     counts = partial.groupBy(F.col("p.pairs").alias("pair")).agg(F.sum("p.n_docs").alias("n"))
     counts = materialise(counts, "pair-counts")
@@ -310,6 +317,6 @@ def token_alignment(docs: DataFrame, first: str, second: bytes) -> DataFrame:
     known = counts.withColumn("a", owner).join(F.broadcast(most), "a").select("pair", "n", (F.col("n") == F.col("most")).cast("int").alias("best"))
     asked = chunks.select("chunk", F.explode("pairs").alias("pair"))
     told = left_join_unique(asked, known, ["pair"], F.xxhash64("chunk"), "inner", small=False)
-    told = told.groupBy("chunk").agg(F.collect_list(F.struct("pair", "n", "best")).alias("known"))
-    # a chunk's dictionary is no longer than its links
-    return chunks.drop("pairs", "n_docs").join(told.hint("merge"), "chunk", "left").mapInArrow(_scored, _RESULT)
+    told = told.select(F.col("chunk").alias("asker"), "pair", "n", "best")
+    # a task holds one chunk and the counts of its pairs, however many chunks it is given
+    return chunks.drop("pairs", "n_docs").groupBy("chunk").cogroup(told.groupBy("asker")).applyInArrow(_scored, _RESULT)

@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 _local_roots: dict[str, str] = {}
 _shipped: set[str] = set()
@@ -71,13 +73,14 @@ def posix_path(path: str) -> str:
     return path
 
 
-def write_observed(df: DataFrame, path: str, aggregates: Sequence[Column]) -> dict:
+def write_observed(df: DataFrame, path: str, aggregates: Sequence[Column], group_rows: int | None = None) -> dict:
     """Write Parquet and return aggregates of the written rows, in the same pass."""
+    options = {} if group_rows is None else {"parquet.block.row.count.limit": group_rows}
     if not aggregates:
-        df.write.parquet(path)
+        df.write.options(**options).parquet(path)
         return {}
     observation = Observation()
-    df.observe(observation, *aggregates).write.parquet(path)
+    df.observe(observation, *aggregates).write.options(**options).parquet(path)
     return observation.get
 
 
@@ -100,21 +103,43 @@ def shuffles_released(spark: SparkSession) -> Iterator[None]:
             spark.conf.set(SHUFFLE_CLEANUP, before)
 
 
-def materialise(df: DataFrame, label: str, release: bool = False) -> DataFrame:
+@contextlib.contextmanager
+def short_batches(spark: SparkSession, rows: int, size: int) -> Iterator[None]:
+    """Inside, Python tasks are given at most so many rows and about so many bytes at once.
+
+    Otherwise a batch is ten thousand rows, whatever their size, and stands in
+    the executor and in its Python worker.  Meant for a single write.
+    """
+    wanted = {ARROW_ROWS: str(rows), ARROW_BYTES: str(size)}
+    before = {key: spark.conf.get(key, None) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
+def materialise(df: DataFrame, label: str, release: bool = False, group_rows: int | None = None) -> DataFrame:
     """Write ``df`` once to the scratch folder and read it back.
 
     Later actions start from the written table: nothing upstream is computed
     twice, and a lost executor costs only a re-read.  With ``release`` the
-    shuffle files behind it go as soon as it is written.
+    shuffle files behind it go as soon as it is written.  A reader holds a row
+    group, or 4,096 rows of one; ``group_rows`` makes groups of wide rows small.
     """
     with shuffles_released(df.sparkSession) if release else contextlib.nullcontext():
-        return materialise_observed(df, label, [])[0]
+        return materialise_observed(df, label, [], group_rows)[0]
 
 
-def materialise_observed(df: DataFrame, label: str, aggregates: Sequence[Column]) -> tuple[DataFrame, dict]:
+def materialise_observed(df: DataFrame, label: str, aggregates: Sequence[Column], group_rows: int | None = None) -> tuple[DataFrame, dict]:
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    facts = write_observed(df, path, aggregates)
+    facts = write_observed(df, path, aggregates, group_rows)
     return spark.read.schema(df.schema).parquet(path), facts
 
 

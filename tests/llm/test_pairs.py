@@ -16,6 +16,7 @@ from karst.llm.alignment import ByteLevel, Pieces, _Writer, aligned_chunk, token
 from karst.llm.anchors import COVER, PERIOD, without_windows
 from karst.llm.filters import filter_audit, removal_steps
 from karst.llm.queries import ORACLES, QUERIES, alignment_models
+from karst.session import materialise
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test data")
@@ -154,6 +155,40 @@ def plain_alignment(texts):
     return out
 
 
+def test_alignment_holds_a_chunk_at_a_time(spark, monkeypatch):
+    """Many chunks in one partition: none of the steps is given all of them at once."""
+    import glob
+
+    import pyarrow.parquet as pq
+
+    from karst.llm import alignment
+    from karst.session import ARROW_BYTES, ARROW_ROWS, posix_path, short_batches
+    monkeypatch.setattr(alignment, "CHUNK", 100)
+    texts = [f"Text number {i}, of some words and {i * 7919} more." for i in range(100)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").coalesce(1)
+    written = []
+    monkeypatch.setattr(alignment, "materialise", lambda df, label, **how: written.append(materialise(df, label, **how)) or written[-1])
+    found = token_alignment(rows, *alignment_models())
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapCoGroupsInArrow" in plan and "MapInArrow" not in plan.replace("FlatMapCoGroupsInArrow", "")
+    groups = [pq.ParquetFile(f).metadata for path in written[0].inputFiles() for f in glob.glob(posix_path(path))]
+    assert sum(g.num_rows for g in groups) > 20
+    assert all(g.row_group(i).num_rows <= alignment.GROUP_ROWS for g in groups for i in range(g.num_row_groups))
+    columns = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
+    assert {r.doc_id: tuple(r[c] for c in columns) for r in found.collect()} == dict(enumerate(plain_alignment(texts)))
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows]), pa.array([batch.nbytes])], ["n", "size"])
+
+    wide = spark.range(0, 600, 1, 1).selectExpr("repeat('x', 10000 * int(id >= 300)) AS text")
+    before = [spark.conf.get(key, None) for key in (ARROW_ROWS, ARROW_BYTES)]
+    with short_batches(spark, 100, 200_000):
+        held = materialise(wide.mapInArrow(sizes, "n bigint, size bigint"), "sizes").collect()
+    assert sum(r.n for r in held) == 600 and max(r.n for r in held) == 100 and max(r["size"] for r in held) < 400_000
+    assert [spark.conf.get(key, None) for key in (ARROW_ROWS, ARROW_BYTES)] == before
+
+
 def test_alignment_like_plain_version(spark, docs, odd, empty):
     columns = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
     rows = docs.select("doc_id", "text").collect()
