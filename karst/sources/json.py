@@ -59,15 +59,14 @@ def row_objects(docs: DataFrame, jsonlines: bool = False) -> DataFrame:
     return _explode(docs, "v", "_pos", "_key", "r").filter("_pos IS NOT NULL").select("r")
 
 
-def _with_items(pairs: DataFrame) -> DataFrame:
-    """(name, item, value): every value, and for a list its items as well, in one pass."""
-    own = F.array(F.struct(F.lit(False).alias("item"), F.col("value")))
+def _with_items(values: DataFrame) -> DataFrame:
+    """(name, item, value, s): every value and the type its variant reports, and for a list its items as well, in one pass."""
+    own = F.array(F.struct(F.lit(False).alias("item"), F.col("value"), F.col("s")))
     inside = F.transform(F.try_variant_get("value", "$", "array<variant>"),
-                         lambda x: F.struct(F.lit(True).alias("item"), x.alias("value")))
-    return (pairs.select(*[c for c in pairs.columns if c != "value"],
-                         F.explode(F.concat(own, F.coalesce(inside, F.array().cast(
-                             "array<struct<item:boolean,value:variant>>")))).alias("x"))
-            .select("*", "x.item", "x.value").drop("x"))
+                         lambda x: F.struct(F.lit(True).alias("item"), x.alias("value"), F.schema_of_variant(x).alias("s")))
+    # most values are no lists
+    found = F.when(F.col("s").startswith("ARRAY"), F.concat(own, inside)).otherwise(own)
+    return values.select("name", F.explode(found).alias("x")).select("name", "x.item", "x.value", "x.s")
 
 
 def type_audit(objects: DataFrame) -> DataFrame:
@@ -81,8 +80,7 @@ def type_audit(objects: DataFrame) -> DataFrame:
     # rows that are no objects come out without a name, and so do empty objects
     whole = F.when(F.col("name").isNull(), F.when(F.schema_of_variant("r").startswith("OBJECT"), "VOID")
                    .otherwise("NOT_OBJECT"))
-    values = _with_items(pairs.select("name", whole.alias("whole"), "value"))
-    return _count_kinds(values.select("name", "item", "value", F.coalesce("whole", F.schema_of_variant("value")).alias("s")))
+    return _count_kinds(_with_items(pairs.select("name", "value", F.coalesce(whole, F.schema_of_variant("value")).alias("s"))))
 
 
 def _count_kinds(values: DataFrame) -> DataFrame:

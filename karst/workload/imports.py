@@ -46,8 +46,8 @@ def write_documents(rows, path: str, columnar: bool = False) -> None:
             for i, n in enumerate(names if held else ()):
                 mark = f"{',' if i else '{'}{json.dumps(n)}:["
                 for batch in held:
-                    values = [json.dumps(v, ensure_ascii=False) for v in batch.column(i).to_pylist()]
-                    yield text([mark + values[0], *("," + v for v in values[1:])])
+                    values = json.dumps(batch.column(i).to_pylist(), ensure_ascii=False, separators=("\n,", ":"))
+                    yield text([mark + values[1:-1]])
                     mark = ","
                 yield text(["]"])
             if held:

@@ -256,6 +256,39 @@ def test_json_documents_cut_at_every_byte(spark, tmp_path, size):
         spark.conf.unset("spark.sql.files.openCostInBytes")
 
 
+def test_items_of_a_column_travel_together():
+    """A row for a run of items, not for each of them, and none for a comma inside a string, a list or an object."""
+    from types import SimpleNamespace
+
+    from karst.sources.json_cut import WHOLE, _cut
+    items = [['"a,\\",["', "[1,2]", '{"x":[3,"]"]}', "\n 7 ", '"é\U0001f600"'][i % 5] for i in range(5000)]
+    pieces = ('{"k":[' + ",".join(items) + '],"m":[]}').split(",")
+    rows = pa.table({"file": ["f"] * len(pieces), "start": pa.array([0] * len(pieces), pa.int64()), "value": pieces})
+    out = pa.Table.from_batches(_cut(SimpleNamespace(value={("f", 0): (False, 0)}), 2, iter(rows.to_batches(max_chunksize=2000)))).to_pylist()
+    assert len(out) < 20 and [r["seq"] for r in out] == list(range(len(out)))
+    found = [r for r in out if r["kind"] == "item" and r["part"] == WHOLE and r["col"] == 1]
+    assert [v for r in found for v in r["values"]] == items
+    assert [r["at"] for r in found] == np.cumsum([0, *(len(r["values"]) for r in found[:-1])]).tolist()
+    assert all(r["size"] == len("".join(r["values"]).encode()) for r in out)
+
+
+def test_column_documents_meet_in_blocks(spark, tmp_path, monkeypatch):
+    """Ranges and blocks that do not begin together, in two documents with the columns in another order."""
+    from karst.sources import json_cut
+    monkeypatch.setattr(json_cut, "BLOCK_ROWS", 7)
+    rows = [{"n": i, "s": f"{i},[" * (i % 4), "l": list(range(i % 3))} for i in range(100)]
+    one = {c: [r[c] for r in rows[:61]] for c in ("n", "s", "l")}
+    two = {c: [r[c] for r in rows[61:]] for c in ("l", "n", "s")}
+    paths = [put(tmp_path, "one.json", json.dumps(one)), put(tmp_path, "two.json", json.dumps(two, indent=1))]
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 400)
+    spark.conf.set("spark.sql.files.openCostInBytes", 0)
+    try:
+        assert sorted((r.n, r.s, r.l) for r in read_json(spark, paths).collect()) == [(r["n"], r["s"], r["l"]) for r in rows]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
 @pytest.mark.parametrize("text", ['[{"a":1}', '[{"a":1}]]', '[{"a":1}][{"a":2}]', '[{"a":1}] x', 'x [{"a":1}]', '[{"a":"1}]', '{"a":[1]', '{"a":[1]} {"a":[2]}',
                                   '{"a":[1],"b":{"c":[2]}}', '{"a" [1]}', '{"a":[1] "b":[2]}', ""])
 def test_json_documents_that_are_no_documents(spark, tmp_path, text):
